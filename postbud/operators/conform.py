@@ -119,7 +119,7 @@ def missing_column_report(
 def column_fill(df: DataFrame, by: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
     """For every column, whether any cell is filled, in a single aggregate."""
     columns = [c for c in (columns or df.columns) if c not in by]
-    return df.groupBy(*by).agg(*[F.max(~is_blank(_quoted(c))).alias(c) for c in columns])
+    return df.groupBy(*by).agg(*[F.max(~is_blank(_quoted(c).cast("string"))).alias(c) for c in columns])
 
 
 def empty_columns(df: DataFrame) -> list[str]:

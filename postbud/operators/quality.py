@@ -77,6 +77,16 @@ def _one_row_per_column(one_row: DataFrame, columns: Sequence[str], value: str)
     return one_row.select(F.inline(F.array(*pairs)))
 
 
+def missing_by_group(df: DataFrame, wanted: Sequence[str], by: Sequence[str] = GROUP) -> DataFrame:
+    """Wanted columns a group does not have or never fills, one row each."""
+    have = [c for c in wanted if c in df.columns]
+    filled = column_fill(df, by=by, columns=have).select(
+        *by, *have, *[F.lit(False).alias(c) for c in wanted if c not in have]
+    )
+    pairs = [F.struct(F.lit(c).alias("missing_column"), F.col(c).alias("filled")) for c in wanted]
+    return filled.select(*by, F.inline(F.array(*pairs))).where(~F.col("filled")).drop("filled")
+
+
 def id_profile(profile: DataFrame) -> DataFrame:
     """Rows, distinct keys with sentinels and a NULL counted once each, and valid keys."""
     per_key = profile.groupBy("suffix", KEY).agg(F.sum("n_rows").alias("n_rows"))

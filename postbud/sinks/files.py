@@ -58,6 +58,8 @@ def write_files(
     sizes: Mapping[tuple, int] | None = None,
     sep: str = ";",
     bom: bool = False,
+    header: bool = True,
+    encoding: str = "UTF-8",
     limit: int = 1_000_000,
     sort_by: Sequence[str] = (),
 ) -> Written:
@@ -92,14 +94,14 @@ def write_files(
     (
         out.write.partitionBy(*targets)
         .options(
-            header=True, sep=sep, quote='"', escape='"', nullValue="", emptyValue="",
+            header=header, encoding=encoding, sep=sep, quote='"', escape='"', nullValue="", emptyValue="",
             ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, lineSep="\n",
         )
         .csv(staging)
     )
     paths = _move_into_place(spark, staging, group, sizes, folder, name, limit)
     for values, path in paths.items():
-        if not sizes[values]:
+        if header and not sizes[values]:
             write_text(spark, path, sep.join(head) + "\n")
     return Written(paths, seen.get["rows"])
 
@@ -124,6 +126,7 @@ def _move_into_place(
         placed[values] = target
         if fs.exists(path(target)):
             fs.delete(path(target), True)
+        fs.mkdirs(path(target).getParent())
         source = staging + "".join(f"/{g}={escape(v)}" for g, v in zip(group, values))
         files = ceil(n / limit)
         if files > 1:

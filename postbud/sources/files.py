@@ -9,6 +9,7 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -85,41 +86,48 @@ def list_files(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
     )
 
 
-def _matches(path: Column, pattern: str, region: str, suffix: str = "") -> Column:
-    name = F.element_at(F.split(path, "/"), -1)
-    folder = F.element_at(F.split(path, "/"), -2)
-    wanted = pattern.format(region=re.escape(region), suffix=re.escape(suffix))
-    return (folder == region) & name.rlike(rf"(?iu)^{wanted}$")
-
-
 def choose_inputs(listing: DataFrame, options: DeliveryOptions) -> DataFrame:
     """The export of every region and month: newest file with the month in its name.
 
     Without ``strict_input`` a file that carries no month stands in where there is none.
-    The result has one row per region and month that has a file.
+    The result has one row per region and month that has a file. A file lies in the folder
+    of its region; letter case in its name does not matter.
     """
-    wanted = []
-    for region in options.regions:
-        for suffix in options.suffixes:
-            fits = [F.when(_matches(F.col("path"), options.export_name, region, suffix), 1)]
-            if not options.strict_input:
-                fits.append(F.when(_matches(F.col("path"), options.export_name_without_month, region), 0))
-            wanted.append(
-                F.struct(
-                    F.lit(region).alias("region"),
-                    F.lit(suffix).alias("suffix"),
-                    F.coalesce(*fits).alias("priority"),
-                )
+    parts = F.split("path", "/")
+    folder, name = F.element_at(parts, -2), F.element_at(parts, -1)
+    months = "|".join(re.escape(s) for s in options.suffixes)
+    in_own_folder = listing.where(folder.isin(*options.regions))
+
+    def by_region(template: str) -> Column:
+        """The month a name carries, "" for a name that fits without one, NULL for others."""
+        found = F.lit(None)
+        for region in options.regions:
+            pattern = template.format(region=re.escape(region), suffix=f"({months})")
+            fits = name.rlike(f"(?iu)^{pattern}$")
+            month = F.regexp_extract(name, f"(?iu)^{pattern}$|^$()", 1)
+            found = F.when((folder == region) & fits, month).otherwise(found)
+        return found
+
+    fits = in_own_folder.select(
+        "*",
+        folder.alias("region"),
+        F.lower(by_region(options.export_name)).alias("month"),
+        F.lit(1).alias("priority"),
+    )
+    if not options.strict_input:
+        fits = fits.unionByName(
+            in_own_folder.where(by_region(options.export_name_without_month).isNotNull()).select(
+                "*",
+                folder.alias("region"),
+                F.explode(F.array(*[F.lit(s) for s in options.suffixes])).alias("month"),
+                F.lit(0).alias("priority"),
             )
-    return (
-        listing.select("*", F.explode(F.array(*wanted)).alias("want"))
-        .where("want.priority IS NOT NULL")
-        .groupBy("want.region", "want.suffix")
-        .agg(
-            F.max(
-                F.struct("want.priority", "modified", "path", "uri", "length")
-            ).alias("best")
         )
+    newest = F.max(F.struct("priority", "modified", "path", "uri", "length")).alias("best")
+    return (
+        fits.where("month IS NOT NULL")
+        .groupBy("region", F.col("month").alias("suffix"))
+        .agg(newest)
         .select("region", "suffix", "best.path", "best.uri", "best.modified", "best.length")
     )
 
@@ -193,10 +201,13 @@ def profile_files(spark: SparkSession, chosen: list, options: DeliveryOptions) -
             r["uri"]: UTF8 if r["is_utf8"] else CP1252 for r in utf8_files(spark, rows).collect()
         }
 
+    with ThreadPoolExecutor(8) as pool:
+        tops = dict(zip(rows, pool.map(lambda path: first_lines(spark, path), rows)))
+
     files = []
     for path, r in rows.items():
         encoding = encodings.get(r["uri"], UTF8)
-        lines = [b.decode(encoding, "replace").rstrip("\r") for b in first_lines(spark, path)]
+        lines = [b.decode(encoding, "replace").rstrip("\r") for b in tops[path]]
         head = lines[0].removeprefix(BOM) if lines else ""
         delimiter = detect_delimiter(head, options.tie_delimiter)
         header = tuple(clean_header_text(h) for h in split_line(head, delimiter))
