@@ -7,15 +7,26 @@ from pyspark.sql import functions as F
 
 from postbud.layout import MONTHS
 
-# Separators are unified before parsing, so these cover dots, slashes and hyphens alike.
-DATE_PATTERNS = ("yyyyMMdd", "ddMMyyyy", "yyyy-M-d", "d-M-yyyy")
-TIME_PATTERNS = ("", " H:m:s")
+# Shapes of a date once its separators are hyphens, and the order that makes it ISO.
+DATE_SHAPES = (
+    (r"^(\d{4})-(\d{1,2})-(\d{1,2})", "$1-$2-$3"),
+    (r"^(\d{1,2})-(\d{1,2})-(\d{4})", "$3-$2-$1"),
+    (r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3"),
+    (r"^(\d{2})(\d{2})(\d{4})", "$3-$2-$1"),
+)
+TIME_OF_DAY = r"( +([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d)?$"
 
 
 def parse_any_date(c: Column) -> Column:
-    """First reading that fits, NULL where none does."""
+    """First reading that is a date, NULL where none is.
+
+    The text is put in ISO order and cast, as a failed parse by pattern costs an exception.
+    """
     text = F.translate(F.trim(c), "./_T", "--- ")
-    tries = [F.try_to_date(text, d + t) for t in TIME_PATTERNS for d in DATE_PATTERNS]
+    tries = []
+    for shape, order in DATE_SHAPES:
+        whole = shape + TIME_OF_DAY
+        tries.append(F.when(text.rlike(whole), F.regexp_replace(text, whole, order)).try_cast("date"))
     return F.coalesce(*tries)
 
 

@@ -12,6 +12,8 @@ from postbud.functions.predicates import has_mojibake
 
 NBSP = "\u00a0"
 
+WHITE_SPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace() and not 0x1C <= code <= 0x1F)
+
 
 def _plain_letters() -> tuple[dict[str, str], dict[str, str]]:
     """Accented Latin letters -> ASCII, split in one-letter and longer replacements."""
@@ -55,7 +57,7 @@ def nbsp_to_space(c: Column) -> Column:
 
 def trim_blanks(c: Column) -> Column:
     """Trim any white space, not only the space character."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -71,14 +73,13 @@ def to_ascii(c: Column) -> Column:
 
 def header_key(c: Column) -> Column:
     """Header text reduced to ``[a-z0-9]``, the form the alias table is written in."""
-    plain = F.lower(to_ascii(trim_blanks(nbsp_to_space(c))))
-    return F.regexp_replace(plain, "[^a-z0-9]", "")
+    return F.regexp_replace(F.lower(to_ascii(c)), "[^a-z0-9]+", "")
 
 
 def header_key_text(name: str) -> str:
     """``header_key`` for a header that is already on the driver."""
     table = str.maketrans({**ONE_LETTER, **MORE_LETTERS})
-    return re.sub("[^a-z0-9]", "", name.replace(NBSP, " ").strip().translate(table).lower())
+    return re.sub("[^a-z0-9]+", "", name.translate(table).lower())
 
 
 def clean_header_text(name: str) -> str:

@@ -11,15 +11,11 @@ from postbud.operators.conform import output_shape, rescue_number
 from postbud.operators.geo import filled_district, filled_municipality
 from postbud.operators.ids import GROUP, RUN_KEY, key_profile, usable_numbers
 from postbud.options import DeliveryOptions
+from postbud.session import stage
 
 
 def key_lookup(id_map: DataFrame, fixes: DataFrame | None, keep_unnumbered: bool = False) -> DataFrame:
-    """Run number and location of a key in one table, one row per month and key.
-
-    Joining the two narrow tables first leaves a single join against the wide report. AQE
-    can then split a skewed partition of the report, which it does not do for the first of
-    two joins that share a shuffle.
-    """
+    """Run number and location of a key in one table, one row per month and key."""
     numbers = usable_numbers(id_map).select(*RUN_KEY, NUMBER)
     if fixes is None:
         return numbers
@@ -69,12 +65,11 @@ def deliver(
     """
     if profile is None:
         profile = key_profile(report)
-    own = "enr" in report.columns
-    numbered = (
-        report.where(is_valid_key(F.col(KEY)))
-        .drop(NUMBER)
-        .join(key_lookup(id_map, fixes, keep_unnumbered=own), RUN_KEY, "left")
-    )
+    # The two narrow tables are joined and written out first. The wide report then goes
+    # through one join whose sides are both plain shuffles, and only there does AQE split
+    # the partition of a key that holds a large share of the rows.
+    lookup = stage(key_lookup(id_map, fixes, keep_unnumbered="enr" in report.columns), "lookup")
+    numbered = report.where(is_valid_key(F.col(KEY))).drop(NUMBER).join(lookup, RUN_KEY, "left")
     numbered = rescue_number(numbered).where(~is_missing(F.col(NUMBER)))
     # One row per region and month, so this side always fits.
     flagged = numbered.join(F.broadcast(groups_without_year(profile, id_map)), GROUP, "left")

@@ -46,7 +46,7 @@ from postbud.operators.quality import (
 from postbud.options import DeliveryOptions
 from postbud.plans.runs import step1, step2
 from postbud.queries import standins as given
-from postbud.session import scratch_path
+from postbud.session import scratch_path, stage
 from postbud.sinks.files import write_files, write_table
 from postbud.sources.exports import find_exports, load_reports
 from postbud.sources.files import choose_inputs
@@ -222,17 +222,25 @@ def q_cast_loss(spark, sf_dir):
     return cast_loss(rows, ["institusjonId", "lopenr"])
 
 
-def q_gates(spark, sf_dir):
+def _staged(spark, sf_dir):
+    """Key profile, mapping and fixes written out, as a run has them."""
     profile = key_profile(given.report(spark, sf_dir), ["institusjonId"])
-    once = given.id_map(spark, sf_dir)
-    counts = delivery_counts(profile, once, fixes(spark, sf_dir))
-    return map_gates(profile, given.id_map_with_repeats(spark, sf_dir)).unionByName(output_gates(counts))
+    return (
+        stage(profile, "profile"),
+        stage(given.id_map(spark, sf_dir), "numbers"),
+        stage(fixes(spark, sf_dir), "locations"),
+    )
+
+
+def q_gates(spark, sf_dir):
+    profile, once, located = _staged(spark, sf_dir)
+    repeated = stage(given.id_map_with_repeats(spark, sf_dir), "repeated")
+    return map_gates(profile, repeated).unionByName(output_gates(delivery_counts(profile, once, located)))
 
 
 def q_run_metrics(spark, sf_dir):
-    profile = key_profile(given.report(spark, sf_dir), ["institusjonId"])
-    mapping, located = given.id_map(spark, sf_dir), fixes(spark, sf_dir)
-    return run_metrics(profile, mapping, located, delivery_counts(profile, mapping, located))
+    profile, once, located = _staged(spark, sf_dir)
+    return run_metrics(profile, once, located, delivery_counts(profile, once, located))
 
 
 def q_empty_columns(spark, sf_dir):
@@ -372,17 +380,17 @@ def q_cached_exports(spark, sf_dir):
     return _blank_as_null(load_reports(spark, options).rows, given.EXPORT_COLUMNS)
 
 
+def _scratch_options(spark):
+    home = scratch_path(spark, "exchange")
+    return replace(OPTIONS, base_dir=f"{home}/in", app_dir=f"{home}/app", out_dir=f"{home}/out")
+
+
 def q_read_returns(spark, sf_dir):
     options = _scratch_options(spark)
     given.write_returns(spark, sf_dir, options)
     return read_returns(spark, options.app_dir, options.suffixes)
 
 
-def _scratch_options(spark):
-    home = scratch_path(spark, "exchange")
-    return replace(OPTIONS, base_dir=f"{home}/in", app_dir=f"{home}/app", out_dir=f"{home}/out")
-
-
 def q_csv_roundtrip(spark, sf_dir):
     documents = given.table(spark, sf_dir, "documents").select(
         "lang", given.text("doc_id").alias("doc_id"), "text"

@@ -16,7 +16,7 @@ from postbud.functions.predicates import KEY, is_valid_key
 from postbud.layout import EXPORT_NAME, MONTHS, RETURN_NAME
 from postbud.operators.ids import RUN_KEY
 from postbud.options import DeliveryOptions
-from postbud.session import scratch_path
+from postbud.session import scratch_path, stage
 from postbud.sinks.files import write_files
 
 YEAR = 2025
@@ -166,7 +166,7 @@ HABITS = {
 def write_exports(spark: SparkSession, sf_dir: str, names: Sequence[str] = ()) -> DeliveryOptions:
     """Exports of all rows as the regions would send them; gives the options to read them."""
     home = scratch_path(spark, "exchange")
-    rows = report(spark, sf_dir)
+    rows = stage(report(spark, sf_dir), "report")
     place = EXPORT_NAME.replace(".*", "Uttrekk ").replace("\\", "")
     for region, (sep, encoding, headers) in HABITS.items():
         columns = [F.col(c).alias(headers.get(c, c)) for c in EXPORT_COLUMNS]
@@ -182,7 +182,7 @@ def write_exports(spark: SparkSession, sf_dir: str, names: Sequence[str] = ()) -
 
 def write_returns(spark: SparkSession, sf_dir: str, options: DeliveryOptions) -> None:
     """The registry's answer for every month, untidy as it comes."""
-    answers = id_map(spark, sf_dir).select(
+    answers = stage(id_map(spark, sf_dir), "answers").select(
         "suffix",
         F.concat(F.lit(" "), F.col("NPRId")).alias("NPRId"),
         F.concat(F.col("lopenr"), F.lit("\r")).alias("lopenr"),

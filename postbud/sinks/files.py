@@ -3,48 +3,28 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
-from math import ceil
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from postbud.sources.files import BOM, write_text
 
-FILE_NO = "_file"
+Group = tuple[str, ...]
 
 
 @dataclass(frozen=True)
 class Written:
     """Paths by group, and the number of rows that went out in total."""
 
-    paths: dict[tuple[str, ...], str]
+    paths: dict[Group, str]
     rows: int
 
 
-def _file_number(
-    group: Sequence[str], columns: Sequence[str], sizes: Mapping[tuple, int], limit: int
-) -> Column:
-    """Which file of its group a row goes to.
-
-    A group within the limit is one file. A larger one is spread over as many files as it
-    needs by a hash of the row, so no task writes more than about one file's worth and a
-    repeated task sends every row to the same file.
-    """
-    row_hash = F.xxhash64(*columns)
-    number = F.lit(0)
-    for values, n in sizes.items():
-        files = ceil(n / limit)
-        if files > 1:
-            here = F.lit(True)
-            for name, value in zip(group, values):
-                here = here & (F.col(name) == value)
-            number = F.when(here, F.pmod(row_hash, F.lit(files)).cast("int")).otherwise(number)
-    return number
-
-
-def group_sizes(df: DataFrame, group: Sequence[str]) -> dict[tuple, int]:
+def group_sizes(df: DataFrame, group: Sequence[str]) -> dict[Group, int]:
     """Rows per group; groups are months, or regions and months."""
     rows = df.groupBy(*group).agg(F.count("*").alias("n")).collect()
     return {tuple(r[g] for g in group): r["n"] for r in rows}
@@ -55,7 +35,7 @@ def write_files(
     group: Sequence[str],
     name: str,
     folder: str,
-    sizes: Mapping[tuple, int] | None = None,
+    sizes: Mapping[Group, int] | None = None,
     sep: str = ";",
     bom: bool = False,
     header: bool = True,
@@ -63,85 +43,79 @@ def write_files(
     limit: int = 1_000_000,
     sort_by: Sequence[str] = (),
 ) -> Written:
-    """Write every group of rows to a file whose name is made from the group.
+    """Write every group of rows under a name made from the group.
 
-    One shuffle places the rows of a file in one task, one job writes all files, and moving
-    them to their names touches no data. A group of more than ``limit`` rows becomes a folder
-    of files of that name, each complete with header. ``sizes`` may name groups that have no
-    rows; they get a file with only the header.
+    A group of at most ``limit`` rows is one file, so one task writes it. A larger group
+    becomes a folder of that name: its rows stay in the tasks they are in, without another
+    shuffle, and every file in it holds at most ``limit`` rows and is complete with header.
+    ``sizes`` may name groups that have no rows; they get a file with only the header.
     """
     spark = df.sparkSession
     if sizes is None:
         sizes = group_sizes(df, group)
     columns = [c for c in df.columns if c not in group]
     head = [(BOM if bom and i == 0 else "") + c for i, c in enumerate(columns)]
-    total = sum(ceil(n / limit) for n in sizes.values())
-
-    placed = df.withColumn(FILE_NO, _file_number(group, columns, sizes, limit))
-    targets = [*group, FILE_NO]
-    if total > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        placed = placed.repartition(total, *targets)
-    else:
-        placed = placed.repartition(*targets)
-    if sort_by:
-        placed = placed.sortWithinPartitions(*targets, *sort_by)
-    seen = Observation()
-    out = placed.select(
-        *[F.col(c).cast("string").alias(h) for c, h in zip(columns, head)], *targets
-    ).observe(seen, F.count(F.lit(1)).alias("rows"))
-
-    staging = f"{folder}/_writing-{uuid.uuid4().hex}"
-    (
-        out.write.partitionBy(*targets)
-        .options(
-            header=header, encoding=encoding, sep=sep, quote='"', escape='"', nullValue="", emptyValue="",
-            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, lineSep="\n",
-        )
-        .csv(staging)
+    options = dict(
+        header=header, encoding=encoding, sep=sep, quote='"', escape='"', nullValue="", emptyValue="",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, lineSep="\n",
+        maxRecordsPerFile=limit,
     )
-    paths = _move_into_place(spark, staging, group, sizes, folder, name, limit)
-    for values, path in paths.items():
-        if header and not sizes[values]:
-            write_text(spark, path, sep.join(head) + "\n")
-    return Written(paths, seen.get["rows"])
+    small = [g for g, n in sizes.items() if 0 < n <= limit]
+    large = [g for g, n in sizes.items() if n > limit]
+    staging = f"{folder}/_writing-{uuid.uuid4().hex}"
+    rows = 0
+    for part, groups in (("files", small), ("folders", large)):
+        if not groups:
+            continue
+        out = df if not (small and large) else df.where(_in_groups(group, groups))
+        if part == "files":
+            out = out.repartition(*group)
+        if sort_by:
+            out = out.sortWithinPartitions(*group, *sort_by)
+        seen = Observation()
+        out = out.select(*[F.col(c).cast("string").alias(h) for c, h in zip(columns, head)], *group)
+        out = out.observe(seen, F.count(F.lit(1)).alias("rows"))
+        out.write.partitionBy(*group).options(**options).csv(f"{staging}/{part}")
+        rows += seen.get["rows"]
+
+    targets = {g: f"{folder}/{name.format(**dict(zip(group, g)))}" for g in sizes}
+    _move_into_place(spark, staging, group, small, large, targets)
+    for g, n in sizes.items():
+        if header and not n:
+            write_text(spark, targets[g], sep.join(head) + "\n")
+    return Written(targets, rows)
+
+
+def _in_groups(columns: Sequence[str], groups: Iterable[Group]) -> Column:
+    return reduce(or_, [reduce(and_, [F.col(c) == v for c, v in zip(columns, g)]) for g in groups])
 
 
 def _move_into_place(
     spark: SparkSession,
     staging: str,
     group: Sequence[str],
-    sizes: Mapping[tuple, int],
-    folder: str,
-    name: str,
-    limit: int,
-) -> dict[tuple[str, ...], str]:
-    """Rename what was written to the names the receivers know. Only names change hands."""
+    small: Sequence[Group],
+    large: Sequence[Group],
+    targets: Mapping[Group, str],
+) -> None:
+    """Rename what was written to the names the receivers know. No data is touched."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     root = path(staging)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    placed = {}
-    for values, n in sizes.items():
-        target = f"{folder}/{name.format(**dict(zip(group, values)))}"
-        placed[values] = target
-        if fs.exists(path(target)):
-            fs.delete(path(target), True)
-        fs.mkdirs(path(target).getParent())
-        source = staging + "".join(f"/{g}={escape(v)}" for g, v in zip(group, values))
-        files = ceil(n / limit)
-        if files > 1:
-            fs.mkdirs(path(target))
-        for number in range(files):
-            one = path(f"{source}/{FILE_NO}={number}")
-            if not fs.exists(one):
-                continue
-            for part in fs.listStatus(one):
-                found = part.getPath().getName()
-                if found.startswith("part-"):
-                    to = target if files == 1 else f"{target}/{number + 1:05d}.csv"
-                    fs.rename(part.getPath(), path(to))
+    for part, groups in (("files", small), ("folders", large)):
+        for g in groups:
+            source = path(f"{staging}/{part}" + "".join(f"/{c}={escape(v)}" for c, v in zip(group, g)))
+            if part == "files":
+                found = [f.getPath() for f in fs.listStatus(source)]
+                (source,) = [f for f in found if f.getName().startswith("part-")]
+            target = path(targets[g])
+            if fs.exists(target):
+                fs.delete(target, True)
+            fs.mkdirs(target.getParent())
+            if not fs.rename(source, target):
+                raise OSError(f"cannot move {source} to {target}")
     fs.delete(root, True)
-    return placed
 
 
 def write_table(df: DataFrame, path: str, group: Sequence[str] = ("suffix", "region")) -> None:
