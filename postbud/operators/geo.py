@@ -18,6 +18,13 @@ def ids_missing_municipality(report: DataFrame) -> DataFrame:
     )
 
 
+def keys_missing_municipality(profile: DataFrame) -> DataFrame:
+    """The same keys from a key profile, without going through the report again."""
+    return (
+        profile.where(is_valid_key(F.col(KEY)) & (F.col("n_no_kommune") > 0)).select(*RUN_KEY).distinct()
+    )
+
+
 def latest_location(history: DataFrame) -> DataFrame:
     """The row of the latest year per key; equal years go by municipality, then district.
 

@@ -13,6 +13,7 @@ from postbud.functions.numbers import cast_lost
 from postbud.functions.predicates import KEY, has_mojibake, is_missing, is_valid_key
 from postbud.operators.conform import column_fill
 from postbud.operators.delivery import delivered_keys
+from postbud.operators.geo import keys_missing_municipality
 from postbud.operators.ids import GROUP, RUN_KEY, duplicate_keys, first_examples, unmapped_ids
 
 
@@ -185,7 +186,6 @@ def run_metrics(
         return df.select("suffix", region.alias("region"), F.inline(F.array(*pairs)))
 
     by_region = profile.groupBy(*GROUP).agg(F.sum("n_rows").alias("n"))
-    needed = profile.where(is_valid_key(F.col(KEY)) & (F.col("n_no_kommune") > 0))
     parts = [
         long_form(by_region, F.col("region"), input_rows="n"),
         long_form(
@@ -198,7 +198,7 @@ def run_metrics(
     if fixes is not None:
         parts += [
             long_form(
-                needed.select(*RUN_KEY).distinct().groupBy("suffix").agg(F.count("*").alias("n")),
+                keys_missing_municipality(profile).groupBy("suffix").agg(F.count("*").alias("n")),
                 no_region,
                 missing_kommune_ids="n",
             ),

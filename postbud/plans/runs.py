@@ -17,7 +17,7 @@ from postbud import layout
 from postbud.functions.predicates import KEY, NUMBER, is_valid_key
 from postbud.operators.conform import missing_column_report
 from postbud.operators.delivery import deliver
-from postbud.operators.geo import location_fixes
+from postbud.operators.geo import keys_missing_municipality, location_fixes
 from postbud.operators.ids import RUN_KEY, key_profile, request_ids, unmapped_ids
 from postbud.operators.quality import (
     delivery_counts,
@@ -99,12 +99,11 @@ def step2(
 
     fixes = None
     if options.fill_missing_kommune:
-        needed = profile.where(is_valid_key(F.col(KEY)) & (F.col("n_no_kommune") > 0))
         yearly = empty_history(spark) if history is None else as_history(history)
         fixes = stage(
             location_fixes(
                 yearly,
-                needed.select(*RUN_KEY).distinct(),
+                keys_missing_municipality(profile),
                 override_table(spark, options.overrides) if options.overrides else None,
             ),
             "locations",

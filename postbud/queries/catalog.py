@@ -19,6 +19,7 @@ from postbud.operators.geo import (
     apply_overrides,
     fill_location,
     ids_missing_municipality,
+    keys_missing_municipality,
     latest_location,
     location_fixes,
 )
@@ -63,9 +64,19 @@ def fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return location_fixes(given.history(spark, sf_dir), needed, given.overrides(spark, sf_dir))
 
 
+def profiled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The staged key profile, and the fixes for whom it shows without a municipality."""
+    profile = stage(key_profile(given.report(spark, sf_dir), ["institusjonId"]), "profile")
+    located = location_fixes(
+        given.history(spark, sf_dir), keys_missing_municipality(profile), given.overrides(spark, sf_dir)
+    )
+    return profile, located
+
+
 def delivered(spark: SparkSession, sf_dir: str, options=OPTIONS, keep=("rad", "region", "suffix")) -> DataFrame:
+    profile, located = profiled(spark, sf_dir)
     return deliver(
-        given.report(spark, sf_dir), given.id_map(spark, sf_dir), fixes(spark, sf_dir), options, keep=keep
+        given.report(spark, sf_dir), given.id_map(spark, sf_dir), located, options, profile, keep
     )
 
 
@@ -209,8 +220,8 @@ def q_qc_summary(spark, sf_dir):
 
 
 def q_delivery_counts(spark, sf_dir):
-    profile = key_profile(given.report(spark, sf_dir), ["institusjonId"])
-    return delivery_counts(profile, given.id_map(spark, sf_dir), fixes(spark, sf_dir))
+    profile, located = profiled(spark, sf_dir)
+    return delivery_counts(profile, given.id_map(spark, sf_dir), located)
 
 
 def q_month_control(spark, sf_dir):
@@ -224,12 +235,8 @@ def q_cast_loss(spark, sf_dir):
 
 def _staged(spark, sf_dir):
     """Key profile, mapping and fixes written out, as a run has them."""
-    profile = key_profile(given.report(spark, sf_dir), ["institusjonId"])
-    return (
-        stage(profile, "profile"),
-        stage(given.id_map(spark, sf_dir), "numbers"),
-        stage(fixes(spark, sf_dir), "locations"),
-    )
+    profile, located = profiled(spark, sf_dir)
+    return profile, stage(given.id_map(spark, sf_dir), "numbers"), stage(located, "locations")
 
 
 def q_gates(spark, sf_dir):

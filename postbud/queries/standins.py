@@ -17,7 +17,7 @@ from postbud.layout import EXPORT_NAME, MONTHS, RETURN_NAME
 from postbud.operators.ids import RUN_KEY
 from postbud.options import DeliveryOptions
 from postbud.session import scratch_path, stage
-from postbud.sinks.files import write_files
+from postbud.sinks.files import group_sizes, write_files
 
 YEAR = 2025
 RUN_MONTHS = tuple(f"{YEAR}-{m:02d}-01" for m in range(1, 13))
@@ -168,11 +168,13 @@ def write_exports(spark: SparkSession, sf_dir: str, names: Sequence[str] = ()) -
     home = scratch_path(spark, "exchange")
     rows = stage(report(spark, sf_dir), "report")
     place = EXPORT_NAME.replace(".*", "Uttrekk ").replace("\\", "")
+    sizes = group_sizes(rows, ["region", "suffix"])
     for region, (sep, encoding, headers) in HABITS.items():
         columns = [F.col(c).alias(headers.get(c, c)) for c in EXPORT_COLUMNS]
         write_files(
             rows.where(F.col("region") == region).select("region", "suffix", *columns),
             ["region", "suffix"], "{region}/" + place, f"{home}/in",
+            sizes={g: n for g, n in sizes.items() if g[0] == region},
             sep=sep, encoding=encoding, limit=2**62,
         )
     return DeliveryOptions(
