@@ -16,6 +16,10 @@ from postbud.sources.files import BOM, write_text
 Group = tuple[str, ...]
 
 
+class RowsLost(RuntimeError):
+    """The rows written are not as many as were counted before."""
+
+
 @dataclass(frozen=True)
 class Written:
     """Paths by group, and the number of rows that went out in total."""
@@ -48,7 +52,8 @@ def write_files(
     A group of at most ``limit`` rows is one file, so one task writes it. A larger group
     becomes a folder of that name: its rows stay in the tasks they are in, without another
     shuffle, and every file in it holds at most ``limit`` rows and is complete with header.
-    ``sizes`` may name groups that have no rows; they get a file with only the header.
+    ``sizes`` is what is known to come; nothing is put in place if the rows are not as many.
+    It may name groups that have no rows, which get a file with only the header.
     """
     spark = df.sparkSession
     if sizes is None:
@@ -78,6 +83,8 @@ def write_files(
         out.write.partitionBy(*group).options(**options).csv(f"{staging}/{part}")
         rows += seen.get["rows"]
 
+    if rows != sum(sizes.values()):
+        raise RowsLost(f"{rows} rows written under {staging}, {sum(sizes.values())} expected")
     targets = {g: f"{folder}/{name.format(**dict(zip(group, g)))}" for g in sizes}
     _move_into_place(spark, staging, group, small, large, targets)
     for g, n in sizes.items():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
@@ -35,6 +36,8 @@ from postbud.sources.files import (
     write_text,
 )
 
+log = logging.getLogger("postbud")
+
 CACHE_VERSION = "1"
 MARKER = "_COLUMNS"
 PLACE = ("region", "suffix", "key")
@@ -50,12 +53,11 @@ class MojibakeFound(ValueError):
 
 @dataclass(frozen=True)
 class Reports:
-    """All conformed rows of a run, and which columns each export brought."""
+    """All conformed rows of a run, which columns each export brought, and which are absent."""
 
     rows: DataFrame
     present: dict[tuple[str, str], tuple[str, ...]]
-    absent: tuple[tuple[str, str], ...]
-    collisions: tuple[tuple[str, str, str], ...]
+    absent: tuple[tuple[str, str], ...] = ()
 
 
 def find_exports(spark: SparkSession, options: DeliveryOptions) -> tuple[list[ExportFile], list[tuple[str, str]]]:
@@ -140,6 +142,8 @@ def _kept_columns(
         # Looked at before a repeated header row is left out.
         filled = _filled_by_file(raw, [at])
         kept = {u: tuple(i for i in p if i != at or _has_values(filled, u, i)) for u, p in kept.items()}
+        for uri in (u for u, p in kept.items() if at in p):
+            log.warning("column %s of %s has values and is kept", options.drop_position, uri)
     if options.drop_empty_columns:
         filled = _filled_by_file(_without_junk_row(raw, group[0].junk_row), everything)
         kept = {u: tuple(i for i in p if _has_values(filled, u, i)) for u, p in kept.items()}
@@ -163,7 +167,6 @@ class _Piece:
 
     files: tuple[ExportFile, ...]
     columns: tuple[str, ...]
-    collisions: tuple[tuple[str, str], ...]
     rows: DataFrame
 
 
@@ -188,7 +191,9 @@ def _pieces(spark: SparkSession, files: Sequence[ExportFile], options: DeliveryO
             if options.trim_ids:
                 named = named.withColumn(KEY, trim_blanks(F.col(KEY)))
             rows = add_location_columns(named, options.absent_location_token)
-            pieces.append(_Piece(tuple(alike), plan.names, plan.collisions, rows))
+            pieces.append(_Piece(tuple(alike), plan.names, rows))
+            for old, target in plan.collisions:
+                log.warning("column %s is not taken as %s, which another is", old, target)
     return pieces
 
 
@@ -201,9 +206,8 @@ def read_files(spark: SparkSession, files: Sequence[ExportFile], options: Delive
     """Conformed rows of profiled files with their ``region`` and ``suffix``."""
     pieces = _pieces(spark, files, options)
     present = {t: p.columns for p in pieces for f in p.files for t in f.targets}
-    collisions = [(*t, old) for p in pieces for f in p.files for t in f.targets for old, _ in p.collisions]
     rows = union_regions(p.rows.drop("key") for p in pieces)
-    return Reports(rows, present, (), tuple(collisions))
+    return Reports(rows, present)
 
 
 def mojibake_cells(df: DataFrame) -> int:
@@ -278,4 +282,4 @@ def _read_through_cache(spark: SparkSession, files: Sequence[ExportFile], option
         .option("basePath", options.cache_dir)
         .parquet(*[as_literal_path(e) for e in entries])
     )
-    return Reports(rows.select("region", "suffix", *columns), present, (), ())
+    return Reports(rows.select("region", "suffix", *columns), present)

@@ -156,7 +156,7 @@ def detect_delimiter(header: str, tie_delimiter: str = ";") -> str:
     return ";" if semicolons > commas else ","
 
 
-def first_lines(spark: SparkSession, path: str, n: int = 2) -> list[bytes]:
+def first_lines(spark: SparkSession, path: str, n: int = 4) -> list[bytes]:
     """The first lines of one file as bytes; reads the first block only."""
     rows = (
         spark.read.text(as_literal_path(path), lineSep="\n")
@@ -207,7 +207,7 @@ def profile_files(spark: SparkSession, chosen: list, options: DeliveryOptions) -
     files = []
     for path, r in rows.items():
         encoding = encodings.get(r["uri"], UTF8)
-        lines = [b.decode(encoding, "replace").rstrip("\r") for b in tops[path]]
+        lines = [b.decode(encoding, "replace").rstrip("\r") for b in tops[path] if b.strip()]
         head = lines[0].removeprefix(BOM) if lines else ""
         delimiter = detect_delimiter(head, options.tie_delimiter)
         header = tuple(clean_header_text(h) for h in split_line(head, delimiter))
