@@ -44,11 +44,11 @@ CP1252_TO_C1 = _cp1252_punctuation()
 
 
 def strip_cr(c: Column) -> Column:
-    return F.translate(c, "\r", "")
+    return F.replace(c, F.lit("\r"), F.lit(""))
 
 
 def strip_semicolons(c: Column) -> Column:
-    return F.translate(c, ";", "")
+    return F.replace(c, F.lit(";"), F.lit(""))
 
 
 def nbsp_to_space(c: Column) -> Column:
@@ -88,7 +88,8 @@ def clean_header_text(name: str) -> str:
 
 def decode_cp1252(c: Column) -> Column:
     """Windows-1252 text that was read as ISO-8859-1."""
-    return F.translate(c, "".join(CP1252_TO_C1.values()), "".join(CP1252_TO_C1))
+    decoded = F.translate(c, "".join(CP1252_TO_C1.values()), "".join(CP1252_TO_C1))
+    return F.when(F.octet_length(c) > F.length(c), decoded).otherwise(c)
 
 
 def repair_mojibake(c: Column) -> Column:

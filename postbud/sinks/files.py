@@ -74,7 +74,7 @@ def write_files(
             continue
         out = df if not (small and large) else df.where(_in_groups(group, groups))
         if part == "files":
-            out = out.repartition(*group)
+            out = out.repartition(len(groups), *group)
         if sort_by:
             out = out.sortWithinPartitions(*group, *sort_by)
         seen = Observation()

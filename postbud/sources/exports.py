@@ -100,7 +100,7 @@ def _raw_scan(spark: SparkSession, files: Sequence[ExportFile], options: Deliver
         c = strip_cr(c)
         if kind.encoding == CP1252:
             c = decode_cp1252(c)
-        return repair_mojibake(c) if options.repair_mojibake else c
+        return repair_mojibake(c) if options.repair_mojibake and kind.has_marks else c
 
     return reader.csv([as_literal_path(f.path) for f in files]).select(
         *[clean(F.col(c)).alias(c) for c in cells],
@@ -120,10 +120,10 @@ def _without_junk_row(raw: DataFrame, junk: tuple[str, ...] | None) -> DataFrame
 
 
 def _kinds(files: Sequence[ExportFile]) -> list[list[ExportFile]]:
-    """Files that can share a scan: same header, delimiter, encoding and junk row."""
+    """Files that can share a scan: same header, delimiter, encoding, marks and junk row."""
     groups: dict[tuple, list[ExportFile]] = {}
     for f in files:
-        groups.setdefault((f.header, f.delimiter, f.encoding, f.junk_row), []).append(f)
+        groups.setdefault((f.header, f.delimiter, f.encoding, f.has_marks, f.junk_row), []).append(f)
     return list(groups.values())
 
 

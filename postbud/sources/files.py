@@ -11,11 +11,13 @@ import re
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postbud.functions.predicates import KEY, NULL_TOKEN
+from postbud.functions.predicates import KEY, MOJIBAKE_MARKS, NULL_TOKEN, has_mojibake
 from postbud.functions.text import clean_header_text
 from postbud.options import DeliveryOptions
 
@@ -36,6 +38,7 @@ class ExportFile:
     targets: tuple[tuple[str, str], ...]
     delimiter: str
     encoding: str
+    has_marks: bool
     header: tuple[str, ...]
     junk_row: tuple[str, ...] | None
 
@@ -166,13 +169,29 @@ def first_lines(spark: SparkSession, path: str, n: int = 4) -> list[bytes]:
     return [bytes(r["value"]) for r in rows if r["file_block_start"] == 0]
 
 
-def utf8_files(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """Whether each file is valid UTF-8 throughout: one pass, one row per file."""
+def byte_facts(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """What one pass over whole files says about their bytes, one row per file.
+
+    ``is_utf8`` tells whether every line is valid UTF-8, ``has_marks`` whether any line shows
+    the marks of a wrong decoding. Files without marks are read without the repair.
+    """
     lines = spark.read.text([as_literal_path(p) for p in paths], lineSep="\n")
+    line, raw = F.col("value"), F.col("value").cast("binary")
+    bytes_of_marks = [F.lit(mark.encode(LATIN1)) for mark in MOJIBAKE_MARKS]
     return (
-        lines.select(F.col("_metadata.file_path").alias("uri"), "value")
+        lines.select(
+            F.col("_metadata.file_path").alias("uri"),
+            F.is_valid_utf8(line).alias("is_utf8"),
+            has_mojibake(line).alias("utf8_marks"),
+            reduce(or_, [F.contains(raw, b) for b in bytes_of_marks]).alias("one_byte_marks"),
+        )
         .groupBy("uri")
-        .agg(F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"))
+        .agg(
+            F.bool_and("is_utf8").alias("is_utf8"),
+            F.when(F.bool_and("is_utf8"), F.bool_or("utf8_marks"))
+            .otherwise(F.bool_or("one_byte_marks"))
+            .alias("has_marks"),
+        )
     )
 
 
@@ -195,18 +214,22 @@ def profile_files(spark: SparkSession, chosen: list, options: DeliveryOptions) -
         return []
 
     if options.encoding_override:
-        encodings = dict.fromkeys((r["uri"] for r in rows.values()), normal_encoding(options.encoding_override))
+        facts = {}
+        encoding_of_all = normal_encoding(options.encoding_override)
     else:
-        encodings = {
-            r["uri"]: UTF8 if r["is_utf8"] else CP1252 for r in utf8_files(spark, rows).collect()
-        }
+        facts = {r["uri"]: r for r in byte_facts(spark, rows).collect()}
 
     with ThreadPoolExecutor(8) as pool:
         tops = dict(zip(rows, pool.map(lambda path: first_lines(spark, path), rows)))
 
     files = []
     for path, r in rows.items():
-        encoding = encodings.get(r["uri"], UTF8)
+        if options.encoding_override:
+            encoding, has_marks = encoding_of_all, True
+        else:
+            fact = facts.get(r["uri"])
+            encoding = UTF8 if fact is None or fact["is_utf8"] else CP1252
+            has_marks = fact is not None and fact["has_marks"]
         lines = [b.decode(encoding, "replace").rstrip("\r") for b in tops[path] if b.strip()]
         head = lines[0].removeprefix(BOM) if lines else ""
         delimiter = detect_delimiter(head, options.tie_delimiter)
@@ -220,6 +243,7 @@ def profile_files(spark: SparkSession, chosen: list, options: DeliveryOptions) -
                 targets=tuple(targets[path]),
                 delimiter=delimiter,
                 encoding=encoding,
+                has_marks=has_marks,
                 header=header,
                 junk_row=_junk_row(header, lines[1:], delimiter),
             )

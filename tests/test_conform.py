@@ -100,7 +100,7 @@ def test_rescue_number(spark):
 
 
 def test_output_shape(spark):
-    df = spark.createDataFrame([(7, "", None, "NULL")], "År int, OF1 string, OF2 string, OF3 string")
+    df = spark.createDataFrame([(7, "", None, "NULL")], "`År` int, OF1 string, OF2 string, OF3 string")
     shaped = output_shape(df, OPTIONS)
     assert shaped.columns == list(DELIVERY_COLUMNS)
     row = shaped.first()
