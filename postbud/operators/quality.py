@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from postbud.functions.dates import parse_any_date
 from postbud.functions.numbers import cast_lost
-from postbud.functions.predicates import KEY, has_mojibake, is_missing, is_valid_key
+from postbud.functions.predicates import KEY, NUMBER, has_mojibake, is_missing, is_valid_key
 from postbud.operators.conform import column_fill
 from postbud.operators.delivery import delivered_keys
 from postbud.operators.geo import keys_missing_municipality
@@ -98,19 +98,31 @@ def id_profile(profile: DataFrame) -> DataFrame:
     )
 
 
-def delivery_counts(profile: DataFrame, id_map: DataFrame, fixes: DataFrame | None) -> DataFrame:
-    """What a delivery will hold, from the key profile alone."""
+def delivery_counts(
+    profile: DataFrame,
+    id_map: DataFrame,
+    fixes: DataFrame | None,
+    integer_columns: Sequence[str] = (),
+) -> DataFrame:
+    """What a delivery will hold, from the key profile alone.
+
+    The profile counts lost casts of report columns; those of the number come from the mapping.
+    """
     keys = delivered_keys(profile, id_map)
     still = F.col("n_no_kommune")
     if fixes is not None:
         keys = keys.join(fixes.select(*RUN_KEY, "komnrhjem2"), RUN_KEY, "left")
         still = F.when(is_missing(F.col("komnrhjem2")), still).otherwise(0)
-    lost = [c for c in profile.columns if c.startswith(("n_lost_", "n_filled_"))]
+    lost = {c: F.col(c) for c in profile.columns if c.startswith(("n_lost_", "n_filled_"))}
+    if NUMBER in integer_columns:
+        number = F.col(NUMBER)
+        lost[f"n_filled_{NUMBER}"] = F.when(number.isNotNull(), F.col("n_rows")).otherwise(0)
+        lost[f"n_lost_{NUMBER}"] = F.when(cast_lost(number), F.col("n_rows")).otherwise(0)
     return keys.groupBy(*GROUP).agg(
         F.sum("n_rows").alias("rows"),
         F.sum(still).alias("missing_kommune"),
         F.sum("n_mojibake").alias("mojibake"),
-        *[F.sum(c).alias(c) for c in lost],
+        *[F.sum(c).alias(name) for name, c in lost.items()],
     )
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from postbud.functions.predicates import KEY, NUMBER, is_valid_key
 from postbud.operators.conform import missing_column_report
 from postbud.operators.delivery import deliver
 from postbud.operators.geo import keys_missing_municipality, location_fixes
-from postbud.operators.ids import RUN_KEY, key_profile, request_ids, unmapped_ids
+from postbud.operators.ids import GROUP, RUN_KEY, key_profile, request_ids, unmapped_ids
 from postbud.operators.quality import (
     delivery_counts,
     enforce,
@@ -106,7 +107,7 @@ def step2(
         )
 
     groups = spark.createDataFrame(sorted(reports.present), "region string, suffix string")
-    counts = groups.join(delivery_counts(profile, id_map, fixes), ["region", "suffix"], "left")
+    counts = groups.join(delivery_counts(profile, id_map, fixes, options.integer_columns), GROUP, "left")
     counts = stage(counts.na.fill(0), "counts")
     stopping = ["mojibake_out"] if options.fail_on_mojibake_out else []
     warnings += _warn(enforce(output_gates(counts).collect(), stopping))
@@ -163,15 +164,19 @@ def _write_checks(
         "summary": (summary, ["suffix"], layout.SUMMARY_NAME),
         "metrics": (metrics, ["suffix"], layout.METRICS_NAME),
     }
-    return {
-        kind: write_files(
+
+    def write(kind: str) -> dict[tuple[str, ...], str]:
+        df, group, name = tables[kind]
+        # The place is part of the content here, so it is grouped by a copy.
+        return write_files(
             df.select("*", *[F.col(g).alias(f"_{g}") for g in group]),
             [f"_{g}" for g in group],
             name.replace("{region}", "{_region}").replace("{suffix}", "{_suffix}"),
             options.out_dir, sep=",", sort_by=df.columns,
         ).paths
-        for kind, (df, group, name) in tables.items()
-    }
+
+    with ThreadPoolExecutor(len(tables)) as pool:
+        return dict(zip(tables, pool.map(write, tables)))
 
 
 def _warn(failures: Iterable) -> list:

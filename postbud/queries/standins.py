@@ -6,14 +6,15 @@ spellings of real exports are put in by rules on the row's own values.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postbud.functions.predicates import KEY, is_valid_key
-from postbud.layout import EXPORT_NAME, MONTHS, RETURN_NAME
+from postbud.layout import DELIVERY_NAME, EXPORT_NAME, MONTHS, RETURN_NAME
 from postbud.operators.ids import RUN_KEY
 from postbud.options import DeliveryOptions
 from postbud.session import scratch_path, stage
@@ -163,13 +164,15 @@ HABITS = {
 }
 
 
-def write_exports(spark: SparkSession, sf_dir: str, names: Sequence[str] = ()) -> DeliveryOptions:
+def write_exports(spark: SparkSession, sf_dir: str) -> DeliveryOptions:
     """Exports of all rows as the regions would send them; gives the options to read them."""
     home = scratch_path(spark, "exchange")
     rows = stage(report(spark, sf_dir), "report")
     place = EXPORT_NAME.replace(".*", "Uttrekk ").replace("\\", "")
     sizes = group_sizes(rows, ["region", "suffix"])
-    for region, (sep, encoding, headers) in HABITS.items():
+
+    def write(region: str) -> None:
+        sep, encoding, headers = HABITS[region]
         columns = [F.col(c).alias(headers.get(c, c)) for c in EXPORT_COLUMNS]
         write_files(
             rows.where(F.col("region") == region).select("region", "suffix", *columns),
@@ -177,6 +180,9 @@ def write_exports(spark: SparkSession, sf_dir: str, names: Sequence[str] = ()) -
             sizes={g: n for g, n in sizes.items() if g[0] == region},
             sep=sep, encoding=encoding, limit=2**62,
         )
+
+    with ThreadPoolExecutor(len(HABITS)) as pool:
+        list(pool.map(write, HABITS))
     return DeliveryOptions(
         months=RUN_MONTHS, base_dir=f"{home}/in", app_dir=f"{home}/app", out_dir=f"{home}/out"
     )
@@ -196,12 +202,15 @@ def write_returns(spark: SparkSession, sf_dir: str, options: DeliveryOptions) ->
 
 def read_deliveries(spark: SparkSession, paths: dict, columns: Sequence[str]) -> DataFrame:
     """Delivered files as one table again, with the region and month they are for."""
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    tables = [
-        spark.read.schema(schema)
+    name = re.escape(DELIVERY_NAME).replace(r"\{region\}", "(.+)").replace(r"\{suffix\}", "([a-z0-9]+)")
+    uri = F.col("_metadata.file_path")
+    return (
+        spark.read.schema(", ".join(f"`{c}` string" for c in columns))
         .options(header=True, sep=";", quote='"', escape='"', lineSep="\n")
-        .csv(path)
-        .select(F.lit(region).alias("region"), F.lit(suffix).alias("suffix"), *columns)
-        for (region, suffix), path in sorted(paths.items())
-    ]
-    return reduce(DataFrame.unionByName, tables)
+        .csv(sorted(paths.values()))
+        .select(
+            F.regexp_extract(uri, name, 1).alias("region"),
+            F.regexp_extract(uri, name, 2).alias("suffix"),
+            *columns,
+        )
+    )

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from postbud.operators.delivery import deliver
 from postbud.operators.geo import ids_missing_municipality, latest_location, location_fixes
-from postbud.operators.ids import attach_numbers, key_profile, request_ids
+from postbud.operators.ids import attach_numbers, first_examples, key_profile, request_ids
 from postbud.options import DeliveryOptions
 from postbud.session import stage
 
@@ -96,3 +96,18 @@ def test_profile_reads_only_its_columns(hot):
     report, _, _ = hot
     plan = request_ids(report)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<suffix:string,NPRId:string>" in plan
+
+
+def test_examples_are_cut_before_the_shuffle(spark, conf, hot):
+    report, id_map, _ = hot
+    plan = first_examples(id_map)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan.split("Exchange hashpartitioning", 1)[1]
+
+
+def test_only_tables_of_one_row_per_place_are_broadcast(spark, conf, hot):
+    report, id_map, history = hot
+    fixes = location_fixes(history, ids_missing_municipality(report))
+    done = deliver(report, id_map, fixes, OPTIONS)
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastExchange") == 1
+    assert "keys=[suffix" in plan.split("BroadcastExchange", 1)[1]
