@@ -48,7 +48,7 @@ from postbud.options import DeliveryOptions
 from postbud.plans.runs import step1, step2
 from postbud.queries import standins as given
 from postbud.session import scratch_path, stage
-from postbud.sinks.files import write_files, write_table
+from postbud.sinks.files import group_sizes, write_files, write_table
 from postbud.sources.exports import find_exports, load_reports
 from postbud.sources.files import choose_inputs
 from postbud.sources.tables import as_history, clean_return, read_returns
@@ -398,12 +398,20 @@ def q_read_returns(spark, sf_dir):
     return read_returns(spark, options.app_dir, options.suffixes)
 
 
+def limit_within(sizes: dict) -> int:
+    """Rows per file that make folders of some groups and leave others whole files."""
+    return min(1_000_000, max(sizes.values()) // 2 + 1)
+
+
 def q_csv_roundtrip(spark, sf_dir):
     documents = given.table(spark, sf_dir, "documents").select(
         "lang", given.text("doc_id").alias("doc_id"), "text"
     )
     folder = scratch_path(spark, "texts")
-    written = write_files(documents, ["lang"], "{lang}.csv", folder, bom=True, limit=100)
+    sizes = group_sizes(documents, ["lang"])
+    written = write_files(
+        documents, ["lang"], "{lang}.csv", folder, sizes, bom=True, limit=limit_within(sizes)
+    )
     return (
         spark.read.schema("doc_id string, text string")
         .options(header=True, sep=";", quote='"', escape='"', multiLine=True)
@@ -426,16 +434,20 @@ def q_run_requests(spark, sf_dir):
 
 
 def q_run_deliveries(spark, sf_dir):
-    options = replace(
-        given.write_exports(spark, sf_dir),
-        overrides=(),
-        max_rows_per_file=400,
-    )
+    options = replace(given.write_exports(spark, sf_dir), overrides=())
     given.write_returns(spark, sf_dir, options)
     result = step2(spark, options, given.history(spark, sf_dir))
     return given.read_deliveries(spark, result.files["delivery"], DELIVERY_COLUMNS)
 
 
+def q_run_deliveries_in_parts(spark, sf_dir):
+    limit = limit_within(group_sizes(given.report(spark, sf_dir), ["region", "suffix"]))
+    options = replace(given.write_exports(spark, sf_dir, limit), overrides=(), max_rows_per_file=limit)
+    given.write_returns(spark, sf_dir, options, limit)
+    result = step2(spark, options, given.history(spark, sf_dir))
+    return given.read_deliveries(spark, result.files["delivery"], DELIVERY_COLUMNS)
+
+
 def queries() -> dict[str, Query]:
     return {
         name.removeprefix("q_"): function for name, function in globals().items() if name.startswith("q_")

@@ -228,6 +228,8 @@ def _gates() -> str:
 
 def oracle_sql() -> dict[str, str]:
     exports = f'SELECT region, suffix, {_blank_as_null(EXPORT_COLUMNS)} FROM report'
+    deliveries = _with(REPORT, NUMBERS, LOCATIONS, _located("uncorrected"), DELIVERED)
+    deliveries += f"SELECT region, suffix, {_output(HAVE)} FROM with_year"
     return {
         # keys and numbers
         "request_ids": _with(REPORT) + """SELECT DISTINCT suffix, "NPRId", '' AS "Dummy" FROM valid""",
@@ -339,6 +341,6 @@ def oracle_sql() -> dict[str, str]:
         "read_returns": _with(NUMBERS) + "SELECT * FROM id_map",
         "csv_roundtrip": "SELECT doc_id, text FROM documents",
         "run_requests": _with(REPORT) + 'SELECT DISTINCT suffix, "NPRId" FROM valid',
-        "run_deliveries": _with(REPORT, NUMBERS, LOCATIONS, _located("uncorrected"), DELIVERED)
-        + f"SELECT region, suffix, {_output(HAVE)} FROM with_year",
+        "run_deliveries": deliveries,
+        "run_deliveries_in_parts": deliveries,
     }

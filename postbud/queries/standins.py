@@ -164,7 +164,7 @@ HABITS = {
 }
 
 
-def write_exports(spark: SparkSession, sf_dir: str) -> DeliveryOptions:
+def write_exports(spark: SparkSession, sf_dir: str, limit: int = 1_000_000) -> DeliveryOptions:
     """Exports of all rows as the regions would send them; gives the options to read them."""
     home = scratch_path(spark, "exchange")
     rows = stage(report(spark, sf_dir), "report")
@@ -178,7 +178,7 @@ def write_exports(spark: SparkSession, sf_dir: str) -> DeliveryOptions:
             rows.where(F.col("region") == region).select("region", "suffix", *columns),
             ["region", "suffix"], "{region}/" + place, f"{home}/in",
             sizes={g: n for g, n in sizes.items() if g[0] == region},
-            sep=sep, encoding=encoding, limit=2**62,
+            sep=sep, encoding=encoding, limit=limit,
         )
 
     with ThreadPoolExecutor(len(HABITS)) as pool:
@@ -188,16 +188,14 @@ def write_exports(spark: SparkSession, sf_dir: str) -> DeliveryOptions:
     )
 
 
-def write_returns(spark: SparkSession, sf_dir: str, options: DeliveryOptions) -> None:
+def write_returns(spark: SparkSession, sf_dir: str, options: DeliveryOptions, limit: int = 1_000_000) -> None:
     """The registry's answer for every month, untidy as it comes."""
     answers = stage(id_map(spark, sf_dir), "answers").select(
         "suffix",
         F.concat(F.lit(" "), F.col("NPRId")).alias("NPRId"),
         F.concat(F.col("lopenr"), F.lit("\r")).alias("lopenr"),
     )
-    write_files(
-        answers, ["suffix"], RETURN_NAME, options.app_dir, header=False, limit=2**62
-    )
+    write_files(answers, ["suffix"], RETURN_NAME, options.app_dir, header=False, limit=limit)
 
 
 def read_deliveries(spark: SparkSession, paths: dict, columns: Sequence[str]) -> DataFrame:

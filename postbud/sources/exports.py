@@ -28,6 +28,8 @@ from postbud.sources.files import (
     ExportFile,
     as_literal_path,
     choose_inputs,
+    csv_folders,
+    export_of,
     list_files,
     missing_inputs,
     path_exists,
@@ -63,7 +65,8 @@ class Reports:
 def find_exports(spark: SparkSession, options: DeliveryOptions) -> tuple[list[ExportFile], list[tuple[str, str]]]:
     """Chosen and profiled files, and the regions and months without one."""
     folders = [f"{options.base_dir}/{region}" for region in options.regions]
-    chosen = choose_inputs(list_files(spark, folders), options).collect()
+    in_parts = [p for folder in folders for p in csv_folders(spark, folder)]
+    chosen = choose_inputs(list_files(spark, folders + in_parts), options).collect()
     absent = missing_inputs(chosen, options)
     if options.strict_input:
         # A region without a folder is skipped; a folder without the month's file is an error.
@@ -104,7 +107,7 @@ def _raw_scan(spark: SparkSession, files: Sequence[ExportFile], options: Deliver
 
     return reader.csv([as_literal_path(f.path) for f in files]).select(
         *[clean(F.col(c)).alias(c) for c in cells],
-        F.col("_metadata.file_path").alias("_uri"),
+        export_of(F.col("_metadata.file_path")).alias("_uri"),
         F.col("_metadata.file_block_start").alias("_block"),
     )
 

@@ -72,8 +72,26 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def export_of(path: Column) -> Column:
+    """The export a file belongs to: itself, or the folder of that name it is a part of."""
+    return F.regexp_replace(path, r"(?i)(\.csv)/[^/]*$", "$1")
+
+
+def csv_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Folders directly in a folder that stand for one delimited file in parts."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        return []
+    found = [s.getPath().toString() for s in fs.listStatus(target) if s.isDirectory()]
+    return [p for p in found if p.lower().endswith(".csv")]
+
+
 def list_files(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """Path, URI, modification time and size of files; contents are not read."""
+    """Path, URI, modification time and size of exports; contents are not read.
+
+    A folder named like a file counts as one file that was written in parts.
+    """
     there = [as_literal_path(p) for p in paths if path_exists(spark, p)]
     if not there:
         return spark.createDataFrame([], "path string, uri string, modified timestamp, length long")
@@ -81,11 +99,13 @@ def list_files(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
         spark.read.format("binaryFile")
         .load(there)
         .select(
-            "path",
-            F.col("_metadata.file_path").alias("uri"),
-            F.col("modificationTime").alias("modified"),
+            export_of(F.col("path")).alias("path"),
+            export_of(F.col("_metadata.file_path")).alias("uri"),
+            "modificationTime",
             "length",
         )
+        .groupBy("path", "uri")
+        .agg(F.max("modificationTime").alias("modified"), F.sum("length").alias("length"))
     )
 
 
@@ -180,7 +200,7 @@ def byte_facts(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
     bytes_of_marks = [F.lit(mark.encode(LATIN1)) for mark in MOJIBAKE_MARKS]
     return (
         lines.select(
-            F.col("_metadata.file_path").alias("uri"),
+            export_of(F.col("_metadata.file_path")).alias("uri"),
             F.is_valid_utf8(line).alias("is_utf8"),
             has_mojibake(line).alias("utf8_marks"),
             reduce(or_, [F.contains(raw, b) for b in bytes_of_marks]).alias("one_byte_marks"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from postbud.functions.predicates import KEY, NUMBER
 from postbud.functions.text import blank_to_null, strip_cr, strip_semicolons, trim_blanks
 from postbud.layout import LOCATION_OVERRIDES, RETURN_NAME
-from postbud.sources.files import as_literal_path, list_files, path_exists
+from postbud.sources.files import as_literal_path, export_of, list_files, path_exists
 
 HISTORY_SCHEMA = "NPRId string, komnrhjem2 string, bydel2 string, aar int"
 
@@ -40,7 +40,7 @@ def read_returns(spark: SparkSession, app_dir: str, suffixes: Sequence[str]) ->
             ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
         )
         .csv([as_literal_path(p) for p in paths.values()])
-        .select(KEY, NUMBER, F.col("_metadata.file_path").alias("uri"))
+        .select(KEY, NUMBER, export_of(F.col("_metadata.file_path")).alias("uri"))
     )
     # One row per month, so this side always fits.
     months_of = spark.createDataFrame(places, "uri string, suffix string")

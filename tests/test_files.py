@@ -109,6 +109,26 @@ def test_one_file_for_two_months(spark, options, tmp_path):
     assert rows(load_reports(spark, two), "suffix", "NPRId") == [("des25", "1"), ("jan26", "1")]
 
 
+def test_export_in_parts(spark, options, tmp_path):
+    folder = tmp_path / "in/HV/RHF_HV_des25.csv"
+    put(folder / "part-0.csv", "NPRId;Pakkeforløp\n1;Ã¸\n")
+    put(folder / "part-1.csv", "NPRId;Pakkeforløp\n2;b\n3;c\n")
+    put(folder / "_SUCCESS", "")
+    put(tmp_path / "in/HV/arkiv/RHF_HV_des25.csv", "NPRId;Pakkeforløp\n9;z\n")
+    expected = [("des25", "1", "ø"), ("des25", "2", "b"), ("des25", "3", "c")]
+    assert rows(load_reports(spark, options), "suffix", "NPRId", "Pakkeforløp") == expected
+    cached = load_reports(spark, replace(options, cache_dir=str(tmp_path / "cache")))
+    assert rows(cached, "suffix", "NPRId", "Pakkeforløp") == expected
+
+
+def test_returns_in_parts(spark, tmp_path):
+    folder = tmp_path / "NPRId_RHF_Pakkeforløp_des25_lnr.csv"
+    put(folder / "part-0.csv", "1;10\n")
+    put(folder / "part-1.csv", "2;20\n")
+    found = read_returns(spark, str(tmp_path), ["des25"])
+    assert sorted(tuple(r) for r in found.collect()) == [("des25", "1", "10"), ("des25", "2", "20")]
+
+
 def test_key_column_is_required(spark, options, tmp_path):
     put(tmp_path / "in/HV/RHF_HV_des25.csv", "person\n1\n")
     with pytest.raises(MissingKeyColumn):
