@@ -13,9 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postbud.functions.predicates import KEY, is_valid_key
 from postbud.layout import DELIVERY_NAME, EXPORT_NAME, MONTHS, RETURN_NAME
-from postbud.operators.ids import RUN_KEY
 from postbud.options import DeliveryOptions
 from postbud.session import scratch_path, stage
 from postbud.sinks.files import group_sizes, write_files

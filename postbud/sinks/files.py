@@ -126,9 +126,15 @@ def _move_into_place(
 
 
 def write_table(df: DataFrame, path: str, group: Sequence[str] = ("suffix", "region")) -> None:
-    """The delivery as parquet, one folder per group.
+    """The delivery as parquet, one folder per group; other groups in the table stay.
 
     The rebalance evens out file sizes at run time and splits a group that holds a large
     share of all rows over many tasks.
     """
-    df.hint("rebalance", *group).write.partitionBy(*group).mode("overwrite").parquet(path)
+    (
+        df.hint("rebalance", *group)
+        .write.partitionBy(*group)
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
+        .parquet(path)
+    )

@@ -127,6 +127,7 @@ def choose_inputs(listing: DataFrame, options: DeliveryOptions) -> DataFrame:
         for region in options.regions:
             pattern = template.format(region=re.escape(region), suffix=f"({months})")
             fits = name.rlike(f"(?iu)^{pattern}$")
+            # The second branch never matters; it gives patterns without a month a first group.
             month = F.regexp_extract(name, f"(?iu)^{pattern}$|^$()", 1)
             found = F.when((folder == region) & fits, month).otherwise(found)
         return found

@@ -238,3 +238,5 @@ def test_table(spark, tmp_path):
     write_table(df, str(tmp_path / "t"))
     back = spark.read.parquet(str(tmp_path / "t"))
     assert back.where("region = 'HSØ'").count() == 34 and back.count() == 100
+    write_table(df.where("region = 'HV'").limit(5), str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 34 + 5
