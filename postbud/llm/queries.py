@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postbud.llm import fingerprints, line_dedup, mixing, near_dup
+from postbud.llm import fingerprints, html, language, line_dedup, mixing, near_dup, tokens, warc
 
 
 def _of(table: str, operator: Callable[[DataFrame], DataFrame]):
@@ -22,6 +22,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_document_fingerprints": _of("documents", fingerprints.fingerprints),
         "op4_line_dedup": _of("documents", line_dedup.line_dedup_digests),
         "op5_source_mixing": _of("documents", mixing.mixture),
+        "op6_html_main_text": _of("pages", html.main_text),
+        "op7_token_counts": _of("documents", tokens.token_counts),
+        "op8_warc_round_trip": _of("pages", warc.round_trip),
+        "op10_language_id": _of("documents", language.identify),
     }
 
 
