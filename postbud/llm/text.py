@@ -22,8 +22,10 @@ SHINGLE_BITS = 54
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _BYTE_VALUE = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
-_WHITE = np.zeros(256, bool)
-_WHITE[[0x20, *range(0x09, 0x0E)]] = True
+WHITE = np.zeros(256, bool)
+WHITE[[0x20, *range(0x09, 0x0E)]] = True
+#: All ASCII but letters and digits.
+PUNCTUATION = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 _powers = {int(_BASE): np.ones(1, np.uint64), int(_BASE_INVERSE): np.ones(1, np.uint64)}
 
 
@@ -78,9 +80,11 @@ def slices(
         first = last
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every run of bytes that are not ASCII white space."""
-    solid = np.concatenate(([False], ~_WHITE[data], [False]))
+def words(
+    data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = WHITE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every run of bytes that are not in ``gap``, ASCII white space if not said."""
+    solid = np.concatenate(([False], ~gap[data], [False]))
     cut = np.zeros(len(data) + 1, bool)
     cut[offsets] = True
     starts = np.flatnonzero(solid[1:] & (~solid[:-1] | cut))
