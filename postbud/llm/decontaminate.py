@@ -5,12 +5,14 @@ Words are runs of ASCII letters, digits and all non-ASCII characters, lower-case
 Terms are the benchmark's words, weighted by idf over all documents. Terms in more than ``COMMON`` of all
 documents have no weight, except the ``LEAST_TERMS`` rarest of each item.
 
-1. One pass counts document frequencies of the terms over all documents.
-2. One pass takes a randomised sketch of the passage-term matrix A: every task adds up its part of
-   A'(A G) for a random G of ``RANK`` columns, and parts are summed in a tree. The benchmark's own passages
-   are weighted to hold half of the energy. An orthonormal basis of the sketch spans the leading singular vectors.
-3. One pass projects every passage and compares it with every item passage; a cosine of ``COSINE`` or more makes a
-   candidate. A candidate counts if the longest common subsequence of words covers ``VERBATIM`` of the
+1. One pass counts document frequencies of the terms over all documents and takes a randomised sketch of the
+   passage-term matrix A = C W (counts, weights): every task adds up its part of C'(C G) for a random G of
+   ``RANK`` columns, and parts are summed in a tree. The rows of G are scaled by the terms' rarity among
+   the items, as the weights are known only after the pass; they are applied to the sum. The benchmark's own
+   passages are scaled to hold half of it. An orthonormal basis of the sketch spans the leading singular vectors.
+2. One pass projects every passage and compares it with every item passage. Candidates have a cosine of ``COSINE``
+   or more and hold at least ``MASS`` of the item passage's length in its direction.
+   A candidate counts if the longest common subsequence of words covers ``VERBATIM`` of the
    item, or ``PARAPHRASE`` of it and ``ANSWER`` of the item's answer (its last sentence of three words or
    more). Items of fewer than eight words must stand there word for word.
 
@@ -36,8 +38,9 @@ from postbud.session import stage
 STEP = 24
 COMMON = 0.05
 LEAST_TERMS = 8
-RANK = 128
+RANK = 64
 COSINE = 0.4
+MASS = 0.4
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.6, 0.9
 BLOCK = 20_000
 SEED = 9
@@ -66,8 +69,13 @@ class Benchmark:
         self.first = np.searchsorted(self.terms, np.arange((1 << _SLOT_BITS) + 1).astype(np.uint64) << np.uint64(64 - _SLOT_BITS))
         self.first[-1] = len(self.terms)
         self.deepest = int(np.diff(self.first).max()) if len(self.terms) else 0
-        self.weight = np.ones(len(self.terms), np.float32)
         self.basis = self.queries = self.query_item = None
+        self.mass = np.zeros(0)
+        self.sets = [frozenset(w.tolist()) for w in self.words]
+        self.lists = [w.tolist() for w in self.words]
+        # Until document frequencies are known, rarity among the items stands in.
+        df = np.bincount(self.term_of(np.concatenate([np.zeros(0, np.uint64), *map(np.unique, self.words)])), minlength=len(self.terms))
+        self.weigh(df, len(texts))
 
     def term_of(self, hashes: np.ndarray) -> np.ndarray:
         """Term numbers, -1 for other words."""
@@ -103,6 +111,12 @@ class Benchmark:
         found = np.array(out, np.float32).reshape(-1, of.shape[1])
         return found, np.array(item, np.int64)
 
+    def set_queries(self) -> None:
+        made, item = self.passages(self.basis)
+        length = np.sqrt((made**2).sum(1))
+        self.queries = made[length > 0] / length[length > 0, None]
+        self.query_item, self.mass = item[length > 0], length[length > 0]
+
 
 def _answer(text: str) -> np.ndarray:
     sentences = [h for h in map(_hashes, re.split(r"[.!?\n]+", text)) if len(h)]
@@ -130,56 +144,62 @@ class _Steps:
         self.step = first_step[row[at]] + (at - self.first_word[row[at]]) // STEP
         self.weight = bench.weight[self.term]
 
-    def project(self, of: np.ndarray) -> np.ndarray:
+    def document_frequency(self, terms: int) -> np.ndarray:
+        if len(self.n_words) * terms <= 1 << 24:
+            seen = np.zeros((len(self.n_words), terms), bool)
+            seen[self.all_rows, self.all_terms] = True
+            return seen.sum(0)
+        key = np.unique(self.all_rows.astype(np.int64) * terms + self.all_terms)
+        return np.bincount(key % terms, minlength=terms)
+
+    def project(self, of: np.ndarray, weighted: bool = True) -> np.ndarray:
         """Passages (a step and the next of its text) projected by a terms x rank matrix."""
         out = np.zeros((len(self.row) + 1, of.shape[1]), np.float32)
+        rows = of[self.term]
+        if weighted:
+            rows *= self.weight[:, None]
         if len(self.step):
-            start = np.flatnonzero(np.concatenate(([True], self.step[1:] != self.step[:-1])))
-            out[self.step[start]] = np.add.reduceat(self.weight[:, None] * of[self.term], start, axis=0)
+            _add_rows(out, self.step, rows)
         joined = out[:-1].copy()
         follows = np.flatnonzero(self.row[1:] == self.row[:-1])
         joined[follows] += out[follows + 1]
         return joined
 
 
-def _document_frequencies(bench):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        b = bench.value
-        df, n = np.zeros(len(b.terms) + 1, np.int64), 0
-        for batch in batches:
-            df[-1] += batch.num_rows
-            for _, data, offsets in slices(batch["text"], lower=True):
-                steps = _Steps(data, offsets, b)
-                key = np.unique(steps.all_rows.astype(np.int64) * len(b.terms) + steps.all_terms)
-                df[:-1] += np.bincount(key % max(len(b.terms), 1), minlength=len(b.terms))
-        some = np.flatnonzero(df)
-        yield pa.RecordBatch.from_pydict({"term": pa.array(some, pa.int64()), "df": pa.array(df[some])})
-
-    return run
+def _add_rows(out: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """out[at] += rows where ``at`` is sorted and may repeat: first rows of each place, then second ones, and so on."""
+    start = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+    size = np.diff(np.append(start, len(at)))
+    while len(start):
+        out[at[start]] += rows[start]
+        size -= 1
+        start = start[size > 0] + 1
+        size = size[size > 0]
 
 
 def _sketch(bench, rank: int):
+    """Document frequencies of the terms and the task's part of the sketch, in one row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b = bench.value
-        random = _random(len(b.terms), rank)
-        total, energy = np.zeros((len(b.terms), rank), np.float32), 0.0
+        random = _random(len(b.terms), rank) * b.weight[:, None]
+        total, df = np.zeros((len(b.terms), rank), np.float32), np.zeros(len(b.terms), np.int64)
+        n = 0
         for batch in batches:
+            n += batch.num_rows
             for _, data, offsets in slices(batch["text"], lower=True):
                 steps = _Steps(data, offsets, b)
+                df += steps.document_frequency(len(b.terms))
                 if not len(steps.term):
                     continue
-                made = steps.project(random)
+                made = steps.project(random, weighted=False)
                 # A step belongs to its own passage and to the one before.
                 both = made.copy()
                 follows = np.flatnonzero(steps.row[1:] == steps.row[:-1])
                 both[follows + 1] += made[follows]
                 order = np.argsort(steps.term, kind="stable")
-                term = steps.term[order]
-                start = np.flatnonzero(np.concatenate(([True], term[1:] != term[:-1])))
-                part = steps.weight[order, None] * both[steps.step[order]]
-                total[term[start]] += np.add.reduceat(part, start, axis=0)
-                energy += 2 * float((steps.weight.astype(float) ** 2).sum())
-        yield _sum_row(total, energy)
+                _add_rows(total, steps.term[order], both[steps.step[order]])
+        yield _sum_row(total, df, n)
 
     return run
 
@@ -188,43 +208,47 @@ def _random(n: int, rank: int) -> np.ndarray:
     return np.random.default_rng(SEED).standard_normal((n, rank), np.float32)
 
 
-def _sum_row(total: np.ndarray, energy: float) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(
-        {"part": pa.array([total.tobytes()], pa.binary()), "energy": pa.array([energy], pa.float64())}
+_SUMS = "part binary, df binary, n long"
+
+
+def _sum_row(total: np.ndarray, df: np.ndarray, n: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([total.tobytes()], pa.binary()), pa.array([df.tobytes()], pa.binary()), pa.array([n], pa.int64())],
+        ["part", "df", "n"],
     )
 
 
 def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total, energy = None, 0.0
+    total, df, n = None, None, 0
     for batch in batches:
-        for part, more in zip(batch["part"], batch["energy"]):
-            part = np.frombuffer(part.as_py(), np.float32)
-            total = part.copy() if total is None else total + part
-            energy += more.as_py()
+        for row in batch.to_pylist():
+            part, count = np.frombuffer(row["part"], np.float32), np.frombuffer(row["df"], np.int64)
+            total, df = (part, count) if total is None else (total + part, df + count)
+            n += row["n"]
     if total is not None:
-        yield _sum_row(total, energy)
+        yield _sum_row(total, df, n)
 
 
-def decompose(docs: DataFrame, bench: Benchmark, rank: int) -> np.ndarray:
-    """Orthonormal basis (terms x rank) of the leading right singular vectors, by one randomised pass."""
+def decompose(docs: DataFrame, bench: Benchmark, rank: int) -> None:
+    """Weigh the terms and set the basis (terms x rank) of the leading right singular vectors, in one pass."""
     send = docs.sparkSession.sparkContext.broadcast
-    schema = "part binary, energy double"
-    sums = stage(docs.select("text").mapInArrow(_sketch(send(bench), rank), schema), "sketch")
+    sums = stage(docs.select("text").mapInArrow(_sketch(send(bench), rank), _SUMS), "sketch")
     while (parts := sums.rdd.getNumPartitions()) > 8:
-        sums = stage(sums.coalesce(-(-parts // 8)).mapInArrow(_add, schema), "sketch")
-    row = sums.coalesce(1).mapInArrow(_add, schema).head()
-    total = np.zeros((len(bench.terms), rank)) if row is None else np.frombuffer(row["part"], np.float32).reshape(-1, rank).astype(float)
-    # The items' own part, scaled to the same energy.
-    random, own, energy = _random(len(bench.terms), rank), np.zeros_like(total), 0.0
+        sums = stage(sums.coalesce(-(-parts // 8)).mapInArrow(_add, _SUMS), "sketch")
+    row = sums.coalesce(1).mapInArrow(_add, _SUMS).head()
+    random = _random(len(bench.terms), rank) * bench.weight[:, None]
+    total, own = np.zeros((len(bench.terms), rank)), np.zeros((len(bench.terms), rank))
+    if row is not None:
+        total += np.frombuffer(row["part"], np.float32).reshape(-1, rank)
+        bench.weigh(np.frombuffer(row["df"], np.int64), row["n"])
     for words_ in bench.words:
         term, count = np.unique(bench.term_of(words_), return_counts=True)
-        weight = bench.weight[term] * count
-        energy += float((weight**2).sum())
-        own[term] += weight[:, None] * (weight @ random[term])
-    if row is not None and energy and row["energy"]:
-        own *= row["energy"] / energy
+        own[term] += count[:, None] * (count @ random[term])
+    total, own = total * bench.weight[:, None], own * bench.weight[:, None]
+    if np.any(total) and np.any(own):
+        own *= np.linalg.norm(total) / np.linalg.norm(own)
     basis, _ = np.linalg.qr(total + own)
-    return basis.astype(np.float32)
+    bench.basis = basis.astype(np.float32)
 
 
 def subsequence(a: np.ndarray, b: np.ndarray) -> int:
@@ -246,8 +270,6 @@ def verify(item: np.ndarray, answer: np.ndarray, region: np.ndarray) -> tuple[fl
     if n < 8:
         found = any(np.array_equal(region[i : i + n], item) for i in np.flatnonzero(region == item[0]))
         return (1.0, 1.0) if found else None
-    if np.isin(item, region).mean() < PARAPHRASE:
-        return None
     share = subsequence(item, region) / n
     if share < PARAPHRASE:
         return None
@@ -266,8 +288,9 @@ def _search_slice(b: Benchmark, data: np.ndarray, offsets: np.ndarray) -> dict[t
     some = np.flatnonzero(length > 0)
     for at in range(0, len(some), 8192):
         part = some[at : at + 8192]
-        cosine = (made[part] @ b.queries.T) / length[part, None]
-        near, query = np.nonzero(cosine >= COSINE)
+        along = made[part] @ b.queries.T
+        cosine = along / length[part, None]
+        near, query = np.nonzero((cosine >= COSINE) & (along >= MASS * b.mass))
         for p, q, c in zip(part[near].tolist(), b.query_item[query].tolist(), cosine[near, query].tolist()):
             key = int(steps.row[p]), q
             if key in hits and hits[key][1] == 1.0:
@@ -275,7 +298,11 @@ def _search_slice(b: Benchmark, data: np.ndarray, offsets: np.ndarray) -> dict[t
             item, first, n = b.words[q], steps.first_word[steps.row[p]], steps.n_words[steps.row[p]]
             start = max(int(steps.place[p]) * STEP - len(item), 0)
             end = min((int(steps.place[p]) + 2) * STEP + len(item), int(n))
-            found = verify(item, b.answers[q], steps.hashes[first + start : first + end])
+            region = steps.hashes[first + start : first + end]
+            held = b.sets[q].intersection(region.tolist())
+            if sum(map(held.__contains__, b.lists[q])) < PARAPHRASE * len(item):
+                continue
+            found = verify(item, b.answers[q], region)
             if found and (key not in hits or found > hits[key][1:]):
                 hits[key] = (c, *found)
     return hits
@@ -304,19 +331,8 @@ def prepare(docs: DataFrame, items: pd.DataFrame, rank: int = RANK) -> Benchmark
     bench = Benchmark(items["item_id"].tolist(), items["text"].fillna("").tolist())
     if not len(bench.terms):
         return None
-    send = docs.sparkSession.sparkContext.broadcast
-    counted = (
-        docs.select("text").mapInArrow(_document_frequencies(send(bench)), "term long, df long")
-        .groupBy("term").agg(F.sum("df").alias("df")).toPandas()
-    )
-    df = np.zeros(len(bench.terms) + 1)
-    df[counted["term"].to_numpy()] = counted["df"].to_numpy()
-    bench.weigh(df[:-1], int(df[-1]))
-    bench.basis = decompose(docs, bench, min(rank, len(bench.terms)))
-    made, item = bench.passages(bench.basis)
-    length = np.sqrt((made**2).sum(1))
-    bench.queries = made[length > 0] / length[length > 0, None]
-    bench.query_item = item[length > 0]
+    decompose(docs, bench, min(rank, len(bench.terms)))
+    bench.set_queries()
     return bench
 
 

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 SLICE_ROWS = 1000
 SHINGLE_WORDS = 5
 #: Shingle hashes keep this many bits; the rest of a sort key holds the row in its slice.
