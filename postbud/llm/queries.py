@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postbud.llm import fingerprints, html, language, line_dedup, mixing, near_dup, tokens, warc
+from postbud.llm import (
+    decontaminate,
+    fingerprints,
+    html,
+    language,
+    line_dedup,
+    mixing,
+    near_dup,
+    suffix_dedup,
+    tokens,
+    warc,
+)
 
 
 def _of(table: str, operator: Callable[[DataFrame], DataFrame]):
@@ -16,15 +27,22 @@ def _of(table: str, operator: Callable[[DataFrame], DataFrame]):
     return query
 
 
+def _decontaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "benchmark"))
+    return decontaminate.contaminated(*tables)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_near_dedup": _of("documents", near_dup.near_duplicates),
         "op2_document_fingerprints": _of("documents", fingerprints.fingerprints),
+        "op3_suffix_array_dedup": _of("documents", suffix_dedup.suffix_dedup_digests),
         "op4_line_dedup": _of("documents", line_dedup.line_dedup_digests),
         "op5_source_mixing": _of("documents", mixing.mixture),
         "op6_html_main_text": _of("pages", html.main_text),
         "op7_token_counts": _of("documents", tokens.token_counts),
         "op8_warc_round_trip": _of("pages", warc.round_trip),
+        "op9_benchmark_decontamination": _decontaminated,
         "op10_language_id": _of("documents", language.identify),
     }
 

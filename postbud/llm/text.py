@@ -20,13 +20,13 @@ SHINGLE_WORDS = 5
 SHINGLE_BITS = 54
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _BYTE_VALUE = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
 #: All ASCII but letters and digits.
 PUNCTUATION = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
-_powers = {int(_BASE): np.ones(1, np.uint64), int(_BASE_INVERSE): np.ones(1, np.uint64)}
+_powers = {int(_BASE): np.ones(1, np.uint64), int(BASE_INVERSE): np.ones(1, np.uint64)}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -39,7 +39,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _power(base: np.uint64, n: int) -> np.ndarray:
+def power(base: np.uint64, n: int) -> np.ndarray:
     have = _powers[int(base)]
     if len(have) < n:
         steps = np.full(max(n, SLICE_BYTES), base, np.uint64)
@@ -51,13 +51,13 @@ def _power(base: np.uint64, n: int) -> np.ndarray:
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """Running polynomial sums; ``span_hash`` turns a pair of them into the hash of a span."""
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUE[data] * _power(_BASE, len(data)), out=sums[1:])
+    np.cumsum(_BYTE_VALUE[data] * power(_BASE, len(data)), out=sums[1:])
     return sums
 
 
 def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of the bytes in every [start, end), the same wherever they lie."""
-    return mix((sums[end] - sums[start]) * _power(_BASE_INVERSE, len(sums))[start])
+    return mix((sums[end] - sums[start]) * power(BASE_INVERSE, len(sums))[start])
 
 
 def slices(
