@@ -150,7 +150,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
         .where(F.col("docs") >= min_docs)
     )
     settled = (
-        streamed.where("kind = 'edge'").join(frequent, _KEY).where("did != top").select(*_DOC, "place")
+        streamed.where("kind = 'edge'").join(F.broadcast(frequent), _KEY).where("did != top").select(*_DOC, "place")
     )
     dropped = streamed.where("kind = 'drop'").select(*_DOC, "place").union(settled)
     listed = dropped.groupBy(*_DOC).agg(F.collect_list("place").alias("places"))
