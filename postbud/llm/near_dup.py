@@ -9,10 +9,12 @@ keep their likeness, while passages that many documents share count for less.
   ``RARE``, whatever the corpus size). A Misra-Gries summary of fixed size per task, merged in a
   tree, holds all of them; a second pass counts the held ones exactly over all documents.
 * Every text gets ``BANDS`` x ``ROWS`` samples; texts that agree in a whole band are candidates.
-* Candidates are verified by weighted Jaccard likeness on their whole texts. Within a band's bucket
-  texts are held against pivots, not against each other. As 1 - likeness is a metric, only
-  texts of at least ``FAR`` likeness to the pivot can be alike to a text that joined it, and just
-  those stay with it for the next round. No link is lost, and no bucket is taken to one task.
+* Within a band's bucket texts are held against pivots, not against each other. Four bits of every sample
+  are compared first: a pair that differs in more than ``DIFFER`` of them is passed over (at
+  likeness 0.8 nine are expected, and fewer than one pair in a thousand has more than that).
+  The others are verified by weighted Jaccard likeness on their whole texts. As 1 - likeness is a metric, only
+  texts of at least 0.6 likeness to the pivot can be alike to a text that joined it; while there are any that
+  may be, by their bits, those that joined stay for the next round. No bucket is taken to one task.
 """
 
 from __future__ import annotations
@@ -20,7 +22,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -31,12 +32,15 @@ from postbud.llm.text import mix, shingles, slices
 from postbud.session import stage
 
 THRESHOLD = 0.8
-FAR = 2 * THRESHOLD - 1
+#: Of the samples of a pair, how many may differ in their bits for likeness 0.8, and for 0.6.
+DIFFER, DIFFER_FAR = 20, 27
+BITS = 4
 BANDS, ROWS = 12, 4
 RARE = 0.01
 SUMMARY = 1 << 17
 LEVELS = 1 << 16
-LATER_PIVOTS = 32
+HUBS, OTHERS, GROWTH = 2, 64, 8
+BLOCK_BYTES = 8 << 20
 
 
 # ---- document frequencies
@@ -229,6 +233,17 @@ def bands(sample: np.ndarray, n_bands: int, n_rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def sample_bits(sample: np.ndarray) -> list[np.ndarray]:
+    """``BITS`` integers a text; bit k of the j-th is bit j of sample k. Takes up to 64 samples."""
+    out = []
+    for j in range(BITS):
+        bits = np.zeros(sample.shape[1], np.uint64)
+        for k, one in enumerate(sample):
+            bits |= ((one >> np.uint64(20 + j)) & np.uint64(1)) << np.uint64(k)
+        out.append(bits.view(np.int64))
+    return out
+
+
 def _sign(common, n_bands: int, n_rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -238,12 +253,14 @@ def _sign(common, n_bands: int, n_rows: int):
                 row, key, count = shingles(data, offsets)
                 weight = _weights(key, count, common.value)
                 total = np.bincount(row, weight, minlength=n)
-                found = bands(samples(row, key, weight, n, n_bands * n_rows), n_bands, n_rows)
+                drawn = samples(row, key, weight, n, n_bands * n_rows)
+                found = bands(drawn, n_bands, n_rows)
                 flat = pa.array(found.T.reshape(-1))
                 lists = pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * n_bands, flat)
                 yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].slice(first, n), batch["digest"].slice(first, n), pa.array(total), lists],
-                    ["doc_id", "digest", "total", "bands"],
+                    [batch["doc_id"].slice(first, n), batch["digest"].slice(first, n), pa.array(total), lists,
+                     *map(pa.array, sample_bits(drawn))],
+                    ["doc_id", "digest", "total", "bands", *_BITS],
                 )
 
     return run
@@ -252,107 +269,131 @@ def _sign(common, n_bands: int, n_rows: int):
 # ---- verification
 
 
-class _Vectors:
-    """Weighted shingles of single texts, the latest few kept, as pivots come in runs."""
-
-    def __init__(self, common):
-        self.common, self.known = common, {}
-
-    def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        if text not in self.known:
-            if len(self.known) >= 64:
-                self.known.clear()
-            (_, data, offsets), = slices(pa.array([text]), lower=True)
-            _, key, count = shingles(data, offsets)
-            self.known[text] = key, _weights(key, count, self.common).astype(np.float64)
-        return self.known[text]
-
-
-def likeness(one: tuple, other: tuple) -> float:
-    """Weighted Jaccard: sum of the lesser weights over sum of the greater ones."""
-    (k1, w1), (k2, w2) = one, other
-    if not len(k1) or not len(k2):
-        return float(len(k1) == len(k2))
-    at = np.searchsorted(k2, k1)
-    at[at == len(k2)] = 0
-    hit = k2[at] == k1
-    both = np.minimum(w1[hit], w2[at[hit]]).sum()
-    return float(both / (w1.sum() + w2.sum() - both))
-
-
 def _verify(common):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vectors = _Vectors(common.value)
-        for batch in batches:
-            found = [
-                likeness(vectors.of(x), vectors.of(y)) for x, y in zip(batch["text_a"], batch["text_b"])
-            ]
-            yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "likeness": found})
+    def run(pairs: pa.Table, texts: pa.Table) -> pa.Table:
+        a, b = pairs["a"].to_numpy(), pairs["b"].to_numpy()
+        found = block_likeness(a, b, texts["node"].to_numpy(), texts["text"], common.value)
+        return pa.table({"a": a, "b": b, "likeness": found})
 
     return run
 
 
-def _likenesses(pairs: DataFrame, texts: DataFrame, common) -> DataFrame:
+def block_likeness(a: np.ndarray, b: np.ndarray, nodes: np.ndarray, texts: pa.ChunkedArray, common: tuple) -> np.ndarray:
+    """Weighted Jaccard likeness of pairs of nodes, all partners of a frequent node at once."""
+    rows, keys, weights = [], [], []
+    for first, data, offsets in slices(texts, lower=True):
+        row, key, count = shingles(data, offsets)
+        rows.append(row + first)
+        keys.append(key)
+        weights.append(_weights(key, count, common).astype(np.float64))
+    row, weight = np.concatenate(rows), np.concatenate(weights)
+    _, term = np.unique(np.concatenate(keys), return_inverse=True)
+    end = np.searchsorted(row, np.arange(len(nodes) + 1))
+    total = np.bincount(row, weight, minlength=len(nodes))
+    order = np.argsort(nodes)
+    x, y = (order[np.searchsorted(nodes[order], side)] for side in (a, b))
+    # The node that more pairs name leads.
+    named = np.bincount(np.concatenate((x, y)), minlength=len(nodes))
+    lead, partner = np.where(named[x] >= named[y], x, y), np.where(named[x] >= named[y], y, x)
+    by_lead = np.argsort(lead, kind="stable")
+    found, dense = np.zeros(len(a)), np.zeros(len(term) and term.max() + 1)
+    for own in np.split(by_lead, np.flatnonzero(np.diff(lead[by_lead])) + 1):
+        h, others = lead[own[0]], partner[own]
+        dense[term[end[h] : end[h + 1]]] = weight[end[h] : end[h + 1]]
+        size = end[others + 1] - end[others]
+        at = np.concatenate([np.arange(end[i], end[i + 1]) for i in others.tolist()])
+        both = np.add.reduceat(np.minimum(weight[at], dense[term[at]]), np.cumsum(size) - size)
+        found[own] = both / (total[h] + total[others] - both)
+        dense[term[end[h] : end[h + 1]]] = 0
+    return found
+
+
+def _likenesses(pairs: DataFrame, texts: DataFrame, blocks: int, common) -> DataFrame:
+    """Likeness of pairs (a, b). Nodes are dealt to ``blocks`` groups, and pairs of two groups are one task's.
+
+    A task gets the texts that its pairs name, each once, of two groups at most.
+    """
+    group = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
+    pairs = pairs.withColumn("block", group("a") * blocks + group("b"))
+    named = pairs.select(F.col("block").alias("of"), F.explode(F.array("a", "b")).alias("node")).distinct()
+    held = named.join(texts, "node").select("of", "node", "text")
     return (
-        pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-        .join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        .select("a", "b", "text_a", "text_b")
-        .mapInPandas(_verify(common), "a long, b long, likeness double")
+        pairs.groupBy("block").cogroup(held.groupBy("of")).applyInArrow(_verify(common), "a long, b long, likeness double")
     )
 
 
-def links(members: DataFrame, texts: DataFrame, common) -> DataFrame:
-    """Links (a, b, likeness) among the texts that share a bucket.
+_BITS = [f"bits{j}" for j in range(BITS)]
+
 
-    ``members`` has a row (bucket, node) per text and band. Each round holds all members of a bucket
+def links(members: DataFrame, texts: DataFrame, common) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b, likeness) among the texts that share a bucket, and their classes (node, class).
+
+    ``members`` has a row (bucket, node, bits) per text and band. Each round holds all members of a bucket
     against its pivots: one at first, so that a large group of near copies costs one comparison a
-    member, then up to ``LATER_PIVOTS``. Rounds end when every member was pivot or joined one.
+    member, then the ``HUBS`` members with the most links so far, as copies are often alike to what they were
+    copied from more than to each other, and ``OTHERS`` that have not joined, ``GROWTH`` times as many each round. Pairs that
+    are in one class already are passed over. A bucket is done when every member
+    was pivot or joined one, or when all are in one class.
     """
-    bucket = members.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("n"))
-    active = members.join(bucket.where("n > 1"), "bucket").select(
-        "bucket", "node", F.lit(False).alias("joined"), (F.col("node") == F.col("pivot")).alias("pivot")
+    bucket = members.groupBy("bucket").agg(F.min("node").alias("first"), F.count("*").alias("n"))
+    active = members.join(bucket.where("n > 1"), "bucket").selectExpr(
+        "bucket", "node", "node AS class", *_BITS, "false AS joined", "node = first AS pivot"
     )
     active = stage(active, "buckets")
     texts = stage(
-        texts.join(active.select("node").distinct(), "node", "left_semi").select("node", "text"), "candidates"
+        texts.join(active.select("node").distinct(), "node", "left_semi").select("node", "text"),
+        "candidates",
     )
-    known, first = None, True
+    # Candidates are dealt to groups of bounded size.
+    held = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    blocks = max(4, -(-held // BLOCK_BYTES))
+    known, others = None, OTHERS
     while True:
-        pivots = active.where("pivot").select("bucket", F.col("node").alias("p"))
-        met = active.join(pivots, "bucket").where("node != p")
-        met = met.select("bucket", "node", "joined", "pivot", F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b"))
-        pairs = met.select("a", "b").distinct()
+        pivots = active.where("pivot").select("bucket", F.col("node").alias("p"), F.col("class").alias("p_class"), *[F.col(c).alias(f"p_{c}") for c in _BITS])
+        differ = F.expr("bit_count(" + " | ".join(f"({c} ^ p_{c})" for c in _BITS) + ")")
+        met = active.join(pivots, "bucket").where("class != p_class").withColumn("differ", differ).where(f"differ <= {DIFFER_FAR}")
+        met = met.select(
+            "bucket", "node", "joined", "pivot", "differ", F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")
+        )
+        met = stage(met, "met")
+        pairs = met.where(f"differ <= {DIFFER}").select("a", "b").distinct()
         if known is not None:
             pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
-        new = stage(_likenesses(pairs, texts, common), "likeness")
-        known = new if known is None else stage(known.union(new), "likeness")
-        # What each member is to the pivots of its bucket, at best.
-        best = (
-            met.join(known, ["a", "b"])
-            .groupBy("bucket", "node", "joined", "pivot")
-            .agg(F.max("likeness").alias("best"))
-            .withColumn("joined", F.expr(f"joined OR best >= {THRESHOLD}"))
+        new = stage(_likenesses(pairs, texts, blocks, common), "likeness")
+        known = new if known is None else known.union(new)
+        # Members that joined a pivot, and those that may still be alike to one that did.
+        best = met.join(known, ["a", "b"], "left").groupBy("bucket", "node").agg(F.max("likeness").alias("best"))
+        left = active.where("NOT pivot").join(best.withColumn("met", F.lit(True)), ["bucket", "node"], "left")
+        left = stage(
+            left.select("bucket", "node", *_BITS, F.expr(f"joined OR coalesce(best, 0) >= {THRESHOLD}").alias("joined"), "met"), "left"
+        )
+        open_ = left.where("NOT joined").groupBy("bucket").agg(
+            F.max(F.coalesce("met", F.lit(False))).alias("far"), F.count("*").alias("n")
         )
-        best = stage(best.where("NOT pivot"), "best")
-        open_ = best.where("NOT joined").groupBy("bucket").agg(F.max("best").alias("most"))
-        active = best.join(open_, "bucket").where(
-            f"NOT joined OR (most >= {FAR} AND best <= most + {1 - THRESHOLD})"
+        active = left.join(open_, "bucket").where("NOT joined AND (n > 1 OR far) OR joined AND far").drop("met", "far", "n")
+        # A bucket whose members are all in one class by now has nothing left to find.
+        found = known.where(F.col("likeness") >= THRESHOLD)
+        classes = components(found)
+        active = active.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
+        several = active.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y"))
+        active = active.join(several.where("x != y"), "bucket", "left_semi")
+        degree = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
+        ranked = active.join(degree, "node", "left").na.fill(0, ["links"])
+        by_links = F.row_number().over(Window.partitionBy("bucket").orderBy(F.col("links").desc(), "node"))
+        by_node = F.row_number().over(Window.partitionBy("bucket", "joined").orderBy("node"))
+        chosen = (
+            ranked.select("bucket", "node", "links", by_links.alias("place")).where(f"place <= {HUBS} AND links > 1")
+            .select("bucket", "node")
+            .union(ranked.select("bucket", "node", "joined", by_node.alias("place")).where(f"place <= {others} AND NOT joined").select("bucket", "node"))
+            .distinct()
         )
-        if first:
-            # A bucket whose members are all in one class by now has nothing left to find.
-            classes = components(known.where(F.col("likeness") >= THRESHOLD))
-            active = active.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
-            several = active.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y"))
-            active = active.join(several.where("x != y"), "bucket", "left_semi")
-            first = False
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-        chosen = active.where("NOT joined").withColumn("rank", rank).where(F.col("rank") <= LATER_PIVOTS)
-        active = active.select("bucket", "node", "joined").join(
+        others *= GROWTH
+        active = active.select("bucket", "node", "class", *_BITS, "joined").join(
             chosen.select("bucket", "node", F.lit(True).alias("pivot")), ["bucket", "node"], "left"
         )
         active = stage(active.na.fill(False, ["pivot"]), "buckets")
         if active.isEmpty():
-            return known.where(F.col("likeness") >= THRESHOLD)
+            return found, classes
 
 
 def near_duplicates(docs: DataFrame, n_bands: int = BANDS, n_rows: int = ROWS) -> DataFrame:
@@ -368,7 +409,7 @@ def near_duplicates(docs: DataFrame, n_bands: int = BANDS, n_rows: int = ROWS) -
     keys, idf, _ = common_shingles(docs)
     common = spark.sparkContext.broadcast((keys, idf))
     signed = docs.select("doc_id", F.md5("text").alias("digest"), "text").mapInArrow(
-        _sign(common, n_bands, n_rows), "doc_id long, digest string, total double, bands array<long>"
+        _sign(common, n_bands, n_rows), "doc_id long, digest string, total double, bands array<long>, " + ", ".join(f"{c} long" for c in _BITS)
     )
     signed = stage(signed, "signed")
     exact = stage(
@@ -382,12 +423,11 @@ def near_duplicates(docs: DataFrame, n_bands: int = BANDS, n_rows: int = ROWS) -
     members = (
         signed.where("total > 0")
         .join(rows.select("doc_id", "digest", "node").distinct().where("doc_id = node"), ["doc_id", "digest"])
-        .select("node", F.explode("bands").alias("bucket"))
-        .distinct()
+        .select("node", F.explode("bands").alias("bucket"), *_BITS)
+        .dropDuplicates(["node", "bucket"])
     )
     texts = docs.withColumnRenamed("doc_id", "node")
-    found = links(members, texts, common)
-    classes = components(found)
+    _, classes = links(members, texts, common)
     # Rows of one doc_id with different texts hang together too.
     return (
         rows.join(classes, "node", "left")
