@@ -48,10 +48,12 @@ BLOCK_BYTES = 8 << 20
 
 def _merge(keys: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Add up counts of equal keys; keep ``size`` keys, less what the first left out has."""
+    if not len(keys):
+        return keys, counts
     order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
     new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    keys, counts = keys[new], np.add.reduceat(counts, new) if len(new) else counts
+    keys, counts = keys[new], np.add.reduceat(counts, new)
     if len(keys) > size:
         counts = counts - np.partition(counts, len(counts) - size - 1)[len(counts) - size - 1]
         keys, counts = keys[counts > 0], counts[counts > 0]

@@ -106,12 +106,12 @@ def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     per_row = np.bincount(row, minlength=len(offsets) - 1)
     place = np.arange(n) - (np.cumsum(per_row) - per_row)[row]
     left = per_row[row] - place
+    word = np.concatenate((word, np.zeros(SHINGLE_WORDS - 1, np.uint64)))
     out = np.zeros(n, np.uint64)
     for j in range(SHINGLE_WORDS):
-        part = word[j:] * np.uint64(2 * j + 0x51ED270B)
-        if j:
-            part[left[: n - j] <= j] = 0
-        out[: n - j] = mix(out[: n - j] + part)
+        part = word[j : j + n] * np.uint64(2 * j + 0x51ED270B)
+        part[left <= j] = 0
+        out = mix(out + part)
     whole = (left >= SHINGLE_WORDS) | ((place == 0) & (per_row[row] < SHINGLE_WORDS))
     key = (out[whole] >> np.uint64(64 - SHINGLE_BITS)) | (
         row[whole].astype(np.uint64) << np.uint64(SHINGLE_BITS)
