@@ -41,7 +41,9 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     every = Window.partitionBy()
     level = (F.sum("source_size").over(every) - F.coalesce(F.sum("cap").over(before), F.lit(0))) / F.sum("weight").over(after)
     per = per.withColumn("level", level).withColumn("open", F.col("level") * F.col("weight") <= F.col("cap"))
-    shared = F.min(F.when(F.col("open"), F.struct(F.col("cap") / F.col("weight"), F.col("level")))).over(every)["level"]
+    # The first one that is not at its cap; sources of equal ratio share one fate.
+    per = per.withColumn("place", F.row_number().over(by_ratio))
+    shared = F.min(F.when(F.col("open"), F.struct("place", "level"))).over(every)["level"]
     target = F.least(F.col("cap").cast("double"), F.coalesce(shared * F.col("weight"), F.col("cap").cast("double")))
     return per.select("source", "source_size", target.alias("target")).withColumn(
         "rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -94,10 +96,11 @@ WITH sizes AS (
     ((SELECT sum(size) FROM sizes) - coalesce(sum(3 * source_size) OVER (ORDER BY 3 * source_size / weight, encode(source) NULLS LAST
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
       / sum(weight) OVER (ORDER BY 3 * source_size / weight, encode(source) NULLS LAST
-      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level,
+    row_number() OVER (ORDER BY 3 * source_size / weight, encode(source) NULLS LAST) AS place
   FROM per
 ), shared AS (
-  SELECT arg_min(level, cap / weight) AS level FROM levels WHERE level * weight <= cap
+  SELECT arg_min(level, place) AS level FROM levels WHERE level * weight <= cap
 ), targets AS (
   SELECT source, source_size, least(cap::DOUBLE, coalesce(shared.level * weight, cap::DOUBLE)) AS target
   FROM levels CROSS JOIN shared

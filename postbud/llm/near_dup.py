@@ -9,12 +9,13 @@ keep their likeness, while passages that many documents share count for less.
   ``RARE``, whatever the corpus size). A Misra-Gries summary of fixed size per task, merged in a
   tree, holds all of them; a second pass counts the held ones exactly over all documents.
 * Every text gets ``BANDS`` x ``ROWS`` samples; texts that agree in a whole band are candidates.
-* Within a band's bucket texts are held against pivots, not against each other. Four bits of every sample
+* Within a band's bucket texts are first held against one pivot, so a large group of near copies costs one
+  comparison a member. Buckets that are one class then are done. In the others all members are compared, in
+  sub-blocks of ``MEMBERS`` times ``MEMBERS`` that tasks share, and only links come out; a pair is
+  compared in the first bucket it shares. Four bits of every sample
   are compared first: a pair that differs in more than ``DIFFER`` of them is passed over (at
   likeness 0.8 nine are expected, and fewer than one pair in a thousand has more than that).
-  The others are verified by weighted Jaccard likeness on their whole texts. As 1 - likeness is a metric, only
-  texts of at least 0.6 likeness to the pivot can be alike to a text that joined it; while there are any that
-  may be, by their bits, those that joined stay for the next round. No bucket is taken to one task.
+  The others are verified by weighted Jaccard likeness on their whole texts.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postbud.llm.components import components
@@ -32,14 +33,13 @@ from postbud.llm.text import mix, shingles, slices
 from postbud.session import stage
 
 THRESHOLD = 0.8
-#: Of the samples of a pair, how many may differ in their bits for likeness 0.8, and for 0.6.
-DIFFER, DIFFER_FAR = 20, 27
+DIFFER = 20
 BITS = 4
 BANDS, ROWS = 12, 4
 RARE = 0.01
 SUMMARY = 1 << 17
 LEVELS = 1 << 16
-HUBS, OTHERS, GROWTH = 2, 64, 8
+MEMBERS = 512
 BLOCK_BYTES = 8 << 20
 
 
@@ -327,75 +327,81 @@ def _likenesses(pairs: DataFrame, texts: DataFrame, blocks: int, common) -> Data
 _BITS = [f"bits{j}" for j in range(BITS)]
 
 
+_BLOCK = ["task", "bucket", "i", "j", "part", "band", "node", "class", "bands", *_BITS, "text"]
+
+
+def _link_blocks(common):
+    """Links between members of different classes, for all sub-blocks (bucket, i, j) dealt to a task's group."""
+
+    def run(table: pa.Table) -> pa.Table:
+        column = {c: table[c].to_numpy() for c in ("bucket", "i", "j", "part", "band", "node", "class")}
+        bits = np.stack([table[c].to_numpy() for c in _BITS], 1)
+        bands_ = table["bands"].combine_chunks().flatten().to_numpy().reshape(len(table), -1)
+        order = np.lexsort((column["j"], column["i"], column["bucket"]))
+        new = np.zeros(len(order), bool)
+        for c in ("bucket", "i", "j"):
+            new[1:] |= np.diff(column[c][order]) != 0
+        out = [pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "likeness": pa.array([], pa.float64())})]
+        for own in np.split(order, np.flatnonzero(new)):
+            i, j, band = (int(column[c][own[0]]) for c in ("i", "j", "band"))
+            left, right = own[column["part"][own] == i], own[column["part"][own] == j]
+            pairs = []
+            for at, x in enumerate(left):
+                others = right[at + 1 :] if i == j else right
+                differ = np.bitwise_count(np.bitwise_or.reduce(bits[others] ^ bits[x], axis=1))
+                earlier = (bands_[others, :band] == bands_[x, :band]).any(1)
+                others = others[(differ <= DIFFER) & ~earlier & (column["class"][others] != column["class"][x])]
+                pairs.append(np.stack((np.full(len(others), x), others), 1))
+            pairs = np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
+            if len(pairs):
+                used, back = np.unique(pairs, return_inverse=True)
+                back = back.reshape(-1, 2)
+                found = block_likeness(
+                    back[:, 0], back[:, 1], np.arange(len(used)), table["text"].take(pa.array(used)), common.value
+                )
+                hit = found >= THRESHOLD
+                a, b = column["node"][pairs[hit, 0]], column["node"][pairs[hit, 1]]
+                out.append(pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "likeness": found[hit]}))
+        return pa.concat_tables(out)
+
+    return run
+
+
 def links(members: DataFrame, texts: DataFrame, common) -> tuple[DataFrame, DataFrame]:
-    """Links (a, b, likeness) among the texts that share a bucket, and their classes (node, class).
-
-    ``members`` has a row (bucket, node, bits) per text and band. Each round holds all members of a bucket
-    against its pivots: one at first, so that a large group of near copies costs one comparison a
-    member, then the ``HUBS`` members with the most links so far, as copies are often alike to what they were
-    copied from more than to each other, and ``OTHERS`` that have not joined, ``GROWTH`` times as many each round. Pairs that
-    are in one class already are passed over. A bucket is done when every member
-    was pivot or joined one, or when all are in one class.
+    """Links (a, b, likeness) among the texts that share a bucket, enough to join all that hang together, and
+    their classes (node, class).
+
+    ``members`` has a row (bucket, band, node, bands, bits) per text and band.
     """
+    spark = members.sparkSession
     bucket = members.groupBy("bucket").agg(F.min("node").alias("first"), F.count("*").alias("n"))
-    active = members.join(bucket.where("n > 1"), "bucket").selectExpr(
-        "bucket", "node", "node AS class", *_BITS, "false AS joined", "node = first AS pivot"
-    )
-    active = stage(active, "buckets")
+    active = stage(members.join(bucket.where("n > 1"), "bucket"), "buckets")
     texts = stage(
-        texts.join(active.select("node").distinct(), "node", "left_semi").select("node", "text"),
+        texts.join(active.select("node").distinct(), "node", "left_semi").select("node", "text").dropDuplicates(["node"]),
         "candidates",
     )
     # Candidates are dealt to groups of bounded size.
     held = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     blocks = max(4, -(-held // BLOCK_BYTES))
-    known, others = None, OTHERS
-    while True:
-        pivots = active.where("pivot").select("bucket", F.col("node").alias("p"), F.col("class").alias("p_class"), *[F.col(c).alias(f"p_{c}") for c in _BITS])
-        differ = F.expr("bit_count(" + " | ".join(f"({c} ^ p_{c})" for c in _BITS) + ")")
-        met = active.join(pivots, "bucket").where("class != p_class").withColumn("differ", differ).where(f"differ <= {DIFFER_FAR}")
-        met = met.select(
-            "bucket", "node", "joined", "pivot", "differ", F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")
-        )
-        met = stage(met, "met")
-        pairs = met.where(f"differ <= {DIFFER}").select("a", "b").distinct()
-        if known is not None:
-            pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
-        new = stage(_likenesses(pairs, texts, blocks, common), "likeness")
-        known = new if known is None else known.union(new)
-        # Members that joined a pivot, and those that may still be alike to one that did.
-        best = met.join(known, ["a", "b"], "left").groupBy("bucket", "node").agg(F.max("likeness").alias("best"))
-        left = active.where("NOT pivot").join(best.withColumn("met", F.lit(True)), ["bucket", "node"], "left")
-        left = stage(
-            left.select("bucket", "node", *_BITS, F.expr(f"joined OR coalesce(best, 0) >= {THRESHOLD}").alias("joined"), "met"), "left"
-        )
-        open_ = left.where("NOT joined").groupBy("bucket").agg(
-            F.max(F.coalesce("met", F.lit(False))).alias("far"), F.count("*").alias("n")
-        )
-        active = left.join(open_, "bucket").where("NOT joined AND (n > 1 OR far) OR joined AND far").drop("met", "far", "n")
-        # A bucket whose members are all in one class by now has nothing left to find.
-        found = known.where(F.col("likeness") >= THRESHOLD)
-        classes = components(found)
-        active = active.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
-        several = active.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y"))
-        active = active.join(several.where("x != y"), "bucket", "left_semi")
-        degree = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
-        ranked = active.join(degree, "node", "left").na.fill(0, ["links"])
-        by_links = F.row_number().over(Window.partitionBy("bucket").orderBy(F.col("links").desc(), "node"))
-        by_node = F.row_number().over(Window.partitionBy("bucket", "joined").orderBy("node"))
-        chosen = (
-            ranked.select("bucket", "node", "links", by_links.alias("place")).where(f"place <= {HUBS} AND links > 1")
-            .select("bucket", "node")
-            .union(ranked.select("bucket", "node", "joined", by_node.alias("place")).where(f"place <= {others} AND NOT joined").select("bucket", "node"))
-            .distinct()
-        )
-        others *= GROWTH
-        active = active.select("bucket", "node", "class", *_BITS, "joined").join(
-            chosen.select("bucket", "node", F.lit(True).alias("pivot")), ["bucket", "node"], "left"
-        )
-        active = stage(active.na.fill(False, ["pivot"]), "buckets")
-        if active.isEmpty():
-            return found, classes
+    stars = active.where("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    near = stage(_likenesses(stars, texts, blocks, common).where(F.col("likeness") >= THRESHOLD), "links")
+    classes = components(near)
+    active = active.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
+    several = active.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x != y AND x IS NOT NULL")
+    # Two members are the pivot and another, which have been compared.
+    active = stage(active.where("n > 2").join(several, "bucket", "left_semi"), "open")
+    parts = F.ceil(F.col("n") / MEMBERS).cast("int")
+    dealt = active.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), parts - 1))
+    )
+    dealt = dealt.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
+    tasks = max(4 * blocks, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = dealt.withColumn("task", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(tasks)))
+    more = dealt.join(texts, "node").select(*_BLOCK).groupBy("task").applyInArrow(
+        _link_blocks(common), "a long, b long, likeness double"
+    )
+    found = stage(near.union(more), "links")
+    return found, components(found)
 
 
 def near_duplicates(docs: DataFrame, n_bands: int = BANDS, n_rows: int = ROWS) -> DataFrame:
@@ -425,7 +431,7 @@ def near_duplicates(docs: DataFrame, n_bands: int = BANDS, n_rows: int = ROWS) -
     members = (
         signed.where("total > 0")
         .join(rows.select("doc_id", "digest", "node").distinct().where("doc_id = node"), ["doc_id", "digest"])
-        .select("node", F.explode("bands").alias("bucket"), *_BITS)
+        .select("node", "bands", *_BITS, F.posexplode("bands").alias("band", "bucket"))
         .dropDuplicates(["node", "bucket"])
     )
     texts = docs.withColumnRenamed("doc_id", "node")
