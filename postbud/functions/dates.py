@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from postbud.functions.text import trim_blanks
 from postbud.layout import MONTHS
 
 # Shapes of a date once its separators are hyphens, and the order that makes it ISO.
@@ -22,7 +23,7 @@ def parse_any_date(c: Column) -> Column:
 
     The text is put in ISO order and cast, as a failed parse by pattern costs an exception.
     """
-    text = F.translate(F.trim(c), "./_T", "--- ")
+    text = F.translate(trim_blanks(c), "./_T", "--- ")
     tries = []
     for shape, order in DATE_SHAPES:
         whole = shape + TIME_OF_DAY

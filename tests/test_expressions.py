@@ -75,6 +75,10 @@ def test_dates(apply, text):
     assert apply(parse_any_date, [text]) == [date(2025, 12, 1)]
 
 
+def test_dates_between_tabs(apply):
+    assert apply(parse_any_date, ["\t01.12.2025\t"]) == [date(2025, 12, 1)]
+
+
 def test_no_dates(apply):
     junk = ["x", "", None, "30.02.2025", "2025-13-01", "01.12.25", "2025-12-01 25:00:00", "2025-12", "20251301x", "12025-12-01"]
     assert apply(parse_any_date, junk) == [None] * len(junk)
