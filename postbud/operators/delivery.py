@@ -11,7 +11,6 @@ from postbud.operators.conform import output_shape, rescue_number
 from postbud.operators.geo import filled_district, filled_municipality
 from postbud.operators.ids import GROUP, RUN_KEY, key_profile, usable_numbers
 from postbud.options import DeliveryOptions
-from postbud.session import stage
 
 
 def key_lookup(id_map: DataFrame, fixes: DataFrame | None, keep_unnumbered: bool = False) -> DataFrame:
@@ -57,18 +56,19 @@ def deliver(
     options: DeliveryOptions,
     profile: DataFrame | None = None,
     keep: tuple[str, ...] = ("region", "suffix"),
+    lookup: DataFrame | None = None,
 ) -> DataFrame:
     """All deliveries of a run as one table, the ``keep`` columns before the output layout.
 
     ``fixes`` is None when missing municipalities are not to be filled. ``profile`` is the key
-    profile of the report; a run passes the staged one.
+    profile of the report and ``lookup`` its ``key_lookup``; a run passes the staged ones. With a
+    staged lookup the wide report goes through one join whose sides are both plain shuffles, and
+    only there does AQE split the partition of a key that holds a large share of the rows.
     """
     if profile is None:
         profile = key_profile(report)
-    # The two narrow tables are joined and written out first. The wide report then goes
-    # through one join whose sides are both plain shuffles, and only there does AQE split
-    # the partition of a key that holds a large share of the rows.
-    lookup = stage(key_lookup(id_map, fixes, keep_unnumbered="enr" in report.columns), "lookup")
+    if lookup is None:
+        lookup = key_lookup(id_map, fixes, keep_unnumbered="enr" in report.columns)
     numbered = report.where(is_valid_key(F.col(KEY))).drop(NUMBER).join(lookup, RUN_KEY, "left")
     numbered = rescue_number(numbered).where(~is_missing(F.col(NUMBER)))
     # One row per region and month, so this side always fits.

@@ -47,6 +47,11 @@ class DeliveryOptions:
     integer_columns: tuple[str, ...] = ()
     fail_on_mojibake_out: bool = True
     max_rows_per_file: int = 1_000_000
+    # One file per name, written by one task, for receivers that take no folders of files. It
+    # holds for every request and delivery alike, whatever its size.
+    one_file: bool = False
+    # Table of all deliveries; the text files are an export of it.
+    table_dir: str | None = None
 
     def __post_init__(self):
         for name, allowed in (
@@ -59,6 +64,10 @@ class DeliveryOptions:
         if self.max_rows_per_file < 1:
             raise ValueError("max_rows_per_file must be at least 1")
 
+    @property
+    def delivery_table(self) -> str:
+        return self.table_dir or f"{self.out_dir}/deliveries"
+
     @property
     def suffixes(self) -> tuple[str, ...]:
         """Month suffixes of the run, such as ``des25`` for 2025-12-01."""

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from postbud import layout
 from postbud.functions.predicates import KEY, NUMBER, is_valid_key
 from postbud.operators.conform import missing_column_report
-from postbud.operators.delivery import deliver
+from postbud.operators.delivery import deliver, key_lookup
 from postbud.operators.geo import keys_missing_municipality, location_fixes
 from postbud.operators.ids import GROUP, RUN_KEY, key_profile, request_ids, unmapped_ids
 from postbud.operators.quality import (
@@ -28,8 +28,8 @@ from postbud.operators.quality import (
     run_metrics,
 )
 from postbud.options import DeliveryOptions
-from postbud.session import stage
-from postbud.sinks.files import Written, write_files
+from postbud.session import run_folder, stage
+from postbud.sinks.files import Written, read_groups, write_files, write_table
 from postbud.sources.exports import Reports, load_reports
 from postbud.sources.tables import as_history, empty_history, override_table, read_returns
 
@@ -50,7 +50,12 @@ class RunResult:
 
 
 def step1(spark: SparkSession, options: DeliveryOptions) -> RunResult:
-    """Write one request file per month with the distinct valid keys of all regions."""
+    """Write one request per month with the distinct valid keys of all regions."""
+    with run_folder(spark):
+        return _step1(spark, options)
+
+
+def _step1(spark: SparkSession, options: DeliveryOptions) -> RunResult:
     reports = load_reports(spark, options)
     if reports is None:
         log.warning("no input for %s", ", ".join(options.suffixes))
@@ -65,8 +70,14 @@ def step2(
     """Check the returned numbers and write one delivery per region and month.
 
     ``history`` is the table of yearly locations, any DataFrame with the key, ``komnrhjem2``,
-    ``bydel2`` and ``aar``.
+    ``bydel2`` and ``aar``. Tables staged on the way hold keys and numbers side by side, so they
+    are deleted at the end, also after a failed check.
     """
+    with run_folder(spark):
+        return _step2(spark, options, history)
+
+
+def _step2(spark: SparkSession, options: DeliveryOptions, history: DataFrame | None) -> RunResult:
     reports = load_reports(spark, options)
     if reports is None:
         log.warning("no input for %s", ", ".join(options.suffixes))
@@ -90,7 +101,7 @@ def step2(
             unmapped_ids(profile, id_map),
             ["suffix"], layout.UNMAPPED_NAME, options.out_dir, sep=",",
             sizes={(r["suffix"],): r["failures"] for r in missing},
-            limit=options.max_rows_per_file, sort_by=[KEY],
+            max_rows=options.max_rows_per_file, one_file=options.one_file, sort_by=[KEY],
         ).paths
     warnings = _warn(enforce(failed, stopping))
 
@@ -113,13 +124,15 @@ def step2(
     warnings += _warn(enforce(output_gates(counts).collect(), stopping))
 
     sizes = {(r["region"], r["suffix"]): r["rows"] for r in counts.collect()}
-    files["delivery"] = write_files(
-        deliver(reports.rows, id_map, fixes, options, profile),
-        ["region", "suffix"], layout.DELIVERY_NAME, options.out_dir,
-        sizes=sizes, bom=True, limit=options.max_rows_per_file,
-    ).paths
+    lookup = stage(
+        key_lookup(id_map, fixes, keep_unnumbered="enr" in reports.rows.columns), "lookup"
+    )
+    delivery = deliver(reports.rows, id_map, fixes, options, profile, lookup=lookup)
+    files["delivery"] = _write_deliveries(spark, delivery, sizes, options).paths
 
-    metrics = stage(run_metrics(profile, id_map, fixes, counts), "metrics")
+    # One row per month, region and count, which outlives the staged tables.
+    metrics = run_metrics(profile, id_map, fixes, counts)
+    metrics = spark.createDataFrame(metrics.collect(), metrics.schema)
     files.update(_write_checks(spark, reports, counts, metrics, options))
     return RunResult("delivered", files, tuple(warnings), metrics)
 
@@ -144,7 +157,24 @@ def _write_requests(requests: DataFrame, reports: Reports, options: DeliveryOpti
     sizes.update({(r["suffix"],): r["n"] for r in rows})
     return write_files(
         requests, ["suffix"], layout.REQUEST_NAME, options.app_dir,
-        sizes=sizes, limit=options.max_rows_per_file, sort_by=[KEY],
+        sizes=sizes, max_rows=options.max_rows_per_file, one_file=options.one_file, sort_by=[KEY],
+    )
+
+
+def _write_deliveries(
+    spark: SparkSession, delivery: DataFrame, sizes: dict[tuple[str, str], int], options: DeliveryOptions
+) -> Written:
+    """Write the deliveries once, to their table, and the text files from there.
+
+    Rows of a region and month lie together in the table, so the text takes no further shuffle.
+    """
+    empty = [(suffix, region) for (region, suffix), n in sizes.items() if not n]
+    filled = [(suffix, region) for (region, suffix), n in sizes.items() if n]
+    write_table(delivery, options.delivery_table, GROUP, empty)
+    return write_files(
+        read_groups(spark, options.delivery_table, delivery.schema, GROUP, filled),
+        ["region", "suffix"], layout.DELIVERY_NAME, options.out_dir,
+        sizes=sizes, bom=True, max_rows=options.max_rows_per_file, one_file=options.one_file, clustered=True,
     )
 
 
@@ -167,12 +197,13 @@ def _write_checks(
 
     def write(kind: str) -> dict[tuple[str, ...], str]:
         df, group, name = tables[kind]
-        # The place is part of the content here, so it is grouped by a copy.
+        # The place is part of the content here, so it is grouped by a copy. There is a row per
+        # region, month and column or count at most, so these are always files.
         return write_files(
             df.select("*", *[F.col(g).alias(f"_{g}") for g in group]),
             [f"_{g}" for g in group],
             name.replace("{region}", "{_region}").replace("{suffix}", "{_suffix}"),
-            options.out_dir, sep=",", sort_by=df.columns,
+            options.out_dir, sep=",", sort_by=df.columns, one_file=True,
         ).paths
 
     with ThreadPoolExecutor(len(tables)) as pool:

@@ -14,7 +14,7 @@ from postbud.functions.predicates import is_blank, is_missing
 from postbud.functions.text import garble, header_key, repair_mojibake
 from postbud.layout import DELIVERY_COLUMNS
 from postbud.operators.conform import conform, output_shape, union_regions
-from postbud.operators.delivery import deliver
+from postbud.operators.delivery import deliver, key_lookup
 from postbud.operators.geo import (
     apply_overrides,
     fill_location,
@@ -48,7 +48,7 @@ from postbud.options import DeliveryOptions
 from postbud.plans.runs import step1, step2
 from postbud.queries import standins as given
 from postbud.session import scratch_path, stage
-from postbud.sinks.files import group_sizes, write_files, write_table
+from postbud.sinks.files import write_files, write_table
 from postbud.sources.exports import find_exports, load_reports
 from postbud.sources.files import choose_inputs
 from postbud.sources.tables import as_history, clean_return, read_returns
@@ -75,9 +75,9 @@ def profiled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def delivered(spark: SparkSession, sf_dir: str, options=OPTIONS, keep=("rad", "region", "suffix")) -> DataFrame:
     profile, located = profiled(spark, sf_dir)
-    return deliver(
-        given.report(spark, sf_dir), given.id_map(spark, sf_dir), located, options, profile, keep
-    )
+    id_map = given.id_map(spark, sf_dir)
+    lookup = stage(key_lookup(id_map, located), "lookup")
+    return deliver(given.report(spark, sf_dir), id_map, located, options, profile, keep, lookup)
 
 
 # --- keys and numbers ------------------------------------------------------------------------
@@ -398,20 +398,12 @@ def q_read_returns(spark, sf_dir):
     return read_returns(spark, options.app_dir, options.suffixes)
 
 
-def limit_within(sizes: dict) -> int:
-    """Rows per file that make folders of some groups and leave others whole files."""
-    return min(1_000_000, max(sizes.values()) // 2 + 1)
-
-
 def q_csv_roundtrip(spark, sf_dir):
     documents = given.table(spark, sf_dir, "documents").select(
         "lang", given.text("doc_id").alias("doc_id"), "text"
     )
     folder = scratch_path(spark, "texts")
-    sizes = group_sizes(documents, ["lang"])
-    written = write_files(
-        documents, ["lang"], "{lang}.csv", folder, sizes, bom=True, limit=limit_within(sizes)
-    )
+    written = write_files(documents, ["lang"], "{lang}.csv", folder, bom=True)
     return (
         spark.read.schema("doc_id string, text string")
         .options(header=True, sep=";", quote='"', escape='"', multiLine=True)
@@ -427,7 +419,7 @@ def q_run_requests(spark, sf_dir):
         spark.read.options(header=True, sep=";")
         .csv(list(result.files["request"].values()))
         .select(
-            F.regexp_extract(F.col("_metadata.file_name"), r"_([a-z]{3}\d\d)\.csv$", 1).alias("suffix"),
+            F.regexp_extract(F.col("_metadata.file_path"), r"_([a-z]{3}\d\d)\.csv/", 1).alias("suffix"),
             "NPRId",
         )
     )
@@ -441,13 +433,38 @@ def q_run_deliveries(spark, sf_dir):
 
 
 def q_run_deliveries_in_parts(spark, sf_dir):
-    limit = limit_within(group_sizes(given.report(spark, sf_dir), ["region", "suffix"]))
-    options = replace(given.write_exports(spark, sf_dir, limit), overrides=(), max_rows_per_file=limit)
-    given.write_returns(spark, sf_dir, options, limit)
+    options = given.write_exports(spark, sf_dir, one_file=False)
+    options = replace(options, overrides=(), max_rows_per_file=250)
+    given.write_returns(spark, sf_dir, options, one_file=False)
+    result = step2(spark, options, given.history(spark, sf_dir))
+    return given.read_deliveries(spark, result.files["delivery"], DELIVERY_COLUMNS)
+
+
+def q_run_deliveries_one_file(spark, sf_dir):
+    options = replace(given.write_exports(spark, sf_dir), overrides=(), one_file=True)
+    given.write_returns(spark, sf_dir, options)
     result = step2(spark, options, given.history(spark, sf_dir))
     return given.read_deliveries(spark, result.files["delivery"], DELIVERY_COLUMNS)
 
 
+def q_quoted_line_feeds(spark, sf_dir):
+    def two_lines(rows):
+        return rows.withColumn("Pakkeforløp", F.replace(F.col("Pakkeforløp"), F.lit("; "), F.lit('"\n;')))
+
+    reports = load_reports(spark, given.write_exports(spark, sf_dir, change=two_lines))
+    return reports.rows.select("region", "suffix", "pfInstansId", "Pakkeforløp")
+
+
+def q_parts_with_unequal_headers(spark, sf_dir):
+    reports = load_reports(spark, given.write_unequal_parts(spark, sf_dir))
+    return _blank_as_null(reports.rows, given.EXPORT_COLUMNS)
+
+
+def q_bydel_filled_from_files(spark, sf_dir):
+    reports = load_reports(spark, given.write_exports(spark, sf_dir))
+    return fill_location(reports.rows, fixes(spark, sf_dir), "filled").select("pfInstansId", "BydelNr")
+
+
 def queries() -> dict[str, Query]:
     return {
         name.removeprefix("q_"): function for name, function in globals().items() if name.startswith("q_")

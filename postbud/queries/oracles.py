@@ -343,4 +343,11 @@ def oracle_sql() -> dict[str, str]:
         "run_requests": _with(REPORT) + 'SELECT DISTINCT suffix, "NPRId" FROM valid',
         "run_deliveries": deliveries,
         "run_deliveries_in_parts": deliveries,
+        "run_deliveries_one_file": deliveries,
+        "parts_with_unequal_headers": _with(REPORT) + exports,
+        "quoted_line_feeds": _with(REPORT) + """SELECT region, suffix, "pfInstansId",
+            replace("Pakkeforløp", '; ', '"' || chr(10) || ';') AS "Pakkeforløp" FROM report""",
+        # A delimited file does not tell NULL from the empty text; both are read as the latter.
+        "bydel_filled_from_files": _with(REPORT, LOCATIONS) + """SELECT "pfInstansId",
+            coalesce("BydelNr", '') AS "BydelNr" FROM report""",
     }

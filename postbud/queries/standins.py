@@ -162,10 +162,12 @@ HABITS = {
 }
 
 
-def write_exports(spark: SparkSession, sf_dir: str, limit: int = 1_000_000) -> DeliveryOptions:
+def write_exports(
+    spark: SparkSession, sf_dir: str, one_file: bool = True, change=lambda rows: rows
+) -> DeliveryOptions:
     """Exports of all rows as the regions would send them; gives the options to read them."""
     home = scratch_path(spark, "exchange")
-    rows = stage(report(spark, sf_dir), "report")
+    rows = stage(change(report(spark, sf_dir)), "report")
     place = EXPORT_NAME.replace(".*", "Uttrekk ").replace("\\", "")
     sizes = group_sizes(rows, ["region", "suffix"])
 
@@ -176,7 +178,7 @@ def write_exports(spark: SparkSession, sf_dir: str, limit: int = 1_000_000) -> D
             rows.where(F.col("region") == region).select("region", "suffix", *columns),
             ["region", "suffix"], "{region}/" + place, f"{home}/in",
             sizes={g: n for g, n in sizes.items() if g[0] == region},
-            sep=sep, encoding=encoding, limit=limit,
+            sep=sep, encoding=encoding, one_file=one_file,
         )
 
     with ThreadPoolExecutor(len(HABITS)) as pool:
@@ -186,14 +188,27 @@ def write_exports(spark: SparkSession, sf_dir: str, limit: int = 1_000_000) -> D
     )
 
 
-def write_returns(spark: SparkSession, sf_dir: str, options: DeliveryOptions, limit: int = 1_000_000) -> None:
+def write_unequal_parts(spark: SparkSession, sf_dir: str) -> DeliveryOptions:
+    """Every export in two parts, the second with its columns the other way round."""
+    home = scratch_path(spark, "exchange")
+    rows = stage(report(spark, sf_dir), "report")
+    place = EXPORT_NAME.replace(".*", "Uttrekk ").replace("\\", "")
+    for part, columns in enumerate((EXPORT_COLUMNS, EXPORT_COLUMNS[::-1])):
+        write_files(
+            rows.where(F.pmod("rad", F.lit(2)) == part).select("region", "suffix", *columns),
+            ["region", "suffix"], "{region}/" + place + f"/part-{part}.csv", f"{home}/in", one_file=True,
+        )
+    return DeliveryOptions(months=RUN_MONTHS, base_dir=f"{home}/in")
+
+
+def write_returns(spark: SparkSession, sf_dir: str, options: DeliveryOptions, one_file: bool = True) -> None:
     """The registry's answer for every month, untidy as it comes."""
     answers = stage(id_map(spark, sf_dir), "answers").select(
         "suffix",
         F.concat(F.lit(" "), F.col("NPRId")).alias("NPRId"),
         F.concat(F.col("lopenr"), F.lit("\r")).alias("lopenr"),
     )
-    write_files(answers, ["suffix"], RETURN_NAME, options.app_dir, header=False, limit=limit)
+    write_files(answers, ["suffix"], RETURN_NAME, options.app_dir, header=False, one_file=one_file)
 
 
 def read_deliveries(spark: SparkSession, paths: dict, columns: Sequence[str]) -> DataFrame:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,9 +44,25 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nobody has used before."""
-    return f"{shared_folder(spark)}/postbud/{name}-{uuid.uuid4().hex}"
+    return f"{_run_folder.get() or f'{shared_folder(spark)}/postbud'}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[None]:
+    """All tables staged within lie in one folder, which goes at the end, also after an error."""
+    folder = scratch_path(spark, "run")
+    token = _run_folder.set(folder)
+    try:
+        yield
+    finally:
+        _run_folder.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

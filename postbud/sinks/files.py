@@ -8,8 +8,9 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from postbud.sources.files import BOM, write_text
 
@@ -44,16 +45,19 @@ def write_files(
     bom: bool = False,
     header: bool = True,
     encoding: str = "UTF-8",
-    limit: int = 1_000_000,
+    max_rows: int = 1_000_000,
+    one_file: bool = False,
+    clustered: bool = False,
     sort_by: Sequence[str] = (),
 ) -> Written:
-    """Write every group of rows under a name made from the group.
+    """Write every group of rows under a name made from the group, all groups alike.
 
-    A group of at most ``limit`` rows is one file, so one task writes it. A larger group
-    becomes a folder of that name: its rows stay in the tasks they are in, without another
-    shuffle, and every file in it holds at most ``limit`` rows and is complete with header.
+    A name is a folder of files, each complete with header and of at most ``max_rows`` rows. Rows
+    are brought together by group at first, and a group with many rows is split over tasks;
+    ``clustered`` says that they already lie together. With ``one_file`` every name is one file
+    that one task writes, for receivers that take no folders. ``sort_by`` is the order within a file.
     ``sizes`` is what is known to come; nothing is put in place if the rows are not as many.
-    It may name groups that have no rows, which get a file with only the header.
+    It may name groups that have no rows, which get only the header.
     """
     spark = df.sparkSession
     if sizes is None:
@@ -63,73 +67,99 @@ def write_files(
     options = dict(
         header=header, encoding=encoding, sep=sep, quote='"', escape='"', nullValue="", emptyValue="",
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, lineSep="\n",
-        maxRecordsPerFile=limit,
     )
-    small = [g for g, n in sizes.items() if 0 < n <= limit]
-    large = [g for g, n in sizes.items() if n > limit]
+    if one_file:
+        out = df.repartition(*group)
+    else:
+        options["maxRecordsPerFile"] = max_rows
+        out = df if clustered else df.hint("rebalance", *group)
+    if sort_by:
+        out = out.sortWithinPartitions(*group, *sort_by)
     staging = f"{folder}/_writing-{uuid.uuid4().hex}"
     rows = 0
-    for part, groups in (("files", small), ("folders", large)):
-        if not groups:
-            continue
-        out = df if not (small and large) else df.where(_in_groups(group, groups))
-        if part == "files":
-            out = out.repartition(len(groups), *group)
-        if sort_by:
-            out = out.sortWithinPartitions(*group, *sort_by)
+    if any(sizes.values()):
         seen = Observation()
         out = out.select(*[F.col(c).cast("string").alias(h) for c, h in zip(columns, head)], *group)
         out = out.observe(seen, F.count(F.lit(1)).alias("rows"))
-        out.write.partitionBy(*group).options(**options).csv(f"{staging}/{part}")
-        rows += seen.get["rows"]
-
+        out.write.partitionBy(*group).options(**options).csv(f"{staging}/rows")
+        rows = seen.get["rows"]
     if rows != sum(sizes.values()):
         raise RowsLost(f"{rows} rows written under {staging}, {sum(sizes.values())} expected")
+
     targets = {g: f"{folder}/{name.format(**dict(zip(group, g)))}" for g in sizes}
-    _move_into_place(spark, staging, group, small, large, targets)
-    for g, n in sizes.items():
-        if header and not n:
-            write_text(spark, targets[g], sep.join(head) + "\n")
+    sources = {}
+    for i, (g, n) in enumerate(sizes.items()):
+        if n:
+            sources[g] = _written(spark, f"{staging}/rows", group, g, one_file)
+        elif header:
+            place = f"{staging}/headers/{i}"
+            sources[g] = place
+            write_text(spark, place if one_file else f"{place}/part-00000.csv", sep.join(head) + "\n", encoding)
+    _swap(spark, [(source, targets[g]) for g, source in sources.items()], staging)
     return Written(targets, rows)
 
 
-def _in_groups(columns: Sequence[str], groups: Iterable[Group]) -> Column:
-    return reduce(or_, [reduce(and_, [F.col(c) == v for c, v in zip(columns, g)]) for g in groups])
+def _written(spark: SparkSession, root: str, group: Sequence[str], g: Group, one_file: bool) -> str:
+    """Where the writer has put a group."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    place = root + "".join(f"/{c}={escape(v)}" for c, v in zip(group, g))
+    if not one_file:
+        return place
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    (part,) = [f.getPath().toString() for f in found if f.getPath().getName().startswith("part-")]
+    return part
 
 
-def _move_into_place(
-    spark: SparkSession,
-    staging: str,
-    group: Sequence[str],
-    small: Sequence[Group],
-    large: Sequence[Group],
-    targets: Mapping[Group, str],
-) -> None:
-    """Rename what was written to the names the receivers know. No data is touched."""
+def _swap(spark: SparkSession, moves: Sequence[tuple[str, str]], staging: str) -> None:
+    """Rename what was written to the names the receivers know. No data is touched.
+
+    What stood there is kept beside the new files until all of them are in place. If one cannot
+    be moved all old ones come back, so a name holds the old rows or the new ones.
+    """
     path = spark._jvm.org.apache.hadoop.fs.Path
     root = path(staging)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for part, groups in (("files", small), ("folders", large)):
-        for g in groups:
-            source = path(f"{staging}/{part}" + "".join(f"/{c}={escape(v)}" for c, v in zip(group, g)))
-            if part == "files":
-                found = [f.getPath() for f in fs.listStatus(source)]
-                (source,) = [f for f in found if f.getName().startswith("part-")]
-            target = path(targets[g])
-            if fs.exists(target):
-                fs.delete(target, True)
-            fs.mkdirs(target.getParent())
-            if not fs.rename(source, target):
-                raise OSError(f"cannot move {source} to {target}")
+
+    def rename(source, target) -> None:
+        fs.mkdirs(target.getParent())
+        if not fs.rename(source, target):
+            raise OSError(f"cannot move {source} to {target}")
+
+    done = []
+    try:
+        for i, (source, name) in enumerate(moves):
+            target, old = path(name), path(f"{staging}/before/{i}")
+            there = fs.exists(target)
+            if there:
+                rename(target, old)
+            done.append((target, old if there else None))
+            rename(path(source), target)
+    except Exception:
+        for target, old in reversed(done):
+            fs.delete(target, True)
+            if old is not None:
+                rename(old, target)
+        raise
     fs.delete(root, True)
 
 
-def write_table(df: DataFrame, path: str, group: Sequence[str] = ("suffix", "region")) -> None:
+def read_groups(spark: SparkSession, path: str, schema: StructType, group: Sequence[str], groups: Iterable[Group]) -> DataFrame:
+    """Some groups of a table of deliveries; the other folders are not read."""
+    wanted = reduce(or_, [reduce(and_, [F.col(c) == v for c, v in zip(group, g)]) for g in groups], F.lit(False))
+    return spark.read.schema(schema).parquet(path).where(wanted)
+
+
+def write_table(
+    df: DataFrame,
+    path: str,
+    group: Sequence[str] = ("suffix", "region"),
+    emptied: Iterable[Group] = (),
+) -> None:
     """The delivery as parquet, one folder per group; other groups in the table stay.
 
     The rebalance evens out file sizes at run time and splits a group that holds a large
-    share of all rows over many tasks.
+    share of all rows over many tasks. Groups in ``emptied`` have no rows any more and go.
     """
     (
         df.hint("rebalance", *group)
@@ -138,3 +168,7 @@ def write_table(df: DataFrame, path: str, group: Sequence[str] = ("suffix", "reg
         .mode("overwrite")
         .parquet(path)
     )
+    spark = df.sparkSession
+    for g in emptied:
+        place = spark._jvm.org.apache.hadoop.fs.Path(_written(spark, path, group, g, one_file=False))
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

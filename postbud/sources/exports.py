@@ -40,7 +40,7 @@ from postbud.sources.files import (
 
 log = logging.getLogger("postbud")
 
-CACHE_VERSION = "1"
+CACHE_VERSION = "2"
 MARKER = "_COLUMNS"
 PLACE = ("region", "suffix", "key")
 
@@ -80,9 +80,11 @@ def _raw_scan(spark: SparkSession, files: Sequence[ExportFile], options: Deliver
     """Files of one kind in one scan: text cells by position, plus the file they came from.
 
     Cells are split at line feeds only, so a carriage return inside a cell does not end the
-    row. Column names are positions, as headers may repeat a name.
+    row. Files with line feeds inside quoted cells are read whole, each by one task. A cell of a
+    column that the export has is never NULL. Column names are positions, as headers may repeat a name.
     """
     kind = files[0]
+    multi_line = options.multi_line or kind.broken_lines
     cells = [f"c{i}" for i in range(len(kind.header))]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in cells])
     reader = spark.read.schema(schema).options(
@@ -92,20 +94,20 @@ def _raw_scan(spark: SparkSession, files: Sequence[ExportFile], options: Deliver
         encoding=LATIN1 if kind.encoding == CP1252 else kind.encoding,
         quote='"',
         escape='"',
-        multiLine=options.multi_line,
+        multiLine=multi_line,
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )
-    if not options.multi_line:
+    if not multi_line:
         reader = reader.option("lineSep", "\n")
 
     def clean(c: Column) -> Column:
-        c = strip_cr(c)
+        c = F.coalesce(strip_cr(c), F.lit(""))
         if kind.encoding == CP1252:
             c = decode_cp1252(c)
         return repair_mojibake(c) if options.repair_mojibake and kind.has_marks else c
 
-    return reader.csv([as_literal_path(f.path) for f in files]).select(
+    return reader.csv([as_literal_path(p) for f in files for p in f.parts]).select(
         *[clean(F.col(c)).alias(c) for c in cells],
         export_of(F.col("_metadata.file_path")).alias("_uri"),
         F.col("_metadata.file_block_start").alias("_block"),
@@ -123,10 +125,11 @@ def _without_junk_row(raw: DataFrame, junk: tuple[str, ...] | None) -> DataFrame
 
 
 def _kinds(files: Sequence[ExportFile]) -> list[list[ExportFile]]:
-    """Files that can share a scan: same header, delimiter, encoding, marks and junk row."""
+    """Files that can share a scan: what their first lines and bytes say is the same."""
     groups: dict[tuple, list[ExportFile]] = {}
     for f in files:
-        groups.setdefault((f.header, f.delimiter, f.encoding, f.has_marks, f.junk_row), []).append(f)
+        kind = (f.header, f.delimiter, f.encoding, f.has_marks, f.broken_lines, f.junk_row)
+        groups.setdefault(kind, []).append(f)
     return list(groups.values())
 
 
@@ -208,11 +211,20 @@ def _targets(spark: SparkSession, files: Sequence[ExportFile], options: Delivery
 def read_files(spark: SparkSession, files: Sequence[ExportFile], options: DeliveryOptions) -> Reports:
     """Conformed rows of profiled files with their ``region`` and ``suffix``."""
     pieces = _pieces(spark, files, options)
-    present = {t: p.columns for p in pieces for f in p.files for t in f.targets}
+    present = _columns_by_place(pieces)
     rows = union_regions(p.rows.drop("key") for p in pieces)
     return Reports(rows, present)
 
 
+def _columns_by_place(pieces: Sequence[_Piece]) -> dict[tuple[str, str], tuple[str, ...]]:
+    """Columns of every region and month, over all parts of its export."""
+    present: dict[tuple[str, str], dict[str, None]] = {}
+    for piece in pieces:
+        for target in (t for f in piece.files for t in f.targets):
+            present.setdefault(target, {}).update(dict.fromkeys(piece.columns))
+    return {target: tuple(columns) for target, columns in present.items()}
+
+
 def mojibake_cells(df: DataFrame) -> int:
     """Cells of all columns that show marks of a wrong encoding, in one pass."""
     per_row = sum((has_mojibake(F.col(f"`{c}`")).cast("long") for c in df.columns), F.lit(0))
@@ -264,22 +276,24 @@ def _read_through_cache(spark: SparkSession, files: Sequence[ExportFile], option
         return f"{_entry(f, target, options)}/{MARKER}"
 
     new = [f for f in files if not all(path_exists(spark, marker(f, t)) for t in f.targets)]
-    for piece in _pieces(spark, new, options):
+    if new:
+        pieces = _pieces(spark, new, options)
         (
-            piece.rows.write.partitionBy("suffix", "region", "key")
+            union_regions(p.rows for p in pieces)
+            .write.partitionBy("suffix", "region", "key")
             .option("partitionOverwriteMode", "dynamic")
             .mode("overwrite")
             .parquet(options.cache_dir)
         )
-        for f in piece.files:
-            for t in f.targets:
-                write_text(spark, marker(f, t), "\n".join(piece.columns))
+        columns_of = _columns_by_place(pieces)
+        for path, target in {marker(f, t): t for f in new for t in f.targets}.items():
+            write_text(spark, path, "\n".join(columns_of[target]))
 
     present = {t: tuple(read_text(spark, marker(f, t)).split("\n")) for f in files for t in f.targets}
     columns = list(dict.fromkeys(c for names in present.values() for c in names))
     columns += missing_columns(columns, ("KommuneNr", "BydelNr"))
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, *PLACE]])
-    entries = [_entry(f, t, options) for f in files for t in f.targets]
+    entries = sorted({_entry(f, t, options) for f in files for t in f.targets})
     rows = (
         spark.read.schema(schema)
         .option("basePath", options.cache_dir)

@@ -29,7 +29,10 @@ BOM = "\ufeff"
 
 @dataclass(frozen=True)
 class ExportFile:
-    """One chosen export and what its first lines and bytes say about it."""
+    """One chosen export and what its first lines and bytes say about it.
+
+    Parts of an export that begin differently are one of these each.
+    """
 
     path: str
     uri: str
@@ -39,8 +42,10 @@ class ExportFile:
     delimiter: str
     encoding: str
     has_marks: bool
+    broken_lines: bool
     header: tuple[str, ...]
     junk_row: tuple[str, ...] | None
+    parts: tuple[str, ...]
 
 
 def as_literal_path(path: str) -> str:
@@ -53,12 +58,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
+def write_text(spark: SparkSession, path: str, text: str, encoding: str = UTF8) -> None:
     """A small file of facts about the data, such as a marker or a lone header line."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
     try:
-        stream.write(bytearray(text.encode(UTF8)))
+        stream.write(bytearray(text.encode(encoding)))
     finally:
         stream.close()
 
@@ -180,31 +185,50 @@ def detect_delimiter(header: str, tie_delimiter: str = ";") -> str:
     return ";" if semicolons > commas else ","
 
 
-def first_lines(spark: SparkSession, path: str, n: int = 4) -> list[bytes]:
-    """The first lines of one file as bytes; reads the first block only."""
-    rows = (
-        spark.read.text(as_literal_path(path), lineSep="\n")
-        .select(F.col("value").cast("binary").alias("value"), "_metadata.file_block_start")
-        .take(n)
+def list_parts(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """The files that exports consist of; contents are not read."""
+    return (
+        spark.read.format("binaryFile")
+        .load([as_literal_path(p) for p in paths])
+        .select(export_of(F.col("path")).alias("export"), "path", F.col("_metadata.file_path").alias("uri"))
     )
-    return [bytes(r["value"]) for r in rows if r["file_block_start"] == 0]
+
+
+def first_lines(spark: SparkSession, path: str) -> list[bytes]:
+    """The first two lines of one file that are not blank; no more is read than that takes."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    found = []
+    try:
+        lines = spark._jvm.java.util.Scanner(stream, LATIN1).useDelimiter("\n")
+        while len(found) < 2 and lines.hasNext():
+            line = lines.next().encode(LATIN1)
+            if line.strip():
+                found.append(line)
+    finally:
+        stream.close()
+    return found
 
 
 def byte_facts(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """What one pass over whole files says about their bytes, one row per file.
+    """What one pass over whole files says about their bytes, one row per export.
 
     ``is_utf8`` tells whether every line is valid UTF-8, ``has_marks`` whether any line shows
-    the marks of a wrong decoding. Files without marks are read without the repair.
+    the marks of a wrong decoding, ``broken_lines`` whether any holds an odd number of quotes, as
+    the first line of a cell with a line feed does. Files without marks are read without the
+    repair, files without such lines are split at line feeds.
     """
     lines = spark.read.text([as_literal_path(p) for p in paths], lineSep="\n")
     line, raw = F.col("value"), F.col("value").cast("binary")
     bytes_of_marks = [F.lit(mark.encode(LATIN1)) for mark in MOJIBAKE_MARKS]
+    quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
     return (
         lines.select(
             export_of(F.col("_metadata.file_path")).alias("uri"),
             F.is_valid_utf8(line).alias("is_utf8"),
             has_mojibake(line).alias("utf8_marks"),
             reduce(or_, [F.contains(raw, b) for b in bytes_of_marks]).alias("one_byte_marks"),
+            (quotes % 2 == 1).alias("odd_quotes"),
         )
         .groupBy("uri")
         .agg(
@@ -212,6 +236,7 @@ def byte_facts(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
             F.when(F.bool_and("is_utf8"), F.bool_or("utf8_marks"))
             .otherwise(F.bool_or("one_byte_marks"))
             .alias("has_marks"),
+            F.bool_or("odd_quotes").alias("broken_lines"),
         )
     )
 
@@ -225,7 +250,11 @@ def normal_encoding(name: str) -> str:
 
 
 def profile_files(spark: SparkSession, chosen: list, options: DeliveryOptions) -> list[ExportFile]:
-    """Delimiter, encoding, header and a repeated header row for every chosen file."""
+    """Delimiter, encoding, header and a repeated header row for every chosen file.
+
+    An export in parts gives one entry for all parts that begin alike, so each part is read by its
+    own header. Parts without a line are left out where others have one.
+    """
     targets: dict[str, list[tuple[str, str]]] = {}
     rows = {}
     for r in sorted(chosen, key=lambda r: (r["suffix"], r["region"])):
@@ -234,41 +263,50 @@ def profile_files(spark: SparkSession, chosen: list, options: DeliveryOptions) -
     if not rows:
         return []
 
-    if options.encoding_override:
-        facts = {}
-        encoding_of_all = normal_encoding(options.encoding_override)
-    else:
-        facts = {r["uri"]: r for r in byte_facts(spark, rows).collect()}
-
+    facts = {r["uri"]: r for r in byte_facts(spark, rows).collect()}
+    parts: dict[str, list[str]] = {}
+    for part in list_parts(spark, rows).collect():
+        parts.setdefault(part["export"], []).append(part["path"])
+    flat = sorted(p for own in parts.values() for p in own)
     with ThreadPoolExecutor(8) as pool:
-        tops = dict(zip(rows, pool.map(lambda path: first_lines(spark, path), rows)))
+        tops = dict(zip(flat, pool.map(lambda path: first_lines(spark, path), flat)))
 
     files = []
     for path, r in rows.items():
+        fact = facts.get(r["uri"])
         if options.encoding_override:
-            encoding, has_marks = encoding_of_all, True
+            encoding, has_marks = normal_encoding(options.encoding_override), True
         else:
-            fact = facts.get(r["uri"])
             encoding = UTF8 if fact is None or fact["is_utf8"] else CP1252
             has_marks = fact is not None and fact["has_marks"]
-        lines = [b.decode(encoding, "replace").rstrip("\r") for b in tops[path] if b.strip()]
-        head = lines[0].removeprefix(BOM) if lines else ""
-        delimiter = detect_delimiter(head, options.tie_delimiter)
-        header = tuple(clean_header_text(h) for h in split_line(head, delimiter))
-        files.append(
-            ExportFile(
-                path=path,
-                uri=r["uri"],
-                modified=r["modified"],
-                length=r["length"],
-                targets=tuple(targets[path]),
-                delimiter=delimiter,
-                encoding=encoding,
-                has_marks=has_marks,
-                header=header,
-                junk_row=_junk_row(header, lines[1:], delimiter),
+        alike: dict[tuple, list[str]] = {}
+        for part in sorted(parts[path]):
+            lines = [b.decode(encoding, "replace").rstrip("\r") for b in tops[part]]
+            head = lines[0].removeprefix(BOM) if lines else ""
+            delimiter = detect_delimiter(head, options.tie_delimiter)
+            header = tuple(clean_header_text(h) for h in split_line(head, delimiter))
+            top = (delimiter, header, _junk_row(header, lines[1:], delimiter)) if lines else ()
+            alike.setdefault(top, []).append(part)
+        if len(alike) > 1:
+            alike.pop((), None)
+        for top, own in alike.items():
+            delimiter, header, junk_row = top or (options.tie_delimiter, (), None)
+            files.append(
+                ExportFile(
+                    path=path,
+                    uri=r["uri"],
+                    modified=r["modified"],
+                    length=r["length"],
+                    targets=tuple(targets[path]),
+                    delimiter=delimiter,
+                    encoding=encoding,
+                    has_marks=has_marks,
+                    broken_lines=fact is not None and fact["broken_lines"],
+                    header=header,
+                    junk_row=junk_row,
+                    parts=tuple(own),
+                )
             )
-        )
     return files
 
 

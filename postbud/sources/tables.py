@@ -22,7 +22,8 @@ class MissingReturnFile(FileNotFoundError):
 def read_returns(spark: SparkSession, app_dir: str, suffixes: Sequence[str]) -> DataFrame:
     """Returned files of all months: key and run number, cleaned, blanks as NULL.
 
-    The files have no header; fields after the second are ignored.
+    The files have no header; fields after the second are ignored. Keys and numbers hold no line
+    feeds, so the files are split at every one.
     """
     paths = {s: f"{app_dir}/{RETURN_NAME.format(suffix=s)}" for s in suffixes}
     lost = [p for p in paths.values() if not path_exists(spark, p)]

@@ -52,8 +52,8 @@ def test_export_with_bom_crlf_quotes_and_ragged_rows(spark, options, tmp_path):
     reports = load_reports(spark, options)
     assert rows(reports, "region", "suffix", "NPRId", "KommuneNr", "OF1", "BydelNr") == [
         (HSO, "des25", "1", " 0301 ", 'a "b";c', "NULL"),
-        (HSO, "des25", "2", None, None, "NULL"),
-        (HSO, "des25", "3", None, "xy", "NULL"),
+        (HSO, "des25", "2", "", "", "NULL"),
+        (HSO, "des25", "3", "", "xy", "NULL"),
     ]
     assert reports.absent == (("HV", "des25"), ("HMN", "des25"))
 
@@ -139,7 +139,7 @@ def test_empty_column_rules_are_per_file(spark, options, tmp_path):
     put(tmp_path / "in/HV/RHF_HV_des25.csv", "institusjon;NPRId;institusjonnavn\n;1;A\n;2;\n")
     put(tmp_path / "in/HMN/RHF_HMN_des25.csv", "institusjon;NPRId;institusjonnavn\nB;3;\n")
     dropped = load_reports(spark, replace(options, drop_empty_columns=True))
-    assert rows(dropped, "NPRId", "institusjon") == [("1", "A"), ("2", None), ("3", "B")]
+    assert rows(dropped, "NPRId", "institusjon") == [("1", "A"), ("2", ""), ("3", "B")]
     assert dropped.present == {
         ("HV", "des25"): ("NPRId", "institusjon"), ("HMN", "des25"): ("institusjon", "NPRId"),
     }
@@ -154,6 +154,40 @@ def test_trim_ids(spark, options, tmp_path):
     assert rows(load_reports(spark, replace(options, trim_ids=True)), "NPRId") == [("1",)]
 
 
+def test_line_feeds_in_quoted_cells(spark, options, tmp_path):
+    put(tmp_path / "in/HV/RHF_HV_des25.csv", 'NPRId;OF1\r\n1;"a\n""b"\r\n2;c\r\n')
+    put(tmp_path / "in/HMN/RHF_HMN_des25.csv", 'NPRId;OF1\n3;5" d\n4;"e;f"\n')
+    expected = [("1", 'a\n"b'), ("2", "c"), ("3", '5" d'), ("4", "e;f")]
+    files, _ = find_exports(spark, options)
+    assert [f.broken_lines for f in files] == [True, True]
+    assert rows(load_reports(spark, options), "NPRId", "OF1") == expected
+    forced = replace(options, encoding_override="utf-8")
+    assert rows(load_reports(spark, forced), "NPRId", "OF1") == expected
+
+
+def test_blank_lines_at_the_top(spark, options, tmp_path):
+    put(tmp_path / "in/HV/RHF_HV_des25.csv", "\n\r\n\n \n\n\nNPRId;OF1\n\n1;a\n")
+    assert rows(load_reports(spark, options), "NPRId", "OF1") == [("1", "a")]
+
+
+def test_parts_with_headers_of_their_own(spark, options, tmp_path):
+    folder = tmp_path / "in/HV/RHF_HV_des25.csv"
+    put(folder / "part-0.csv", "NPRId;institusjon;KommuneNr\n1;A;0301\n")
+    put(folder / "part-1.csv", "KommuneNr,NPRId,OF1\nKommuneNr,NPRId,OF1\n0302,2,x\n")
+    put(folder / "part-2.csv", "")
+    expected = [("1", "A", "0301", None), ("2", None, "0302", "x")]
+    for how in (options, replace(options, cache_dir=str(tmp_path / "cache"))):
+        reports = load_reports(spark, how)
+        assert rows(reports, "NPRId", "institusjon", "KommuneNr", "OF1") == expected
+        assert reports.present == {("HV", "des25"): ("NPRId", "institusjon", "KommuneNr", "OF1")}
+
+
+def test_empty_export(spark, options, tmp_path):
+    put(tmp_path / "in/HV/RHF_HV_des25.csv", "")
+    with pytest.raises(MissingInput):
+        load_reports(spark, options)
+
+
 def test_multi_line_cells(spark, options, tmp_path):
     put(tmp_path / "in/HV/RHF_HV_des25.csv", 'NPRId;OF1\n1;"a\nb"\n2;c\n')
     whole = load_reports(spark, replace(options, multi_line=True))
@@ -202,33 +236,50 @@ def test_written_bytes(spark, tmp_path):
     df = spark.createDataFrame(
         [("HV", "1", "a;b", ""), ("HV", "2", ' "q" ', None)], "region string, lopenr string, OF1 string, OF2 string"
     )
-    out = write_files(df, ["region"], "U_{region}.csv", str(tmp_path), sizes={("HV",): 2, ("HMN",): 0}, bom=True,
-                      sort_by=["lopenr"])
-    assert out.rows == 2
-    head = b"\xef\xbb\xbflopenr;OF1;OF2\n"
-    assert (tmp_path / "U_HV.csv").read_bytes() == head + b'1;"a;b";\n2;" ""q"" ";\n'
-    assert (tmp_path / "U_HMN.csv").read_bytes() == head
-    assert not list(tmp_path.glob("_writing*"))
-
-
-def test_large_group_becomes_a_folder_of_bounded_files(spark, tmp_path):
+    sizes = {("HV",): 2, ("HMN",): 0}
+    for one_file in (True, False):
+        out = write_files(
+            df, ["region"], "U_{region}.csv", str(tmp_path), sizes=sizes, bom=True, sort_by=["lopenr"], one_file=one_file
+        )
+        assert out.rows == 2
+        west, middle = tmp_path / "U_HV.csv", tmp_path / "U_HMN.csv"
+        if not one_file:
+            (west,), (middle,) = west.glob("part-*.csv"), middle.glob("part-*.csv")
+        head = b"\xef\xbb\xbflopenr;OF1;OF2\n"
+        assert west.read_bytes() == head + b'1;"a;b";\n2;" ""q"" ";\n'
+        assert middle.read_bytes() == head
+        assert not list(tmp_path.glob("_writing*"))
+
+
+def test_groups_of_every_size_become_folders(spark, tmp_path):
     copies = spark.range(0, 1000, 1, 4).selectExpr(
-        "CASE WHEN id % 3 = 0 THEN 'HV' ELSE 'HMN' END AS region", "'same' AS a", "'row' AS b"
+        "CASE WHEN id % 3 = 0 THEN 'HV' WHEN id = 1 THEN 'HSØ' ELSE 'HMN' END AS region", "'same' AS a", "'row' AS b"
     )
-    out = write_files(copies, ["region"], "{region}.csv", str(tmp_path), limit=400)
+    out = write_files(copies, ["region"], "{region}.csv", str(tmp_path), max_rows=400)
     assert out.rows == 1000
-    assert (tmp_path / "HV.csv").is_file() and (tmp_path / "HMN.csv").is_dir()
-    sizes = [len(p.read_text().splitlines()) - 1 for p in (tmp_path / "HMN.csv").glob("part-*.csv")]
-    assert sum(sizes) == 666 and max(sizes) <= 400
-    assert len((tmp_path / "HV.csv").read_text().splitlines()) == 335
+    for region, n, files in (("HV", 334, 1), ("HMN", 665, 2), ("HSØ", 1, 1)):
+        sizes = [len(p.read_text().splitlines()) - 1 for p in (tmp_path / f"{region}.csv").glob("part-*.csv")]
+        assert sum(sizes) == n and max(sizes) <= 400 and len(sizes) == files
 
 
 def test_rewriting_replaces(spark, tmp_path):
-    for n, limit in ((5, 10), (7, 3), (2, 10)):
+    for n, one_file in ((5, True), (7, False), (2, True), (0, False)):
         df = spark.range(n).selectExpr("'HV' AS region", "CAST(id AS STRING) AS a")
-        out = write_files(df, ["region"], "{region}.csv", str(tmp_path), limit=limit)
+        out = write_files(df, ["region"], "{region}.csv", str(tmp_path), sizes={("HV",): n}, one_file=one_file)
         read = spark.read.option("header", True).csv(out.paths[("HV",)])
         assert read.count() == n
+    assert not list(tmp_path.glob("_writing*"))
+
+
+def test_old_files_come_back_if_one_cannot_be_moved(spark, tmp_path):
+    df = spark.createDataFrame([("HV", "1"), ("HMN", "2")], "region string, a string")
+    write_files(df, ["region"], "{region}/x.csv", str(tmp_path), one_file=True)
+    before = {p: p.read_bytes() for p in tmp_path.rglob("x.csv")}
+    new = df.selectExpr("CASE region WHEN 'HV' THEN 'HV' ELSE 'HV/x.csv' END AS region", "'9' AS a")
+    sizes = {("HV",): 1, ("HV/x.csv",): 1}
+    with pytest.raises(Exception):
+        write_files(new, ["region"], "{region}/x.csv", str(tmp_path), sizes=sizes, one_file=True)
+    assert {p: p.read_bytes() for p in before} == before
 
 
 def test_table(spark, tmp_path):

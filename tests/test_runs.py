@@ -1,6 +1,7 @@
 """Both runs over files, from exports to deliveries."""
 
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 
@@ -8,6 +9,7 @@ from postbud.layout import DELIVERY_COLUMNS
 from postbud.operators.quality import GateFailed
 from postbud.options import DeliveryOptions
 from postbud.plans.runs import run
+from postbud.session import shared_folder
 from postbud.sources.tables import MissingReturnFile
 
 HEAD = "﻿" + ";".join(DELIVERY_COLUMNS)
@@ -44,6 +46,9 @@ def answer(tmp_path, text, suffix="des25"):
 
 
 def lines(path):
+    """Lines of a file, or of the one part that a small folder holds."""
+    if path.is_dir():
+        (path,) = path.glob("part-*.csv")
     return path.read_text(encoding="utf-8").splitlines()
 
 
@@ -118,6 +123,41 @@ def test_stops(spark, options, history, tmp_path):
         run(spark, "STEP3", options)
 
 
+def test_one_file_a_name(spark, options, history, tmp_path):
+    answer(tmp_path, "1;100\n2;200\n3;300\n")
+    run(spark, "STEP2", replace(options, one_file=True), history)
+    names = ["app/NPRId_RHF_Pakkeforløp_des25.csv", *(f"out/Utlevering_{r}_des25.csv" for r in ("HSØ", "HV", "HMN"))]
+    assert all((tmp_path / name).is_file() for name in names)
+    run(spark, "STEP2", options, history)
+    assert all((tmp_path / name).is_dir() for name in names)
+    assert len(lines(tmp_path / names[1])) == 4
+
+
+def test_table_follows_the_files(spark, options, history, tmp_path):
+    answer(tmp_path, "1;100\n2;200\n3;300\n")
+    run(spark, "STEP2", options, history)
+    table = spark.read.parquet(str(tmp_path / "out/deliveries"))
+    assert {(r["region"], r["count"]) for r in table.groupBy("region").count().collect()} == {("HSØ", 3), ("HV", 2)}
+    put(tmp_path / "in/HV/Uttrekk RHF_HV_des25.csv", "NPRId,KommuneNr\n")
+    run(spark, "STEP2", options, history)
+    table = spark.read.parquet(str(tmp_path / "out/deliveries"))
+    assert {r["region"] for r in table.select("region").collect()} == {"HSØ"}
+    assert lines(tmp_path / "out/Utlevering_HV_des25.csv") == [HEAD]
+
+
+def test_nothing_is_left_in_the_shared_folder(spark, options, history, tmp_path):
+    root = Path(shared_folder(spark).removeprefix("file:")) / "postbud"
+    before = set(root.rglob("*")) if root.exists() else set()
+    run(spark, "STEP1", options)
+    answer(tmp_path, "1;100\n2;200\n3;300\n")
+    result = run(spark, "STEP2", options, history)
+    answer(tmp_path, "1;100\n1;101\n2;200\n3;300\n")
+    with pytest.raises(GateFailed):
+        run(spark, "STEP2", options, history)
+    assert {p for p in set(root.rglob("*")) - before if p != root} == set()
+    assert result.metrics.count() > 0
+
+
 def test_nothing_to_do(spark, options, tmp_path):
     empty = replace(options, base_dir=str(tmp_path / "empty"))
     assert run(spark, "STEP1", empty).status == "no_inputs"

@@ -1,12 +1,16 @@
 """What the plans must look like to hold on data far larger than these tables."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
-from postbud.operators.delivery import deliver
+from postbud.layout import DELIVERY_COLUMNS
+from postbud.operators.delivery import deliver, key_lookup
 from postbud.operators.geo import ids_missing_municipality, latest_location, location_fixes
 from postbud.operators.ids import attach_numbers, first_examples, key_profile, request_ids
 from postbud.options import DeliveryOptions
+from postbud.plans.runs import _write_deliveries
 from postbud.session import stage
 
 OPTIONS = DeliveryOptions()
@@ -50,6 +54,27 @@ def hot(spark):
     return stage(report, "report"), stage(id_map, "map"), stage(history, "history")
 
 
+def test_table_and_text_execute_the_join_once(spark, conf, hot, tmp_path):
+    report, id_map, _ = hot
+    scans = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(value):
+        scans.add(1)
+        return value
+
+    counted = deliver(report, id_map, None, OPTIONS).withColumn("OF1", seen("OF1"))
+    sizes = {("HSØ", "des25"): 108_000, ("HV", "des25"): 12_000, ("HMN", "des25"): 0}
+    options = replace(OPTIONS, out_dir=str(tmp_path), max_rows_per_file=10_000)
+    written = _write_deliveries(spark, counted, sizes, options)
+    assert written.rows == scans.value == 120_000
+    for (region, suffix), n in sizes.items():
+        parts = list((tmp_path / f"Utlevering_{region}_{suffix}.csv").glob("part-*.csv"))
+        rows = [len(p.read_text(encoding="utf-8").splitlines()) - 1 for p in parts]
+        assert sum(rows) == n and max(rows) <= 10_000
+        assert all(p.read_text(encoding="utf-8").startswith("\ufeff" + ";".join(DELIVERY_COLUMNS)) for p in parts)
+
+
 def executed(df):
     """The plan as it ran, after an action that needs every column."""
     df = df.select(F.sum(F.xxhash64(*df.columns).try_cast("double")).alias("x"))
@@ -60,7 +85,8 @@ def executed(df):
 def test_hot_key_is_split_in_the_wide_join(spark, conf, hot):
     report, id_map, history = hot
     fixes = stage(location_fixes(history, ids_missing_municipality(report)), "fixes")
-    done = deliver(report, id_map, fixes, OPTIONS, stage(key_profile(report), "profile"))
+    lookup = stage(key_lookup(id_map, fixes), "lookup")
+    done = deliver(report, id_map, fixes, OPTIONS, stage(key_profile(report), "profile"), lookup=lookup)
     plan = executed(done)
     assert "SortMergeJoin(skew=true)" in plan
     assert done.count() == 120_000
@@ -75,7 +101,8 @@ def test_hot_key_is_split_in_a_plain_join(spark, conf, hot):
 def test_the_wide_report_is_shuffled_once(spark, conf, hot):
     report, id_map, history = hot
     fixes = stage(location_fixes(history, ids_missing_municipality(report)), "fixes")
-    done = deliver(report, id_map, fixes, OPTIONS, stage(key_profile(report), "profile"))
+    lookup = stage(key_lookup(id_map, fixes), "lookup")
+    done = deliver(report, id_map, fixes, OPTIONS, stage(key_profile(report), "profile"), lookup=lookup)
     plan = executed(done)
     with_text = [line for line in plan.splitlines() if "FileScan" in line and "Pakkeforløp" in line]
     assert len(with_text) == 1
