@@ -11,7 +11,10 @@ documents have no weight, except the ``LEAST_TERMS`` rarest of each item.
    the items, as the weights are known only after the pass; they are applied to the sum. The benchmark's own
    passages are scaled to hold half of it. An orthonormal basis of the sketch spans the leading singular vectors.
 2. One pass projects every passage and compares it with every item passage. Candidates have a cosine of ``COSINE``
-   or more and hold at least ``MASS`` of the item passage's length in its direction.
+   or more and hold at least ``MASS`` of the item passage's length in its direction. A short item has a low cosine
+   with a passage of 48 words, so an index of the items' rarest words adds every passage the cosine misses: to
+   find m of n words in order, a text needs one of any n - m + 1 of them, and as many of all as counted in its steps.
+   Items of fewer than eight words are looked up as runs of words. So no hit depends on cosine, rank or number of items.
    A candidate counts if the longest common subsequence of words covers ``VERBATIM`` of the
    item, or ``PARAPHRASE`` of it and ``ANSWER`` of the item's answer (its last sentence of three words or
    more). Items of fewer than eight words must stand there word for word.
@@ -23,6 +26,7 @@ Null texts and texts without words hold nothing; items without words are held by
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -32,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postbud.llm.text import PUNCTUATION, prefix_hash, slices, span_hash, words
+from postbud.llm.text import PUNCTUATION, mix, prefix_hash, slices, span_hash, words
 from postbud.session import stage
 
 STEP = 24
@@ -42,9 +46,13 @@ RANK = 64
 COSINE = 0.4
 MASS = 0.4
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.6, 0.9
+SHORT = 8
 BLOCK = 20_000
 SEED = 9
 _SLOT_BITS = 20
+#: Terms share this many columns when the words of steps are counted; passages counted at a time.
+_COLUMNS = 2048
+_PART = 4096
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,7 +77,7 @@ class Benchmark:
         self.first = np.searchsorted(self.terms, np.arange((1 << _SLOT_BITS) + 1).astype(np.uint64) << np.uint64(64 - _SLOT_BITS))
         self.first[-1] = len(self.terms)
         self.deepest = int(np.diff(self.first).max()) if len(self.terms) else 0
-        self.basis = self.queries = self.query_item = None
+        self.basis = self.queries = self.query_item = self.index = None
         self.mass = np.zeros(0)
         self.sets = [frozenset(w.tolist()) for w in self.words]
         self.lists = [w.tolist() for w in self.words]
@@ -91,6 +99,7 @@ class Benchmark:
         return out
 
     def weigh(self, df: np.ndarray, n: int) -> None:
+        self.df = df
         idf = np.log((n + 1) / (df + 1)).astype(np.float32) + np.float32(1e-3)
         keep = df <= COMMON * n
         for own in self.words:
@@ -111,6 +120,41 @@ class Benchmark:
         found = np.array(out, np.float32).reshape(-1, of.shape[1])
         return found, np.array(item, np.int64)
 
+    def set_index(self) -> None:
+        """Terms one of which every passage that holds an item must hold, and runs of words of short items."""
+        self.runs: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.numbers = [self.term_of(own) for own in self.words]
+        self.answer_numbers = [self.term_of(own) for own in self.answers]
+        # Steps that the region of a passage reaches to either side, as 0, 1, 3, 7, ...
+        self.reach = np.array([(1 << (-(-len(own) // STEP)).bit_length()) - 1 for own in self.words], np.int64)
+        for n in {len(own) for own in self.words if 0 < len(own) < SHORT}:
+            item = np.array([i for i, own in enumerate(self.words) if len(own) == n])
+            run = np.array([_runs(self.words[i], n)[0] for i in item], np.uint64)
+            order = np.argsort(run, kind="stable")
+            self.runs[n] = run[order], item[order]
+        term, item = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i, own in enumerate(self.numbers):
+            if len(own) < SHORT:
+                continue
+            some = min(self._needed(own, PARAPHRASE), self._needed(self.answer_numbers[i], ANSWER), key=lambda t: self.df[t].sum())
+            found = np.union1d(self._needed(own, VERBATIM), some)
+            term.append(found)
+            item.append(np.full(len(found), i))
+        term, item = np.concatenate(term), np.concatenate(item)
+        order = np.argsort(term, kind="stable")
+        self.index = np.searchsorted(term[order], np.arange(len(self.terms) + 1)), item[order]
+
+    def _needed(self, term: np.ndarray, share: float) -> np.ndarray:
+        """The rarest terms of which one must be there if ``share`` of all are."""
+        most_lost = len(term) - math.ceil(share * len(term) - 1e-6)
+        return np.unique(term[np.argsort(self.df[term], kind="stable")[: most_lost + 1]])
+
+    def cosine(self, item: int, passage: np.ndarray) -> float:
+        """Of a projected passage with the nearest passage of an item, 0 if either has no weight."""
+        own = self.queries[np.searchsorted(self.query_item, item) : np.searchsorted(self.query_item, item, "right")]
+        length = np.sqrt((passage**2).sum())
+        return float((own @ passage).max() / length) if len(own) and length > 0 else 0.0
+
     def set_queries(self) -> None:
         made, item = self.passages(self.basis)
         length = np.sqrt((made**2).sum(1))
@@ -118,6 +162,14 @@ class Benchmark:
         self.query_item, self.mass = item[length > 0], length[length > 0]
 
 
+def _runs(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all runs of ``n`` words."""
+    out = np.zeros(max(len(hashes) - n + 1, 0), np.uint64)
+    for j in range(n):
+        out = mix(out + hashes[j : j + len(out)] * np.uint64(2 * j + 0x51ED270B))
+    return out
+
+
 def _answer(text: str) -> np.ndarray:
     sentences = [h for h in map(_hashes, re.split(r"[.!?\n]+", text)) if len(h)]
     long = [h for h in sentences if len(h) >= 3]
@@ -139,6 +191,8 @@ class _Steps:
         term = bench.term_of(self.hashes)
         at = np.flatnonzero(term >= 0)
         self.all_terms, self.all_rows = term[at], row[at]
+        self.all_steps = first_step[row[at]] + (at - self.first_word[row[at]]) // STEP
+        self.word_row = row
         at = at[bench.weight[term[at]] > 0]
         self.term = term[at]
         self.step = first_step[row[at]] + (at - self.first_word[row[at]]) // STEP
@@ -267,7 +321,7 @@ def subsequence(a: np.ndarray, b: np.ndarray) -> int:
 def verify(item: np.ndarray, answer: np.ndarray, region: np.ndarray) -> tuple[float, float] | None:
     """Shares of the item and of its answer found in order in the region, if they make it a hit."""
     n = len(item)
-    if n < 8:
+    if n < SHORT:
         found = any(np.array_equal(region[i : i + n], item) for i in np.flatnonzero(region == item[0]))
         return (1.0, 1.0) if found else None
     share = subsequence(item, region) / n
@@ -277,34 +331,118 @@ def verify(item: np.ndarray, answer: np.ndarray, region: np.ndarray) -> tuple[fl
     return (share, answered) if share >= VERBATIM or answered >= ANSWER else None
 
 
+def _indexed(b: Benchmark, steps: _Steps) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Passages and items of ``SHORT`` words or more such that the passage's steps may hold enough words of the item."""
+    first, items = b.index
+    size = first[steps.all_terms + 1] - first[steps.all_terms]
+    at = np.flatnonzero(size)
+    if not len(at):
+        return
+    # A bounded number of pairs at a time.
+    for part in np.split(at, np.flatnonzero(np.diff(np.cumsum(size[at]) * (2 * int(b.reach.max()) + 2) >> 20)) + 1):
+        n = size[part]
+        item = items[np.repeat(first[steps.all_terms[part]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+        pair = np.unique(np.repeat(steps.all_steps[part], n) * len(b.words) + item)
+        step, item = pair // len(b.words), pair % len(b.words)
+        reach = b.reach[item]
+        for own in np.unique(reach).tolist():
+            # The passages whose region may hold the step, in its own text.
+            s, i = step[reach == own], item[reach == own]
+            passage = (s[:, None] + np.arange(-own - 1, own + 1)).ravel()
+            item_of, step_of = np.repeat(i, 2 * own + 2), np.repeat(s, 2 * own + 2)
+            inside = (passage >= 0) & (passage < len(steps.row))
+            passage, item_of, step_of = passage[inside], item_of[inside], step_of[inside]
+            pairs = np.unique((passage * len(b.words) + item_of)[steps.row[passage] == steps.row[step_of]])
+            yield from _counted(b, steps, pairs // len(b.words), pairs % len(b.words), own)
+
+
+def _counted(b: Benchmark, steps: _Steps, passage: np.ndarray, item: np.ndarray, reach: int):
+    """Those of the pairs (by passage) whose words, in any order, would be enough for a hit."""
+    start = 0
+    while start < len(passage):
+        low = int(passage[start])
+        end = int(np.searchsorted(passage, low + _PART))
+        lead = max(low - reach, 0)
+        held = _held(steps, lead, min(int(passage[end - 1]) + reach + 2, len(steps.row)), reach)
+        for at in range(start, end, 1 << 15):
+            p, i = passage[at : min(at + (1 << 15), end)], item[at : min(at + (1 << 15), end)]
+            there = _share(held, p - lead, i, b.numbers)
+            stay = there >= PARAPHRASE - 1e-6
+            p, i, there = p[stay], i[stay], there[stay]
+            if len(p):
+                stay = (there >= VERBATIM - 1e-6) | (_share(held, p - lead, i, b.answer_numbers) >= ANSWER - 1e-6)
+                yield p[stay], i[stay]
+        start = end
+
+
+def _held(steps: _Steps, low: int, high: int, reach: int) -> np.ndarray:
+    """Which columns of terms the steps from ``reach`` before to ``reach + 1`` after each step hold."""
+    held = np.zeros((high - low + 2 * reach + 1, _COLUMNS), bool)
+    at = slice(*np.searchsorted(steps.all_steps, [low, high]))
+    held[steps.all_steps[at] - low + reach, steps.all_terms[at] % _COLUMNS] = True
+    width = 1
+    while width < 2 * reach + 2:  # a power of two
+        held[:-width] |= held[width:].copy()
+        width *= 2
+    return held[: high - low]
+
+
+def _share(held: np.ndarray, row: np.ndarray, item: np.ndarray, numbers: list[np.ndarray]) -> np.ndarray:
+    own, which = np.unique(item, return_inverse=True)
+    size = np.array([len(numbers[i]) for i in own.tolist()], np.int64)
+    flat, first = np.concatenate([numbers[i] for i in own.tolist()]) % _COLUMNS, np.cumsum(size) - size
+    n = size[which]
+    begin = np.cumsum(n) - n
+    column = flat[np.repeat(first[which] - begin, n) + np.arange(n.sum())]
+    return np.add.reduceat(held[np.repeat(row, n), column], begin, dtype=np.int64) / n
+
+
 def _search_slice(b: Benchmark, data: np.ndarray, offsets: np.ndarray) -> dict[tuple[int, int], tuple]:
     """Hits of a slice: (row, item) to (cosine, share of the item, share of the answer)."""
     steps = _Steps(data, offsets, b)
     hits: dict[tuple[int, int], tuple] = {}
-    if not len(steps.step) or not len(b.queries):
+    if not len(steps.all_terms):
         return hits
     made = steps.project(b.basis)
+    for n, (run, item) in b.runs.items():
+        found = _runs(steps.hashes, n)
+        low, high = np.searchsorted(run, found), np.searchsorted(run, found, "right")
+        at = np.flatnonzero(low < high)
+        at = at[steps.word_row[at] == steps.word_row[at + n - 1]]
+        for w in at.tolist():
+            row = int(steps.word_row[w])
+            passage = int(np.searchsorted(steps.row, row)) + (w - int(steps.first_word[row])) // STEP
+            for q in item[low[w] : high[w]].tolist():
+                if (row, q) not in hits:
+                    hits[row, q] = (b.cosine(q, made[passage]), 1.0, 1.0)
+
+    def check(passage: int, q: int) -> None:
+        key = int(steps.row[passage]), q
+        if key in hits and hits[key][1] == 1.0:
+            return
+        item, first, n = b.words[q], steps.first_word[steps.row[passage]], steps.n_words[steps.row[passage]]
+        start = max(int(steps.place[passage]) * STEP - len(item), 0)
+        end = min((int(steps.place[passage]) + 2) * STEP + len(item), int(n))
+        region = steps.hashes[first + start : first + end]
+        held = b.sets[q].intersection(region.tolist())
+        if sum(map(held.__contains__, b.lists[q])) < PARAPHRASE * len(item):
+            return
+        found = verify(item, b.answers[q], region)
+        if found and (key not in hits or found > hits[key][1:]):
+            hits[key] = (b.cosine(q, made[passage]), *found)
+
     length = np.sqrt((made**2).sum(1))
-    some = np.flatnonzero(length > 0)
+    some = np.flatnonzero(length > 0) if len(b.queries) else np.zeros(0, np.int64)
     for at in range(0, len(some), 8192):
         part = some[at : at + 8192]
         along = made[part] @ b.queries.T
         cosine = along / length[part, None]
         near, query = np.nonzero((cosine >= COSINE) & (along >= MASS * b.mass))
-        for p, q, c in zip(part[near].tolist(), b.query_item[query].tolist(), cosine[near, query].tolist()):
-            key = int(steps.row[p]), q
-            if key in hits and hits[key][1] == 1.0:
-                continue
-            item, first, n = b.words[q], steps.first_word[steps.row[p]], steps.n_words[steps.row[p]]
-            start = max(int(steps.place[p]) * STEP - len(item), 0)
-            end = min((int(steps.place[p]) + 2) * STEP + len(item), int(n))
-            region = steps.hashes[first + start : first + end]
-            held = b.sets[q].intersection(region.tolist())
-            if sum(map(held.__contains__, b.lists[q])) < PARAPHRASE * len(item):
-                continue
-            found = verify(item, b.answers[q], region)
-            if found and (key not in hits or found > hits[key][1:]):
-                hits[key] = (c, *found)
+        for p, q in zip(part[near].tolist(), b.query_item[query].tolist()):
+            check(p, q)
+    for passages, items in _indexed(b, steps):
+        for p, q in zip(passages.tolist(), items.tolist()):
+            check(p, q)
     return hits
 
 
@@ -333,6 +471,7 @@ def prepare(docs: DataFrame, items: pd.DataFrame, rank: int = RANK) -> Benchmark
         return None
     decompose(docs, bench, min(rank, len(bench.terms)))
     bench.set_queries()
+    bench.set_index()
     return bench
 
 

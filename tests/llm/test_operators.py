@@ -346,6 +346,56 @@ def test_contaminated(spark):
     assert decontaminate.contaminated(df, bench.limit(0)).count() == 0
 
 
+def brute_force(rows, items):
+    """Pairs of document and item that any passage's region makes a hit."""
+    step, found = decontaminate.STEP, set()
+    own = {i: decontaminate._hashes(t) for i, t in items}
+    answers = {i: decontaminate._answer(t) for i, t in items}
+    for d, text in rows:
+        h = decontaminate._hashes(text)
+        held = set(h.tolist())
+        for i, w in own.items():
+            if sum(x in held for x in w.tolist()) < decontaminate.PARAPHRASE * len(w):
+                continue
+            regions = (h[max(at - len(w), 0) : at + 2 * step + len(w)] for at in range(0, len(h), step))
+            if any(decontaminate.verify(w, answers[i], r) for r in regions):
+                found.add((d, i))
+    return found
+
+
+def test_contaminated_finds_all_that_brute_force_finds(spark):
+    """Items of 1 to 60 words of a skewed vocabulary, verbatim, with a third changed, and chance likeness, by length."""
+    rng = random.Random(11)
+    vocabulary = [f"w{i}x" for i in range(3000)]
+    draw = lambda n: rng.choices(vocabulary, [1 / (r + 3) for r in range(3000)], k=n)
+    items, rows = [], []
+    for i in range(700):
+        n = [rng.randint(1, 4), rng.randint(5, 7), rng.randint(8, 11), rng.randint(12, 20), rng.randint(21, 60)][i % 5]
+        item = draw(n)
+        if n >= 8:
+            item[n - 5] += "."
+        items.append((i, " ".join(item)))
+        copy = list(item)
+        if i % 2 and n >= 8:
+            for at in rng.sample(range(n - 4), (n - 4) // 3):
+                copy[at] = rng.choice(vocabulary)
+        if i % 3 == 0:
+            copy = draw(rng.randint(0, 90)) + copy + draw(rng.randint(0, 90))
+            rows.append((1000 + i, " ".join(copy)))
+    want = brute_force(rows, items)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(df, bench).collect()}
+    sizes = {i: len(t.split()) for i, t in items}
+    recall = {}
+    for low, high in ((1, 4), (5, 7), (8, 11), (12, 20), (21, 60)):
+        there = {p for p in want if low <= sizes[p[1]] <= high}
+        recall[low, high] = (len(there & found), len(there))
+    print(recall)
+    assert found == want, recall
+    assert all(n >= 30 for _, n in recall.values())
+
+
 def test_subsequence():
     rng = random.Random(3)
     for _ in range(30):
