@@ -3,7 +3,8 @@
 Every element gets its characters per tag, adjusted by how much of it is link text; an element's
 density sum adds up its children's. The element of the greatest sum is the core of the article. The least
 density on the path from it to the body is the threshold: what stands beside the path counts as
-content if its density reaches it. If the core lies in an article or main element, that element
+content if its density reaches it, be it an element or a run of strings and inline elements, whose
+density is that of an element around them. If the core lies in an article or main element, that element
 is the content. Navigation, headers, footers, sidebars, forms, scripts and the like are taken out before,
 by element, role, or a word of their class or id.
 
@@ -56,10 +57,11 @@ _SIBLINGS = {
 
 
 class Node:
-    __slots__ = ("tag", "noise", "content", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "noise", "content", "block", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "sum")
 
     def __init__(self, tag: str, parent: Node | None, noise: bool, content: bool):
         self.tag, self.parent, self.noise, self.content = tag, parent, noise, content
+        self.block = tag in BLOCK
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
@@ -161,6 +163,7 @@ def _measure(nodes: list[Node]) -> None:
             if isinstance(child, str):
                 node.chars += len(child.strip())
             elif not child.noise:
+                node.block = node.block or child.block
                 node.chars += child.chars
                 node.tags += child.tags + 1
                 node.link_chars += child.chars if child.tag == "a" else child.link_chars
@@ -186,8 +189,8 @@ def composite_density(chars: int, tags: int, link_chars: int, link_tags: int, ra
     return per_tag * math.log(max(inner, 1.0)) / math.log(max(base, 1.0 + 1e-9)) if base > 1 else per_tag * math.log(max(inner, 1.0) + 1)
 
 
-def _content(nodes: list[Node]) -> set[int]:
-    """Ids of the elements whose whole text (without noise) is content."""
+def _content(nodes: list[Node]) -> set[int | tuple[int, int]]:
+    """Ids of the elements whose whole text (without noise) is content, and of others with the place of a child that is."""
     core = max(nodes, key=lambda n: n.sum)  # the first of equal ones, so the outermost
     if not core.sum:
         return {id(nodes[0])}
@@ -203,7 +206,11 @@ def _content(nodes: list[Node]) -> set[int]:
     threshold = min((n.density for n in path if n.tag not in ("#root", "html")), default=0.0)
     taken = {id(core)}
     on_path = {id(n) for n in path}
+    ratio = nodes[0].link_chars / max(nodes[0].chars, 1)
     for node in path[1:]:
+        for run in _runs(node, on_path):
+            if _run_density([node.children[k] for k in run], ratio) >= threshold:
+                taken.update((id(node), k) for k in run)
         taken.update(
             id(c)
             for c in node.children
@@ -213,6 +220,35 @@ def _content(nodes: list[Node]) -> set[int]:
     return taken
 
 
+def _runs(node: Node, on_path: set[int]) -> Iterator[list[int]]:
+    """Places of strings and inline elements of a node between its blocks and the path; line breaks do not part them."""
+    run: list[int] = []
+    for place, child in enumerate(node.children):
+        if isinstance(child, str):
+            run.append(place)
+        elif child.noise:
+            continue
+        elif child.block or id(child) in on_path:
+            if run:
+                yield run
+            run = []
+        else:
+            run.append(place)
+    if run:
+        yield run
+
+
+def _run_density(run: list[Node | str], ratio: float) -> float:
+    inline = [c for c in run if not isinstance(c, str)]
+    return composite_density(
+        sum(len(c.strip()) if isinstance(c, str) else c.chars for c in run),
+        sum(c.tags + 1 for c in inline),
+        sum(c.chars if c.tag == "a" else c.link_chars for c in inline),
+        sum(c.link_tags + (c.tag == "a") for c in inline),
+        ratio,
+    )
+
+
 def _within(node: Node, outer: Node) -> bool:
     while node is not None:
         if node is outer:
@@ -243,7 +279,9 @@ def extract(html: str) -> str:
             if item.tag in BLOCK:
                 blocks.append([])
                 stack.append((None, False))
-            stack.extend((c, inside) for c in reversed(item.children))
+            stack.extend(
+                (c, inside or (id(item), k) in taken) for k, c in reversed(list(enumerate(item.children)))
+            )
     lines = (" ".join("".join(parts).split()) for parts in blocks)
     return "\n".join(line for line in lines if line)
 

@@ -278,6 +278,18 @@ def test_extract():
     assert html.extract("<div>" * 3000 + "deep") == "deep"
 
 
+def test_extract_keeps_text_parted_by_line_breaks():
+    """Bare strings beside the path to the core are judged like elements; bare links and short marks are not content."""
+    lines = [f"Line {i} " + words(700 + i, 30) for i in range(6)]
+    points = [f"{i} " + "point " * 9 + "end" for i in range(10)]
+    bullets = "<ul>" + "".join(f"<li>{p}</li>" for p in points) + "</ul>"
+    links = "".join(f"<a href=x>link {i}</a> " for i in range(12))
+    page = f"<html><body>{links}<div>{'<br>'.join(lines[:3])}{bullets}{lines[3]}<br> <b>{lines[4]}</b><br>{lines[5]}</div></body></html>"
+    assert html.extract(page) == "\n".join([" ".join(lines[:3]), *points, " ".join(lines[3:])])
+    beside = f"<body><div><a href=x>q</a> <a href=x>r</a></div>{lines[0]}<br>{lines[1]}<div>{bullets}</div></body>"
+    assert html.extract(beside) == "\n".join([" ".join(lines[:2]), *points])
+
+
 def test_main_text_rows(spark):
     rows = [(1, "u", None, "x"), (None, None, "<p>t</p>", "y"), (1, "u", None, "x")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
