@@ -6,7 +6,8 @@ density on the path from it to the body is the threshold: what stands beside the
 content if its density reaches it, be it an element or a run of strings and inline elements, whose
 density is that of an element around them. If the core lies in an article or main element, that element
 is the content. Navigation, headers, footers, sidebars, forms, scripts and the like are taken out before,
-by element, role, or a word of their class or id.
+by element, role, or a word of their class or id. A word whose elements hold most of the page's text that
+is not link text, and most of that in its article and main elements, names its layout and takes nothing out.
 
 Text comes out in blocks: character references decoded, white space within a block turned into one
 space, blocks joined in page order by a line feed. Null and pages without text give the empty string.
@@ -57,10 +58,11 @@ _SIBLINGS = {
 
 
 class Node:
-    __slots__ = ("tag", "noise", "content", "block", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "noise", "marks", "content", "block", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "sum")
 
     def __init__(self, tag: str, parent: Node | None, noise: bool, content: bool):
         self.tag, self.parent, self.noise, self.content = tag, parent, noise, content
+        self.marks: frozenset[str] = frozenset()
         self.block = tag in BLOCK
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
@@ -74,6 +76,7 @@ class _Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("#root", None, False, False)
         self.depth: dict[str, int] = {}
+        self.marked: list[Node] = []
 
     def _open(self, tag: str, noise: bool, content: bool) -> None:
         node = Node(tag, self.at, noise, content)
@@ -106,13 +109,14 @@ class _Tree(HTMLParser):
             self._end(frozenset(["p"]), _SCOPE)
         if tag in _SIBLINGS:
             self._end(*_SIBLINGS[tag])
-        noise, content = tag in NOISE, tag in CONTENT
+        noise, content, marks = tag in NOISE, tag in CONTENT, set()
         for name, value in attrs:
             if not value:
                 noise = noise or name == "hidden"
             elif name in ("class", "id"):
                 # A word of the name tells, as in "page-sidebar"; the body and articles keep theirs.
-                noise = noise or (tag not in _KEPT and not NOISE_WORDS.isdisjoint(_words(value)))
+                if tag not in _KEPT:
+                    marks.update(NOISE_WORDS.intersection(_words(value)))
             elif name == "role":
                 noise = noise or value.lower() in NOISE_ROLES
                 content = content or value.lower() in CONTENT
@@ -121,6 +125,9 @@ class _Tree(HTMLParser):
             elif name == "style":
                 noise = noise or bool(_HIDDEN.search(value.lower()))
         self._open(tag, noise, content)
+        if marks and not noise:
+            self.at.marks = frozenset(marks)
+            self.marked.append(self.at)
 
     def handle_endtag(self, tag: str) -> None:
         if not self.depth.get(tag):
@@ -147,6 +154,30 @@ def _words(names: str) -> list[str]:
     return _WORD.findall(_ABOUT.sub(" ", _CAMEL.sub(r"\1-\2", names).lower()))
 
 
+def _settle_marks(tree: _Tree) -> None:
+    """Elements marked by a word are noise, unless the word's elements hold most of the text that is not link text,
+    both of the page and, if there are any, of its article and main elements."""
+    words = frozenset().union(*(n.marks for n in tree.marked))
+    total, held = [0, 0], {word: [0, 0] for word in words}
+    stack = [(tree.root, frozenset(), False)]
+    while stack:
+        node, marks, inside = stack.pop()
+        marks, inside = marks | node.marks, inside or node.content
+        for child in node.children:
+            if isinstance(child, str):
+                n = len(child.strip())
+                for count in (total, *(held[word] for word in marks)):
+                    count[0] += n
+                    count[1] += n * inside
+            elif not child.noise and child.tag != "a":
+                stack.append((child, marks, inside))
+    layout = {
+        word for word, (n, own) in held.items() if 2 * n > total[0] and (2 * own > total[1] or not total[1])
+    }
+    for node in tree.marked:
+        node.noise = not node.marks <= layout
+
+
 def _in_order(root: Node) -> list[Node]:
     """Elements from the root down, without those that are noise and what they hold."""
     out, stack = [], [root]
@@ -261,6 +292,8 @@ def extract(html: str) -> str:
     tree = _Tree()
     tree.feed(html)
     tree.close()
+    if tree.marked:
+        _settle_marks(tree)
     nodes = _in_order(tree.root)
     _measure(nodes)
     taken = _content(nodes)

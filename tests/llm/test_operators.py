@@ -290,6 +290,19 @@ def test_extract_keeps_text_parted_by_line_breaks():
     assert html.extract(beside) == "\n".join([" ".join(lines[:2]), *points])
 
 
+def test_extract_keeps_pages_whose_layout_bears_a_noise_word():
+    parts = [words(720 + i, 40) for i in range(4)]
+    paragraphs = "".join(f"<p>{p}</p>" for p in parts)
+    beside = "<div class='social-widget'>Follow us here</div><div class=sidebar><a href=x>more</a></div>"
+    for layout in ("<div class='elementor-widget-container'>{}</div>", "<section id='related-work'><h2>Related</h2>{}</section>"):
+        text = html.extract(f"<html><body>{layout.format(paragraphs)}{beside}</body></html>")
+        assert text.split("\n")[-4:] == parts and "Follow" not in text and "more" not in text
+    each = "".join(f"<div class='elementor-widget'><p>{p}</p></div>" for p in parts)
+    assert html.extract(f"<body><div>{each}</div>{beside}</body>") == "\n".join(parts)
+    assert html.extract(f"<body><div class=ad>{parts[0]}</div><article>short text</article></body>") == "short text"
+    assert html.extract(f"<body><div>{paragraphs}</div><div class=comments><p>{words(730, 40)}</p></div></body>") == "\n".join(parts)
+
+
 def test_main_text_rows(spark):
     rows = [(1, "u", None, "x"), (None, None, "<p>t</p>", "y"), (1, "u", None, "x")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
