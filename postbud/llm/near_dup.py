@@ -367,17 +367,18 @@ def _link_blocks(common):
     return run
 
 
-def links(members: DataFrame, texts: DataFrame, common) -> tuple[DataFrame, DataFrame]:
+def links(members: DataFrame, texts: DataFrame, names: DataFrame, common) -> tuple[DataFrame, DataFrame]:
     """Links (a, b, likeness) among the texts that share a bucket, enough to join all that hang together, and
     their classes (node, class).
 
-    ``members`` has a row (bucket, band, node, bands, bits) per text and band.
+    ``members`` has a row (bucket, band, node, bands, bits) per text and band, ``texts`` the rows (doc_id, digest,
+    text), and ``names`` says which of them (doc_id, digest) stands for a node.
     """
     spark = members.sparkSession
     bucket = members.groupBy("bucket").agg(F.min("node").alias("first"), F.count("*").alias("n"))
     active = stage(members.join(bucket.where("n > 1"), "bucket"), "buckets")
     texts = stage(
-        texts.join(active.select("node").distinct(), "node", "left_semi").select("node", "text").dropDuplicates(["node"]),
+        _of_node(texts, names.join(active.select("node").distinct(), "node", "left_semi")).select("node", "text").dropDuplicates(["node"]),
         "candidates",
     )
     # Candidates are dealt to groups of bounded size.
@@ -404,14 +405,26 @@ def links(members: DataFrame, texts: DataFrame, common) -> tuple[DataFrame, Data
     return found, components(found)
 
 
+def _of_node(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """Rows (doc_id, digest) that stand for a node, with it."""
+    names = names.select("node", F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
+    return rows.join(names, (F.col("digest") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id", "_digest")
+
+
 def near_duplicates(docs: DataFrame, n_bands: int = BANDS, n_rows: int = ROWS) -> DataFrame:
     """``doc_id``, ``class_id`` (least doc_id of its class), ``exact_id``, ``n_copies``: a row per row.
 
     Texts that are equal, or whose likeness reaches 0.8 directly or through others, are a class;
     null reads as the empty text, and texts without words are in a class with equal texts only.
-    Rows that share a doc_id share a class; rows without doc_id have a class by their text, named by
-    a negative number. Other columns of ``docs`` are not used. An empty table gives an empty result.
+    Rows of one doc_id with different texts stand apart; the first of them by hash has the doc_id as its
+    name, and others, and texts without doc_id, have a negative number, which names a class if no doc_id
+    does. Other columns of ``docs`` are not used. An empty table gives an empty result.
     """
+    return _classes(docs, n_bands, n_rows).select("doc_id", "class_id", "exact_id", "n_copies")
+
+
+def _classes(docs: DataFrame, n_bands: int = BANDS, n_rows: int = ROWS) -> DataFrame:
+    """As ``near_duplicates``, with the text's ``digest`` and ``least``, the doc_id of the row that stands for the text."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     keys, idf, _ = common_shingles(docs)
@@ -420,46 +433,59 @@ def near_duplicates(docs: DataFrame, n_bands: int = BANDS, n_rows: int = ROWS) -
         _sign(common, n_bands, n_rows), "doc_id long, digest string, total double, bands array<long>, " + ", ".join(f"{c} long" for c in _BITS)
     )
     signed = stage(signed, "signed")
+    exact = stage(signed.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies")), "exact")
+    # Of several texts with one doc_id only one can have its name.
+    shared = exact.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.min("digest").alias("named"), F.count("*").alias("n"))
+    shared = stage(shared.where("n > 1").select("_id", "named"), "shared")
+    unnamed = F.col("doc_id").isNull() | F.coalesce(F.col("named") != F.col("digest"), F.lit(False))
+    number = -F.shiftrightunsigned(F.xxhash64("digest"), 1) - 1
     exact = stage(
-        signed.groupBy("digest").agg(
-            F.coalesce(F.min("doc_id"), -F.shiftrightunsigned(F.xxhash64("digest"), 1) - 1).alias("node"),
-            F.count("*").alias("n_copies"),
+        exact.join(shared, F.col("doc_id") == F.col("_id"), "left").select(
+            "digest", "doc_id", "n_copies", F.when(unnamed, number).otherwise(F.col("doc_id")).alias("node"), unnamed.alias("unnamed")
         ),
-        "exact",
+        "nodes",
     )
-    rows = stage(signed.select("doc_id", "digest").join(exact, "digest"), "nodes")
     members = (
-        signed.where("total > 0")
-        .join(rows.select("doc_id", "digest", "node").distinct().where("doc_id = node"), ["doc_id", "digest"])
+        _of_node(signed.where("total > 0"), exact)
         .select("node", "bands", *_BITS, F.posexplode("bands").alias("band", "bucket"))
         .dropDuplicates(["node", "bucket"])
     )
-    texts = docs.withColumnRenamed("doc_id", "node")
-    _, classes = links(members, texts, common)
-    # Rows of one doc_id with different texts hang together too.
-    return (
-        rows.join(classes, "node", "left")
-        .select("doc_id", F.coalesce("class", "node").alias("class_id"), F.col("node").alias("exact_id"), "n_copies")
+    texts = docs.select("doc_id", F.md5("text").alias("digest"), "text")
+    _, classes = links(members, texts, exact, common)
+    classes = exact.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
+    if not exact.where("unnamed").isEmpty():
+        # Names go before numbers.
+        classes = stage(classes, "classes")
+        odd = classes.where("unnamed").select("class").distinct()
+        name = classes.join(odd, "class", "left_semi").groupBy("class").agg(
+            F.coalesce(F.min(F.when(~F.col("unnamed"), F.col("node"))), F.min("node")).alias("name")
+        )
+        classes = classes.join(name, "class", "left").withColumn("class", F.coalesce("name", "class"))
+    classes = classes.select(
+        "digest", F.col("doc_id").alias("least"), F.col("class").alias("class_id"), F.col("node").alias("exact_id"), "n_copies"
     )
+    return signed.select("doc_id", "digest").join(classes, "digest")
 
 
 def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of every class of near duplicates, the document of the least doc_id stays.
+    """Pipeline stage: of every class of near duplicates one document stays, that of the least doc_id that names a text.
 
-    Of rows that repeat a doc_id one stays; rows without doc_id all stay.
+    Rows without doc_id are no exception, and of rows that repeat a doc_id all stay whose texts are no duplicates.
     """
     columns = docs.columns
+    gone = (F.col("exact_id") != F.col("class_id")) | ~F.col("doc_id").eqNullSafe(F.col("least"))
     marks = (
-        near_duplicates(docs)
-        .where("doc_id IS NOT NULL")
-        .groupBy("doc_id")
-        .agg(F.max(F.col("doc_id") != F.col("class_id")).alias("_gone"), F.count("*").alias("_n"))
+        _classes(docs)
+        .groupBy("doc_id", "digest")
+        .agg(F.max(gone).alias("_gone"), F.count("*").alias("_n"))
         .where("_gone OR _n > 1")
-        .withColumnRenamed("doc_id", "_id")
+        .select(F.col("doc_id").alias("_id"), F.col("digest").alias("_marked"), "_gone", "_n")
     )
     marks = stage(marks, "marks")
-    kept = docs.join(marks, F.col("doc_id") == F.col("_id"), "left").where("_gone IS NULL OR NOT _gone")
+    docs = docs.withColumn("_digest", F.md5(F.coalesce("text", F.lit(""))))
+    same = (F.col("_digest") == F.col("_marked")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
+    kept = docs.join(marks, same, "left").where("_gone IS NULL OR NOT _gone")
     if marks.where("NOT _gone").isEmpty():
         return kept.select(*columns)
-    once = kept.where("_n > 1").select(*columns).dropDuplicates(["doc_id"])
+    once = kept.where("_n > 1").dropDuplicates(["doc_id", "_digest"]).select(*columns)
     return kept.where("_n IS NULL").select(*columns).unionByName(once)

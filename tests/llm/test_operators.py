@@ -125,6 +125,21 @@ def test_keep_one(spark, docs):
     assert ids.count(0) == 1 and 1 not in ids and 2 not in ids and {3, 9, 10} <= set(ids)
 
 
+def test_rows_that_share_or_lack_a_doc_id(spark):
+    """No text is lost whose likes are nowhere else, and of every class one row stays."""
+    a, b, c, d, e = (words(40 + i, 120) for i in range(5))
+    near = " ".join(["changed", *d.split()[1:]])
+    rows = [(5, a), (5, b), (3, b), (5, e), (7, c), (None, c), (None, d), (None, d), (None, near), (8, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert shingle_set(d) and (shingle_set(d) & shingle_set(near)).total() >= 0.9 * (shingle_set(d) | shingle_set(near)).total()
+    kept = [(r["doc_id"], r["text"]) for r in near_dup.keep_one(spark, df, "").collect()]
+    fixed = {(5, a), (3, b), (5, e), (7, c), (8, None)}
+    assert len(kept) == 6 and fixed < set(kept) and (set(kept) - fixed).pop() in {(None, d), (None, near)}
+    found = near_dup.near_duplicates(df).collect()
+    assert len(found) == len(rows) and len({r["class_id"] for r in found}) == 6
+    assert sorted(r["class_id"] for r in found if r["doc_id"] in (3, 7)) == [3, 7]
+
+
 # ---- fingerprints
 
 
