@@ -11,8 +11,8 @@ keep their likeness, while passages that many documents share count for less.
 * Every text gets ``BANDS`` x ``ROWS`` samples; texts that agree in a whole band are candidates.
 * Within a band's bucket texts are first held against one pivot, so a large group of near copies costs one
   comparison a member. Buckets that are one class then are done. In the others all members are compared, in
-  sub-blocks of ``MEMBERS`` times ``MEMBERS`` that tasks share, and only links come out; a pair is
-  compared in the first bucket it shares. Four bits of every sample
+  sub-blocks of ``MEMBERS`` times ``MEMBERS`` that tasks share, but members of the largest class only with the rest,
+  and only links come out; a pair is compared in the first bucket it shares. Four bits of every sample
   are compared first: a pair that differs in more than ``DIFFER`` of them is passed over (at
   likeness 0.8 nine are expected, and fewer than one pair in a thousand has more than that).
   The others are verified by weighted Jaccard likeness on their whole texts.
@@ -367,6 +367,21 @@ def _link_blocks(common):
     return run
 
 
+def deal(members: DataFrame) -> DataFrame:
+    """``part`` of each member of an open bucket, and the ``others`` it is held against.
+
+    Pairs of the largest class, ``top``, need no comparison: its members are held against the rest only.
+    ``n`` is the bucket's number of members.
+    """
+    inner = F.col("class") == F.col("top.class")
+    rest = F.ceil((F.col("n") - F.col("top.size")) / MEMBERS).cast("int")
+    most = F.ceil(F.col("top.size") / MEMBERS).cast("int")
+    number = F.xxhash64("node")
+    part = F.when(inner, rest + F.pmod(number, most)).otherwise(F.pmod(number, rest)).cast("int")
+    others = F.sequence(F.lit(0), F.when(inner, rest - 1).otherwise(rest + most - 1))
+    return members.withColumns({"part": part, "others": others})
+
+
 def links(members: DataFrame, texts: DataFrame, names: DataFrame, common) -> tuple[DataFrame, DataFrame]:
     """Links (a, b, likeness) among the texts that share a bucket, enough to join all that hang together, and
     their classes (node, class).
@@ -388,15 +403,19 @@ def links(members: DataFrame, texts: DataFrame, names: DataFrame, common) -> tup
     near = stage(_likenesses(stars, texts, blocks, common).where(F.col("likeness") >= THRESHOLD), "links")
     classes = components(near)
     active = active.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
-    several = active.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x != y AND x IS NOT NULL")
     # Two members are the pivot and another, which have been compared.
-    active = stage(active.where("n > 2").join(several, "bucket", "left_semi"), "open")
-    parts = F.ceil(F.col("n") / MEMBERS).cast("int")
-    dealt = active.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), parts - 1))
+    sizes = active.where("n > 2").groupBy("bucket", "class").agg(F.count("*").alias("size"))
+    several = (
+        sizes.groupBy("bucket").agg(F.max(F.struct("size", "class")).alias("top"), F.count("*").alias("classes"))
+        .where("classes > 1").select("bucket", "top")
     )
+    dealt = deal(active.join(several, "bucket"))
+    dealt = stage(dealt.drop("top"), "open")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    copies = dealt.agg(F.sum(F.size("others"))).head()[0] or 0
+    tasks = max(4 * blocks, parts, -(-copies // (4 * MEMBERS)))
+    dealt = dealt.withColumn("other", F.explode("others")).drop("others")
     dealt = dealt.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
-    tasks = max(4 * blocks, int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = dealt.withColumn("task", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(tasks)))
     more = dealt.join(texts, "node").select(*_BLOCK).groupBy("task").applyInArrow(
         _link_blocks(common), "a long, b long, likeness double"

@@ -125,6 +125,20 @@ def test_keep_one(spark, docs):
     assert ids.count(0) == 1 and 1 not in ids and 2 not in ids and {3, 9, 10} <= set(ids)
 
 
+def test_a_large_class_is_not_held_against_itself(spark):
+    """A stray member of a bucket of 20,000 is held against all, and each of them against the stray only."""
+    F = mixing.F
+    top = F.struct(F.lit(19_999).cast("long").alias("size"), F.lit(0).cast("long").alias("class"))
+    members = spark.range(20_000).select(
+        F.col("id").alias("node"), F.when(F.col("id") == 77, 77).otherwise(0).cast("long").alias("class"),
+        F.lit(20_000).cast("long").alias("n"), top.alias("top"),
+    )
+    rows = near_dup.deal(members).select("node", "part", F.explode("others").alias("other"))
+    assert rows.count() == 19_999 + 1 + -(-19_999 // near_dup.MEMBERS)
+    blocks = lambda n: {(min(r["part"], r["other"]), max(r["part"], r["other"])) for r in rows.where(F.col("node") == n).collect()}
+    assert all(blocks(n) <= blocks(77) and len(blocks(n)) == 1 for n in (0, 76, 78, 19_999))
+
+
 def test_rows_that_share_or_lack_a_doc_id(spark):
     """No text is lost whose likes are nowhere else, and of every class one row stays."""
     a, b, c, d, e = (words(40 + i, 120) for i in range(5))
