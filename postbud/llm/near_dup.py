@@ -6,8 +6,8 @@ it falls with the logarithm of the document frequency to 1/2. Near copies found
 keep their likeness, while passages that many documents share count for less.
 
 * Document frequencies: shingles above the threshold are few (at most the average length over
-  ``RARE``, whatever the corpus size). A Misra-Gries summary of fixed size per task, merged in a
-  tree, holds all of them; a second pass counts the held ones exactly over all documents.
+  ``RARE``, whatever the corpus size). A Misra-Gries summary of one size per task, merged in a
+  tree, holds all of them; if texts turn out too long for its size, it is taken again at one that follows from their length; a second pass counts the held ones exactly over all documents.
 * Every text gets ``BANDS`` x ``ROWS`` samples; texts that agree in a whole band are candidates.
 * Within a band's bucket texts are first held against one pivot, so a large group of near copies costs one
   comparison a member. Buckets that are one class then are done. In the others all members are compared, in
@@ -20,6 +20,7 @@ keep their likeness, while passages that many documents share count for less.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,7 +64,7 @@ def _merge(keys: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray,
 def _summaries(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, pending = np.zeros(0, np.uint64), np.zeros(0, np.int64), []
-        n, waiting = 0, 0
+        n, waiting, total = 0, 0, 0
 
         def flush():
             nonlocal keys, counts, pending, waiting
@@ -81,33 +82,35 @@ def _summaries(size: int):
                 _, key, _ = shingles(data, offsets)
                 pending.append(key)
                 waiting += len(key)
+                total += len(key)
                 if waiting > 4 << 20:
                     flush()
         flush()
-        yield _summary_row(TaskContext.get().partitionId(), keys, counts, n)
+        yield _summary_row(TaskContext.get().partitionId(), keys, counts, n, total)
 
     return run
 
 
-def _summary_row(slot: int, keys: np.ndarray, counts: np.ndarray, n: int) -> pa.RecordBatch:
+def _summary_row(slot: int, keys: np.ndarray, counts: np.ndarray, n: int, total: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(
         {
             "slot": pa.array([slot], pa.int64()),
             "keys": pa.array([keys.tobytes()], pa.binary()),
             "counts": pa.array([counts.astype(np.int64).tobytes()], pa.binary()),
             "n": pa.array([n], pa.int64()),
+            "total": pa.array([total], pa.int64()),
         }
     )
 
 
-_SUMMARY_SCHEMA = "slot long, keys binary, counts binary, n long"
+_SUMMARY_SCHEMA = "slot long, keys binary, counts binary, n long, total long"
 
 
 def _merge_rows(size: int):
     """Merge summaries one after the other; the state is never more than two of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, n = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+        keys, counts, n, total = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, 0
         for batch in batches:
             for row in batch.to_pylist():
                 keys, counts = _merge(
@@ -116,7 +119,8 @@ def _merge_rows(size: int):
                     size,
                 )
                 n += row["n"]
-        yield _summary_row(0, keys, counts, n)
+                total += row["total"]
+        yield _summary_row(0, keys, counts, n, total)
 
     return run
 
@@ -139,21 +143,29 @@ def _count_held(held):
     return run
 
 
+def _summarised(docs: DataFrame, size: int):
+    """The summary of all documents, one row."""
+    local = stage(docs.select("text").mapInArrow(_summaries(size), _SUMMARY_SCHEMA), "summaries")
+    while (parts := local.rdd.getNumPartitions()) > 8:
+        local = stage(
+            local.coalesce(-(-parts // 8)).mapInArrow(_merge_rows(size), _SUMMARY_SCHEMA), "summaries"
+        )
+    return local.coalesce(1).mapInArrow(_merge_rows(size), _SUMMARY_SCHEMA).head()
+
+
 def common_shingles(
     docs: DataFrame, rare: float = RARE, size: int = SUMMARY
 ) -> tuple[np.ndarray, np.ndarray, int]:
     """Shingles found in more than ``rare`` of all documents, their idf, and the number of documents.
 
-    Exact for every shingle in more documents than 1 / ``size`` of the number of distinct shingles
-    summed over documents; rarer ones count as rare. At most ``size`` rows come to the driver.
+    A summary holds every shingle in more documents than 1 / ``size`` of the number of distinct shingles summed
+    over documents. If that is more than ``rare``, it is taken again at the size the measured number asks for, so
+    all are held. At most as many rows come to the driver: about the average number a document over ``rare``.
     """
     spark = docs.sparkSession
-    local = stage(docs.select("text").mapInArrow(_summaries(size), _SUMMARY_SCHEMA), "summaries")
-    while (parts := local.rdd.getNumPartitions()) > 8:
-        local = stage(
-            local.coalesce(-(-parts // 8)).mapInArrow(_merge_rows(size), _SUMMARY_SCHEMA), "summaries"
-        )
-    last = local.coalesce(1).mapInArrow(_merge_rows(size), _SUMMARY_SCHEMA).head()
+    last = _summarised(docs, size)
+    if last and last["n"] and (needed := math.ceil(last["total"] / (rare * last["n"]))) > size:
+        last = _summarised(docs, needed)
     n = last["n"] if last else 0
     held = np.sort(np.frombuffer(last["keys"], np.uint64)) if last else np.zeros(0, np.uint64)
     if not len(held):

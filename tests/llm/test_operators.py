@@ -110,6 +110,23 @@ def test_common_shingles_are_counted_exactly(docs):
     assert sorted(idf) == pytest.approx(sorted(0.5 + 0.5 * np.log(n / c) / np.log(5) for c in df.values() if c > 0.2 * n))
 
 
+def test_common_shingles_are_held_whatever_the_length_of_texts(spark):
+    """Many more distinct shingles a document than a small summary holds, in many partitions."""
+    shared = [words(900 + i, 9) for i in range(8)]
+    rows = [(i, words(1000 + i, 300) + " " + shared[i % 8] + " " + words(2000 + i, 300)) for i in range(64)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(40)
+    want = Counter(s for _, t in rows for s in shingle_set(t))
+    key, idf, n = near_dup.common_shingles(df, rare=0.1, size=64)
+    assert n == 64 and len(key) == sum(c > 6.4 for c in want.values()) >= 40
+
+
+def test_idf_of_a_group_of_a_third(spark):
+    """The README's figure: shingles of a third of all rows weigh 0.62, so copies there link from a plain likeness of 0.87 on."""
+    idf = 0.5 + 0.5 * np.log(3) / np.log(1 / near_dup.RARE)
+    plain = lambda t: t / (t + idf * (1 - t))
+    assert idf == pytest.approx(0.62, abs=0.005) and plain(near_dup.THRESHOLD) == pytest.approx(0.866, abs=0.001)
+
+
 def test_samples_agree_as_often_as_texts_are_alike():
     key = np.sort(np.random.default_rng(1).integers(1, 1 << 54, 400, dtype=np.uint64))
     weight = np.random.default_rng(2).choice([0.5, 1.0, 2.0], 400).astype(np.float32)
