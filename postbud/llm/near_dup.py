@@ -505,8 +505,9 @@ def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     columns = docs.columns
     gone = (F.col("exact_id") != F.col("class_id")) | ~F.col("doc_id").eqNullSafe(F.col("least"))
+    # Written first, so that a join by the digest of many copies can be split.
     marks = (
-        _classes(docs)
+        stage(_classes(docs), "classed")
         .groupBy("doc_id", "digest")
         .agg(F.max(gone).alias("_gone"), F.count("*").alias("_n"))
         .where("_gone OR _n > 1")
