@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from postbud.llm import (
+    align,
     decontaminate,
     fingerprints,
+    hard_negatives,
     html,
     language,
     line_dedup,
@@ -16,6 +18,7 @@ from postbud.llm import (
     near_dup,
     suffix_dedup,
     tokens,
+    url_filter,
     warc,
 )
 
@@ -44,6 +47,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc_round_trip": _of("pages", warc.round_trip),
         "op9_benchmark_decontamination": _decontaminated,
         "op10_language_id": _of("documents", language.identify),
+        "op11_hard_negatives": _of("embeddings", hard_negatives.hard_negatives),
+        "op12_token_alignment": _of("documents", align.alignments),
+        "op13_url_filter": _of("pages", url_filter.judge),
     }
 
 
@@ -51,4 +57,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_line_dedup": line_dedup.ORACLE,
         "op5_source_mixing": mixing.ORACLE,
+        "op11_hard_negatives": hard_negatives.ORACLE,
+        "op13_url_filter": url_filter.ORACLE,
     }
