@@ -49,8 +49,8 @@ from postbud.plans.runs import step1, step2
 from postbud.queries import standins as given
 from postbud.session import scratch_path, stage
 from postbud.sinks.files import write_files, write_table
-from postbud.sources.exports import find_exports, load_reports
-from postbud.sources.files import choose_inputs
+from postbud.sources.exports import load_reports
+from postbud.sources.files import choose_inputs, profile
 from postbud.sources.tables import as_history, clean_return, read_returns
 
 OPTIONS = DeliveryOptions(months=given.RUN_MONTHS)
@@ -361,12 +361,14 @@ def q_newest_inputs(spark, sf_dir):
 
 
 def q_file_profile(spark, sf_dir):
-    files, _ = find_exports(spark, given.write_exports(spark, sf_dir))
-    rows = [
-        (region, suffix, f.delimiter, f.encoding, len(f.header)) for f in files for region, suffix in f.targets
-    ]
-    return spark.createDataFrame(
-        rows, "region string, suffix string, delimiter string, encoding string, n_columns int"
+    options = given.write_exports(spark, sf_dir)
+    folders = [f"{options.base_dir}/{region}" for region in options.regions]
+    facts = profile(spark, folders, options)
+    place = r"/in/([^/]+)/.*_([a-z]{3}\d\d)\.csv$"
+    path = F.url_decode("uri")
+    return facts.select(
+        F.regexp_extract(path, place, 1).alias("region"), F.regexp_extract(path, place, 2).alias("suffix"),
+        "delimiter", "encoding", "n_columns",
     )
 
 
@@ -455,6 +457,19 @@ def q_quoted_line_feeds(spark, sf_dir):
     return reports.rows.select("region", "suffix", "pfInstansId", "Pakkeforløp")
 
 
+def q_repeated_header(spark, sf_dir):
+    reports = load_reports(spark, given.write_exports(spark, sf_dir, change=given.with_repeated_headers))
+    return _blank_as_null(reports.rows, given.EXPORT_COLUMNS)
+
+
+def q_columns_dropped(spark, sf_dir):
+    options = replace(given.write_exports(spark, sf_dir), drop_empty_columns=True, drop_position=11)
+    present = load_reports(spark, options).rows
+    return missing_by_group(present.drop("region"), given.EXPORT_COLUMNS, ["suffix"]).unionByName(
+        missing_by_group(present.drop("suffix").withColumnRenamed("region", "suffix"), given.EXPORT_COLUMNS, ["suffix"])
+    )
+
+
 def q_parts_with_unequal_headers(spark, sf_dir):
     reports = load_reports(spark, given.write_unequal_parts(spark, sf_dir))
     return _blank_as_null(reports.rows, given.EXPORT_COLUMNS)

@@ -36,6 +36,22 @@ report AS (
   SELECT * FROM report WHERE "NPRId" IS NOT NULL AND "NPRId" NOT IN ('', 'NPRId', 'NULL')
 )"""
 
+EXPORTED = """
+in_order AS (
+  SELECT *, row_number() OVER (PARTITION BY region, suffix ORDER BY "pfInstansId") AS place FROM report
+), exported AS (
+  SELECT * FROM in_order
+  WHERE (place = 1 AND region <> 'HV' AND "NPRId" IN ('NPRId', 'NULL')) IS NOT TRUE
+)"""
+
+# Rows with an even number come in the first part; all parts head their keys alike.
+UNEQUAL = """
+in_order AS (
+  SELECT *, row_number() OVER (PARTITION BY region, suffix ORDER BY rad % 2, "pfInstansId") AS place FROM report
+), exported AS (
+  SELECT * FROM in_order WHERE (place = 1 AND "NPRId" IN ('NPRId', 'NULL')) IS NOT TRUE
+)"""
+
 NUMBERS = f"""
 id_map AS (
   SELECT DISTINCT {MONTH_NAMES}[month(o_orderdate)] || '25' AS suffix, CAST(o_custkey AS VARCHAR) AS "NPRId",
@@ -158,6 +174,10 @@ def _blank_as_null(columns) -> str:
     return ", ".join(f'nullif("{c}", \'\') AS "{c}"' for c in columns)
 
 
+def _nulls(columns) -> str:
+    return ", ".join("'P'" if c == "pfInstansId" else "NULL" for c in columns)
+
+
 def _column_rows(value: str, pairs: dict[str, str], source: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, {expression} AS {value} FROM {source}" for c, expression in pairs.items()
@@ -227,7 +247,8 @@ def _gates() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    exports = f'SELECT region, suffix, {_blank_as_null(EXPORT_COLUMNS)} FROM report'
+    # The first row of an export goes if it repeats the header; only HV heads its keys otherwise.
+    exports = f'SELECT region, suffix, {_blank_as_null(EXPORT_COLUMNS)} FROM exported'
     deliveries = _with(REPORT, NUMBERS, LOCATIONS, _located("uncorrected"), DELIVERED)
     deliveries += f"SELECT region, suffix, {_output(HAVE)} FROM with_year"
     return {
@@ -336,18 +357,27 @@ def oracle_sql() -> dict[str, str]:
             CASE WHEN region = 'HV' THEN ',' ELSE ';' END AS delimiter,
             CASE WHEN region = 'HMN' THEN 'Windows-1252' ELSE 'UTF-8' END AS encoding,
             CAST({len(EXPORT_COLUMNS)} AS INTEGER) AS n_columns FROM report""",
-        "read_exports": _with(REPORT) + exports,
-        "cached_exports": _with(REPORT) + exports,
+        "columns_dropped": _with(REPORT, EXPORTED) + " UNION ALL ".join(
+            f"""SELECT {by} AS suffix, '{c}' AS missing_column FROM exported GROUP BY {by}
+                HAVING count(*) FILTER (WHERE "{c}" <> '') = 0"""
+            for by in ("suffix", "region") for c in EXPORT_COLUMNS
+        ),
+        "read_exports": _with(REPORT, EXPORTED) + exports,
+        "cached_exports": _with(REPORT, EXPORTED) + exports,
+        "repeated_header": _with(REPORT) + f"""SELECT region, suffix, {_blank_as_null(EXPORT_COLUMNS)} FROM report
+            UNION ALL SELECT region, suffix, 'NPRId', {_nulls(EXPORT_COLUMNS[1:])}
+            FROM (SELECT region, suffix, unnest(CASE WHEN region = 'HV' THEN [1, 2] ELSE [1] END)
+              FROM report GROUP BY region, suffix)""",
         "read_returns": _with(NUMBERS) + "SELECT * FROM id_map",
         "csv_roundtrip": "SELECT doc_id, text FROM documents",
         "run_requests": _with(REPORT) + 'SELECT DISTINCT suffix, "NPRId" FROM valid',
         "run_deliveries": deliveries,
         "run_deliveries_in_parts": deliveries,
         "run_deliveries_one_file": deliveries,
-        "parts_with_unequal_headers": _with(REPORT) + exports,
-        "quoted_line_feeds": _with(REPORT) + """SELECT region, suffix, "pfInstansId",
-            replace("Pakkeforløp", '; ', '"' || chr(10) || ';') AS "Pakkeforløp" FROM report""",
+        "parts_with_unequal_headers": _with(REPORT, UNEQUAL) + exports,
+        "quoted_line_feeds": _with(REPORT, EXPORTED) + """SELECT region, suffix, "pfInstansId",
+            replace("Pakkeforløp", '; ', '"' || chr(10) || ';') AS "Pakkeforløp" FROM exported""",
         # A delimited file does not tell NULL from the empty text; both are read as the latter.
-        "bydel_filled_from_files": _with(REPORT, LOCATIONS) + """SELECT "pfInstansId",
-            coalesce("BydelNr", '') AS "BydelNr" FROM report""",
+        "bydel_filled_from_files": _with(REPORT, EXPORTED) + """SELECT "pfInstansId",
+            coalesce("BydelNr", '') AS "BydelNr" FROM exported""",
     }

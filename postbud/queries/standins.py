@@ -165,7 +165,10 @@ HABITS = {
 def write_exports(
     spark: SparkSession, sf_dir: str, one_file: bool = True, change=lambda rows: rows
 ) -> DeliveryOptions:
-    """Exports of all rows as the regions would send them; gives the options to read them."""
+    """Exports of all rows as the regions would send them; gives the options to read them.
+
+    Rows of a file are in order of ``pfInstansId``, so it is always the same one that stands first.
+    """
     home = scratch_path(spark, "exchange")
     rows = stage(change(report(spark, sf_dir)), "report")
     place = EXPORT_NAME.replace(".*", "Uttrekk ").replace("\\", "")
@@ -178,7 +181,7 @@ def write_exports(
             rows.where(F.col("region") == region).select("region", "suffix", *columns),
             ["region", "suffix"], "{region}/" + place, f"{home}/in",
             sizes={g: n for g, n in sizes.items() if g[0] == region},
-            sep=sep, encoding=encoding, one_file=one_file,
+            sep=sep, encoding=encoding, one_file=one_file, sort_by=[headers.get("pfInstansId", "pfInstansId")],
         )
 
     with ThreadPoolExecutor(len(HABITS)) as pool:
@@ -197,10 +200,19 @@ def write_unequal_parts(spark: SparkSession, sf_dir: str) -> DeliveryOptions:
         write_files(
             rows.where(F.pmod("rad", F.lit(2)) == part).select("region", "suffix", *columns),
             ["region", "suffix"], "{region}/" + place + f"/part-{part}.csv", f"{home}/in", one_file=True,
+            sort_by=["pfInstansId"],
         )
     return DeliveryOptions(months=RUN_MONTHS, base_dir=f"{home}/in")
 
 
+def with_repeated_headers(rows: DataFrame) -> DataFrame:
+    """The report with two rows at the top of every export that repeat the word above the keys."""
+    top = rows.select("region", "suffix").distinct().withColumn("n", F.explode(F.array(F.lit(1), F.lit(2))))
+    return rows.unionByName(
+        top.select("region", "suffix", F.lit("NPRId").alias("NPRId"), F.lit("P").alias("pfInstansId")), allowMissingColumns=True
+    )
+
+
 def write_returns(spark: SparkSession, sf_dir: str, options: DeliveryOptions, one_file: bool = True) -> None:
     """The registry's answer for every month, untidy as it comes."""
     answers = stage(id_map(spark, sf_dir), "answers").select(

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postbud.functions.predicates import KEY, has_mojibake
+from postbud.functions.predicates import KEY, NULL_TOKEN, has_mojibake
 from postbud.functions.text import decode_cp1252, repair_mojibake, strip_cr, trim_blanks
 from postbud.operators.conform import (
     add_location_columns,
@@ -22,9 +22,12 @@ from postbud.operators.conform import (
     union_regions,
 )
 from postbud.options import DeliveryOptions
+from postbud.session import stage
 from postbud.sources.files import (
+    CONTROLS,
     CP1252,
     LATIN1,
+    UTF8,
     ExportFile,
     as_literal_path,
     choose_inputs,
@@ -37,12 +40,14 @@ from postbud.sources.files import (
     read_text,
     write_text,
 )
+from postbud.sources.quoted import whole_records
 
 log = logging.getLogger("postbud")
 
 CACHE_VERSION = "2"
 MARKER = "_COLUMNS"
 PLACE = ("region", "suffix", "key")
+POSITION = ["_uri", "_part", "_block", "_i"]
 
 
 class MissingInput(FileNotFoundError):
@@ -76,90 +81,123 @@ def find_exports(spark: SparkSession, options: DeliveryOptions) -> tuple[list[Ex
     return profile_files(spark, chosen, options), absent
 
 
-def _raw_scan(spark: SparkSession, files: Sequence[ExportFile], options: DeliveryOptions) -> DataFrame:
-    """Files of one kind in one scan: text cells by position, plus the file they came from.
+def _cleaned(cells: Sequence[str], kind: ExportFile, options: DeliveryOptions) -> list[Column]:
+    def clean(c: Column) -> Column:
+        c = F.coalesce(strip_cr(c), F.lit(""))
+        if kind.encoding == CP1252:
+            c = decode_cp1252(c)
+        return repair_mojibake(c) if options.repair_mojibake and kind.has_marks else c
+
+    return [clean(F.col(c)).alias(c) for c in cells]
+
+
+def _scan(spark: SparkSession, files: Sequence[ExportFile], options: DeliveryOptions) -> DataFrame:
+    """Files of one kind in one scan: text cells by position, and where each row stands.
 
     Cells are split at line feeds only, so a carriage return inside a cell does not end the
-    row. Files with line feeds inside quoted cells are read whole, each by one task. A cell of a
-    column that the export has is never NULL. Column names are positions, as headers may repeat a name.
+    row. A cell of a column that the export has is never NULL. Column names are positions, as headers
+    may repeat a name. Files with line feeds inside quoted cells go line by line through ``quoted``.
     """
     kind = files[0]
-    multi_line = options.multi_line or kind.broken_lines
     cells = [f"c{i}" for i in range(len(kind.header))]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in cells])
+    parsing = dict(
+        sep=kind.delimiter, quote='"', escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
+    )
+    paths = [as_literal_path(p) for f in files for p in f.parts]
+    uri = F.col("_metadata.file_path")
+    place = [
+        export_of(uri).alias("_uri"), uri.alias("_part"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_i"),
+    ]
+    quoted = options.multi_line or kind.broken_lines
+    if quoted and kind.encoding in (UTF8, CP1252, LATIN1):
+        line = F.col("value")
+        line = F.make_valid_utf8(line) if kind.encoding == UTF8 else F.decode(line.cast("binary"), LATIN1)
+        lines = stage(spark.read.text(paths, lineSep="\n").select(*place, line.alias("line")), "lines")
+        filled = F.btrim("line", F.lit(CONTROLS)) != ""
+        heads = lines.where((F.col("_block") == 0) & filled).groupBy("_part").agg(F.min("_i").alias("_head"))
+        # One row per file of these exports, joined by its measured size.
+        body = lines.join(heads, "_part", "left").where((F.col("_block") > 0) | (F.col("_i") > F.col("_head"))).drop("_head")
+        records = whole_records(body, kind.delimiter).where(filled)
+        parsed = F.from_csv("line", schema.simpleString()[7:-1].replace(":", " "), {**parsing, "lineSep": "\n"})
+        return records.select(parsed.alias("r"), *POSITION).select(*POSITION, "r.*").select(*_cleaned(cells, kind, options), *POSITION)
     reader = spark.read.schema(schema).options(
-        header=True,
-        enforceSchema=True,
-        sep=kind.delimiter,
-        encoding=LATIN1 if kind.encoding == CP1252 else kind.encoding,
-        quote='"',
-        escape='"',
-        multiLine=multi_line,
-        ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
+        header=True, enforceSchema=True, encoding=LATIN1 if kind.encoding == CP1252 else kind.encoding,
+        multiLine=quoted, **parsing,
     )
-    if not multi_line:
+    if not quoted:
         reader = reader.option("lineSep", "\n")
-
-    def clean(c: Column) -> Column:
-        c = F.coalesce(strip_cr(c), F.lit(""))
-        if kind.encoding == CP1252:
-            c = decode_cp1252(c)
-        return repair_mojibake(c) if options.repair_mojibake and kind.has_marks else c
-
-    return reader.csv([as_literal_path(p) for f in files for p in f.parts]).select(
-        *[clean(F.col(c)).alias(c) for c in cells],
-        export_of(F.col("_metadata.file_path")).alias("_uri"),
-        F.col("_metadata.file_block_start").alias("_block"),
-    )
-
-
-def _without_junk_row(raw: DataFrame, junk: tuple[str, ...] | None) -> DataFrame:
-    """Leave out the repeated header row at the top of a file."""
-    if junk is None:
-        return raw
-    is_junk = F.col("_block") == 0
-    for i, cell in enumerate(junk):
-        is_junk = is_junk & (F.coalesce(F.col(f"c{i}"), F.lit("")) == cell)
-    return raw.where(~is_junk)
+    return reader.csv(paths).select(*_cleaned(cells, kind, options), *place)
 
 
 def _kinds(files: Sequence[ExportFile]) -> list[list[ExportFile]]:
     """Files that can share a scan: what their first lines and bytes say is the same."""
     groups: dict[tuple, list[ExportFile]] = {}
     for f in files:
-        kind = (f.header, f.delimiter, f.encoding, f.has_marks, f.broken_lines, f.junk_row)
+        kind = (f.header, f.delimiter, f.encoding, f.has_marks, f.broken_lines)
         groups.setdefault(kind, []).append(f)
     return list(groups.values())
 
 
+def _parsed(spark: SparkSession, kinds: Sequence[Sequence[ExportFile]], options: DeliveryOptions) -> DataFrame:
+    """All cells of all files, parsed once into a columnar table that everything else reads.
+
+    Its columns are positions, so files with other headers share it; ``_kind`` says which header holds,
+    ``_raw_key`` is the cell below a header that is exactly the key's name.
+    """
+    scans = []
+    for k, files in enumerate(kinds):
+        scan, header = _scan(spark, files, options), files[0].header
+        raw_key = F.col(f"c{header.index(KEY)}") if KEY in header else F.lit(None).cast("string")
+        scans.append(scan.withColumns({"_kind": F.lit(k), "_raw_key": raw_key}))
+    return stage(union_regions(scans), "cells")
+
+
+def _repeated_headers(cells: DataFrame) -> DataFrame | None:
+    """Where the first data row of an export repeats its header, at most one place per export.
+
+    The first row is the first one of the first part that has any, by its place in the file. It repeats the
+    header if its key cell says so; rows like it further down are data.
+    """
+    # A row per part: numbers only are aggregated, and only over the first block of each part.
+    tops = cells.where("_block = 0").groupBy("_uri", "_part").agg(F.min("_i").alias("_i"))
+    first = tops.groupBy("_uri").agg(F.min(F.struct("_part", "_i")).alias("first")).select("first.*")
+    # A row per export, so this side always fits.
+    found = cells.where("_block = 0").join(F.broadcast(first), ["_part", "_i"]).where(F.col("_raw_key").isin(KEY, NULL_TOKEN))
+    rows = [tuple(r) for r in found.select("_part", "_i").collect()]
+    return cells.sparkSession.createDataFrame(rows, "_part string, _i long") if rows else None
+
+
+def _without_repeated_headers(cells: DataFrame, places: DataFrame | None) -> DataFrame:
+    if places is None:
+        return cells
+    at = F.broadcast(places.withColumn("_block", F.lit(0).cast("long")))
+    return cells.join(at, POSITION[1:], "left_anti")
+
+
 def _kept_columns(
-    spark: SparkSession, group: list[ExportFile], options: DeliveryOptions
+    cells: DataFrame, places: DataFrame | None, group: list[ExportFile], options: DeliveryOptions
 ) -> dict[str, tuple[int, ...]]:
     """Positions each file keeps after the empty-column rules."""
     width = len(group[0].header)
     everything = tuple(range(width))
     kept = {f.uri: everything for f in group}
-    if not (options.drop_empty_columns or options.drop_position):
-        return kept
-    raw = _raw_scan(spark, group, options)
     at = options.drop_position - 1 if options.drop_position else width
     if at < width:
         # Looked at before a repeated header row is left out.
-        filled = _filled_by_file(raw, [at])
+        filled = _filled_by_file(cells, [at])
         kept = {u: tuple(i for i in p if i != at or _has_values(filled, u, i)) for u, p in kept.items()}
-        for uri in (u for u, p in kept.items() if at in p):
-            log.warning("column %s of %s has values and is kept", options.drop_position, uri)
     if options.drop_empty_columns:
-        filled = _filled_by_file(_without_junk_row(raw, group[0].junk_row), everything)
+        filled = _filled_by_file(_without_repeated_headers(cells, places), everything)
         kept = {u: tuple(i for i in p if _has_values(filled, u, i)) for u, p in kept.items()}
     return kept
 
 
-def _filled_by_file(raw: DataFrame, positions: Sequence[int]) -> dict[str, Row]:
+def _filled_by_file(cells: DataFrame, positions: Sequence[int]) -> dict[str, Row]:
     """Which columns hold anything, per file; one row per file comes back."""
-    cells = [f"c{i}" for i in positions]
-    return {r["_uri"]: r for r in column_fill(raw.select("_uri", *cells), by=["_uri"]).collect()}
+    columns = [f"c{i}" for i in positions]
+    return {r["_uri"]: r for r in column_fill(cells.select("_uri", *columns), by=["_uri"]).collect()}
 
 
 def _has_values(filled: dict[str, Row], uri: str, position: int) -> bool:
@@ -177,10 +215,15 @@ class _Piece:
 
 
 def _pieces(spark: SparkSession, files: Sequence[ExportFile], options: DeliveryOptions) -> list[_Piece]:
-    pieces = []
-    for group in _kinds(files):
+    pieces, kinds = [], _kinds(files)
+    for group in kinds:
+        require_key(plan_header(group[0].header, options.header_aliases, options.alias_policy).names, ", ".join(f.path for f in group))
+    every_cell = _parsed(spark, kinds, options)
+    places = _repeated_headers(every_cell)
+    for k, group in enumerate(kinds):
         by_columns: dict[tuple[int, ...], list[ExportFile]] = {}
-        kept = _kept_columns(spark, group, options)
+        cells = every_cell.where(F.col("_kind") == k)
+        kept = _kept_columns(cells, places, group, options)
         for f in group:
             by_columns.setdefault(kept[f.uri], []).append(f)
         for positions, alike in by_columns.items():
@@ -188,9 +231,9 @@ def _pieces(spark: SparkSession, files: Sequence[ExportFile], options: DeliveryO
                 [alike[0].header[i] for i in positions], options.header_aliases, options.alias_policy
             )
             require_key(plan.names, ", ".join(f.path for f in alike))
-            raw = _without_junk_row(_raw_scan(spark, alike, options), alike[0].junk_row)
             # One row per region and month, so this side always fits.
-            placed = raw.join(F.broadcast(_targets(spark, alike, options)), "_uri")
+            rows = _without_repeated_headers(cells, places)
+            placed = rows.join(F.broadcast(_targets(spark, alike, options)), "_uri")
             named = placed.select(
                 *PLACE, *[F.col(f"c{i}").alias(n) for i, n in zip(positions, plan.names)]
             )

@@ -9,22 +9,24 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postbud.functions.predicates import KEY, MOJIBAKE_MARKS, NULL_TOKEN, has_mojibake
-from postbud.functions.text import clean_header_text
+from postbud.functions.predicates import MOJIBAKE_MARKS, has_mojibake
+from postbud.functions.text import clean_header_text, decode_cp1252
 from postbud.options import DeliveryOptions
 
 UTF8 = "UTF-8"
 CP1252 = "Windows-1252"
 LATIN1 = "ISO-8859-1"
 BOM = "\ufeff"
+# A line of these alone is blank, as the parser sees it.
+CONTROLS = "".join(map(chr, range(0x21)))
 
 
 @dataclass(frozen=True)
@@ -44,7 +46,6 @@ class ExportFile:
     has_marks: bool
     broken_lines: bool
     header: tuple[str, ...]
-    junk_row: tuple[str, ...] | None
     parts: tuple[str, ...]
 
 
@@ -172,72 +173,89 @@ def split_line(line: str, delimiter: str) -> tuple[str, ...]:
     return tuple(rows[0]) if rows else ()
 
 
-def detect_delimiter(header: str, tie_delimiter: str = ";") -> str:
+def detect_delimiter(header: Column, tie_delimiter: str = ";") -> Column:
     """The separator that cuts the header into more fields."""
 
-    def fields(delimiter: str) -> int:
-        parts = header.split(delimiter)
-        return len(parts) - (parts[-1] == "")
+    def fields(delimiter: str) -> Column:
+        last_is_empty = (header == "") | header.endswith(delimiter)
+        return F.size(F.split(header, delimiter, -1)) - last_is_empty.cast("int")
 
     semicolons, commas = fields(";"), fields(",")
-    if semicolons == commas:
-        return tie_delimiter
-    return ";" if semicolons > commas else ","
+    return F.when(semicolons == commas, tie_delimiter).when(semicolons > commas, ";").otherwise(",")
 
 
-def list_parts(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """The files that exports consist of; contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .load([as_literal_path(p) for p in paths])
-        .select(export_of(F.col("path")).alias("export"), "path", F.col("_metadata.file_path").alias("uri"))
-    )
+# What can be said of a line, one bit each.
+NOT_UTF8, MARKS_AS_UTF8, MARKS_AS_BYTES, ODD_QUOTES = 1, 2, 4, 8
 
 
-def first_lines(spark: SparkSession, path: str) -> list[bytes]:
-    """The first two lines of one file that are not blank; no more is read than that takes."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
-    found = []
-    try:
-        lines = spark._jvm.java.util.Scanner(stream, LATIN1).useDelimiter("\n")
-        while len(found) < 2 and lines.hasNext():
-            line = lines.next().encode(LATIN1)
-            if line.strip():
-                found.append(line)
-    finally:
-        stream.close()
-    return found
-
+def profile(spark: SparkSession, paths: Iterable[str], options: DeliveryOptions) -> DataFrame:
+    """Delimiter, encoding, header and other facts of exports, from one pass over their lines.
 
-def byte_facts(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """What one pass over whole files says about their bytes, one row per export.
+    One row per export and header; the parts of an export that begin alike are in one row, parts without
+    a line in none. ``has_marks`` tells whether any line shows the marks of a wrong decoding,
+    ``broken_lines`` whether any holds an odd number of quotes, as the first line of a cell with a
+    line feed does. Files without marks are read without the repair.
 
-    ``is_utf8`` tells whether every line is valid UTF-8, ``has_marks`` whether any line shows
-    the marks of a wrong decoding, ``broken_lines`` whether any holds an odd number of quotes, as
-    the first line of a cell with a line feed does. Files without marks are read without the
-    repair, files without such lines are split at line feeds.
+    Lines are only looked at, so what is shuffled is a row per part and task. The header is the first
+    line that is not blank, by its place in the part.
     """
-    lines = spark.read.text([as_literal_path(p) for p in paths], lineSep="\n")
-    line, raw = F.col("value"), F.col("value").cast("binary")
+    lines = spark.read.text([as_literal_path(p) for p in paths], lineSep="\n").select(
+        F.col("_metadata.file_path").alias("part"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+        F.col("value").alias("line"),
+    )
+    line, raw = F.col("line"), F.col("line").cast("binary")
     bytes_of_marks = [F.lit(mark.encode(LATIN1)) for mark in MOJIBAKE_MARKS]
     quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
+    bits = (
+        F.when(F.is_valid_utf8(line), 0).otherwise(NOT_UTF8)
+        + F.when(has_mojibake(line), MARKS_AS_UTF8).otherwise(0)
+        + F.when(reduce(or_, [F.contains(raw, b) for b in bytes_of_marks]), MARKS_AS_BYTES).otherwise(0)
+        + F.when(quotes % 2 == 1, ODD_QUOTES).otherwise(0)
+    )
+    filled = F.btrim(line, F.lit(CONTROLS)) != ""
+    # The set of bits makes this a hash aggregate of objects; without it lines would be sorted first.
+    per_part = lines.groupBy("part").agg(
+        F.collect_set(bits).alias("seen"), F.min_by(F.when(filled, raw), F.when(filled, F.col("place"))).alias("head")
+    )
+
+    def any_line(bit: int) -> Column:
+        return F.exists("seen", lambda x: x.bitwiseAND(bit) != 0)
+
+    # A row per part goes through this window, no line does.
+    export = Window.partitionBy("uri")
+    whole = per_part.withColumn("uri", export_of(F.col("part"))).select(
+        "uri",
+        "part",
+        "head",
+        *[
+            F.bool_or(any_line(bit)).over(export).alias(name)
+            for name, bit in (("bad", NOT_UTF8), ("utf8", MARKS_AS_UTF8), ("bytes", MARKS_AS_BYTES), ("broken_lines", ODD_QUOTES))
+        ],
+    )
+    if options.encoding_override:
+        forced = normal_encoding(options.encoding_override)
+        encoding, has_marks = F.lit(forced), F.lit(True)
+        decoded = F.decode("head", LATIN1 if forced in (UTF8, CP1252) else forced)
+    else:
+        encoding = F.when(F.col("bad"), CP1252).otherwise(UTF8)
+        has_marks = F.when(F.col("bad"), F.col("bytes")).otherwise(F.col("utf8"))
+        decoded = F.decode("head", LATIN1)
+    text = (
+        F.when(encoding == UTF8, F.make_valid_utf8(F.col("head").cast("string")))
+        .when(encoding == CP1252, decode_cp1252(decoded))
+        .otherwise(decoded)
+    )
+    head = F.regexp_replace(F.regexp_replace(text, "^\ufeff", ""), "\r+$", "")
+    delimiter = detect_delimiter(F.col("head"), options.tie_delimiter)
+    unquoted = F.regexp_replace("head", '"[^"]*"', "")
     return (
-        lines.select(
-            export_of(F.col("_metadata.file_path")).alias("uri"),
-            F.is_valid_utf8(line).alias("is_utf8"),
-            has_mojibake(line).alias("utf8_marks"),
-            reduce(or_, [F.contains(raw, b) for b in bytes_of_marks]).alias("one_byte_marks"),
-            (quotes % 2 == 1).alias("odd_quotes"),
-        )
-        .groupBy("uri")
-        .agg(
-            F.bool_and("is_utf8").alias("is_utf8"),
-            F.when(F.bool_and("is_utf8"), F.bool_or("utf8_marks"))
-            .otherwise(F.bool_or("one_byte_marks"))
-            .alias("has_marks"),
-            F.bool_or("odd_quotes").alias("broken_lines"),
-        )
+        whole.where("head IS NOT NULL")
+        .select("uri", "part", encoding.alias("encoding"), has_marks.alias("has_marks"), "broken_lines", head.alias("head"))
+        .groupBy("uri", "encoding", "has_marks", "broken_lines", "head")
+        .agg(F.sort_array(F.collect_list("part")).alias("parts"))
+        .withColumn("delimiter", delimiter)
+        .withColumn("n_columns", F.size(F.split(unquoted, F.col("delimiter"), -1)))
     )
 
 
@@ -250,7 +268,7 @@ def normal_encoding(name: str) -> str:
 
 
 def profile_files(spark: SparkSession, chosen: list, options: DeliveryOptions) -> list[ExportFile]:
-    """Delimiter, encoding, header and a repeated header row for every chosen file.
+    """The facts of every chosen export, from one job.
 
     An export in parts gives one entry for all parts that begin alike, so each part is read by its
     own header. Parts without a line are left out where others have one.
@@ -262,58 +280,23 @@ def profile_files(spark: SparkSession, chosen: list, options: DeliveryOptions) -
         rows[r["path"]] = r
     if not rows:
         return []
-
-    facts = {r["uri"]: r for r in byte_facts(spark, rows).collect()}
-    parts: dict[str, list[str]] = {}
-    for part in list_parts(spark, rows).collect():
-        parts.setdefault(part["export"], []).append(part["path"])
-    flat = sorted(p for own in parts.values() for p in own)
-    with ThreadPoolExecutor(8) as pool:
-        tops = dict(zip(flat, pool.map(lambda path: first_lines(spark, path), flat)))
+    found: dict[str, list] = {}
+    for fact in profile(spark, rows, options).collect():
+        found.setdefault(fact["uri"], []).append(fact)
 
     files = []
     for path, r in rows.items():
-        fact = facts.get(r["uri"])
-        if options.encoding_override:
-            encoding, has_marks = normal_encoding(options.encoding_override), True
-        else:
-            encoding = UTF8 if fact is None or fact["is_utf8"] else CP1252
-            has_marks = fact is not None and fact["has_marks"]
-        alike: dict[tuple, list[str]] = {}
-        for part in sorted(parts[path]):
-            lines = [b.decode(encoding, "replace").rstrip("\r") for b in tops[part]]
-            head = lines[0].removeprefix(BOM) if lines else ""
-            delimiter = detect_delimiter(head, options.tie_delimiter)
-            header = tuple(clean_header_text(h) for h in split_line(head, delimiter))
-            top = (delimiter, header, _junk_row(header, lines[1:], delimiter)) if lines else ()
-            alike.setdefault(top, []).append(part)
-        if len(alike) > 1:
-            alike.pop((), None)
-        for top, own in alike.items():
-            delimiter, header, junk_row = top or (options.tie_delimiter, (), None)
+        place = dict(path=path, uri=r["uri"], modified=r["modified"], length=r["length"], targets=tuple(targets[path]))
+        facts = sorted(found.get(r["uri"], []), key=lambda f: f["parts"][0])
+        for f in facts:
+            header = tuple(clean_header_text(h) for h in split_line(f["head"], f["delimiter"]))
             files.append(
                 ExportFile(
-                    path=path,
-                    uri=r["uri"],
-                    modified=r["modified"],
-                    length=r["length"],
-                    targets=tuple(targets[path]),
-                    delimiter=delimiter,
-                    encoding=encoding,
-                    has_marks=has_marks,
-                    broken_lines=fact is not None and fact["broken_lines"],
-                    header=header,
-                    junk_row=junk_row,
-                    parts=tuple(own),
+                    **place, delimiter=f["delimiter"], encoding=f["encoding"], has_marks=f["has_marks"],
+                    broken_lines=f["broken_lines"], header=header, parts=tuple(unquote(p) for p in f["parts"]),
                 )
             )
+        if not facts:  # no line at all
+            empty = dict(delimiter=options.tie_delimiter, encoding=UTF8, has_marks=False, broken_lines=False)
+            files.append(ExportFile(**place, **empty, header=(), parts=(path,)))
     return files
-
-
-def _junk_row(header: tuple[str, ...], rest: list[str], delimiter: str) -> tuple[str, ...] | None:
-    """Cells of the first data row if it repeats the header instead of holding data."""
-    if not rest or KEY not in header:
-        return None
-    cells = split_line(rest[0], delimiter)[: len(header)]
-    cells += ("",) * (len(header) - len(cells))
-    return cells if cells[header.index(KEY)] in (KEY, NULL_TOKEN) else None

@@ -1,6 +1,7 @@
 """Reading and writing files: odd exports, returned numbers, deliveries byte by byte."""
 
 import os
+import random
 from dataclasses import replace
 
 import pytest
@@ -9,7 +10,7 @@ from postbud.operators.conform import MissingKeyColumn
 from postbud.options import DeliveryOptions
 from postbud.sinks.files import write_files, write_table
 from postbud.sources.exports import MissingInput, MojibakeFound, find_exports, load_reports
-from postbud.sources.files import detect_delimiter
+from postbud.sources.files import detect_delimiter, profile
 from postbud.sources.tables import MissingReturnFile, read_returns
 
 HSO = "HSØ"
@@ -35,13 +36,10 @@ def rows(reports, *columns):
     )
 
 
-def test_detect_delimiter():
-    assert detect_delimiter("a;b,c;d") == ";"
-    assert detect_delimiter("a,b;c,d") == ","
-    assert detect_delimiter("a;b,c") == ";"
-    assert detect_delimiter("a;b,c", ",") == ","
-    assert detect_delimiter("a,b;;") == ";"
-    assert detect_delimiter("") == ";"
+def test_detect_delimiter(apply):
+    heads = ["a;b,c;d", "a,b;c,d", "a;b,c", "a,b;;", ""]
+    assert apply(detect_delimiter, heads) == [";", ",", ";", ";", ";"]
+    assert apply(lambda c: detect_delimiter(c, ","), heads) == [";", ",", ",", ",", ","]
 
 
 def test_export_with_bom_crlf_quotes_and_ragged_rows(spark, options, tmp_path):
@@ -80,6 +78,41 @@ def test_repeated_header_row(spark, options, tmp_path):
     assert rows(load_reports(spark, options), "NPRId", "OF1") == [("1", "a"), ("NPRId", "OF1x")]
 
 
+def test_only_the_first_row_of_the_first_part_can_repeat_the_header(spark, options, tmp_path):
+    folder = tmp_path / "in/HV/RHF_HV_des25.csv"
+    put(folder / "part-0.csv", "NPRId;OF1\n")
+    put(folder / "part-1.csv", "NPRId;OF1\nNULL;x\nNULL;x\n1;a\n")
+    put(folder / "part-2.csv", "NPRId;OF1\nNPRId;OF1\n2;b\n")
+    put(tmp_path / "in/HMN/RHF_HMN_des25.csv", "npr id;OF1\nNPRId;OF1\n3;c\n")
+    expected = [("1", "a"), ("2", "b"), ("3", "c"), ("NPRId", "OF1"), ("NPRId", "OF1"), ("NULL", "x")]
+    assert rows(load_reports(spark, options), "NPRId", "OF1") == expected
+
+
+def test_an_export_is_parsed_once_and_profiled_by_one_job(spark, options, tmp_path):
+    for part in range(30):
+        put(tmp_path / f"in/HV/RHF_HV_des25.csv/part-{part:02d}.csv", f"NPRId;OF1\n{part};a\n")
+    group = "profile-job"
+    spark.sparkContext.setJobGroup(group, group)
+    files, _ = find_exports(spark, options)
+    (facts,) = files
+    assert len(facts.parts) == 30 and facts.header == ("NPRId", "OF1")
+    profiled = profile(spark, [f"{options.base_dir}/HV"], options)
+    plan = profiled._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and "SortAggregate" not in plan
+    reports = load_reports(spark, options)
+    for df in (reports.rows, reports.rows.select("NPRId").distinct()):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan parquet" in plan and "FileScan csv" not in plan and "FileScan text" not in plan
+    assert "c0#" in plan and "c1#" not in plan
+
+
+def test_a_part_that_cannot_be_read_raises(spark, options, tmp_path, monkeypatch):
+    bad = put(tmp_path / "in/HV/RHF_HV_des25.csv/part-0.csv.gz", b"this is no archive")
+    put(bad.parent / "part-1.csv", "NPRId\n1\n")
+    with pytest.raises(Exception, match="gzip"):
+        load_reports(spark, options)
+
+
 def test_which_file(spark, options, tmp_path):
     folder = tmp_path / "in/HV"
     old = put(folder / "a RHF_HV_des25.csv", "NPRId\n1\n")
@@ -165,6 +198,61 @@ def test_line_feeds_in_quoted_cells(spark, options, tmp_path):
     assert rows(load_reports(spark, forced), "NPRId", "OF1") == expected
 
 
+def python_records(text, delimiter=";"):
+    """Cells of every record, character by character."""
+    out, row, cell, state = [], [], "", "start"
+    for c in text:
+        if state == "inside":
+            if c == '"':
+                state = "maybe"
+            else:
+                cell += c
+            continue
+        if state == "maybe":
+            if c == '"':
+                cell, state = cell + '"', "inside"
+                continue
+            if c not in (delimiter, "\n"):  # the quote was no end, and the cell goes on without quotes
+                cell, state = '"' + cell + '"', "plain"
+        if c == delimiter:
+            row, cell, state = [*row, cell], "", "start"
+        elif c == "\n":
+            out.append([*row, cell])
+            row, cell, state = [], "", "start"
+        elif c == '"' and state == "start":
+            state = "inside"
+        else:
+            cell, state = cell + c, "plain" if state == "start" else state
+    return [r for r in out if r != [""]]
+
+
+@pytest.mark.parametrize("block", ["900", "100000"])
+def test_quoted_line_feeds_in_many_blocks(spark, options, tmp_path, block):
+    rng = random.Random(3)
+    cells = ["a", "", '"b"', '"c\nd"', '"e""f"', '"g;h"', '"\n\n"', '5" i', '"j""\n""k"', '" ;\n"', "l m"]
+    text = "NPRId;OF1;OF2\n" + "".join(f"{i};{rng.choice(cells)};{rng.choice(cells)}\n" for i in range(400))
+    put(tmp_path / "in/HV/RHF_HV_des25.csv", text)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in before:
+            spark.conf.set(k, block if k.endswith("PartitionBytes") else "0")
+        reports = load_reports(spark, options)
+        scanned = spark.read.text(str(tmp_path / "in/HV/RHF_HV_des25.csv")).rdd.getNumPartitions()
+        assert scanned > 1 or block == "100000"
+        found = rows(reports, "NPRId", "OF1", "OF2")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found == sorted([tuple(r) for r in python_records(text)[1:]], key=lambda r: tuple(str(v) for v in r))
+
+
+def test_a_quote_that_is_never_closed_raises(spark, options, tmp_path, monkeypatch):
+    monkeypatch.setattr("postbud.sources.quoted.MAX_RECORD_LINES", 50)
+    put(tmp_path / "in/HV/RHF_HV_des25.csv", 'NPRId;OF1\n1;"a\n' + "2;b\n" * 100)
+    with pytest.raises(ValueError, match="never closed|goes on"):
+        load_reports(spark, options)
+
+
 def test_blank_lines_at_the_top(spark, options, tmp_path):
     put(tmp_path / "in/HV/RHF_HV_des25.csv", "\n\r\n\n \n\n\nNPRId;OF1\n\n1;a\n")
     assert rows(load_reports(spark, options), "NPRId", "OF1") == [("1", "a")]
@@ -175,7 +263,8 @@ def test_parts_with_headers_of_their_own(spark, options, tmp_path):
     put(folder / "part-0.csv", "NPRId;institusjon;KommuneNr\n1;A;0301\n")
     put(folder / "part-1.csv", "KommuneNr,NPRId,OF1\nKommuneNr,NPRId,OF1\n0302,2,x\n")
     put(folder / "part-2.csv", "")
-    expected = [("1", "A", "0301", None), ("2", None, "0302", "x")]
+    # Only the first row of the whole export can be a repeated header.
+    expected = [("1", "A", "0301", None), ("2", None, "0302", "x"), ("NPRId", None, "KommuneNr", "OF1")]
     for how in (options, replace(options, cache_dir=str(tmp_path / "cache"))):
         reports = load_reports(spark, how)
         assert rows(reports, "NPRId", "institusjon", "KommuneNr", "OF1") == expected
