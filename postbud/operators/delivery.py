@@ -57,22 +57,24 @@ def deliver(
     profile: DataFrame | None = None,
     keep: tuple[str, ...] = ("region", "suffix"),
     lookup: DataFrame | None = None,
+    no_year: DataFrame | None = None,
 ) -> DataFrame:
     """All deliveries of a run as one table, the ``keep`` columns before the output layout.
 
     ``fixes`` is None when missing municipalities are not to be filled. ``profile`` is the key
-    profile of the report and ``lookup`` its ``key_lookup``; a run passes the staged ones. With a
+    profile of the report, ``lookup`` its ``key_lookup`` and ``no_year`` its ``groups_without_year``; a run
+    passes those that its key table gives. With a
     staged lookup the wide report goes through one join whose sides are both plain shuffles, and
     only there does AQE split the partition of a key that holds a large share of the rows.
     """
-    if profile is None:
-        profile = key_profile(report)
+    if no_year is None:
+        no_year = groups_without_year(key_profile(report) if profile is None else profile, id_map)
     if lookup is None:
         lookup = key_lookup(id_map, fixes, keep_unnumbered="enr" in report.columns)
     numbered = report.where(is_valid_key(F.col(KEY))).drop(NUMBER).join(lookup, RUN_KEY, "left")
     numbered = rescue_number(numbered).where(~is_missing(F.col(NUMBER)))
     # One row per region and month, so this side always fits.
-    flagged = numbered.join(F.broadcast(groups_without_year(profile, id_map)), GROUP, "left")
+    flagged = numbered.join(F.broadcast(no_year), GROUP, "left")
 
     filled = {
         "År": backfilled_year(

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from postbud.functions.predicates import KEY, is_missing, is_valid_key
 from postbud.operators.ids import RUN_KEY
 
+# So many keys at most are written into a filter.
+FEW_KEYS = 1000
+
 
 def ids_missing_municipality(report: DataFrame) -> DataFrame:
     """Valid keys that lack a municipality on some row of a month, in any region."""
@@ -63,6 +66,25 @@ def apply_overrides(fixes: DataFrame, overrides: DataFrame) -> DataFrame:
     )
 
 
+def needed_history(history: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of needed keys only, cut where the history is read.
+
+    The range of the keys, and the keys themselves if they are few, go to the scan as literals: parquet
+    skips row groups by them, a database by its index, where ``numPartitions`` splits the reading. What comes
+    through is semi-joined, to which Spark adds a Bloom filter where the sizes make it worth. ``keys`` holds distinct
+    keys; as they are looked at here, it should be a written table.
+    """
+    few = [r[0] for r in keys.limit(FEW_KEYS + 1).collect()]
+    if not few:
+        return history.limit(0)
+    if len(few) <= FEW_KEYS:
+        history = history.where(F.col(KEY).isin(few))
+    else:
+        least, most = keys.agg(F.min(KEY), F.max(KEY)).first()
+        history = history.where(F.col(KEY).between(least, most))
+    return history.join(keys, KEY, "left_semi")
+
+
 def location_fixes(history: DataFrame, needed: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
     """Latest location of every needed key, once per month that needs it.
 

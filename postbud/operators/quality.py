@@ -3,18 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postbud.functions.dates import parse_any_date
 from postbud.functions.numbers import cast_lost
-from postbud.functions.predicates import KEY, NUMBER, has_mojibake, is_missing, is_valid_key
+from postbud.functions.predicates import KEY, has_mojibake, is_missing, is_valid_key
 from postbud.operators.conform import column_fill
-from postbud.operators.delivery import delivered_keys
-from postbud.operators.geo import keys_missing_municipality
-from postbud.operators.ids import GROUP, RUN_KEY, duplicate_keys, first_examples, unmapped_ids
+from postbud.operators.ids import GROUP
+from postbud.operators.keys import GATE_SCHEMA, counts_of, key_table, totals
 
 
 class GateFailed(ValueError):
@@ -108,69 +106,18 @@ def delivery_counts(
 
     The profile counts lost casts of report columns; those of the number come from the mapping.
     """
-    keys = delivered_keys(profile, id_map)
-    still = F.col("n_no_kommune")
-    if fixes is not None:
-        keys = keys.join(fixes.select(*RUN_KEY, "komnrhjem2"), RUN_KEY, "left")
-        still = F.when(is_missing(F.col("komnrhjem2")), still).otherwise(0)
-    lost = {c: F.col(c) for c in profile.columns if c.startswith(("n_lost_", "n_filled_"))}
-    if NUMBER in integer_columns:
-        number = F.col(NUMBER)
-        lost[f"n_filled_{NUMBER}"] = F.when(number.isNotNull(), F.col("n_rows")).otherwise(0)
-        lost[f"n_lost_{NUMBER}"] = F.when(cast_lost(number), F.col("n_rows")).otherwise(0)
-    return keys.groupBy(*GROUP).agg(
-        F.sum("n_rows").alias("rows"),
-        F.sum(still).alias("missing_kommune"),
-        F.sum("n_mojibake").alias("mojibake"),
-        *[F.sum(c).alias(name) for name, c in lost.items()],
-    )
+    return counts_of(totals(key_table(profile, id_map, fixes), integer_columns))
 
 
-def _gate(
-    df: DataFrame, gate: str, failures: Column, region: Column | None = None, sample: Column | None = None
-) -> DataFrame:
-    empty = F.lit(None).cast("string")
-    return df.select(
-        F.lit(gate).alias("gate"),
-        F.col("suffix"),
-        (empty if region is None else region).alias("region"),
-        failures.cast("long").alias("failures"),
-        (empty if sample is None else sample).alias("sample"),
-    )
+def mojibake_by_group(df: DataFrame, by: Sequence[str] = GROUP) -> DataFrame:
+    """Cells of all columns with marks of a wrong encoding per group, from one pass; groups without are left out."""
+    cells = sum((has_mojibake(F.col(f"`{c}`")).cast("long") for c in df.columns if c not in by), F.lit(0))
+    return df.groupBy(*by).agg(F.sum(cells).alias("n_mojibake")).where("n_mojibake > 0")
 
 
-def _counted(keys: DataFrame, gate: str) -> DataFrame:
-    """One row per month with the number of offending keys and the first of them."""
-    counts = keys.groupBy("suffix").agg(F.count("*").alias("n"))
-    return _gate(
-        counts.join(first_examples(keys), "suffix"), gate, F.col("n"), sample=F.col("sample")
-    )
-
-
-def map_gates(profile: DataFrame, id_map: DataFrame) -> DataFrame:
-    """Failed checks of the returned mapping: empty, duplicate keys, keys without a number."""
-    months = profile.select("suffix").distinct()
-    rows_per_month = id_map.groupBy("suffix").agg(F.count("*").alias("n"))
-    empty = months.join(rows_per_month, "suffix", "left_anti")
-    return reduce(
-        DataFrame.unionByName,
-        [
-            _gate(empty, "map_empty", F.lit(1)),
-            _counted(duplicate_keys(id_map), "map_duplicates"),
-            _counted(unmapped_ids(profile, id_map), "unmapped"),
-        ],
-    )
-
-
-def output_gates(counts: DataFrame) -> DataFrame:
-    """Failed checks of the output: marks of a wrong encoding, integers that were lost."""
-    region = F.col("region")
-    lost = [c for c in counts.columns if c.startswith("n_lost_")]
-    checks = [("mojibake_out", "mojibake"), *((f"cast_loss:{c.removeprefix('n_lost_')}", c) for c in lost)]
-    return reduce(
-        DataFrame.unionByName,
-        [_gate(counts.where(F.col(c) > 0), gate, F.col(c), region) for gate, c in checks],
-    )
+def gate_table(spark: SparkSession, rows: Sequence) -> DataFrame:
+    """Failed checks that were told by files or by a run, as one table; at most one per check, region and month."""
+    return spark.createDataFrame([tuple(r) for r in rows], GATE_SCHEMA)
 
 
 def enforce(failures: Sequence, stopping: Sequence[str]) -> list:
@@ -182,43 +129,3 @@ def enforce(failures: Sequence, stopping: Sequence[str]) -> list:
     if stop:
         raise GateFailed(stop)
     return list(failures)
-
-
-def run_metrics(
-    profile: DataFrame, id_map: DataFrame, fixes: DataFrame | None, counts: DataFrame
-) -> DataFrame:
-    """The audit trail of a run: one row per month, region and count."""
-    no_region = F.lit(None).cast("string")
-
-    def long_form(df: DataFrame, region: Column, **values: str) -> DataFrame:
-        pairs = [
-            F.struct(F.lit(m).alias("metric"), F.col(c).cast("long").alias("value"))
-            for m, c in values.items()
-        ]
-        return df.select("suffix", region.alias("region"), F.inline(F.array(*pairs)))
-
-    by_region = profile.groupBy(*GROUP).agg(F.sum("n_rows").alias("n"))
-    parts = [
-        long_form(by_region, F.col("region"), input_rows="n"),
-        long_form(
-            id_profile(profile), no_region,
-            total_rows="n_rows", distinct_ids="n_distinct", request_rows="n_valid",
-        ),
-        long_form(id_map.groupBy("suffix").agg(F.count("*").alias("n")), no_region, return_rows="n"),
-        long_form(counts, F.col("region"), delivery_rows="rows", missing_kommune="missing_kommune"),
-    ]
-    if fixes is not None:
-        parts += [
-            long_form(
-                keys_missing_municipality(profile).groupBy("suffix").agg(F.count("*").alias("n")),
-                no_region,
-                missing_kommune_ids="n",
-            ),
-            long_form(fixes.groupBy("suffix").agg(F.count("*").alias("n")), no_region, geo_rows="n"),
-        ]
-    lost = [c for c in counts.columns if c.startswith(("n_lost_", "n_filled_"))]
-    if lost:
-        parts.append(
-            long_form(counts, F.col("region"), **{c.removeprefix("n_"): c for c in lost})
-        )
-    return reduce(DataFrame.unionByName, parts)

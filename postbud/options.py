@@ -35,6 +35,10 @@ class DeliveryOptions:
     absent_location_token: str | None = "NULL"
     trim_ids: bool = False
 
+    # Failed checks that otherwise stop a run and are only to be reported, by name: missing_input,
+    # missing_key, missing_returns, mojibake_in, map_empty, map_duplicates, unmapped, mojibake_out.
+    warn_only: tuple[str, ...] = ()
+
     # Numbering and enrichment.
     strict_lopenr: bool = False
     fill_missing_kommune: bool = True

@@ -17,21 +17,25 @@ from pyspark.sql import functions as F
 from postbud import layout
 from postbud.functions.predicates import KEY, NUMBER, is_valid_key
 from postbud.operators.conform import missing_column_report
-from postbud.operators.delivery import deliver, key_lookup
-from postbud.operators.geo import keys_missing_municipality, location_fixes
-from postbud.operators.ids import GROUP, RUN_KEY, key_profile, request_ids, unmapped_ids
-from postbud.operators.quality import (
-    delivery_counts,
-    enforce,
-    map_gates,
-    output_gates,
-    run_metrics,
+from postbud.operators.delivery import deliver
+from postbud.operators.geo import keys_missing_municipality, location_fixes, needed_history
+from postbud.operators.ids import GROUP, RUN_KEY, key_profile, request_ids
+from postbud.operators.keys import (
+    counts_of,
+    gates_of,
+    key_table,
+    lookup_of,
+    metrics_of,
+    totals,
+    unmapped_keys,
+    without_year,
 )
+from postbud.operators.quality import enforce
 from postbud.options import DeliveryOptions
 from postbud.session import run_folder, stage
-from postbud.sinks.files import Written, read_groups, write_files, write_table
-from postbud.sources.exports import Reports, load_reports
-from postbud.sources.tables import as_history, empty_history, override_table, read_returns
+from postbud.sinks.files import Written, read_table, write_files, write_table
+from postbud.sources.exports import GATE, Reports, load_reports
+from postbud.sources.tables import as_history, empty_history, missing_returns, override_table, read_returns
 
 log = logging.getLogger("postbud")
 
@@ -65,19 +69,25 @@ def _step1(spark: SparkSession, options: DeliveryOptions) -> RunResult:
 
 
 def step2(
-    spark: SparkSession, options: DeliveryOptions, history: DataFrame | None = None
+    spark: SparkSession,
+    options: DeliveryOptions,
+    history: DataFrame | None = None,
+    overrides: DataFrame | None = None,
 ) -> RunResult:
     """Check the returned numbers and write one delivery per region and month.
 
     ``history`` is the table of yearly locations, any DataFrame with the key, ``komnrhjem2``,
-    ``bydel2`` and ``aar``. Tables staged on the way hold keys and numbers side by side, so they
+    ``bydel2`` and ``aar``. ``overrides`` is a table of corrections (key, ``aar``, ``komnrhjem2``) in place of those
+    in the options. Tables staged on the way hold keys and numbers side by side, so they
     are deleted at the end, also after a failed check.
     """
     with run_folder(spark):
-        return _step2(spark, options, history)
+        return _step2(spark, options, history, overrides)
 
 
-def _step2(spark: SparkSession, options: DeliveryOptions, history: DataFrame | None) -> RunResult:
+def _step2(
+    spark: SparkSession, options: DeliveryOptions, history: DataFrame | None, overrides: DataFrame | None
+) -> RunResult:
     reports = load_reports(spark, options)
     if reports is None:
         log.warning("no input for %s", ", ".join(options.suffixes))
@@ -91,59 +101,77 @@ def _step2(spark: SparkSession, options: DeliveryOptions, history: DataFrame | N
         "request": _write_requests(requests.withColumn("Dummy", F.lit("")), reports, options).paths
     }
 
-    id_map = stage(read_returns(spark, options.app_dir, months), "numbers")
-    gates = map_gates(profile, id_map)
-    stopping = ["map_empty", "map_duplicates", *(["unmapped"] if options.strict_lopenr else [])]
-    failed = gates.collect()
-    missing = [r for r in failed if r["gate"] == "unmapped"]
-    if missing:
+    report_only = "missing_returns" in options.warn_only
+    lost = [GATE("missing_returns", s, None, 1, None) for s in missing_returns(spark, options.app_dir, months)]
+    warnings = _warn([*reports.gates, *(lost if report_only else [])])
+    id_map = stage(read_returns(spark, options.app_dir, months, skip_missing=report_only), "numbers")
+    fixes = _fixes(spark, options, profile, history, overrides)
+
+    # Profile, numbers and locations are joined once, and everything below is told from there.
+    keys = stage(key_table(profile, id_map, fixes), "keys")
+    counted = stage(totals(keys, options.integer_columns), "totals")
+    failed = gates_of(counted, keys).collect()
+    unmapped = {(r["suffix"],) for r in failed if r["gate"] == "unmapped"}
+    if unmapped:
         files["unmapped"] = write_files(
-            unmapped_ids(profile, id_map),
+            unmapped_keys(keys).where(F.col("suffix").isin([s for s, in unmapped])),
             ["suffix"], layout.UNMAPPED_NAME, options.out_dir, sep=",",
-            sizes={(r["suffix"],): r["failures"] for r in missing},
             max_rows=options.max_rows_per_file, one_file=options.one_file, sort_by=[KEY],
         ).paths
-    warnings = _warn(enforce(failed, stopping))
-
-    fixes = None
-    if options.fill_missing_kommune:
-        yearly = empty_history(spark) if history is None else as_history(history)
-        fixes = stage(
-            location_fixes(
-                yearly,
-                keys_missing_municipality(profile),
-                override_table(spark, options.overrides) if options.overrides else None,
-            ),
-            "locations",
-        )
+    warnings += _warn(enforce(failed, _stopping(options)))
 
     groups = spark.createDataFrame(sorted(reports.present), "region string, suffix string")
-    counts = groups.join(delivery_counts(profile, id_map, fixes, options.integer_columns), GROUP, "left")
-    counts = stage(counts.na.fill(0), "counts")
-    stopping = ["mojibake_out"] if options.fail_on_mojibake_out else []
-    warnings += _warn(enforce(output_gates(counts).collect(), stopping))
-
+    counts = stage(groups.join(counts_of(counted), GROUP, "left").na.fill(0), "counts")
     sizes = {(r["region"], r["suffix"]): r["rows"] for r in counts.collect()}
-    lookup = stage(
-        key_lookup(id_map, fixes, keep_unnumbered="enr" in reports.rows.columns), "lookup"
+    delivery = deliver(
+        reports.rows, id_map, fixes, options,
+        lookup=lookup_of(keys, keep_unnumbered="enr" in reports.rows.columns), no_year=without_year(counted),
     )
-    delivery = deliver(reports.rows, id_map, fixes, options, profile, lookup=lookup)
     files["delivery"] = _write_deliveries(spark, delivery, sizes, options).paths
 
     # One row per month, region and count, which outlives the staged tables.
-    metrics = run_metrics(profile, id_map, fixes, counts)
+    metrics = metrics_of(counted, groups)
     metrics = spark.createDataFrame(metrics.collect(), metrics.schema)
     files.update(_write_checks(spark, reports, counts, metrics, options))
     return RunResult("delivered", files, tuple(warnings), metrics)
 
 
+def _stopping(options: DeliveryOptions) -> list[str]:
+    stopping = ["map_empty", "map_duplicates"]
+    stopping += ["unmapped"] if options.strict_lopenr else []
+    stopping += ["mojibake_out"] if options.fail_on_mojibake_out else []
+    return [gate for gate in stopping if gate not in options.warn_only]
+
+
+def _fixes(
+    spark: SparkSession,
+    options: DeliveryOptions,
+    profile: DataFrame,
+    history: DataFrame | None,
+    overrides: DataFrame | None,
+) -> DataFrame | None:
+    """The staged locations of those who lack one, or None if they are not to be filled."""
+    if not options.fill_missing_kommune:
+        return None
+    needed = stage(keys_missing_municipality(profile), "needed")
+    yearly = empty_history(spark) if history is None else as_history(history)
+    if overrides is None and options.overrides:
+        overrides = override_table(spark, options.overrides)
+    yearly = needed_history(yearly, needed.select(KEY).distinct())
+    return stage(location_fixes(yearly, needed, overrides), "locations")
+
+
 def run(
-    spark: SparkSession, step: str, options: DeliveryOptions, history: DataFrame | None = None
+    spark: SparkSession,
+    step: str,
+    options: DeliveryOptions,
+    history: DataFrame | None = None,
+    overrides: DataFrame | None = None,
 ) -> RunResult:
     if step.upper() == "STEP1":
         return step1(spark, options)
     if step.upper() == "STEP2":
-        return step2(spark, options, history)
+        return step2(spark, options, history, overrides)
     raise ValueError("step must be STEP1 or STEP2")
 
 
@@ -166,13 +194,14 @@ def _write_deliveries(
 ) -> Written:
     """Write the deliveries once, to their table, and the text files from there.
 
+    The table stands once its rows are as many as were counted before; the text is written from it after that.
     Rows of a region and month lie together in the table, so the text takes no further shuffle.
     """
-    empty = [(suffix, region) for (region, suffix), n in sizes.items() if not n]
-    filled = [(suffix, region) for (region, suffix), n in sizes.items() if n]
-    write_table(delivery, options.delivery_table, GROUP, empty)
+    by_month = {(suffix, region): n for (region, suffix), n in sizes.items()}
+    filled = [g for g, n in by_month.items() if n]
+    write_table(delivery, options.delivery_table, GROUP, [g for g, n in by_month.items() if not n], by_month)
     return write_files(
-        read_groups(spark, options.delivery_table, delivery.schema, GROUP, filled),
+        read_table(spark, options.delivery_table, delivery.schema, GROUP, filled),
         ["region", "suffix"], layout.DELIVERY_NAME, options.out_dir,
         sizes=sizes, bom=True, max_rows=options.max_rows_per_file, one_file=options.one_file, clustered=True,
     )

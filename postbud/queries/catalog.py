@@ -14,7 +14,7 @@ from postbud.functions.predicates import is_blank, is_missing
 from postbud.functions.text import garble, header_key, repair_mojibake
 from postbud.layout import DELIVERY_COLUMNS
 from postbud.operators.conform import conform, output_shape, union_regions
-from postbud.operators.delivery import deliver, key_lookup
+from postbud.operators.delivery import deliver
 from postbud.operators.geo import (
     apply_overrides,
     fill_location,
@@ -31,24 +31,23 @@ from postbud.operators.ids import (
     request_ids,
     unmapped_ids,
 )
+from postbud.operators.keys import gates_of, key_table, lookup_of, metrics_of, totals, unmapped_keys, without_year
 from postbud.operators.quality import (
     cast_loss,
     delivery_counts,
     empty_column_report,
+    gate_table,
     id_profile,
-    map_gates,
     missing_by_group,
     mojibake_by_column,
     month_control,
-    output_gates,
     qc_summary,
-    run_metrics,
 )
 from postbud.options import DeliveryOptions
 from postbud.plans.runs import step1, step2
 from postbud.queries import standins as given
 from postbud.session import scratch_path, stage
-from postbud.sinks.files import write_files, write_table
+from postbud.sinks.files import read_table, write_files, write_table
 from postbud.sources.exports import load_reports
 from postbud.sources.files import choose_inputs, profile
 from postbud.sources.tables import as_history, clean_return, read_returns
@@ -73,11 +72,18 @@ def profiled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return profile, located
 
 
-def delivered(spark: SparkSession, sf_dir: str, options=OPTIONS, keep=("rad", "region", "suffix")) -> DataFrame:
+def keyed(spark: SparkSession, sf_dir: str, columns=("institusjonId",)) -> tuple[DataFrame, DataFrame]:
+    """The staged key table and what it adds up to, as a run has them."""
     profile, located = profiled(spark, sf_dir)
-    id_map = given.id_map(spark, sf_dir)
-    lookup = stage(key_lookup(id_map, located), "lookup")
-    return deliver(given.report(spark, sf_dir), id_map, located, options, profile, keep, lookup)
+    keys = stage(key_table(profile, given.id_map(spark, sf_dir), located), "keys")
+    return keys, stage(totals(keys, columns), "totals")
+
+
+def delivered(spark: SparkSession, sf_dir: str, options=OPTIONS, keep=("rad", "region", "suffix")) -> DataFrame:
+    keys, counted = keyed(spark, sf_dir)
+    return deliver(
+        given.report(spark, sf_dir), keys, keys, options, None, keep, lookup_of(keys), without_year(counted)
+    )
 
 
 # --- keys and numbers ------------------------------------------------------------------------
@@ -88,7 +94,7 @@ def q_request_ids(spark, sf_dir):
 
 
 def q_key_profile(spark, sf_dir):
-    return key_profile(given.report(spark, sf_dir), ["institusjonId"]).drop("own_number")
+    return key_profile(given.report(spark, sf_dir), ["institusjonId"])
 
 
 def q_id_profile(spark, sf_dir):
@@ -205,8 +211,9 @@ def q_output_shape(spark, sf_dir):
 
 def q_delivery_table(spark, sf_dir):
     path = scratch_path(spark, "deliveries")
-    write_table(delivered(spark, sf_dir, keep=("region", "suffix")), path)
-    back = spark.read.parquet(path)
+    rows = delivered(spark, sf_dir, keep=("region", "suffix"))
+    write_table(rows, path)
+    back = read_table(spark, path, rows.schema)
     return back.groupBy("region", "suffix").agg(
         F.count("*").alias("n_rows"), F.count_distinct("lopenr").alias("n_people")
     )
@@ -233,21 +240,24 @@ def q_cast_loss(spark, sf_dir):
     return cast_loss(rows, ["institusjonId", "lopenr"])
 
 
-def _staged(spark, sf_dir):
-    """Key profile, mapping and fixes written out, as a run has them."""
+def q_gates(spark, sf_dir):
     profile, located = profiled(spark, sf_dir)
-    return profile, stage(given.id_map(spark, sf_dir), "numbers"), stage(located, "locations")
+    keys = stage(key_table(profile, given.id_map_with_repeats(spark, sf_dir), located), "keys")
+    return gates_of(stage(totals(keys), "totals"), keys)
 
 
-def q_gates(spark, sf_dir):
-    profile, once, located = _staged(spark, sf_dir)
-    repeated = stage(given.id_map_with_repeats(spark, sf_dir), "repeated")
-    return map_gates(profile, repeated).unionByName(output_gates(delivery_counts(profile, once, located)))
+def q_gates_of_faulty_input(spark, sf_dir):
+    """No answers for December, and text that was decoded wrongly on its way."""
+    report = given.report(spark, sf_dir).withColumn("Pakkeforløp", garble(F.col("Pakkeforløp")))
+    answers = given.id_map(spark, sf_dir).withColumn("lopenr", F.when(F.col("suffix") != "des25", F.col("lopenr")))
+    known = answers.where("NOT (suffix = 'des25' AND lopenr IS NULL)")
+    keys = stage(key_table(stage(key_profile(report), "profile"), known), "keys")
+    return gates_of(stage(totals(keys), "totals"), keys)
 
 
 def q_run_metrics(spark, sf_dir):
-    profile, once, located = _staged(spark, sf_dir)
-    return run_metrics(profile, once, located, delivery_counts(profile, once, located))
+    _, counted = keyed(spark, sf_dir, ())
+    return metrics_of(counted)
 
 
 def q_empty_columns(spark, sf_dir):
@@ -428,27 +438,64 @@ def q_run_requests(spark, sf_dir):
 
 
 def q_run_deliveries(spark, sf_dir):
-    options = replace(given.write_exports(spark, sf_dir), overrides=())
+    options = given.write_exports(spark, sf_dir)
     given.write_returns(spark, sf_dir, options)
-    result = step2(spark, options, given.history(spark, sf_dir))
+    result = step2(spark, options, given.history(spark, sf_dir), given.overrides(spark, sf_dir))
     return given.read_deliveries(spark, result.files["delivery"], DELIVERY_COLUMNS)
 
 
 def q_run_deliveries_in_parts(spark, sf_dir):
     options = given.write_exports(spark, sf_dir, one_file=False)
-    options = replace(options, overrides=(), max_rows_per_file=250)
+    options = replace(options, max_rows_per_file=250)
     given.write_returns(spark, sf_dir, options, one_file=False)
-    result = step2(spark, options, given.history(spark, sf_dir))
+    result = step2(spark, options, given.history(spark, sf_dir), given.overrides(spark, sf_dir))
     return given.read_deliveries(spark, result.files["delivery"], DELIVERY_COLUMNS)
 
 
 def q_run_deliveries_one_file(spark, sf_dir):
-    options = replace(given.write_exports(spark, sf_dir), overrides=(), one_file=True)
+    options = replace(given.write_exports(spark, sf_dir), one_file=True)
     given.write_returns(spark, sf_dir, options)
-    result = step2(spark, options, given.history(spark, sf_dir))
+    result = step2(spark, options, given.history(spark, sf_dir), given.overrides(spark, sf_dir))
     return given.read_deliveries(spark, result.files["delivery"], DELIVERY_COLUMNS)
 
 
+def q_run_check_files(spark, sf_dir):
+    """What a run leaves for those who look after it, read back: unmapped keys, missing columns, summary.
+
+    The mapping lacks everyone of one segment, the location history is empty, and a region has no file for December.
+    """
+    def without_a_file(rows):
+        return rows.where("NOT (region = 'HMN' AND suffix = 'des25')")
+
+    options = replace(given.write_exports(spark, sf_dir, change=without_a_file), strict_input=False)
+    given.write_returns(spark, sf_dir, options)
+    files = step2(spark, options, given.history(spark, sf_dir).limit(0)).files
+
+    def read(kind, *columns):
+        rows = spark.read.options(header=True, sep=",", lineSep="\n").csv(list(files[kind].values()))
+        months = F.regexp_extract(F.col("_metadata.file_path"), r"_([a-z]{3}\d\d)\.csv", 1)
+        return rows.select(F.lit(kind).alias("kind"), months.alias("suffix"), *[c.alias(n) for n, c in zip(("place", "what"), columns)])
+
+    return (
+        read("unmapped", F.lit(None).cast("string"), F.concat_ws(" ", "NPRId", "lopenr"))
+        .unionByName(read("missing_columns", F.col("region"), F.col("missing_column")))
+        .unionByName(read("summary", F.col("RHF"), F.concat_ws(" ", "rows", "missing_kommune")))
+    )
+
+
+def q_input_gates(spark, sf_dir):
+    """Checks that fail while files are read: no file, a column that should be empty, wrong decoding."""
+    def faulty(rows):
+        rows = rows.where("NOT (region = 'HMN' AND suffix = 'des25')")
+        return rows.withColumn("Pakkeforløp", garble(F.col("Pakkeforløp")))
+
+    options = replace(
+        given.write_exports(spark, sf_dir, change=faulty), repair_mojibake=False, fail_on_mojibake=True,
+        drop_position=1, warn_only=("missing_input", "mojibake_in"),
+    )
+    return gate_table(spark, load_reports(spark, options).gates)
+
+
 def q_quoted_line_feeds(spark, sf_dir):
     def two_lines(rows):
         return rows.withColumn("Pakkeforløp", F.replace(F.col("Pakkeforløp"), F.lit("; "), F.lit('"\n;')))

@@ -55,8 +55,9 @@ in_order AS (
 NUMBERS = f"""
 id_map AS (
   SELECT DISTINCT {MONTH_NAMES}[month(o_orderdate)] || '25' AS suffix, CAST(o_custkey AS VARCHAR) AS "NPRId",
-    CASE WHEN c_acctbal < 300 THEN 'NULL' ELSE CAST(c_custkey * 7 + 1000 AS VARCHAR) END AS lopenr
-  FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal >= 0
+    CASE WHEN c_acctbal < 0 THEN NULL WHEN c_acctbal < 300 THEN 'NULL'
+         ELSE CAST(c_custkey * 7 + 1000 AS VARCHAR) END AS lopenr
+  FROM orders JOIN customer ON o_custkey = c_custkey
 ), repeated AS (
   SELECT * FROM id_map UNION ALL
   SELECT * FROM id_map WHERE "NPRId" IN
@@ -66,10 +67,11 @@ id_map AS (
 LOCATIONS = """
 history AS (
   SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS "NPRId", CAST(year(o_orderdate) AS INTEGER) AS aar,
-    lpad(CAST((o_custkey + CASE WHEN o_custkey % 3 = 0 THEN year(o_orderdate) ELSE 0 END) % 40 AS VARCHAR), 4, '0')
-      AS komnrhjem2,
+    CASE WHEN o_orderstatus = 'F' THEN
+      lpad(CAST((o_custkey + CASE WHEN o_custkey % 3 = 0 THEN year(o_orderdate) ELSE 0 END) % 40 AS VARCHAR), 4, '0')
+    END AS komnrhjem2,
     CAST(o_custkey % 9 + 1 AS VARCHAR) AS bydel2
-  FROM orders WHERE o_orderstatus = 'F'
+  FROM orders
 ), latest AS (
   SELECT "NPRId", komnrhjem2, bydel2, aar FROM (
     SELECT *, row_number() OVER (PARTITION BY "NPRId"
@@ -83,8 +85,6 @@ history AS (
   SELECT DISTINCT suffix, "NPRId" FROM valid WHERE "KommuneNr" IS NULL OR "KommuneNr" IN ('', 'NULL')
 ), fixes AS (
   SELECT n.suffix, l.* FROM needed n JOIN overridden l USING ("NPRId")
-), uncorrected AS (
-  SELECT n.suffix, l.* FROM needed n JOIN latest l USING ("NPRId")
 )"""
 
 
@@ -92,7 +92,7 @@ def _missing(c: str) -> str:
     return f"({c} IS NULL OR {c} IN ('', 'NULL'))"
 
 
-def _located(fixes: str = "fixes") -> str:
+def _located() -> str:
     """Report rows with both fills, each from the values as they came in."""
     return f"""
 located AS (
@@ -102,7 +102,7 @@ located AS (
          THEN f.bydel2 ELSE r."BydelNr" END AS "BydelNr",
     CASE WHEN (CASE WHEN {_missing('r."KommuneNr"')} THEN f.komnrhjem2 ELSE r."KommuneNr" END) = f.komnrhjem2
               AND r."BydelNr" IS NULL THEN f.bydel2 ELSE r."BydelNr" END AS bydel_filled
-  FROM report r LEFT JOIN {fixes} f ON r.suffix = f.suffix AND r."NPRId" = f."NPRId"
+  FROM report r LEFT JOIN fixes f ON r.suffix = f.suffix AND r."NPRId" = f."NPRId"
 )"""
 
 
@@ -144,7 +144,7 @@ HAVE = IN_REPORT | {"lopenr"}
 
 KEY_PROFILE = f"""
 profile AS (
-  SELECT suffix, region, "NPRId", count(*) AS n_rows,
+  SELECT suffix, region, "NPRId", false AS own_number, count(*) AS n_rows,
     CAST(sum(CASE WHEN {_missing('"KommuneNr"')} THEN 1 ELSE 0 END) AS BIGINT) AS n_no_kommune,
     CAST(sum(CASE WHEN {_missing('"År"')} THEN 0 ELSE 1 END) AS BIGINT) AS n_year,
     CAST(0 AS BIGINT) AS n_mojibake,
@@ -246,11 +246,45 @@ def _gates() -> str:
       WHERE "n_lost_institusjonId" > 0"""
 
 
+def _gates_of_faulty_input() -> str:
+    none = "CAST(NULL AS VARCHAR)"
+    return _with(REPORT, NUMBERS) + f"""
+    , known AS (SELECT * FROM id_map WHERE suffix <> 'des25'),
+    lost AS ({PLACED} (SELECT v.suffix, v."NPRId" FROM (SELECT DISTINCT suffix, "NPRId" FROM valid) v
+      LEFT JOIN known m ON v.suffix = m.suffix AND v."NPRId" = m."NPRId" WHERE {_missing('m.lopenr')}))
+    SELECT 'map_empty' AS gate, 'des25' AS suffix, {none} AS region, count(*) AS failures, {none} AS sample
+      FROM (SELECT DISTINCT suffix FROM report WHERE suffix = 'des25')
+    UNION ALL SELECT 'unmapped', suffix, {none}, count(*), {TEN_FIRST} FROM lost GROUP BY suffix
+    UNION ALL SELECT 'mojibake_out', v.suffix, v.region, count(*), {none} FROM valid v
+      JOIN known m ON v.suffix = m.suffix AND v."NPRId" = m."NPRId" WHERE NOT {_missing('m.lopenr')} GROUP BY 2, 3"""
+
+
+# A run that lacks the file of one region for December, and any location.
+SHORT = f"""
+there AS (SELECT * FROM report WHERE NOT (region = 'HMN' AND suffix = 'des25')),
+sent AS (
+  SELECT t.*, m.lopenr FROM there t JOIN id_map m ON t.suffix = m.suffix AND t."NPRId" = m."NPRId"
+  WHERE m.lopenr <> 'NULL' AND t."NPRId" NOT IN ('', 'NPRId', 'NULL')
+)"""
+
+
+def _run_check_files() -> str:
+    wanted = ", ".join(f"'{c}'" for c in DELIVERY_COLUMNS if c not in EXPORT_COLUMNS and c not in ("lopenr", "År"))
+    return _with(REPORT, NUMBERS, SHORT) + f"""
+    SELECT 'unmapped' AS kind, v.suffix, CAST(NULL AS VARCHAR) AS place, concat_ws(' ', v."NPRId", m.lopenr) AS what
+      FROM (SELECT DISTINCT suffix, "NPRId" FROM there WHERE "NPRId" NOT IN ('', 'NPRId', 'NULL')) v
+      LEFT JOIN id_map m ON v.suffix = m.suffix AND v."NPRId" = m."NPRId" WHERE {_missing('m.lopenr')}
+    UNION ALL SELECT 'missing_columns', suffix, region, c
+      FROM (SELECT DISTINCT suffix, region FROM there), (SELECT unnest([{wanted}]) AS c)
+    UNION ALL SELECT 'summary', p.suffix, p.region, count(s.rad) || ' ' || count(s.rad) FILTER (WHERE {_missing('s."KommuneNr"')})
+      FROM (SELECT DISTINCT suffix, region FROM there) p
+      LEFT JOIN sent s ON s.suffix = p.suffix AND s.region = p.region GROUP BY p.suffix, p.region"""
+
+
 def oracle_sql() -> dict[str, str]:
     # The first row of an export goes if it repeats the header; only HV heads its keys otherwise.
     exports = f'SELECT region, suffix, {_blank_as_null(EXPORT_COLUMNS)} FROM exported'
-    deliveries = _with(REPORT, NUMBERS, LOCATIONS, _located("uncorrected"), DELIVERED)
-    deliveries += f"SELECT region, suffix, {_output(HAVE)} FROM with_year"
+    deliveries = FULL + f"SELECT region, suffix, {_output(HAVE)} FROM with_year"
     return {
         # keys and numbers
         "request_ids": _with(REPORT) + """SELECT DISTINCT suffix, "NPRId", '' AS "Dummy" FROM valid""",
@@ -308,6 +342,15 @@ def oracle_sql() -> dict[str, str]:
             count(*) FILTER (WHERE "institusjonId" = 'ukjent') AS "institusjonId_lost",
             count(*) AS lopenr_nonempty, CAST(0 AS BIGINT) AS lopenr_lost FROM with_year GROUP BY region""",
         "gates": _gates(),
+        "gates_of_faulty_input": _gates_of_faulty_input(),
+        "run_check_files": _run_check_files(),
+        "input_gates": _with(REPORT, EXPORTED) + """SELECT 'missing_input' AS gate, 'des25' AS suffix, 'HMN' AS region,
+              CAST(1 AS BIGINT) AS failures, CAST(NULL AS VARCHAR) AS sample
+            UNION ALL SELECT DISTINCT 'column_kept', suffix, region, CAST(1 AS BIGINT),
+              CASE region WHEN 'HV' THEN 'npr id' ELSE 'NPRId' END
+              FROM report WHERE NOT (region = 'HMN' AND suffix = 'des25')
+            UNION ALL SELECT 'mojibake_in', suffix, region, count(*), NULL
+              FROM exported WHERE NOT (region = 'HMN' AND suffix = 'des25') GROUP BY suffix, region""",
         "run_metrics": _run_metrics(),
         "empty_columns": _empty_columns(),
         "missing_layout_columns": _missing_layout_columns(),

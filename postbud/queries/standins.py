@@ -96,16 +96,12 @@ def report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run number by person; people in debt are unknown, those just out of it got none."""
+    """Run number by person; people in debt came back without one, those just out of it as unknown."""
     balance, person = F.col("c_acctbal"), F.col("c_custkey")
-    return (
-        table(spark, sf_dir, "customer")
-        .where(balance >= 0)
-        .select(
-            text(person).alias("NPRId"),
-            F.when(balance < 300, "NULL").otherwise(text(person * 7 + 1000)).alias("lopenr"),
-            "c_mktsegment",
-        )
+    return table(spark, sf_dir, "customer").select(
+        text(person).alias("NPRId"),
+        cases((balance < 0, F.lit(None)), (balance < 300, "NULL"), otherwise=text(person * 7 + 1000)).alias("lopenr"),
+        "c_mktsegment",
     )
 
 
@@ -127,16 +123,15 @@ def id_map_with_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Yearly locations of people with a finished order."""
+    """Yearly locations of people with an order; that of an unfinished one is not known."""
     person, year = F.col("o_custkey"), F.year("o_orderdate")
     moved = F.when(person % 3 == 0, year).otherwise(0)
     return (
         table(spark, sf_dir, "orders")
-        .where(F.col("o_orderstatus") == "F")
         .select(
             text(person).alias("NPRId"),
             year.alias("aar"),
-            F.lpad(text((person + moved) % 40), 4, "0").alias("komnrhjem2"),
+            F.when(F.col("o_orderstatus") == "F", F.lpad(text((person + moved) % 40), 4, "0")).alias("komnrhjem2"),
             text(person % 9 + 1).alias("bydel2"),
         )
         .distinct()

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from postbud.sources.files import BOM, write_text
+from postbud.sources.files import BOM, as_literal_path, read_text, write_text
 
 Group = tuple[str, ...]
 
@@ -144,10 +145,55 @@ def _swap(spark: SparkSession, moves: Sequence[tuple[str, str]], staging: str) -
     fs.delete(root, True)
 
 
-def read_groups(spark: SparkSession, path: str, schema: StructType, group: Sequence[str], groups: Iterable[Group]) -> DataFrame:
-    """Some groups of a table of deliveries; the other folders are not read."""
-    wanted = reduce(or_, [reduce(and_, [F.col(c) == v for c, v in zip(group, g)]) for g in groups], F.lit(False))
-    return spark.read.schema(schema).parquet(path).where(wanted)
+# --- the table of deliveries ------------------------------------------------------------------
+
+MANIFESTS = "manifests"
+KEPT_MANIFESTS = 2
+
+
+def _fs(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _manifests(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the manifests that stand, oldest first."""
+    fs, folder = _fs(spark, f"{path}/{MANIFESTS}")
+    if not fs.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
+
+
+def _versions(spark: SparkSession, path: str, number: int) -> dict[Group, str]:
+    """The version folder of every group, as one manifest has them."""
+    listed = json.loads(read_text(spark, f"{path}/{MANIFESTS}/{number:08d}.json"))
+    return {tuple(entry["group"]): entry["version"] for entry in listed["groups"]}
+
+
+def _publish(spark: SparkSession, path: str, versions: Mapping[Group, str], number: int) -> None:
+    """Let a manifest stand, whole or not at all; one of the same number may not stand yet."""
+    fs, target = _fs(spark, f"{path}/{MANIFESTS}/{number:08d}.json")
+    _, draft = _fs(spark, f"{path}/{MANIFESTS}/draft-{uuid.uuid4().hex}")
+    groups = [{"group": list(g), "version": v} for g, v in sorted(versions.items())]
+    write_text(spark, draft.toString(), json.dumps({"groups": groups}, ensure_ascii=False))
+    if fs.exists(target) or not fs.rename(draft, target):
+        fs.delete(draft, False)
+        raise OSError(f"another run has published {target} meanwhile")
+
+
+def _tidy(spark: SparkSession, path: str) -> None:
+    """Delete manifests but the last ones, and versions that none of those names."""
+    numbers = _manifests(spark, path)
+    for old in numbers[:-KEPT_MANIFESTS]:
+        fs, target = _fs(spark, f"{path}/{MANIFESTS}/{old:08d}.json")
+        fs.delete(target, False)
+    used = {v for n in numbers[-KEPT_MANIFESTS:] for v in _versions(spark, path, n).values()}
+    fs, root = _fs(spark, path)
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith("version-") and name not in used:
+            fs.delete(status.getPath(), True)
 
 
 def write_table(
@@ -155,20 +201,77 @@ def write_table(
     path: str,
     group: Sequence[str] = ("suffix", "region"),
     emptied: Iterable[Group] = (),
+    sizes: Mapping[Group, int] | None = None,
 ) -> None:
     """The delivery as parquet, one folder per group; other groups in the table stay.
 
+    Rows are written to a new version, counted on the way, and only if every group has as many as ``sizes``
+    says does a manifest let them stand, all groups at once. Until then, and after any
+    failure, the table is what it was. The last version but one stays for those who still read it. Groups in
+    ``emptied`` have no rows any more and go.
+
     The rebalance evens out file sizes at run time and splits a group that holds a large
-    share of all rows over many tasks. Groups in ``emptied`` have no rows any more and go.
+    share of all rows over many tasks.
     """
-    (
-        df.hint("rebalance", *group)
-        .write.partitionBy(*group)
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .parquet(path)
-    )
     spark = df.sparkSession
-    for g in emptied:
-        place = spark._jvm.org.apache.hadoop.fs.Path(_written(spark, path, group, g, one_file=False))
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    version = f"version-{uuid.uuid4().hex}"
+    # One counter a group: groups are regions and months.
+    seen = Observation()
+    expected = list(sizes or {})
+    counters = [
+        F.count_if(reduce(and_, [F.col(c) == v for c, v in zip(group, g)])).alias(f"n{i}") for i, g in enumerate(expected)
+    ]
+    counted = df.hint("rebalance", *group).observe(seen, F.count(F.lit(1)).alias("rows"), *counters)
+    try:
+        counted.write.partitionBy(*group).parquet(f"{path}/{version}")
+        wrong = [f"{g}: {seen.get[f'n{i}']} rows, not {sizes[g]}" for i, g in enumerate(expected) if seen.get[f"n{i}"] != sizes[g]]
+        if sizes is not None and (wrong or seen.get["rows"] != sum(sizes.values())):
+            raise RowsLost(f"{seen.get['rows']} rows written, {sum(sizes.values())} expected; {'; '.join(wrong)}")
+        numbers = _manifests(spark, path)
+        before = _versions(spark, path, numbers[-1]) if numbers else {}
+        own = [tuple(r) for r in _version_rows(spark, path, version, group)]
+        after = {**{g: v for g, v in before.items() if g not in set(emptied)}, **dict.fromkeys(own, version)}
+        _publish(spark, path, after, (numbers[-1] if numbers else 0) + 1)
+    except Exception:
+        fs, lost = _fs(spark, f"{path}/{version}")
+        fs.delete(lost, True)
+        raise
+    _tidy(spark, path)
+
+
+def _version_rows(spark: SparkSession, path: str, version: str, group: Sequence[str]) -> list[list[str]]:
+    """The groups a version holds, told by its folders."""
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    found = [([], f"{path}/{version}")]
+    for c in group:
+        deeper = []
+        for values, folder in found:
+            fs, target = _fs(spark, folder)
+            for status in fs.listStatus(target):
+                name = status.getPath().getName()
+                if name.startswith(f"{c}="):
+                    deeper.append(([*values, unescape(name.removeprefix(f"{c}="))], status.getPath().toString()))
+        found = deeper
+    return [values for values, _ in found]
+
+
+def read_table(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    group: Sequence[str] = ("suffix", "region"),
+    groups: Iterable[Group] | None = None,
+) -> DataFrame:
+    """The table as its last manifest has it, or some groups of it; no other folder is read."""
+    numbers = _manifests(spark, path)
+    versions = _versions(spark, path, numbers[-1]) if numbers else {}
+    wanted = versions if groups is None else [g for g in groups if g in versions]
+    by_version: dict[str, list[Group]] = {}
+    for g in wanted:
+        by_version.setdefault(versions[g], []).append(g)
+    parts = []
+    for version, own in by_version.items():
+        root = f"{path}/{version}"
+        folders = [as_literal_path(_written(spark, root, group, g, one_file=False)) for g in own]
+        parts.append(spark.read.schema(schema).option("basePath", root).parquet(*folders).select(*schema.names))
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)

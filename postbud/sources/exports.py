@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postbud.functions.predicates import KEY, NULL_TOKEN, has_mojibake
+from postbud.functions.predicates import KEY, NULL_TOKEN
 from postbud.functions.text import decode_cp1252, repair_mojibake, strip_cr, trim_blanks
 from postbud.operators.conform import (
     add_location_columns,
@@ -21,6 +22,8 @@ from postbud.operators.conform import (
     require_key,
     union_regions,
 )
+from postbud.operators.keys import GATE_SCHEMA
+from postbud.operators.quality import mojibake_by_group
 from postbud.options import DeliveryOptions
 from postbud.session import stage
 from postbud.sources.files import (
@@ -44,7 +47,7 @@ from postbud.sources.quoted import whole_records
 
 log = logging.getLogger("postbud")
 
-CACHE_VERSION = "2"
+CACHE_VERSION = "3"
 MARKER = "_COLUMNS"
 PLACE = ("region", "suffix", "key")
 POSITION = ["_uri", "_part", "_block", "_i"]
@@ -65,6 +68,11 @@ class Reports:
     rows: DataFrame
     present: dict[tuple[str, str], tuple[str, ...]]
     absent: tuple[tuple[str, str], ...] = ()
+    # Failed checks of the files that did not stop the reading, in the schema of all gates.
+    gates: tuple[Row, ...] = ()
+
+
+GATE = Row(*(field.split()[0] for field in GATE_SCHEMA.split(", ")))
 
 
 def find_exports(spark: SparkSession, options: DeliveryOptions) -> tuple[list[ExportFile], list[tuple[str, str]]]:
@@ -73,7 +81,7 @@ def find_exports(spark: SparkSession, options: DeliveryOptions) -> tuple[list[Ex
     in_parts = [p for folder in folders for p in csv_folders(spark, folder)]
     chosen = choose_inputs(list_files(spark, folders + in_parts), options).collect()
     absent = missing_inputs(chosen, options)
-    if options.strict_input:
+    if options.strict_input and "missing_input" not in options.warn_only:
         # A region without a folder is skipped; a folder without the month's file is an error.
         lost = [(g, s) for g, s in absent if path_exists(spark, f"{options.base_dir}/{g}")]
         if lost:
@@ -214,16 +222,39 @@ class _Piece:
     rows: DataFrame
 
 
-def _pieces(spark: SparkSession, files: Sequence[ExportFile], options: DeliveryOptions) -> list[_Piece]:
-    pieces, kinds = [], _kinds(files)
-    for group in kinds:
-        require_key(plan_header(group[0].header, options.header_aliases, options.alias_policy).names, ", ".join(f.path for f in group))
+def _with_key(files: Sequence[ExportFile], options: DeliveryOptions) -> tuple[list[list[ExportFile]], list[Row]]:
+    """Kinds of files whose header has the key column, and a failed check for each of the others."""
+    kept, gates = [], []
+    for group in _kinds(files):
+        names = plan_header(group[0].header, options.header_aliases, options.alias_policy).names
+        if "missing_key" not in options.warn_only:
+            require_key(names, ", ".join(f.path for f in group))
+        if KEY in names:
+            kept.append(group)
+        else:
+            gates += [GATE("missing_key", s, g, len(f.parts), f.path) for f in group for g, s in f.targets]
+    return kept, gates
+
+
+def _pieces(
+    spark: SparkSession, files: Sequence[ExportFile], options: DeliveryOptions
+) -> tuple[list[_Piece], list[Row]]:
+    """Conformed rows by kind of file, and the checks of columns that failed."""
+    pieces = []
+    kinds, gates = _with_key(files, options)
+    if not kinds:
+        return [], gates
     every_cell = _parsed(spark, kinds, options)
     places = _repeated_headers(every_cell)
     for k, group in enumerate(kinds):
         by_columns: dict[tuple[int, ...], list[ExportFile]] = {}
         cells = every_cell.where(F.col("_kind") == k)
         kept = _kept_columns(cells, places, group, options)
+        at = (options.drop_position or 0) - 1
+        gates += [
+            GATE("column_kept", s, g, 1, group[0].header[at])
+            for f in group for g, s in f.targets if 0 <= at < len(group[0].header) and at in kept[f.uri]
+        ]
         for f in group:
             by_columns.setdefault(kept[f.uri], []).append(f)
         for positions, alike in by_columns.items():
@@ -243,7 +274,7 @@ def _pieces(spark: SparkSession, files: Sequence[ExportFile], options: DeliveryO
             pieces.append(_Piece(tuple(alike), plan.names, rows))
             for old, target in plan.collisions:
                 log.warning("column %s is not taken as %s, which another is", old, target)
-    return pieces
+    return pieces, gates
 
 
 def _targets(spark: SparkSession, files: Sequence[ExportFile], options: DeliveryOptions) -> DataFrame:
@@ -251,12 +282,13 @@ def _targets(spark: SparkSession, files: Sequence[ExportFile], options: Delivery
     return spark.createDataFrame(rows, "_uri string, region string, suffix string, key string")
 
 
-def read_files(spark: SparkSession, files: Sequence[ExportFile], options: DeliveryOptions) -> Reports:
+def read_files(spark: SparkSession, files: Sequence[ExportFile], options: DeliveryOptions) -> Reports | None:
     """Conformed rows of profiled files with their ``region`` and ``suffix``."""
-    pieces = _pieces(spark, files, options)
-    present = _columns_by_place(pieces)
+    pieces, gates = _pieces(spark, files, options)
+    if not pieces:
+        return None
     rows = union_regions(p.rows.drop("key") for p in pieces)
-    return Reports(rows, present)
+    return Reports(rows, _columns_by_place(pieces), gates=tuple(gates))
 
 
 def _columns_by_place(pieces: Sequence[_Piece]) -> dict[tuple[str, str], tuple[str, ...]]:
@@ -268,39 +300,43 @@ def _columns_by_place(pieces: Sequence[_Piece]) -> dict[tuple[str, str], tuple[s
     return {target: tuple(columns) for target, columns in present.items()}
 
 
-def mojibake_cells(df: DataFrame) -> int:
-    """Cells of all columns that show marks of a wrong encoding, in one pass."""
-    per_row = sum((has_mojibake(F.col(f"`{c}`")).cast("long") for c in df.columns), F.lit(0))
-    return df.agg(F.coalesce(F.sum(per_row), F.lit(0))).first()[0]
-
-
 def load_reports(spark: SparkSession, options: DeliveryOptions) -> Reports | None:
     """Every region and month of a run as one table, through the cache if there is one."""
     files, absent = find_exports(spark, options)
     if not files:
         return None
     read = read_files if options.cache_dir is None else _read_through_cache
-    reports = replace(read(spark, files, options), absent=tuple(absent))
+    reports = read(spark, files, options)
+    if reports is None:
+        return None
+    gates = [GATE("missing_input", s, g, 1, None) for g, s in absent]
     if options.fail_on_mojibake:
-        found = mojibake_cells(reports.rows)
-        if found:
-            raise MojibakeFound(f"{found} cells look wrongly decoded after reading")
-    return reports
+        marks = mojibake_by_group(reports.rows).collect()  # a row per region and month at most
+        found = [GATE("mojibake_in", r["suffix"], r["region"], r["n_mojibake"], None) for r in marks]
+        if found and "mojibake_in" not in options.warn_only:
+            raise MojibakeFound(f"{sum(g['failures'] for g in found)} cells look wrongly decoded after reading")
+        gates += found
+    return replace(reports, absent=tuple(absent), gates=(*reports.gates, *gates))
 
 
 # --- cleaned tables kept as parquet ---------------------------------------------------------
 
 
-def _cache_key(f: ExportFile, options: DeliveryOptions) -> str:
-    """Names one state of one source file read in one way, so an entry never goes stale."""
-    reading = (
-        options.encoding_override, options.tie_delimiter, options.repair_mojibake,
+def _reading(options: DeliveryOptions) -> str:
+    """Names a way of reading; entries of another way stand beside each other."""
+    how = (
+        CACHE_VERSION, options.encoding_override, options.tie_delimiter, options.repair_mojibake,
         options.multi_line, options.drop_empty_columns, options.drop_position,
         options.alias_policy, sorted(options.header_aliases.items()),
         options.absent_location_token, options.trim_ids,
     )
-    state = (CACHE_VERSION, f.uri, str(f.modified), f.length, reading)
-    return "k" + hashlib.sha256(repr(state).encode()).hexdigest()[:24]
+    return hashlib.sha256(repr(how).encode()).hexdigest()[:12]
+
+
+def _cache_key(f: ExportFile, options: DeliveryOptions) -> str:
+    """Names one state of one source file read in one way, so an entry never goes stale."""
+    state = hashlib.sha256(repr((f.uri, str(f.modified), f.length)).encode()).hexdigest()[:24]
+    return f"k{_reading(options)}_{state}"
 
 
 def _entry(f: ExportFile, target: tuple[str, str], options: DeliveryOptions) -> str:
@@ -308,19 +344,40 @@ def _entry(f: ExportFile, target: tuple[str, str], options: DeliveryOptions) ->
     return f"{options.cache_dir}/suffix={suffix}/region={region}/key={_cache_key(f, options)}"
 
 
-def _read_through_cache(spark: SparkSession, files: Sequence[ExportFile], options: DeliveryOptions) -> Reports:
+def _evict(spark: SparkSession, files: Sequence[ExportFile], options: DeliveryOptions) -> None:
+    """Delete entries of the same region, month and way of reading that another state of the source has replaced.
+
+    They hold person data, so they go as soon as the new entry stands. Folders are looked at, no data is.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for f in files:
+        for target in f.targets:
+            own = path(_entry(f, target, options))
+            fs = own.getFileSystem(spark._jsc.hadoopConfiguration())
+            for status in fs.listStatus(own.getParent()):
+                name = status.getPath().getName()
+                if name != own.getName() and name.startswith(f"key=k{_reading(options)}_"):
+                    fs.delete(status.getPath(), True)
+
+
+def _read_through_cache(spark: SparkSession, files: Sequence[ExportFile], options: DeliveryOptions) -> Reports | None:
     """Read cleaned parquet; exports without an entry are parsed and written first.
 
-    An entry counts once its marker stands, which also lists the columns of the export. A
-    run lost half way leaves no marker, and the next one replaces what it wrote.
+    An entry counts once its marker stands, which is its manifest: the source and its state, the columns of the
+    export, and the checks of its columns that failed. A run lost half way leaves no marker, and the next
+    one replaces what it wrote.
     """
 
     def marker(f: ExportFile, target: tuple[str, str]) -> str:
         return f"{_entry(f, target, options)}/{MARKER}"
 
+    kinds, gates = _with_key(files, options)
+    files = [f for group in kinds for f in group]
+    if not files:
+        return None
     new = [f for f in files if not all(path_exists(spark, marker(f, t)) for t in f.targets)]
     if new:
-        pieces = _pieces(spark, new, options)
+        pieces, failed = _pieces(spark, new, options)
         (
             union_regions(p.rows for p in pieces)
             .write.partitionBy("suffix", "region", "key")
@@ -329,10 +386,17 @@ def _read_through_cache(spark: SparkSession, files: Sequence[ExportFile], option
             .parquet(options.cache_dir)
         )
         columns_of = _columns_by_place(pieces)
-        for path, target in {marker(f, t): t for f in new for t in f.targets}.items():
-            write_text(spark, path, "\n".join(columns_of[target]))
-
-    present = {t: tuple(read_text(spark, marker(f, t)).split("\n")) for f in files for t in f.targets}
+        for (path, target), f in {(marker(f, t), t): f for f in new for t in f.targets}.items():
+            manifest = {
+                "source": f.uri, "modified": str(f.modified), "length": f.length, "columns": columns_of[target],
+                "gates": [list(g) for g in failed if (g["region"], g["suffix"]) == target],
+            }
+            write_text(spark, path, json.dumps(manifest, ensure_ascii=False))
+        _evict(spark, new, options)
+
+    manifests = {t: json.loads(read_text(spark, marker(f, t))) for f in files for t in f.targets}
+    present = {t: tuple(m["columns"]) for t, m in manifests.items()}
+    gates += [GATE(*g) for m in manifests.values() for g in m["gates"]]
     columns = list(dict.fromkeys(c for names in present.values() for c in names))
     columns += missing_columns(columns, ("KommuneNr", "BydelNr"))
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, *PLACE]])
@@ -342,4 +406,4 @@ def _read_through_cache(spark: SparkSession, files: Sequence[ExportFile], option
         .option("basePath", options.cache_dir)
         .parquet(*[as_literal_path(e) for e in entries])
     )
-    return Reports(rows.select("region", "suffix", *columns), present)
+    return Reports(rows.select("region", "suffix", *columns), present, gates=tuple(gates))

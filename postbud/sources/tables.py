@@ -19,16 +19,30 @@ class MissingReturnFile(FileNotFoundError):
     pass
 
 
-def read_returns(spark: SparkSession, app_dir: str, suffixes: Sequence[str]) -> DataFrame:
+def _return_path(app_dir: str, suffix: str) -> str:
+    return f"{app_dir}/{RETURN_NAME.format(suffix=suffix)}"
+
+
+def missing_returns(spark: SparkSession, app_dir: str, suffixes: Sequence[str]) -> list[str]:
+    """Months that no returned file was found for."""
+    return [s for s in suffixes if not path_exists(spark, _return_path(app_dir, s))]
+
+
+def read_returns(
+    spark: SparkSession, app_dir: str, suffixes: Sequence[str], skip_missing: bool = False
+) -> DataFrame:
     """Returned files of all months: key and run number, cleaned, blanks as NULL.
 
     The files have no header; fields after the second are ignored. Keys and numbers hold no line
-    feeds, so the files are split at every one.
+    feeds, so the files are split at every one. A month without a file is an error, or with
+    ``skip_missing`` a month without rows.
     """
-    paths = {s: f"{app_dir}/{RETURN_NAME.format(suffix=s)}" for s in suffixes}
-    lost = [p for p in paths.values() if not path_exists(spark, p)]
-    if lost:
-        raise MissingReturnFile(f"no returned file {', '.join(lost)}")
+    lost = missing_returns(spark, app_dir, suffixes)
+    if lost and not skip_missing:
+        raise MissingReturnFile(f"no returned file {', '.join(_return_path(app_dir, s) for s in lost)}")
+    paths = {s: _return_path(app_dir, s) for s in suffixes if s not in lost}
+    if not paths:
+        return spark.createDataFrame([], f"suffix string, {KEY} string, {NUMBER} string")
     months = {p.rsplit("/", 1)[-1]: s for s, p in paths.items()}
     places = [
         (r["uri"], months[r["path"].rsplit("/", 1)[-1]])

@@ -2,16 +2,18 @@
 
 import os
 import random
+from collections import Counter
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from postbud.operators.conform import MissingKeyColumn
 from postbud.options import DeliveryOptions
-from postbud.sinks.files import write_files, write_table
+from postbud.sinks.files import RowsLost, _publish, read_table, write_files, write_table
 from postbud.sources.exports import MissingInput, MojibakeFound, find_exports, load_reports
 from postbud.sources.files import detect_delimiter, profile
-from postbud.sources.tables import MissingReturnFile, read_returns
+from postbud.sources.tables import MissingReturnFile, missing_returns, read_returns
 
 HSO = "HSØ"
 
@@ -371,12 +373,100 @@ def test_old_files_come_back_if_one_cannot_be_moved(spark, tmp_path):
     assert {p: p.read_bytes() for p in before} == before
 
 
+def table_rows(spark, path, schema):
+    return Counter(r["region"] for r in read_table(spark, path, schema).collect())
+
+
 def test_table(spark, tmp_path):
+    path = str(tmp_path / "t")
     df = spark.range(100).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 'HSØ' ELSE 'HV' END AS region", "'des25' AS suffix", "CAST(id AS STRING) AS lopenr"
     )
-    write_table(df, str(tmp_path / "t"))
-    back = spark.read.parquet(str(tmp_path / "t"))
-    assert back.where("region = 'HSØ'").count() == 34 and back.count() == 100
-    write_table(df.where("region = 'HV'").limit(5), str(tmp_path / "t"))
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 34 + 5
+    assert table_rows(spark, path, df.schema) == {}
+    write_table(df, path)
+    assert table_rows(spark, path, df.schema) == {"HSØ": 34, "HV": 66}
+    only = read_table(spark, path, df.schema, groups=[("des25", "HV"), ("des25", "HMN")])
+    assert only.count() == 66 and sorted(map(tuple, only.collect()))[0] == ("HV", "des25", "1")
+    plan = only._jdf.queryExecution().executedPlan().toString()
+    assert "region=HS" not in plan
+    write_table(df.where("region = 'HV'").limit(5), path)
+    assert table_rows(spark, path, df.schema) == {"HSØ": 34, "HV": 5}
+    write_table(df.limit(0), path, emptied=[("des25", "HSØ")])
+    assert table_rows(spark, path, df.schema) == {"HV": 5}
+
+
+def test_a_wrong_count_leaves_the_table_as_it_was(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(9).selectExpr("'HV' AS region", "'des25' AS suffix", "CAST(id AS STRING) AS lopenr")
+    write_table(df, path, sizes={("des25", "HV"): 9, ("des25", "HMN"): 0})
+    before = {p: p.read_bytes() for p in tmp_path.rglob("*") if p.is_file()}
+    moved = df.selectExpr("CASE WHEN lopenr = '0' THEN 'HMN' ELSE 'HV' END AS region", "suffix", "lopenr")
+    for rows, told in ((df, 10), (df.limit(8), 9), (moved, 9)):
+        with pytest.raises(RowsLost):
+            write_table(rows, path, sizes={("des25", "HV"): told, ("des25", "HMN"): 0})
+    broken = df.withColumn("lopenr", F.raise_error(F.lit("lost on the way")).cast("string"))
+    with pytest.raises(Exception, match="lost on the way"):
+        write_table(broken, path)
+    assert {p: p.read_bytes() for p in tmp_path.rglob("*") if p.is_file()} == before
+    assert table_rows(spark, path, df.schema) == {"HV": 9}
+
+
+def test_only_versions_that_a_manifest_names_stay(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(1, 5):
+        df = spark.range(n).selectExpr("'HV' AS region", "'des25' AS suffix", "CAST(id AS STRING) AS lopenr")
+        write_table(df, path)
+    assert len(list((tmp_path / "t").glob("version-*"))) == 2
+    assert sorted(p.name for p in (tmp_path / "t/manifests").glob("*.json")) == ["00000003.json", "00000004.json"]
+    assert table_rows(spark, path, df.schema) == {"HV": 4}
+
+
+def test_a_manifest_is_not_replaced(spark, tmp_path):
+    path = str(tmp_path / "t")
+    _publish(spark, path, {("des25", "HV"): "version-a"}, 1)
+    with pytest.raises(OSError, match="meanwhile"):
+        _publish(spark, path, {("des25", "HV"): "version-b"}, 1)
+    assert "version-a" in (tmp_path / "t/manifests/00000001.json").read_text()
+
+
+def test_superseded_cache_entries_go(spark, options, tmp_path):
+    cached = replace(options, cache_dir=str(tmp_path / "cache"))
+    other_way = replace(cached, trim_ids=True)
+    source = tmp_path / "in/HV/RHF_HV_des25.csv"
+    put(tmp_path / "in/HMN/RHF_HMN_des25.csv", "NPRId\n7\n")
+    for n, how in ((1, cached), (2, cached), (2, other_way), (3, cached)):
+        put(source, "NPRId\n" + " 1\n" * n)
+        os.utime(source, (n * 1000, n * 1000))
+        assert load_reports(spark, how).rows.count() == n + 1
+    left = sorted(p.parent for p in (tmp_path / "cache").rglob("_COLUMNS"))
+    of_source = [p for p in left if "region=HV" in str(p)]
+    assert len(of_source) == 2 and len(left) == 4  # one for each way of reading
+    assert sorted(spark.read.parquet(str(p)).count() for p in of_source) == [2, 3]
+
+
+def test_checks_of_files_can_only_warn(spark, options, tmp_path):
+    put(tmp_path / "in/HV/RHF_HV_des25.csv", "person\n1\n")
+    put(tmp_path / "in/HMN/RHF_HMN_des25.csv", "OF1;NPRId\nÃ¸;1\n;2\n")
+    (tmp_path / f"in/{HSO}").mkdir()
+    lenient = replace(
+        options, warn_only=("missing_input", "missing_key", "mojibake_in"), drop_position=1,
+        fail_on_mojibake=True, repair_mojibake=False,
+    )
+    for how in (lenient, replace(lenient, cache_dir=str(tmp_path / "cache")), replace(lenient, cache_dir=str(tmp_path / "cache"))):
+        reports = load_reports(spark, how)
+        assert rows(reports, "NPRId") == [("1",), ("2",)]
+        assert sorted((g["gate"], g["region"], g["failures"]) for g in reports.gates) == [
+            ("column_kept", "HMN", 1), ("missing_input", HSO, 1), ("missing_key", "HV", 1), ("mojibake_in", "HMN", 1),
+        ]
+    with pytest.raises(MissingInput):
+        load_reports(spark, replace(lenient, warn_only=("missing_key", "mojibake_in")))
+    with pytest.raises(MissingKeyColumn):
+        load_reports(spark, replace(lenient, warn_only=("missing_input", "mojibake_in")))
+
+
+def test_a_month_without_answers_can_only_warn(spark, tmp_path):
+    put(tmp_path / "NPRId_RHF_Pakkeforløp_des25_lnr.csv", "1;10\n")
+    assert missing_returns(spark, str(tmp_path), ["des25", "jan26"]) == ["jan26"]
+    found = read_returns(spark, str(tmp_path), ["des25", "jan26"], skip_missing=True)
+    assert [tuple(r) for r in found.collect()] == [("des25", "1", "10")]
+    assert read_returns(spark, str(tmp_path), ["jan26"], skip_missing=True).collect() == []

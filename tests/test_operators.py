@@ -15,17 +15,15 @@ from postbud.operators.geo import (
     location_fixes,
 )
 from postbud.operators.ids import duplicate_keys, first_examples, key_profile, request_ids, unmapped_ids
+from postbud.operators.keys import gates_of, key_table, metrics_of, totals
 from postbud.operators.quality import (
     GateFailed,
     cast_loss,
     delivery_counts,
     enforce,
     id_profile,
-    map_gates,
     month_control,
-    output_gates,
     qc_summary,
-    run_metrics,
 )
 from postbud.options import DeliveryOptions
 from postbud.sources.tables import as_history, empty_history, override_table
@@ -203,8 +201,8 @@ def test_typed_delivery(spark, id_map):
         ("HV", 2, 1)
     }
     odd = id_map.replace("102", "10x")
-    counts = delivery_counts(key_profile(report, typed.integer_columns), odd, None, typed.integer_columns)
-    assert as_set(output_gates(counts), "gate", "region", "failures") == {
+    keys = key_table(key_profile(report, typed.integer_columns), odd)
+    assert as_set(gates_of(totals(keys, typed.integer_columns), keys), "gate", "region", "failures") == {
         ("cast_loss:institusjonId", "HV", 1), ("cast_loss:lopenr", "HV", 1),
     }
 
@@ -231,11 +229,16 @@ def test_id_profile(report):
 
 def test_gates(spark, report, id_map):
     profile = key_profile(report)
-    found = as_set(map_gates(profile, id_map), "gate", "suffix", "failures", "sample")
+
+    def gates(answers):
+        keys = key_table(profile, answers)
+        return gates_of(totals(keys), keys)
+
+    found = as_set(gates(id_map), "gate", "suffix", "failures", "sample")
     assert found == {("unmapped", "des25", 1, "3"), ("unmapped", "jan26", 1, "5")}
     only_december = id_map.where("suffix = 'des25'")
     bad = only_december.unionByName(only_december.where("NPRId = '9'"))
-    failures = map_gates(profile, bad).collect()
+    failures = gates(bad).collect()
     assert {(r["gate"], r["suffix"]) for r in failures} == {
         ("map_empty", "jan26"), ("map_duplicates", "des25"), ("unmapped", "des25"), ("unmapped", "jan26"),
     }
@@ -247,7 +250,7 @@ def test_gates(spark, report, id_map):
 def test_metrics(report, id_map, history):
     profile = key_profile(report)
     fixes = location_fixes(history, ids_missing_municipality(report))
-    metrics = run_metrics(profile, id_map, fixes, delivery_counts(profile, id_map, fixes))
+    metrics = metrics_of(totals(key_table(profile, id_map, fixes)))
     found = {(r["suffix"], r["region"], r["metric"]): r["value"] for r in metrics.collect()}
     assert found["des25", "HV", "input_rows"] == 5
     assert found["des25", None, "total_rows"] == 8

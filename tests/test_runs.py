@@ -4,12 +4,15 @@ from dataclasses import replace
 from pathlib import Path
 
 import pytest
+from pyspark.sql.types import StringType, StructField, StructType
 
 from postbud.layout import DELIVERY_COLUMNS
 from postbud.operators.quality import GateFailed
 from postbud.options import DeliveryOptions
+from postbud.plans import runs
 from postbud.plans.runs import run
 from postbud.session import shared_folder
+from postbud.sinks.files import RowsLost, read_table
 from postbud.sources.tables import MissingReturnFile
 
 HEAD = "﻿" + ";".join(DELIVERY_COLUMNS)
@@ -133,18 +136,46 @@ def test_one_file_a_name(spark, options, history, tmp_path):
     assert len(lines(tmp_path / names[1])) == 4
 
 
+DELIVERY = StructType([StructField(c, StringType()) for c in ("region", "suffix", *DELIVERY_COLUMNS)])
+
+
 def test_table_follows_the_files(spark, options, history, tmp_path):
     answer(tmp_path, "1;100\n2;200\n3;300\n")
     run(spark, "STEP2", options, history)
-    table = spark.read.parquet(str(tmp_path / "out/deliveries"))
+    table = read_table(spark, str(tmp_path / "out/deliveries"), DELIVERY)
     assert {(r["region"], r["count"]) for r in table.groupBy("region").count().collect()} == {("HSØ", 3), ("HV", 2)}
     put(tmp_path / "in/HV/Uttrekk RHF_HV_des25.csv", "NPRId,KommuneNr\n")
     run(spark, "STEP2", options, history)
-    table = spark.read.parquet(str(tmp_path / "out/deliveries"))
+    table = read_table(spark, str(tmp_path / "out/deliveries"), DELIVERY)
     assert {r["region"] for r in table.select("region").collect()} == {"HSØ"}
     assert lines(tmp_path / "out/Utlevering_HV_des25.csv") == [HEAD]
 
 
+def test_a_delivery_of_the_wrong_size_changes_nothing(spark, options, history, tmp_path, monkeypatch):
+    answer(tmp_path, "1;100\n2;200\n3;300\n")
+    run(spark, "STEP2", options, history)
+    files = {p: p.read_bytes() for p in (tmp_path / "out").rglob("*") if p.is_file() and not p.name.startswith("QC")}
+    right = runs.deliver
+    monkeypatch.setattr(runs, "deliver", lambda *a, **k: right(*a, **k).where("lopenr <> '100'"))
+    with pytest.raises(RowsLost):
+        run(spark, "STEP2", options, history)
+    assert {p: p.read_bytes() for p in (tmp_path / "out").rglob("*") if p.is_file() and not p.name.startswith("QC")} == files
+
+
+def test_overrides_and_checks_that_only_warn(spark, options, history, tmp_path):
+    two = replace(
+        options, months=("2025-12-01", "2026-01-01"), strict_input=False, warn_only=("missing_returns", "map_empty"),
+        overrides=(("1", 2020, "0999"),),
+    )
+    answer(tmp_path, "1;100\n2;200\n3;300\n")
+    result = run(spark, "STEP2", two, history)
+    assert {(w["gate"], w["suffix"]) for w in result.warnings} >= {("missing_returns", "jan26"), ("map_empty", "jan26"), ("unmapped", "jan26")}
+    assert any(";0999;" in line for line in lines(tmp_path / "out/Utlevering_HSØ_des25.csv"))
+    table = spark.createDataFrame([("1", 2020, "0888")], "NPRId string, aar int, komnrhjem2 string")
+    run(spark, "STEP2", two, history, table)
+    assert any(";0888;" in line for line in lines(tmp_path / "out/Utlevering_HSØ_des25.csv"))
+
+
 def test_nothing_is_left_in_the_shared_folder(spark, options, history, tmp_path):
     root = Path(shared_folder(spark).removeprefix("file:")) / "postbud"
     before = set(root.rglob("*")) if root.exists() else set()

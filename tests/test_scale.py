@@ -7,8 +7,16 @@ from pyspark.sql import functions as F
 
 from postbud.layout import DELIVERY_COLUMNS
 from postbud.operators.delivery import deliver, key_lookup
-from postbud.operators.geo import ids_missing_municipality, latest_location, location_fixes
+from postbud.operators import geo
+from postbud.operators.geo import (
+    ids_missing_municipality,
+    keys_missing_municipality,
+    latest_location,
+    location_fixes,
+    needed_history,
+)
 from postbud.operators.ids import attach_numbers, first_examples, key_profile, request_ids
+from postbud.operators.keys import gates_of, key_table, metrics_of, totals
 from postbud.options import DeliveryOptions
 from postbud.plans.runs import _write_deliveries
 from postbud.session import stage
@@ -119,6 +127,47 @@ def test_keys_are_combined_before_the_shuffle(spark, conf, hot):
         assert "Aggregate" in above and "Aggregate" in below
 
 
+def test_gates_and_metrics_take_three_shuffles(spark, conf, hot):
+    report, id_map, history = hot
+    profile = stage(key_profile(report), "profile")
+    fixes = stage(location_fixes(history, keys_missing_municipality(profile)), "fixes")
+    keys = stage(key_table(profile, id_map, fixes), "keys")
+    counted = stage(totals(keys), "totals")
+    for df, most in ((key_table(profile, id_map, fixes), 1), (totals(keys), 1), (gates_of(counted, keys), 2), (metrics_of(counted), 0)):
+        assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hash") <= most
+    above, below = totals(keys)._jdf.queryExecution().executedPlan().toString().split("Exchange", 1)
+    assert "HashAggregate" in above and "HashAggregate" in below
+    assert "WindowGroupLimit" in gates_of(counted, keys)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_needed_keys_reach_the_scan_of_the_history(spark, conf, hot, monkeypatch):
+    _, _, history = hot
+
+    def scanned(n):
+        keys = stage(spark.range(100, 100 + n).selectExpr("CAST(id AS STRING) AS NPRId"), "few")
+        found = needed_history(history, keys)
+        assert found.count() == n
+        return found._jdf.queryExecution().executedPlan().toString()
+
+    assert "In(NPRId, [" in scanned(5)
+    monkeypatch.setattr(geo, "FEW_KEYS", 10)
+    plan = scanned(50)
+    assert "GreaterThanOrEqual(NPRId,100)" in plan and "LessThanOrEqual(NPRId,149)" in plan and "LeftSemi" in plan
+    # Sorted by key, as a large history would be, only the row groups with needed keys are read.
+    rows = spark.range(0, 200_000).selectExpr("lpad(id, 8, '0') AS NPRId", "'0301' AS komnrhjem2", "'1' AS bydel2", "2020 AS aar")
+    table = stage(rows.repartitionByRange(64, "NPRId").sortWithinPartitions("NPRId"), "sorted")
+    needed = stage(spark.range(70_000, 70_100).selectExpr("lpad(id, 8, '0') AS NPRId"), "needed")
+    read = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda v: (read.add(1), v)[1], "string")
+    cut = needed_history(table, needed)
+    scan = [f for f in cut._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in f][0]
+    assert "PushedFilters: [IsNotNull(NPRId), GreaterThanOrEqual(NPRId,00070000)" in scan or "00070000" in scan
+    assert cut.count() == 100
+    in_range = table.where(F.col("NPRId").between("00070000", "00070099")).select(seen("NPRId").alias("k"))
+    in_range.agg(F.max("k")).collect()
+    assert read.value < 200_000 / 10
+
+
 def test_profile_reads_only_its_columns(hot):
     report, _, _ = hot
     plan = request_ids(report)._jdf.queryExecution().executedPlan().toString()
