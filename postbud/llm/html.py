@@ -17,8 +17,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,6 +45,10 @@ NOISE_WORDS = frozenset(
     "social related recommended widget pagination pager toolbar skip".split()
 )
 CONTENT = frozenset(["article", "main"])
+#: Noise that may stand around a whole page.
+AROUND = frozenset(["form", "header", "nav", "aside", "dialog"])
+#: Elements that hold text without tags.
+RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 #: Open elements that a start tag ends: any open paragraph, and an equal element up to its container.
 _ENDS_P = BLOCK | NOISE - frozenset("script style template noscript button select option iframe svg canvas object audio video datalist".split())
 _SIBLINGS = {
@@ -58,10 +63,11 @@ _SIBLINGS = {
 
 
 class Node:
-    __slots__ = ("tag", "noise", "marks", "content", "block", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "noise", "around", "level", "marks", "content", "block", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "sum")
 
     def __init__(self, tag: str, parent: Node | None, noise: bool, content: bool):
         self.tag, self.parent, self.noise, self.content = tag, parent, noise, content
+        self.around, self.level = noise and tag in AROUND, 0 if parent is None else parent.level + 1
         self.marks: frozenset[str] = frozenset()
         self.block = tag in BLOCK
         self.children: list[Node | str] = []
@@ -69,35 +75,137 @@ class Node:
         self.density = self.sum = 0.0
 
 
-class _Tree(HTMLParser):
+_NAME = re.compile(r"[A-Za-z][^\s/>]*")
+_GAP = re.compile(r"[\s/]*")
+_SPACE = re.compile(r"\s*")
+_ATTRIBUTE = re.compile(r"=?[^\s/>=]*")
+_BARE = re.compile(r"[^\s>]*")
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in RAW}
+
+
+class _Scanner:
+    """Tags and text of a page, each character looked at a bounded number of times.
+
+    What has once been searched for in vain up to the end is not searched for again.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.lost = page, set()
+
+    def _find(self, what: str, start: int) -> int:
+        if what in self.lost:
+            return -1
+        at = self.page.find(what, start)
+        if at < 0:
+            self.lost.add(what)
+        return at
+
+    def _attributes(self, at: int) -> tuple[list[tuple[str, str | None]], int]:
+        """Attributes from ``at`` on, and where the tag ends; -1 if it does not."""
+        page, found = self.page, []
+        while True:
+            at = _GAP.match(page, at).end()
+            if at >= len(page):
+                return found, -1
+            if page[at] == ">":
+                return found, at + 1
+            name = _ATTRIBUTE.match(page, at)
+            at, value = _SPACE.match(page, name.end()).end(), None
+            if page[at : at + 1] == "=":
+                at = _SPACE.match(page, at + 1).end()
+                quote = page[at : at + 1]
+                end = self._find(quote, at + 1) if quote in ("'", '"') and quote else -1
+                if end < 0:
+                    bare = _BARE.match(page, at)
+                    value, at = bare.group(), bare.end()
+                else:
+                    value, at = page[at + 1 : end], end + 1
+            found.append((name.group().lower(), None if value is None else unescape(value)))
+
+    def feed(self, tree: _Tree) -> None:
+        page, at = self.page, 0
+        while at < len(page):
+            begin = self._find("<", at)
+            if begin < 0:
+                tree.handle_data(unescape(page[at:]))
+                return
+            after = page[begin + 1 : begin + 2]
+            is_end = after == "/"
+            name = _NAME.match(page, begin + 1 + is_end)
+            if name is None and after not in ("!", "?", "/") or not after:
+                tree.handle_data(unescape(page[at : begin + 1]))  # no tag, so it is text
+                at = begin + 1
+                continue
+            if begin > at:
+                tree.handle_data(unescape(page[at:begin]))
+            if name is None:
+                at = self._after_declaration(begin)
+            else:
+                tag = name.group().lower()
+                attributes, at = self._attributes(name.end())
+                if at < 0:
+                    return  # a tag that the page's end cuts short
+                if is_end:
+                    tree.handle_endtag(tag)
+                else:
+                    tree.handle_starttag(tag, attributes)
+                    at = self._after_raw(tag, at, tree)
+
+    def _after_declaration(self, begin: int) -> int:
+        """Where a comment, a document type, or something like them ends."""
+        if self.page.startswith("<!--", begin):
+            if self.page.startswith((">", "->"), begin + 4):
+                return self.page.index(">", begin) + 1
+            end = self._find("-->", begin + 4)
+            if end >= 0:
+                return end + 3
+        end = self._find(">", begin)
+        return len(self.page) if end < 0 else end + 1
+
+    def _after_raw(self, tag: str, at: int, tree: _Tree) -> int:
+        """The end of an element without tags; one that is never closed holds tags, or the rest if it is a script or style."""
+        if tag not in RAW:
+            return at
+        end = None if tag in self.lost else _RAW_END[tag].search(self.page, at)
+        if end is None:
+            self.lost.add(tag)
+            tree.handle_endtag(tag)
+            return len(self.page) if tag in ("script", "style") else at
+        if end.start() > at:
+            tree.handle_data(self.page[at : end.start()])
+        return end.start()
+
+
+class _Tree:
     """A tree of elements and strings; closes what HTML lets authors leave open."""
 
     def __init__(self):
-        super().__init__(convert_charrefs=True)
         self.root = self.at = Node("#root", None, False, False)
-        self.depth: dict[str, int] = {}
+        self.open: dict[str, list[Node]] = {}  # open elements by tag, outermost first
         self.marked: list[Node] = []
+        self.around: list[Node] = []
 
     def _open(self, tag: str, noise: bool, content: bool) -> None:
         node = Node(tag, self.at, noise, content)
         self.at.children.append(node)
         self.at = node
-        self.depth[tag] = self.depth.get(tag, 0) + 1
+        self.open.setdefault(tag, []).append(node)
 
     def _close_to(self, node: Node) -> None:
         while True:
             gone, self.at = self.at, self.at.parent
-            self.depth[gone.tag] -= 1
+            self.open[gone.tag].pop()
             if gone is node:
                 return
 
     def _end(self, tags: frozenset, stop: frozenset) -> None:
         """Close the outermost open element of ``tags`` that lies within the nearest of ``stop``."""
-        node, found = self.at, None
-        while node is not self.root and node.tag not in stop:
-            if node.tag in tags:
-                found = node
-            node = node.parent
+        level = max((self.open[t][-1].level for t in stop if self.open.get(t)), default=0)
+        found = None
+        for own in (self.open.get(t) for t in tags):
+            place = bisect_right(own, level, key=lambda n: n.level) if own else 0
+            if own and place < len(own) and (found is None or own[place].level < found.level):
+                found = own[place]
         if found is not None:
             self._close_to(found)
 
@@ -105,7 +213,7 @@ class _Tree(HTMLParser):
         if tag in VOID:
             self.at.children.append(" " if tag != "hr" else "\n")
             return
-        if tag in _ENDS_P and self.depth.get("p"):
+        if tag in _ENDS_P and self.open.get("p"):
             self._end(frozenset(["p"]), _SCOPE)
         if tag in _SIBLINGS:
             self._end(*_SIBLINGS[tag])
@@ -128,14 +236,12 @@ class _Tree(HTMLParser):
         if marks and not noise:
             self.at.marks = frozenset(marks)
             self.marked.append(self.at)
+        if self.at.around:
+            self.around.append(self.at)
 
     def handle_endtag(self, tag: str) -> None:
-        if not self.depth.get(tag):
-            return
-        node = self.at
-        while node.tag != tag:
-            node = node.parent
-        self._close_to(node)
+        if self.open.get(tag):
+            self._close_to(self.open[tag][-1])
 
     def handle_data(self, data: str) -> None:
         self.at.children.append(data)
@@ -178,6 +284,32 @@ def _settle_marks(tree: _Tree) -> None:
         node.noise = not node.marks <= layout
 
 
+def _settle_around(tree: _Tree) -> None:
+    """A form, header and the like that holds most of the page's text that is not link text, and most of that in
+    its article and main elements if there are any, is no noise."""
+    counts = {}  # text of every element, and what of it lies in article and main elements
+    order = []
+    stack = [(tree.root, False)]
+    while stack:
+        node, inside = stack.pop()
+        inside = inside or node.content
+        n = sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        counts[id(node)] = [n, n * inside]
+        order.append(node)
+        stack.extend(
+            (c, inside) for c in node.children if not isinstance(c, str) and c.tag != "a" and (c.around or not c.noise)
+        )
+    for node in reversed(order):
+        if node.parent is not None:
+            above = counts[id(node.parent)]
+            above[0] += counts[id(node)][0]
+            above[1] += counts[id(node)][1]
+    total, own = counts[id(tree.root)]
+    for node in tree.around:
+        n, content = counts.get(id(node), (0, 0))
+        node.noise = not (2 * n > total and (2 * content > own or not own))
+
+
 def _in_order(root: Node) -> list[Node]:
     """Elements from the root down, without those that are noise and what they hold."""
     out, stack = [], [root]
@@ -228,13 +360,18 @@ def _content(nodes: list[Node]) -> set[int | tuple[int, int]]:
     path = [core]
     while path[-1].parent is not None:
         path.append(path[-1].parent)
+    threshold = min((n.density for n in path if n.tag not in ("#root", "html")), default=0.0)
     inner = [n for n in path if n.content]
     if inner:
-        # All article and main elements that are not within another one belong to the page's content.
+        # Others belong to the page's content if they are as dense as what stands around the core, or half as dense
+        # as the one it lies in: of two alike, one is always below their mean.
         own = {id(n) for n in path}
         top = inner[-1]
-        return {id(top)} | {id(n) for n in nodes if n.content and id(n) not in own and not _within(n, top)}
-    threshold = min((n.density for n in path if n.tag not in ("#root", "html")), default=0.0)
+        least = min(threshold, top.density / 2)
+        within = {id(n) for n in _in_order(top)}
+        return {id(top)} | {
+            id(n) for n in nodes if n.content and id(n) not in own and id(n) not in within and n.density >= least
+        }
     taken = {id(core)}
     on_path = {id(n) for n in path}
     ratio = nodes[0].link_chars / max(nodes[0].chars, 1)
@@ -280,18 +417,11 @@ def _run_density(run: list[Node | str], ratio: float) -> float:
     )
 
 
-def _within(node: Node, outer: Node) -> bool:
-    while node is not None:
-        if node is outer:
-            return True
-        node = node.parent
-    return False
-
-
 def extract(html: str) -> str:
     tree = _Tree()
-    tree.feed(html)
-    tree.close()
+    _Scanner(html).feed(tree)
+    if tree.around:
+        _settle_around(tree)
     if tree.marked:
         _settle_marks(tree)
     nodes = _in_order(tree.root)
