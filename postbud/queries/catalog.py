@@ -13,7 +13,13 @@ from postbud.functions.numbers import to_integer
 from postbud.functions.predicates import is_blank, is_missing
 from postbud.functions.text import garble, header_key, repair_mojibake
 from postbud.layout import DELIVERY_COLUMNS
-from postbud.operators.conform import conform, output_shape, union_regions
+from postbud.operators.conform import (
+    conform,
+    drop_column_at_if_empty,
+    drop_empty_columns,
+    output_shape,
+    union_regions,
+)
 from postbud.operators.delivery import deliver
 from postbud.operators.geo import (
     apply_overrides,
@@ -509,6 +515,12 @@ def q_repeated_header(spark, sf_dir):
     return _blank_as_null(reports.rows, given.EXPORT_COLUMNS)
 
 
+def q_table_columns_dropped(spark, sf_dir):
+    """Empty columns of one table, and its third one, which has values and stays."""
+    kept, dropped = drop_column_at_if_empty(drop_empty_columns(given.report(spark, sf_dir)), 3)
+    return kept.withColumn("third_dropped", F.lit(dropped))
+
+
 def q_columns_dropped(spark, sf_dir):
     options = replace(given.write_exports(spark, sf_dir), drop_empty_columns=True, drop_position=11)
     present = load_reports(spark, options).rows

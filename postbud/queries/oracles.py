@@ -400,6 +400,8 @@ def oracle_sql() -> dict[str, str]:
             CASE WHEN region = 'HV' THEN ',' ELSE ';' END AS delimiter,
             CASE WHEN region = 'HMN' THEN 'Windows-1252' ELSE 'UTF-8' END AS encoding,
             CAST({len(EXPORT_COLUMNS)} AS INTEGER) AS n_columns FROM report""",
+        "table_columns_dropped": _with(REPORT) + """SELECT * EXCLUDE ("OF4", "Overf", start_day, institution_number),
+            false AS third_dropped FROM report""",
         "columns_dropped": _with(REPORT, EXPORTED) + " UNION ALL ".join(
             f"""SELECT {by} AS suffix, '{c}' AS missing_column FROM exported GROUP BY {by}
                 HAVING count(*) FILTER (WHERE "{c}" <> '') = 0"""

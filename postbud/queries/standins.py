@@ -152,7 +152,7 @@ def overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
 # How each region writes its exports: separator, encoding, headers that differ.
 HABITS = {
     "HSØ": (";", "UTF-8", {"KommuneNr": "Kommune", "Fagenhet": "Enhet navn", "År": "Start-år"}),
-    "HV": (",", "UTF-8", {"NPRId": "npr id", "institusjon": "Institusjon Navn"}),
+    "HV": (",", "UTF-8", {"NPRId": "npr id", "institusjon": "Institusjon\u00a0Navn"}),
     "HMN": (";", "ISO-8859-1", {"Pakkeforløp": "Pakkeforløp Navn1", "pfInstansId": "PF forløp samlet id1"}),
 }
 

@@ -47,9 +47,23 @@ def shared_folder(spark: SparkSession) -> str:
 _run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
 
 
+def session_folder(spark: SparkSession) -> str:
+    """A folder of this session's own in the shared one, which goes when the session's JVM ends.
+
+    Tables that a query stages must outlive it, as its result is read from them.
+    """
+    folder = f"{shared_folder(spark)}/postbud/session-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return folder
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nobody has used before."""
-    return f"{_run_folder.get() or f'{shared_folder(spark)}/postbud'}/{name}-{uuid.uuid4().hex}"
+    return f"{_run_folder.get() or session_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @contextmanager

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postbud.functions.predicates import MOJIBAKE_MARKS, has_mojibake
-from postbud.functions.text import clean_header_text, decode_cp1252
+from postbud.functions.text import clean_header_text, decode_cp1252, nbsp_to_space
 from postbud.options import DeliveryOptions
 
 UTF8 = "UTF-8"
@@ -246,7 +246,7 @@ def profile(spark: SparkSession, paths: Iterable[str], options: DeliveryOptions)
         .when(encoding == CP1252, decode_cp1252(decoded))
         .otherwise(decoded)
     )
-    head = F.regexp_replace(F.regexp_replace(text, "^\ufeff", ""), "\r+$", "")
+    head = nbsp_to_space(F.regexp_replace(F.regexp_replace(text, "^\ufeff", ""), "\r+$", ""))
     delimiter = detect_delimiter(F.col("head"), options.tie_delimiter)
     unquoted = F.regexp_replace("head", '"[^"]*"', "")
     return (
