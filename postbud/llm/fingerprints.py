@@ -1,13 +1,15 @@
 """Fingerprints of documents as Merkle trees, in DataFrame functions only.
 
 A text is cut at line feeds into paragraphs, a paragraph at sentence ends and after ``PIECE_WORDS``
-words into pieces. Pieces are the leaves; a paragraph's node hashes its text, and a section is a run
-of paragraphs that ends at an empty one or where the paragraph's hash says so (one in four), so that
-an edit moves no boundary elsewhere. The root hashes the text as a whole, by SHA-256.
+words into pieces, each with the white space before it, so that the pieces of a paragraph make it up. Pieces are the
+leaves, hashed by MD5. Every other node hashes its children's hashes: a paragraph those of its pieces, a section
+those of its paragraphs, the root (by SHA-256) those of the sections. So equal roots mean equal texts, and any branch can be
+checked against the node above. A section is a run of paragraphs that ends at an empty one or where the
+paragraph's hash says so (one in four), so that an edit moves no boundary elsewhere.
 
 The fingerprint is one string, ``root|section|section...`` with a section as
-``hash:paragraph,paragraph`` and a paragraph as ``hash`` followed by ``.leaf`` for every piece, of
-32 bits each. Equal texts have equal fingerprints and equal roots test equality; where sections differ,
+``hash:paragraph,paragraph`` and a paragraph as ``hash`` followed by ``.leaf`` for every piece. It shows
+32 bits of each hash below the root, which are made from whole ones. Equal texts have equal fingerprints and equal roots test equality; where sections differ,
 paragraphs tell which, and where those differ, pieces. The likeness of two fingerprints is the Dice
 coefficient of their distinct leaves, 1 for equal roots and below 1 for others.
 
@@ -24,33 +26,48 @@ from pyspark.sql import functions as F
 from postbud.session import stage
 
 PIECE_WORDS = 8
-PIECE = rf"\S{{1,64}}(?:\s+\S{{1,64}}){{0,{PIECE_WORDS - 1}}}"
+PIECE = rf"\s*\S{{1,64}}(?:\s+\S{{1,64}}){{0,{PIECE_WORDS - 1}}}|\s+"
 BUCKETS = 512
 _LEAST = -(1 << 63)
 
 
-def _short(x: Column) -> Column:
-    """32 bits of a hash as eight hex digits."""
-    return F.substring(F.md5(x), 1, 8)
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def fingerprint(text: Column) -> Column:
-    def pieces(paragraph: Column) -> Column:
-        sentences = F.split(paragraph, r"(?<=[.!?])\s+")
+    def node(paragraph: Column) -> Column:
+        """The paragraph's whole hash, and 32 bits of each of its leaves."""
+        sentences = F.split(paragraph, r"(?<=[.!?])(?=\s)")
         cut = F.flatten(F.transform(sentences, lambda s: F.regexp_extract_all(s, F.lit(PIECE), F.lit(0))))
-        return F.concat_ws(".", F.array(_short(paragraph)), F.transform(cut, _short))
 
-    paragraphs = F.transform(F.split(text, "\n"), pieces)
+        def written(hashes: Column) -> Column:
+            shown = F.transform(hashes, lambda h: F.substring(h, 1, 8))
+            return F.concat_ws(".", F.array(F.md5(F.concat(F.lit("p"), F.array_join(hashes, "")))), shown)
+
+        return _once(F.transform(cut, F.md5), written)
+
+    paragraphs = F.transform(F.split(text, "\n"), node)
     # A paragraph that ends a section is followed by "|", others by ",".
     marked = F.transform(
         paragraphs,
-        lambda p: F.concat(p, F.when(p.rlike("^(d41d8cd9$|[048c])"), F.lit("|")).otherwise(F.lit(","))),
+        lambda p: F.concat(p, F.when(p.rlike("^(?:[048c]|[^.]*$)"), F.lit("|")).otherwise(F.lit(","))),
     )
     sections = F.filter(F.split(F.array_join(marked, ""), r"\|"), lambda s: F.length(s) > 0)
-    tree = F.transform(sections, lambda s: F.concat(_short(s), F.lit(":"), F.rtrim(s, F.lit(","))))
-    return F.when(text == "", F.sha2(text, 256)).otherwise(
-        F.concat_ws("|", F.array(F.sha2(text, 256)), tree)
-    )
+
+    def section(s: Column) -> Column:
+        """The section's whole hash, from its paragraphs' without their leaves, and what is shown of them."""
+        s = F.rtrim(s, F.lit(","))
+        own = F.md5(F.concat(F.lit("s"), F.regexp_replace(s, r"\.[0-9a-f]{8}", "")))
+        return F.concat(own, F.lit(":"), F.regexp_replace(s, "(^|,)([0-9a-f]{8})[0-9a-f]{24}", "$1$2"))
+
+    def tree(nodes: Column) -> Column:
+        root = F.sha2(F.array_join(F.transform(nodes, lambda s: F.substring(s, 1, 32)), ""), 256)
+        shown = F.transform(nodes, lambda s: F.concat(F.substring(s, 1, 8), F.substr(s, F.lit(33))))
+        return F.when(text == "", root).otherwise(F.concat_ws("|", F.array(root), shown))
+
+    return _once(F.transform(sections, section), tree)
 
 
 def leaves(print_: Column) -> Column:
@@ -95,6 +112,8 @@ def with_next(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     if not above:
         return docs.select("*", F.lit(None).cast("string").alias("next_text"), F.lit(None).cast("string").alias("next_fingerprint"))
     dealt = docs.select("*", F.explode(F.concat(F.array(own), sent)).alias("to")).select("*", "to.own", "to.bucket").drop("to")
+    # By range and not by hash, which would put several ranges in one task and none in others.
+    dealt = dealt.repartitionByRange(len(tops), "bucket")
     # Within a range: its own rows in descending order, then what came from the range below.
     order = Window.partitionBy("bucket").orderBy(F.col("own").desc(), F.col("did").desc(), "fingerprint")
     led = dealt.select(
