@@ -37,7 +37,7 @@ from postbud.operators.ids import (
     request_ids,
     unmapped_ids,
 )
-from postbud.operators.keys import gates_of, key_table, lookup_of, metrics_of, totals, unmapped_keys, without_year
+from postbud.operators.keys import gates_of, key_table, lookup_of, metrics_of, totals, without_year
 from postbud.operators.quality import (
     cast_loss,
     delivery_counts,
@@ -87,8 +87,10 @@ def keyed(spark: SparkSession, sf_dir: str, columns=("institusjonId",)) -> tuple
 
 def delivered(spark: SparkSession, sf_dir: str, options=OPTIONS, keep=("rad", "region", "suffix")) -> DataFrame:
     keys, counted = keyed(spark, sf_dir)
+    # Numbers and locations come with the lookup.
     return deliver(
-        given.report(spark, sf_dir), keys, keys, options, None, keep, lookup_of(keys), without_year(counted)
+        given.report(spark, sf_dir), keys, fixes=keys, options=options, keep=keep,
+        lookup=lookup_of(keys), no_year=without_year(counted),
     )
 
 
