@@ -118,7 +118,9 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, date: str
     keys = stage(
         pages.where(F.octet_length("html") >= min_bytes).select("_id", "_sha1").distinct(), "digests"
     )
-    top = keys.groupBy("_sha1").agg(F.max("_id").alias("_top"))
+    # Written out, so that the join by the digest of a very common payload is one of plain shuffles, which AQE splits.
+    top = keys.groupBy("_sha1").agg(F.max("_id").alias("_top"), F.count("*").alias("_n")).where("_n > 1")
+    top = stage(top.select("_sha1", "_top"), "tops")
     revisits = keys.join(top, "_sha1").where("_id != _top").select("_id", "_sha1", F.col("_top").alias("refers_to"))
     rows = pages.join(revisits, ["_id", "_sha1"], "left").select("page_id", "url", "html", "refers_to")
     return stage(rows.mapInArrow(_write(folder, date), _INDEX), "index")
