@@ -8,8 +8,8 @@ The 128-bit hashes of keys are range-partitioned with their documents, sorted by
 (descending) and position, and streamed: the first document of a hash keeps its lines. As document
 is part of the range, a very frequent line spreads over many partitions; the groups that a
 partition begins or ends with are settled afterwards from one count per partition. Documents go
-by doc_id and a hash of the text; a missing doc_id counts as the smallest, and repeated rows as
-one document. What comes back is a compressed bitmap a document, never text.
+by doc_id and a hash of the text, and repeated rows are one document. A missing doc_id is
+smaller than any other; each text without doc_id is a document of its own, and the largest of them is that of the largest hash. What comes back is a compressed bitmap a document, never text.
 """
 
 from __future__ import annotations
@@ -68,7 +68,7 @@ _STREAMED = "kind string, h1 long, h2 long, did long, digest long, place int, n
 
 
 def _stream(min_docs: int):
-    """Rows of kind ``drop`` (settled), ``edge`` (to be settled) and ``sum`` (documents of an edge)."""
+    """Rows of kind ``drop`` (settled), ``edge`` (to be settled) and ``sum`` (documents of an edge; ``digest`` is the top one's ``sub``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -76,25 +76,25 @@ def _stream(min_docs: int):
 
         def close(at_end: bool):
             if key is not None and (first_group or at_end):
-                out.append(("sum", *key, top, 0, 0, n))
-                out.extend(("edge", *key, *row, 0) for row in pending)
+                out.append(("sum", *key, *top, 0, n))
+                out.extend(("edge", *key, *row, 0) for _, row in pending)
 
         for batch in batches:
-            for h1, h2, did, digest, place in zip(*(batch[c].to_pylist() for c in [*_KEY, *_DOC, "place"])):
+            for h1, h2, did, sub, digest, place in zip(*(batch[c].to_pylist() for c in [*_KEY, "did", "sub", "digest", "place"])):
                 if key is None or h1 != key[0] or h2 != key[1]:
                     if key is not None:
                         close(False)
                         first_group = False
-                    key, top, last, n, pending = (h1, h2), did, None, 0, []
-                if did != last:
-                    last, n = did, n + 1
+                    key, top, last, n, pending = (h1, h2), (did, sub), None, 0, []
+                if (did, sub) != last:
+                    last, n = (did, sub), n + 1
                 if first_group:
                     out.append(("edge", h1, h2, did, digest, place, 0))
                 elif n < min_docs:
-                    pending.append((did, digest, place))
+                    pending.append((last, (did, digest, place)))
                 else:
                     if pending:
-                        out.extend(("drop", h1, h2, *row, 0) for row in pending if row[0] != top)
+                        out.extend(("drop", h1, h2, *row, 0) for doc, row in pending if doc != top)
                         pending = []
                     out.append(("drop", h1, h2, did, digest, place, 0))
             yield _rows(out)
@@ -138,19 +138,22 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
         ),
         "lines",
     )
+    # What tells documents without doc_id apart.
+    sub = F.when(F.col("did") == _LEAST, F.col("digest")).otherwise(0)
+    order = ["h1", "h2", F.col("did").desc(), F.col("sub").desc()]
     streamed = stage(
-        lines.repartitionByRange("h1", "h2", F.col("did").desc())
-        .sortWithinPartitions("h1", "h2", F.col("did").desc(), "place")
+        lines.withColumn("sub", sub).repartitionByRange(*order)
+        .sortWithinPartitions(*order, "place")
         .mapInArrow(_stream(min_docs), _STREAMED),
         "streamed",
     )
     # At most two rows for each partition of the stream.
     frequent = (
-        streamed.where("kind = 'sum'").groupBy(*_KEY).agg(F.sum("n").alias("docs"), F.max("did").alias("top"))
+        streamed.where("kind = 'sum'").groupBy(*_KEY).agg(F.sum("n").alias("docs"), F.max(F.struct("did", F.col("digest").alias("sub"))).alias("top"))
         .where(F.col("docs") >= min_docs)
     )
     settled = (
-        streamed.where("kind = 'edge'").join(F.broadcast(frequent), _KEY).where("did != top").select(*_DOC, "place")
+        streamed.where("kind = 'edge'").join(F.broadcast(frequent), _KEY).where((F.col("did") != F.col("top.did")) | (sub != F.col("top.sub"))).select(*_DOC, "place")
     )
     dropped = streamed.where("kind = 'drop'").select(*_DOC, "place").union(settled)
     listed = dropped.groupBy(*_DOC).agg(F.collect_list("place").alias("places"))
