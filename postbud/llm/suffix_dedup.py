@@ -14,6 +14,9 @@ nowhere else has no equal string to find.
 3. For every range a loser tree merges the runs. It keeps for each head how long a prefix it shares with the last
    output, so known prefixes are not compared again, and gives out the shared prefix of neighbours. Strings
    at offset o before an anchor are equal within a stretch whose shared prefixes reach LENGTH - o, if the o bytes before are.
+   Leading bytes that fill several ranges by themselves are a hot range, whose runs are dealt to as many tasks as it needs. Each of
+   them settles what it holds twice, and sends one row for every string that it holds; a string that
+   several of them sent is repeated too, which an aggregate over string hashes tells.
 4. The bytes covered go back by document; overlaps are joined there.
 
 Documents go by doc_id and a hash of the text. Repeated rows are documents of their own, so they remove each other whole if
@@ -40,6 +43,7 @@ REACH = LENGTH - GRAM  # bytes before an anchor that its strings may begin
 SPAN = LENGTH + REACH
 RUN = 1 << 16
 RANGE = 50_000
+HOT = 40  # a part's number holds its range in the lower bits, and above them its share of a hot range, from 1
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _LEAST = -(1 << 63)
 _DOC = ["did", "digest"]
@@ -189,7 +193,7 @@ _PARTS = "part long, blob binary"
 
 def _make_runs(bounds):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cuts = bounds.value
+        cuts, ways = bounds.value
         strings, meta, waiting, salt = [], [], 0, 0
         for batch in batches:
             for did, digest, text, at in zip(*(batch[c] for c in [*_DOC, "text", "at"])):
@@ -205,15 +209,15 @@ def _make_runs(bounds):
                     meta.append(own[a : a + RUN])
                     waiting += len(strings[-1])
                     if waiting >= RUN:
-                        yield _run_rows(np.concatenate(strings), np.concatenate(meta), cuts, salt := salt + 1)
+                        yield _run_rows(np.concatenate(strings), np.concatenate(meta), cuts, ways, salt := salt + 1)
                         strings, meta, waiting = [], [], 0
         if waiting:
-            yield _run_rows(np.concatenate(strings), np.concatenate(meta), cuts, salt + 1)
+            yield _run_rows(np.concatenate(strings), np.concatenate(meta), cuts, ways, salt + 1)
 
     return run
 
 
-def _run_rows(strings: np.ndarray, meta: np.ndarray, cuts: np.ndarray, salt: int) -> pa.RecordBatch:
+def _run_rows(strings: np.ndarray, meta: np.ndarray, cuts: np.ndarray, ways: np.ndarray, salt: int) -> pa.RecordBatch:
     order = _sort_rows(strings)
     strings, meta = strings[order], meta[order]
     equal = np.concatenate(([False], (strings[1:] == strings[:-1]).all(1) & (meta[1:, 3] == meta[:-1, 3])))
@@ -224,8 +228,17 @@ def _run_rows(strings: np.ndarray, meta: np.ndarray, cuts: np.ndarray, salt: int
     ends = np.flatnonzero(np.append(part[1:] != part[:-1], True)) + 1
     parts, blobs, a = [], [], 0
     for b in ends.tolist():
-        parts.append(int(part[a]))
-        blobs.append(encode(strings[a:b], meta[a:b]))
+        number, shares = int(part[a]), int(ways[part[a]])
+        if shares > 1:
+            # A run of a hot range is cut too, so that no share gets much more than another.
+            size = -(-RUN // shares)
+            for c in range(a, b, size):
+                dealt = mix(np.array([salt + c, meta[c, 1]], np.int64).view(np.uint64)).sum()
+                parts.append(number + ((1 + int(dealt % np.uint64(shares))) << HOT))
+                blobs.append(encode(strings[c : min(c + size, b)], meta[c : min(c + size, b)]))
+        else:
+            parts.append(number)
+            blobs.append(encode(strings[a:b], meta[a:b]))
         a = b
     if len(settled):
         # What is settled only passes through; it is dealt evenly.
@@ -320,12 +333,40 @@ def repeated_offsets(strings: np.ndarray, shared: np.ndarray, low: np.ndarray, h
     return out
 
 
-_SPANS = "did long, digest long, first long, past long"
+def string_hashes(strings: np.ndarray, low: np.ndarray, high: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For every offset before the anchor: it, the rows that have a string there, and the strings' hashes."""
+    ahead, lengths = np.zeros(len(strings), np.uint64), {}
+    for k in range(LENGTH):
+        ahead = mix(ahead + strings[:, k].astype(np.uint64) + np.uint64(1))
+        if k + 1 >= GRAM:
+            lengths[k + 1] = ahead
+    before = np.zeros(len(strings), np.uint64)
+    for o in range(REACH + 1):
+        if o:
+            before = mix(before + strings[:, LENGTH + o - 1].astype(np.uint64) + np.uint64(1))
+        own = np.flatnonzero((low <= o) & (o <= high))
+        yield o, own, mix(lengths[LENGTH - o][own] + before[own] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(o))
+
+
+#: ``string`` is the hash of a string of a hot range that this share holds, and the bytes are those of its only place there.
+_SPANS = "did long, digest long, first long, past long, string long"
+
+
+def _held_strings(strings: np.ndarray, meta: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.Table:
+    """A row per different string; those held once come with their place, for others that is settled."""
+    out = [_span_table(np.zeros((0, 4), np.int64))]
+    for o, own, key in string_hashes(strings, low, high):
+        key, at, n = np.unique(key, return_index=True, return_counts=True)
+        row = own[at]
+        offset = np.full(len(row), o)
+        out.append(_span_table(_spans(meta[row], offset, offset), key.view(np.int64), n > 1))
+    return pa.concat_tables(out)
 
 
 def _merge_range(table: pa.Table) -> pa.Table:
     blobs = table["blob"].to_pylist()
-    if table["part"][0].as_py() < 0:
+    number = table["part"][0].as_py()
+    if number < 0:
         return _span_table(np.concatenate([np.frombuffer(b, np.int64).reshape(-1, 4) for b in blobs]))
     runs = [decode(b) for b in blobs]
     order, shared = merge([r[:2] for r in runs])
@@ -338,11 +379,14 @@ def _merge_range(table: pa.Table) -> pa.Table:
     again = np.pad(repeated_offsets(strings, np.array(shared), low, high), ((0, 0), (1, 1)))
     row, first = np.nonzero(again[:, 1:] & ~again[:, :-1])
     _, past = np.nonzero(again[:, :-1] & ~again[:, 1:])
-    return _span_table(_spans(meta[row], first, past - 1))
+    settled = _span_table(_spans(meta[row], first, past - 1))
+    return pa.concat_tables([settled, _held_strings(strings, meta, low, high)]) if number >> HOT else settled
 
 
-def _span_table(spans: np.ndarray) -> pa.Table:
-    return pa.table({c.split()[0]: pa.array(spans[:, i].copy()) for i, c in enumerate(_SPANS.split(", "))})
+def _span_table(spans: np.ndarray, string: np.ndarray | None = None, without_place: np.ndarray | None = None) -> pa.Table:
+    names = [c.split()[0] for c in _SPANS.split(", ")]
+    columns = [pa.array(spans[:, i].copy(), pa.int64(), mask=without_place) for i in range(4)]
+    return pa.table(dict(zip(names, [*columns, pa.nulls(len(spans), pa.int64()) if string is None else pa.array(string)])))
 
 
 # ---- whole
@@ -356,6 +400,22 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def _cuts(kept: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Leading bytes at which ranges begin, and into how many shares each range goes (1 but for hot ones)."""
+    n = kept.count()
+    if n <= RANGE:
+        return np.zeros(0, np.int64), np.ones(1, np.int64)
+    parts = -(-n // RANGE)
+    found = kept.agg(F.percentile_approx("lead", [i / parts for i in range(1, parts)], max(10_000, 4 * parts))).head()[0]
+    cuts, times = np.unique(np.array(found, np.int64), return_counts=True)
+    # One that several cuts fall on fills the ranges between them, and is a range of its own.
+    hot, shares = cuts[times > 1], times[times > 1] + 1
+    cuts = np.union1d(cuts, hot + 1)
+    ways = np.ones(len(cuts) + 1, np.int64)
+    ways[np.searchsorted(cuts, hot, "right")] = shares
+    return cuts, ways
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """``did``, ``digest``, ``first``, ``past``: stretches of bytes that long repeated strings cover; they may overlap."""
     spark = docs.sparkSession
@@ -364,15 +424,18 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         keyed.mapInArrow(_find_anchors, _ANCHORS).repartition("key").sortWithinPartitions("key").mapInArrow(_repeated, _KEPT),
         "anchors",
     )
-    n = kept.count()
-    cuts = np.zeros(0, np.int64)
-    if n > RANGE:
-        parts = -(-n // RANGE)
-        found = kept.agg(F.percentile_approx("lead", [i / parts for i in range(1, parts)], 10_000)).head()[0]
-        cuts = np.unique(np.array(found, np.int64))
+    cuts, ways = _cuts(kept)
     listed = kept.groupBy(*_DOC).agg(F.collect_set(F.struct("place", "low", "high")).alias("at"))
-    runs = keyed.join(listed, _DOC).select(*_DOC, "text", "at").mapInArrow(_make_runs(spark.sparkContext.broadcast(cuts)), _PARTS)
-    return stage(runs.groupBy("part").applyInArrow(_merge_range, _SPANS), "spans")
+    runs = keyed.join(listed, _DOC).select(*_DOC, "text", "at").mapInArrow(_make_runs(spark.sparkContext.broadcast((cuts, ways))), _PARTS)
+    spans = stage(runs.groupBy("part").applyInArrow(_merge_range, _SPANS), "spans")
+    settled = spans.where("string IS NULL").drop("string")
+    if not (ways > 1).any():
+        return settled
+    # A share sends a string once, so there are at most as many rows of one as shares.
+    held = spans.where("string IS NOT NULL")
+    several = held.groupBy(F.col("string").alias("_string")).agg(F.count("*").alias("n")).where("n > 1")
+    more = held.where("did IS NOT NULL").join(several, F.col("string") == F.col("_string"), "left_semi").drop("string")
+    return stage(settled.unionByName(more), "all_spans")
 
 
 def remove(data: bytes, spans: np.ndarray) -> tuple[bytes, int, int]:

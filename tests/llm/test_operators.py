@@ -225,6 +225,25 @@ def test_suffix_dedup(spark, docs):
     assert Counter(map(tuple, suffix_dedup.suffix_dedup_digests(df).collect())) == removed(rows)
 
 
+def test_suffixes_that_lead_alike_are_merged_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "RANGE", 8)
+    passage = words(71, 100)[:260]
+    rows = [(i, f"{words(72 + i, 30)} {passage} {words(400 + i % 25, 12)}") for i in range(60)]
+    # Strings that reach out of the passage, some of which only two documents share.
+    rows += [(100 + i, f"{words(72 + i, 30)[-40 - i :]} {passage}{i}") for i in range(20)] + [(200, passage[:199]), (201, None)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    parts = []
+    run_rows = suffix_dedup._cuts
+    monkeypatch.setattr(suffix_dedup, "_cuts", lambda kept: parts.append(run_rows(kept)) or parts[-1])
+    try:
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+        found = Counter(map(tuple, suffix_dedup.suffix_dedup_digests(df).collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert parts[0][1].max() > 1
+    assert found == removed([(i, t or "") for i, t in rows])
+
+
 def test_merge_gives_order_and_shared_prefixes():
     rng = random.Random(5)
     strings = [bytes(rng.choice(b"ab") for _ in range(12)) for _ in range(300)]
@@ -245,18 +264,19 @@ def test_merge_gives_order_and_shared_prefixes():
 # ---- lines
 
 
-def kept_lines(rows, least=5):
+def kept_lines(rows, least=5, last_of_texts=None):
+    """``last_of_texts``: the text that stands last among those without doc_id."""
+    holder = lambda i, t: (i is not None, i or 0, "" if i is not None else t if t != last_of_texts else "\U0010ffff")
     key = lambda line: line.strip(" \t\n\v\f\r").encode().lower()
     holders = {}
     for i, t in rows:
         for line in t.split("\n"):
             if len(line.strip(" \t\n\v\f\r")) >= 40:
-                holders.setdefault(key(line), set()).add(-(1 << 63) if i is None else i)
+                holders.setdefault(key(line), set()).add(holder(i, t))
     out = []
     for i, t in rows:
-        own = -(1 << 63) if i is None else i
         lines = t.split("\n")
-        kept = [x for x in lines if len(h := holders.get(key(x), ())) < least or max(h) == own or len(x.strip(" \t\n\v\f\r")) < 40]
+        kept = [x for x in lines if len(h := holders.get(key(x), ())) < least or max(h) == holder(i, t) or len(x.strip(" \t\n\v\f\r")) < 40]
         out.append((i, len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
     return Counter(out)
 
@@ -277,6 +297,21 @@ def test_a_frequent_line_over_many_partitions(spark):
     assert found == kept_lines(rows)
 
 
+def test_texts_without_doc_id_are_documents_of_their_own(spark):
+    line, other = words(81, 20), words(82, 20)
+    rows = [(None, f"{line}\nown {i}\n{other if i % 2 else ''}") for i in range(60)] + [(None, f"{line}\nown 3\n{other}")]
+    rows += [(i, f"{line} \n{i}") for i in range(3)] + [(7, words(83, 20)), (None, words(83, 20))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    hashed = df.select("text", line_dedup.F.xxhash64("text").alias("h")).where(line_dedup.F.contains("text", line_dedup.F.lit(other)))
+    last = max(hashed.collect(), key=lambda r: r["h"])["text"]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = Counter(map(tuple, line_dedup.line_dedup_digests(df.repartition(5)).collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert found == kept_lines(rows, last_of_texts=last)
+
+
 def test_drop_repeated_lines(spark, docs):
     out = line_dedup.drop_repeated_lines(spark, docs, "")
     assert out.schema == docs.schema or out.columns == docs.columns
@@ -298,6 +333,21 @@ def test_targets_share_everything(spark):
     assert all(t <= 3 * s + 1e-6 for s, t in targets) and all(r["taken"] <= 3 * r["size"] for r in found)
 
 
+def test_rows_without_doc_id_draw_apart(spark):
+    rows = [(None, "w " * 100, "a") for _ in range(600)] + [(None, "v " * (50 + i % 9), "a") for i in range(300)]
+    rows += [(i, "w " * 40, "b") for i in range(1500)] + [(None, None, None), (None, "", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.mixture(df.repartition(7)).collect()
+    assert len(found) == len(rows)
+    targets = {r["source_size"]: r["target"] for r in found}
+    for size, target in targets.items():
+        assert sum(r["taken"] for r in found if r["source_size"] == size) == pytest.approx(target, rel=0.1)
+    as_rows = lambda rows: Counter((r["doc_id"], r["size"], r["taken"]) for r in rows)
+    assert as_rows(found) == as_rows(mixing.mixture(df.repartition(2)).collect())
+    taken = sum(len((r["text"] or "").split()) for r in mixing.mix(spark, df.repartition(3), "").collect())
+    assert taken == sum(r["taken"] for r in found)
+
+
 def test_mix_repeats_documents(spark, docs):
     out = mixing.mix(spark, docs, "")
     assert out.columns == docs.columns and out.count() > 0
