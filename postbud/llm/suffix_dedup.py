@@ -43,6 +43,7 @@ REACH = LENGTH - GRAM  # bytes before an anchor that its strings may begin
 SPAN = LENGTH + REACH
 RUN = 1 << 16
 RANGE = 50_000
+ROUND = 11
 HOT = 40  # a part's number holds its range in the lower bits, and above them its share of a hot range, from 1
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _LEAST = -(1 << 63)
@@ -406,11 +407,13 @@ def _cuts(kept: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     if n <= RANGE:
         return np.zeros(0, np.int64), np.ones(1, np.int64)
     parts = -(-n // RANGE)
-    found = kept.agg(F.percentile_approx("lead", [i / parts for i in range(1, parts)], max(10_000, 4 * parts))).head()[0]
-    cuts, times = np.unique(np.array(found, np.int64), return_counts=True)
+    # Quantiles are doubles, so they are taken of as many bits as a double holds.
+    lead = F.shiftright("lead", ROUND)
+    found = kept.agg(F.percentile_approx(lead, [i / parts for i in range(1, parts)], max(10_000, 4 * parts))).head()[0]
+    found, times = np.unique(np.array(found, np.int64), return_counts=True)
     # One that several cuts fall on fills the ranges between them, and is a range of its own.
-    hot, shares = cuts[times > 1], times[times > 1] + 1
-    cuts = np.union1d(cuts, hot + 1)
+    hot, shares = found[times > 1] << ROUND, times[times > 1] + 1
+    cuts = np.union1d(found << ROUND, hot + (1 << ROUND))
     ways = np.ones(len(cuts) + 1, np.int64)
     ways[np.searchsorted(cuts, hot, "right")] = shares
     return cuts, ways

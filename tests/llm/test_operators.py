@@ -229,7 +229,8 @@ def test_suffixes_that_lead_alike_are_merged_in_parts(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "RANGE", 8)
     passage = words(71, 100)[:260]
     rows = [(i, f"{words(72 + i, 30)} {passage} {words(400 + i % 25, 12)}") for i in range(60)]
-    # Strings that reach out of the passage, some of which only two documents share.
+    # Pairs that share a passage with all, and what follows with each other only: both may be in different shares.
+    rows += [(300 + i, f"{words(1000 + i, 9)} {passage[:190]}{words(2000 + i % 40, 30)[:60]}") for i in range(80)]
     rows += [(100 + i, f"{words(72 + i, 30)[-40 - i :]} {passage}{i}") for i in range(20)] + [(200, passage[:199]), (201, None)]
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     parts = []
