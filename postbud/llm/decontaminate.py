@@ -285,8 +285,11 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def decompose(docs: DataFrame, bench: Benchmark, rank: int) -> None:
     """Weigh the terms and set the basis (terms x rank) of the leading right singular vectors, in one pass."""
-    send = docs.sparkSession.sparkContext.broadcast
-    sums = stage(docs.select("text").mapInArrow(_sketch(send(bench), rank), _SUMS), "sketch")
+    spark = docs.sparkSession
+    # A task writes a matrix whatever it reads, so there are no more tasks than keep the cluster busy.
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    read = docs.select("text").coalesce(tasks)
+    sums = stage(read.mapInArrow(_sketch(spark.sparkContext.broadcast(bench), rank), _SUMS), "sketch")
     while (parts := sums.rdd.getNumPartitions()) > 8:
         sums = stage(sums.coalesce(-(-parts // 8)).mapInArrow(_add, _SUMS), "sketch")
     row = sums.coalesce(1).mapInArrow(_add, _SUMS).head()
