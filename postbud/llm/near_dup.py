@@ -322,13 +322,20 @@ def block_likeness(a: np.ndarray, b: np.ndarray, nodes: np.ndarray, texts: pa.Ch
     return found
 
 
-def _likenesses(pairs: DataFrame, texts: DataFrame, blocks: int, common) -> DataFrame:
-    """Likeness of pairs (a, b). Nodes are dealt to ``blocks`` groups, and pairs of two groups are one task's.
+def _likenesses(pairs: DataFrame, texts: DataFrame, text_bytes: int, common) -> DataFrame:
+    """Likeness of pairs (a, b); many pairs may have one ``a``, the leading node.
 
-    A task gets the texts that its pairs name, each once, of two groups at most.
+    Pairs are dealt by their leading node, those of one with more than ``MEMBERS`` in several parts. A group gets the
+    texts that its pairs name, each once: about ``BLOCK_BYTES``, as groups grow in number with the pairs and
+    their texts, of ``text_bytes`` on average.
     """
-    group = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
-    pairs = pairs.withColumn("block", group("a") * blocks + group("b"))
+    # Written, so that a join by a node that leads many pairs can be split.
+    many = stage(pairs.groupBy(F.col("a").alias("lead")).agg(F.count("*").alias("n")).where(F.col("n") > MEMBERS), "leads")
+    groups = max(4, -(-pairs.count() * text_bytes // BLOCK_BYTES))
+    parts = F.coalesce(F.ceil(F.col("n") / MEMBERS), F.lit(1))
+    pairs = pairs.join(many, F.col("a") == F.col("lead"), "left").select(
+        "a", "b", F.pmod(F.xxhash64("a", F.pmod(F.xxhash64("b"), parts)), F.lit(groups)).alias("block")
+    )
     named = pairs.select(F.col("block").alias("of"), F.explode(F.array("a", "b")).alias("node")).distinct()
     held = named.join(texts, "node").select("of", "node", "text")
     return (
@@ -402,17 +409,19 @@ def links(members: DataFrame, texts: DataFrame, names: DataFrame, common) -> tup
     text), and ``names`` says which of them (doc_id, digest) stands for a node.
     """
     spark = members.sparkSession
+    # Both aggregates by bucket are written before they are joined with its members, so that AQE can split a large one.
     bucket = members.groupBy("bucket").agg(F.min("node").alias("first"), F.count("*").alias("n"))
-    active = stage(members.join(bucket.where("n > 1"), "bucket"), "buckets")
+    active = stage(members.join(stage(bucket.where("n > 1"), "sizes"), "bucket"), "buckets")
     texts = stage(
         _of_node(texts, names.join(active.select("node").distinct(), "node", "left_semi")).select("node", "text").dropDuplicates(["node"]),
         "candidates",
     )
     # Candidates are dealt to groups of bounded size.
-    held = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    held, n = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).head()
     blocks = max(4, -(-held // BLOCK_BYTES))
     stars = active.where("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    near = stage(_likenesses(stars, texts, blocks, common).where(F.col("likeness") >= THRESHOLD), "links")
+    stars = stage(stars, "stars")
+    near = stage(_likenesses(stars, texts, -(-held // max(n, 1)), common).where(F.col("likeness") >= THRESHOLD), "links")
     classes = components(near)
     active = active.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
     # Two members are the pivot and another, which have been compared.
@@ -421,7 +430,7 @@ def links(members: DataFrame, texts: DataFrame, names: DataFrame, common) -> tup
         sizes.groupBy("bucket").agg(F.max(F.struct("size", "class")).alias("top"), F.count("*").alias("classes"))
         .where("classes > 1").select("bucket", "top")
     )
-    dealt = deal(active.join(several, "bucket"))
+    dealt = deal(active.join(stage(several, "several"), "bucket"))
     dealt = stage(dealt.drop("top"), "open")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     copies = dealt.agg(F.sum(F.size("others"))).head()[0] or 0
