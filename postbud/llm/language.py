@@ -2,7 +2,7 @@
 
 One model of order ``ORDER`` per language, learnt from labelled documents whose crc32(doc_id) mod 4
 is not 2. Texts are lower-cased and every run of anything but letters is one space. All models share
-sorted arrays of n-gram hashes, with a column of log probabilities per language, so that one look-up
+sorted arrays of n-gram hashes, each with the log probabilities of the languages that have it, so that one look-up
 serves all languages. A text gets the language of the lowest cross-entropy per symbol.
 
 Learning takes a bounded sample: of each language, documents drawn by a hash of doc_id so that about
@@ -84,56 +84,72 @@ def _find(sorted_: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 class Models:
-    """Sorted hash arrays for each order: n-grams with log2 probabilities, contexts with log2 weights."""
+    """For each order two tables by hash: n-grams with log2 probabilities, contexts with log2 weights.
+
+    A table holds a language's entry only where the language was seen to have the n-gram or context, so
+    its size grows with the n-grams seen and not with n-grams times languages.
+    """
 
     def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]]):
         self.languages = sorted(counts)
-        orders = {lang: _orders(*counts[lang]) for lang in self.languages}
-        n_symbols = max(len(np.unique(np.concatenate([o[1][0] for o in orders.values()]))), 1) + 1
-        self.unknown = np.log2(np.full(len(self.languages), 1 / n_symbols))
+        orders = [_orders(*counts[lang]) for lang in self.languages]
+        n_symbols = max(len(np.unique(np.concatenate([o[1][0] for o in orders]))), 1) + 1
+        self.unknown = np.log2(1 / n_symbols)
         self.gram, self.context = {}, {}
-        lower_keys, lower = np.zeros(1, np.uint64), np.full((1, len(self.languages)), 1 / n_symbols)
+        lower = [(np.zeros(1, np.uint64), np.full(1, 1 / n_symbols))] * len(orders)
         for n in range(1, ORDER + 1):
-            keys = np.unique(np.concatenate([orders[x][n][0] for x in self.languages]))
-            contexts = np.unique(keys >> np.uint64(16))
-            weight = np.ones((len(contexts), len(self.languages)))
-            prob = np.zeros((len(keys), len(self.languages)))
-            in_context = np.searchsorted(contexts, keys >> np.uint64(16))
-            for i, lang in enumerate(self.languages):
-                own, count = orders[lang][n]
+            probs, weights = [], []
+            for i, own in enumerate(orders):
+                keys, count = own[n]
+                contexts, in_context, kinds = np.unique(keys >> np.uint64(16), return_inverse=True, return_counts=True)
                 discount = _discount(count)
-                at = np.searchsorted(keys, own)
-                total = np.bincount(in_context[at], count, minlength=len(contexts))
-                kinds = np.bincount(in_context[at], minlength=len(contexts))
-                seen = total > 0
-                weight[seen, i] = discount * kinds[seen] / total[seen]
-                prob[at, i] = (count - discount) / total[in_context[at]]
-            below = np.searchsorted(lower_keys, _suffix(keys, n - 1) if n > 1 else np.zeros(len(keys), np.uint64))
-            prob += weight[in_context] * lower[below]
-            self.gram[n] = _sorted(_hash(keys, n), np.log2(prob))
-            self.context[n] = _sorted(_hash(contexts, -n), np.log2(weight))
-            lower_keys, lower = keys, prob
+                total = np.bincount(in_context, count, minlength=len(contexts))
+                weight = discount * kinds / total
+                # What an n-gram ends in has been seen as well.
+                shorter, below = lower[i]
+                at = np.searchsorted(shorter, _suffix(keys, n - 1) if n > 1 else np.zeros(len(keys), np.uint64))
+                prob = (count - discount) / total[in_context] + weight[in_context] * below[at]
+                probs.append((_hash(keys, n), np.log2(prob)))
+                weights.append((_hash(contexts, -n), np.log2(weight)))
+                lower[i] = keys, prob
+            self.gram[n], self.context[n] = _Table(probs), _Table(weights)
 
     def log_probability(self, gram: np.ndarray) -> np.ndarray:
         """log2 P(last symbol | symbols before) for packed n-grams, a column per language."""
         out = np.zeros((len(gram), len(self.languages)), np.float64)
-        left = np.arange(len(gram))
+        left = np.ones(out.shape, bool)
         for n in range(ORDER, 0, -1):
-            part = _suffix(gram[left], n)
-            keys, values = self.gram[n]
-            at, hit = _find(keys, _hash(part, n))
-            out[left[hit]] += values[at[hit]]
-            left, part = left[~hit], part[~hit]
-            keys, values = self.context[n]
-            at, hit = _find(keys, _hash(part >> np.uint64(16), -n))
-            out[left[hit]] += values[at[hit]]
+            part = _suffix(gram, n)
+            row, lang, value = self.gram[n].entries(_hash(part, n))
+            new = left[row, lang]
+            row, lang = row[new], lang[new]
+            out[row, lang] += value[new]
+            left[row, lang] = False
+            row, lang, value = self.context[n].entries(_hash(part >> np.uint64(16), -n))
+            out[row, lang] += np.where(left[row, lang], value, 0.0)
         out[left] += self.unknown
         return out
 
 
-def _sorted(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys)
-    return keys[order], values[order]
+class _Table:
+    """Sorted hashes; the entries of a hash, a language and its value each, lie next to each other."""
+
+    def __init__(self, by_language: list[tuple[np.ndarray, np.ndarray]]):
+        hashes = np.concatenate([h for h, _ in by_language])
+        order = np.argsort(hashes, kind="stable")
+        self.keys, start = np.unique(hashes[order], return_index=True)
+        self.start = np.append(start, len(order))
+        kind = np.uint8 if len(by_language) <= 1 << 8 else np.int32
+        self.language = np.repeat(np.arange(len(by_language), dtype=kind), [len(h) for h, _ in by_language])[order]
+        self.value = np.concatenate([v for _, v in by_language])[order]
+
+    def entries(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of ``wanted`` that are there, with language and value, a row for each entry."""
+        at, hit = _find(self.keys, wanted)
+        row = np.flatnonzero(hit)
+        first, n = self.start[at[row]], self.start[at[row] + 1] - self.start[at[row]]
+        place = np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+        return np.repeat(row, n), self.language[place], self.value[place]
 
 
 def _orders(gram: np.ndarray, count: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
@@ -173,10 +189,11 @@ def training_rows() -> Column:
 def fit(docs: DataFrame, sample_chars: int = SAMPLE_CHARS) -> tuple[Models | None, dict[str, float]]:
     """The models and, by language, the cross-entropy up to which a text is accepted."""
     labelled = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where(training_rows())
-    total = labelled.groupBy("lang").agg(F.sum(F.length("text")).alias("_chars"))
+    # Written, so that its size is known and Spark broadcasts it only while it is small.
+    total = stage(labelled.groupBy("lang").agg(F.sum(F.length("text")).alias("_chars")), "lengths")
     # The draw is a hash of doc_id; a language's share of rows makes the expected sample bounded.
     unit = F.conv(F.substring(F.md5(F.concat(F.lit("lang:"), F.col("doc_id").cast("string"))), 1, 8), 16, 10)
-    drawn = labelled.join(F.broadcast(_bounded(total)), "lang").where(
+    drawn = labelled.join(total, "lang").where(
         unit.cast("double") / float(1 << 32) < sample_chars / F.greatest("_chars", F.lit(1))
     )
     drawn = stage(drawn.select("doc_id", "text", "lang"), "labelled")
@@ -204,14 +221,6 @@ def fit(docs: DataFrame, sample_chars: int = SAMPLE_CHARS) -> tuple[Models | Non
     return models, limits
 
 
-def _bounded(total: DataFrame, most: int = 10_000) -> DataFrame:
-    """A row per language; more than ``most`` different labels are not languages."""
-    rows = total.limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} different values of lang")
-    return total.sparkSession.createDataFrame(rows, total.schema)
-
-
 _SCORED = "doc_id long, lang_pred string, score double, cross_entropy double, accepted boolean"
 
 

@@ -102,6 +102,41 @@ def test_pivots_reach_every_link_of_a_large_group(spark):
     assert {r["class_id"] for r in near_dup.near_duplicates(df).collect()} == {100}
 
 
+def test_pairs_of_one_leading_node_are_dealt_in_parts(spark, monkeypatch):
+    """A node that leads many pairs, beside nodes of one pair: every pair is verified once, as by counting."""
+    monkeypatch.setattr(near_dup, "MEMBERS", 8)
+    monkeypatch.setattr(near_dup, "BLOCK_BYTES", 4000)
+    base, rng = words(70, 60).split(), random.Random(2)
+    texts = {i: " ".join(base[: rng.randint(20, 60)] + words(100 + i, 5).split()) for i in range(80)}
+    pairs = [(0, i) for i in range(1, 70)] + [(70 + i, 71 + i) for i in range(9)]
+    found = near_dup._likenesses(
+        spark.createDataFrame(pairs, "a long, b long"), spark.createDataFrame(list(texts.items()), "node long, text string"), 300,
+        spark.sparkContext.broadcast((np.zeros(0, np.uint64), np.zeros(0, np.float32))),
+    ).collect()
+    assert sorted((r["a"], r["b"]) for r in found) == sorted(pairs)
+    for r in found:
+        x, y = shingle_set(texts[r["a"]]), shingle_set(texts[r["b"]])
+        assert r["likeness"] == pytest.approx((x & y).total() / (x | y).total(), abs=1e-6)
+
+
+def test_links_by_likeness_of_pairs(spark):
+    """Pairs of every plain likeness from 0.5 on: all from 0.8 on are one class, none below."""
+    rows, want = [], {}
+    for i in range(150):
+        one = words(5000 + i, 400).split()
+        two = list(one)
+        for place in random.Random(i).sample(range(400), i % 30):
+            two[place] = f"changed{place}"
+        x, y = " ".join(one), " ".join(two)
+        p, q = shingle_set(x), shingle_set(y)
+        want[2 * i] = (p & q).total() / (p | q).total()
+        rows += [(2 * i, x), (2 * i + 1, y)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    classes = {r["doc_id"]: r["class_id"] for r in near_dup.near_duplicates(df).collect()}
+    assert sum(0.8 <= v < 0.9 for v in want.values()) >= 20 and sum(0.7 <= v < 0.8 for v in want.values()) >= 20
+    assert [i for i, v in want.items() if (classes[i] == classes[i + 1]) != (v >= 0.8)] == []
+
+
 def test_common_shingles_are_counted_exactly(docs):
     key, idf, n = near_dup.common_shingles(docs, rare=0.2)
     rows = plain(docs)
@@ -547,6 +582,76 @@ def test_language_of_odd_rows(spark, docs, no_docs):
     assert language.keep_accepted(spark, docs, "").schema == docs.schema
 
 
+def plain_models(texts):
+    """Interpolated Kneser-Ney by dictionaries: P(symbol | three before) of a language, as a function."""
+    grams = {x: [Counter(g for t in own for g in plain_grams(t))] for x, own in texts.items()}
+    for orders in grams.values():
+        for _ in range(3):
+            orders.append(Counter(g[1:] for g in orders[-1]))
+    n_symbols = len({g for orders in grams.values() for g in orders[-1]}) + 1
+
+    def learn(orders):
+        discounts, totals, kinds = [], [], []
+        for counts in orders:
+            once, twice = (sum(c == k for c in counts.values()) for k in (1, 2))
+            discounts.append(once / (once + 2 * twice) if once and twice else 0.5)
+            totals.append(Counter())
+            for g, c in counts.items():
+                totals[-1][g[:-1]] += c
+            kinds.append(Counter(g[:-1] for g in counts))
+
+        def probability(g, k=0):
+            if k == 4:
+                return 1 / n_symbols
+            below = probability(g[1:], k + 1)
+            total = totals[k][g[:-1]]
+            if not total:
+                return below
+            seen = max(orders[k][g] - discounts[k], 0) / total
+            return seen + discounts[k] * kinds[k][g[:-1]] / total * below
+
+        return probability
+
+    return {x: learn(orders) for x, orders in grams.items()}
+
+
+def plain_grams(text):
+    line = re.sub(r"[^a-zà-ÿ]+", " ", text.lower()).lstrip(" ")
+    return ["   "[: max(3 - i, 0)] + line[max(i - 3, 0) : i + 1] for i in range(len(line))]
+
+
+def test_languages_are_those_of_plain_models(spark):
+    alphabets = {"p": "abcdeé", "q": "cdefgh", "r": "ghijkà", "s": "abghxy"}
+    rows = [
+        (i, words(7000 + i, 3 + i % 40, alphabets[x]) + f" {i}?", x if i % 11 else None)
+        for i, x in enumerate(sorted(alphabets) * 60)
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    crc = lambda text: zlib.crc32(text.encode())
+    learnt = {x: [t for i, t, y in rows if x == y and crc(str(i)) % 4 != 2 and crc(f"hold:{i}") % 5] for x in alphabets}
+    models = plain_models(learnt)
+    found = {r["doc_id"]: r for r in language.identify(df).collect()}
+    assert len(found) == len(rows)
+    for i, text, _ in rows:
+        grams = plain_grams(text)
+        entropy = {x: -sum(np.log2(p(g)) for g in grams) / len(grams) for x, p in models.items()}
+        assert found[i]["lang_pred"] == min(entropy, key=entropy.get)
+        assert found[i]["cross_entropy"] == pytest.approx(min(entropy.values()))
+        spread = [-(e - found[i]["cross_entropy"]) * min(len(grams), language.EVIDENCE) for e in entropy.values()]
+        assert found[i]["score"] == pytest.approx(1 / sum(2**v for v in spread))
+
+
+def test_models_hold_only_what_a_language_has():
+    """Entries grow with the n-grams seen, not with n-grams times languages."""
+    rng, counts = np.random.default_rng(5), {}
+    for i in range(40):
+        gram = np.unique(rng.integers(97 + 5 * i, 102 + 5 * i, (300, 4)) @ (1 << 16) ** np.arange(4)).astype(np.uint64)
+        counts[f"x{i}"] = gram, np.ones(len(gram), int)
+    models = language.Models(counts)
+    assert len(models.gram[4].value) == sum(len(g) for g, _ in counts.values())
+    assert len(models.gram[1].value) == 40 * 5 and len(models.context[1].value) == 40
+
+
 def test_models_are_distributions():
     gram = np.unique(np.random.default_rng(4).integers(97, 101, (500, 4)) @ (1 << 16) ** np.arange(4)[::-1]).astype(np.uint64)
     models = language.Models({"a": (gram, np.arange(1, len(gram) + 1))})
