@@ -616,7 +616,7 @@ def plain_models(texts):
 
 
 def plain_grams(text):
-    line = re.sub(r"[^a-zà-ÿ]+", " ", text.lower()).lstrip(" ")
+    line = re.sub(r"[\W\d_]+", " ", text.lower()).lstrip(" ")
     return ["   "[: max(3 - i, 0)] + line[max(i - 3, 0) : i + 1] for i in range(len(line))]
 
 
