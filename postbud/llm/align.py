@@ -10,7 +10,8 @@ lists are flattened with their parents' indices, byte lengths are added up by se
 sums, an Acero hash join on (document, end) gives the links, and group texts are joined lists. Links are
 counted by ``Table.group_by`` within a block of some ``BLOCK_LINKS`` links; Spark merges these partial
 counts, and gives every block the counts of its own pairs back. So a pair that every document holds is one row a block, no
-table is broadcast, and a task holds one block, or one text if that is longer.
+table is broadcast, and a task holds one block and the columns of one slice, or one text if that is longer. What Arrow's pool
+has kept of them goes back after every block, as workers stay beside the JVM while other stages run.
 
 A tokenizer of which it is not plain that it never joins across such a space gets whole texts as units.
 
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from postbud.llm.tokens import PRINTABLE, SPACES
 from postbud.session import stage
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 BLOCK_LINKS = 1 << 21
 KNOWN = 400_000
 ID_BITS = 32
@@ -272,8 +273,11 @@ def linked_blocks(docs: DataFrame, paths: tuple[str, str] | None = None) -> Data
             if n_links >= BLOCK_LINKS:
                 yield from _block(key, parts)
                 parts, n_links, key = [], 0, key + 1
+                pa.default_memory_pool().release_unused()
         if parts:
             yield from _block(key, parts)
+        del parts
+        pa.default_memory_pool().release_unused()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, BLOCKS)
 

@@ -4,6 +4,8 @@ import hashlib
 import json
 import math
 import random
+import subprocess
+import sys
 from collections import Counter
 
 import numpy as np
@@ -110,6 +112,20 @@ def test_blocks_and_known_units_do_not_matter(monkeypatch):
     assert whole.align(batch["text"])[1:] == (pairs, groups)
 
 
+def test_a_slice_holds_little_memory():
+    """The columns of a slice of many links, as two workers and a JVM share an executor; a process of its own shows the peak."""
+    code = """
+import pyarrow as pa
+from postbud.llm import align
+texts = pa.array([f"word {i} of many, and the next one " * 60 for i in range(2500)])
+aligner, batch = align.Aligner(*align.default_files()), pa.RecordBatch.from_arrays([texts], ["text"])
+print(sum(len(aligner.align(s["text"])[1]) for s in align._slices(iter([batch]))), pa.default_memory_pool().max_memory())
+"""
+    run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    links, most = map(int, run.stdout.split())
+    assert links > 1_000_000 and most < 64 << 20
+
+
 def test_alignment_of_no_documents(spark):
     assert align.alignments(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     none = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
