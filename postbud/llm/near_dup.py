@@ -401,14 +401,16 @@ def deal(members: DataFrame) -> DataFrame:
     return members.withColumns({"part": part, "others": others})
 
 
-def links(members: DataFrame, texts: DataFrame, names: DataFrame, common) -> tuple[DataFrame, DataFrame]:
+def links(sketches: DataFrame, texts: DataFrame, names: DataFrame, common) -> tuple[DataFrame, DataFrame]:
     """Links (a, b, likeness) among the texts that share a bucket, enough to join all that hang together, and
     their classes (node, class).
 
-    ``members`` has a row (bucket, band, node, bands, bits) per text and band, ``texts`` the rows (doc_id, digest,
+    ``sketches`` has a row (node, bands, bits) per text, ``texts`` the rows (doc_id, digest,
     text), and ``names`` says which of them (doc_id, digest) stands for a node.
     """
-    spark = members.sparkSession
+    spark = sketches.sparkSession
+    # Two numbers per text and band meet by bucket; the sketch joins the members of open buckets only.
+    members = sketches.select("node", F.explode(F.array_distinct("bands")).alias("bucket"))
     # Both aggregates by bucket are written before they are joined with its members, so that AQE can split a large one.
     bucket = members.groupBy("bucket").agg(F.min("node").alias("first"), F.count("*").alias("n"))
     active = stage(members.join(stage(bucket.where("n > 1"), "sizes"), "bucket"), "buckets")
@@ -430,7 +432,8 @@ def links(members: DataFrame, texts: DataFrame, names: DataFrame, common) -> tup
         sizes.groupBy("bucket").agg(F.max(F.struct("size", "class")).alias("top"), F.count("*").alias("classes"))
         .where("classes > 1").select("bucket", "top")
     )
-    dealt = deal(active.join(stage(several, "several"), "bucket"))
+    dealt = deal(active.join(stage(several, "several"), "bucket")).join(sketches, "node")
+    dealt = dealt.withColumn("band", (F.array_position("bands", F.col("bucket")) - 1).cast("int"))
     dealt = stage(dealt.drop("top"), "open")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     copies = dealt.agg(F.sum(F.size("others"))).head()[0] or 0
@@ -485,13 +488,9 @@ def _classes(docs: DataFrame, n_bands: int = BANDS, n_rows: int = ROWS) -> DataF
         ),
         "nodes",
     )
-    members = (
-        _of_node(signed.where("total > 0"), exact)
-        .select("node", "bands", *_BITS, F.posexplode("bands").alias("band", "bucket"))
-        .dropDuplicates(["node", "bucket"])
-    )
+    sketches = _of_node(signed.where("total > 0"), exact).select("node", "bands", *_BITS).dropDuplicates(["node"])
     texts = docs.select("doc_id", F.md5("text").alias("digest"), "text")
-    _, classes = links(members, texts, exact, common)
+    _, classes = links(stage(sketches, "sketches"), texts, exact, common)
     classes = exact.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
     if not exact.where("unnamed").isEmpty():
         # Names go before numbers.

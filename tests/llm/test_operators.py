@@ -137,6 +137,22 @@ def test_links_by_likeness_of_pairs(spark):
     assert [i for i, v in want.items() if (classes[i] == classes[i + 1]) != (v >= 0.8)] == []
 
 
+def test_rows_by_bucket_hold_numbers_only(spark, monkeypatch):
+    """Sketches join the members of open buckets, not all rows of all bands; copies and repeated rows are members once."""
+    staged, stage = {}, near_dup.stage
+    monkeypatch.setattr(near_dup, "stage", lambda df, name: staged.setdefault(name, stage(df, name)))
+    base, other = words(31, 80), words(32, 80)
+    near = [" ".join([f"x{i}", *base.split()[1:]]) for i in range(4)]
+    rows = [(i, t) for i, t in enumerate([base, base, *near, other, ""])] + [(0, base), (6, other)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r["class_id"] for r in near_dup.near_duplicates(df).collect()}
+    assert found == {0: 0, 1: 0, 2: 0, 3: 0, 4: 0, 5: 0, 6: 6, 7: 7}
+    assert sorted(staged["buckets"].columns) == ["bucket", "first", "n", "node"]
+    assert staged["sketches"].count() == 6
+    members = staged["buckets"].groupBy("bucket").agg({"node": "count", "n": "max"}).collect()
+    assert members and all(r["count(node)"] == r["max(n)"] > 1 for r in members)
+
+
 def test_common_shingles_are_counted_exactly(docs):
     key, idf, n = near_dup.common_shingles(docs, rare=0.2)
     rows = plain(docs)
